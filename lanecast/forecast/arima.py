@@ -51,10 +51,10 @@ def _state_space(phi1, phi2, theta):
 def _filter(tons, move, noise, start):
     """Concentrated log-likelihood, noise variance, and the state predicted one step past the data.
 
-    ``tons`` is (series, time) with NaN for missing; parameters are (series, candidates). The first
+    ``tons`` is (series, time) with NaN for missing; parameters are (series or 1, candidates). The first
     observation fixes the level, so the likelihood covers the changes that follow it.
     """
-    count = move.shape[:-2]
+    count = np.broadcast_shapes(move.shape[:-2], (len(tons), 1))
     state = np.zeros((*count, 3))
     cov = np.array(np.broadcast_to(start, (*count, 3, 3)))
     squares = np.zeros(count)

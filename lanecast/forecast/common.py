@@ -17,7 +17,7 @@ def conform(forecasts: DataFrame) -> DataFrame:
     missing = [name for name in FORECAST_COLUMNS if name not in forecasts.columns]
     if missing:
         raise ValueError(f"forecast output lacks columns: {missing}")
-    return forecasts.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FORECAST_SCHEMA])
+    return forecasts.selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in FORECAST_SCHEMA])
 
 
 def yearly_arrays(df: DataFrame, columns: Sequence[str], partitions: int | None = None) -> DataFrame:

@@ -25,11 +25,12 @@ BAND_MEASURES = {"bts_tons": "tons_{year}", "bts_tons_low": "tons_{year}_low", "
 
 def unpivot_years(wide: DataFrame, keys: Sequence[str], years: Sequence[int], measures: dict[str, str]) -> DataFrame:
     """Year-suffixed columns to one row per year, in a single scan."""
-    cells = [F.lit(len(years))]
-    for year in years:
-        cells.append(F.lit(int(year)))
-        cells += [F.col(pattern.format(year=year)) for pattern in measures.values()]
-    return wide.select(*keys, F.stack(*cells).alias("year", *measures))
+    rows = [
+        ", ".join([str(int(year)), *(f"`{pattern.format(year=year)}`" for pattern in measures.values())])
+        for year in years
+    ]
+    names = ", ".join(["year", *measures])
+    return wide.selectExpr(*keys, f"stack({len(rows)}, {', '.join(rows)}) AS ({names})")
 
 
 def totals_by_corridor(
@@ -47,7 +48,7 @@ def totals_by_corridor(
     pair holding most of the rows reaches the shuffle as one row per task, and the join that follows
     sees each pair once.
     """
-    sums = [F.sum(name).alias(name) for name in columns]
+    sums = [F.expr(f"sum(`{name}`) AS `{name}`") for name in columns]
     ends = [F.col(c).alias(f) for c, f in zip(corridor_keys, flow_keys)]
     lanes = corridors.select("corridor_id", "corridor_name", *ends)
     if fits_broadcast(lanes, max_broadcast_rows):
@@ -138,11 +139,13 @@ def rolling_features(key: str = "corridor_id", order: str = "year", rows: int =
     }
 
 
-def padded_change(column: str, key: str = "corridor_id", order: str = "year") -> Column:
+def padded_change(value: Column | str, key: str = "corridor_id", order: str = "year") -> Column:
     """Relative change to the previous row after carrying the last known value forward."""
+    value = F.col(value) if isinstance(value, str) else value
+    known = F.when(~F.isnan(value), value)
     w = _series_window(key, order)
-    current = F.last(column, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    previous = F.last(column, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    current = F.last(known, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    previous = F.last(known, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
     return finite(F.try_divide(current, previous) - 1)
 
 
@@ -156,8 +159,8 @@ def derived_features(key: str = "corridor_id", order: str = "year") -> dict[str,
 
 def economic_change_features(key: str = "corridor_id", order: str = "year") -> dict[str, Column]:
     return {
-        "gdp_yoy_change": padded_change("gdp", key, order),
-        "diesel_yoy_change": padded_change("diesel_price", key, order),
+        "gdp_yoy_change": padded_change(finite("gdp"), key, order),
+        "diesel_yoy_change": padded_change(finite("diesel_price"), key, order),
     }
 
 
@@ -179,8 +182,12 @@ def add_economic_change_features(df: DataFrame, key: str = "corridor_id", order:
 
 def finite_columns(df: DataFrame) -> DataFrame:
     """Infinities and NaN to NULL in every floating-point column."""
-    return df.select(
-        *[finite(name).alias(name) if dtype in ("double", "float") else F.col(name) for name, dtype in df.dtypes]
+    limit = "abs(`{0}`) < double('infinity')"  # False for NaN, which sorts above infinity.
+    return df.selectExpr(
+        *[
+            f"CASE WHEN {limit.format(name)} THEN `{name}` END AS `{name}`" if dtype in ("double", "float") else f"`{name}`"
+            for name, dtype in df.dtypes
+        ]
     )
 
 

@@ -41,12 +41,10 @@ def profile_missing(df: DataFrame, only_missing: bool = False) -> DataFrame:
     """Missing count and percent of each column, largest first, from a single aggregate."""
     counts = df.agg(
         F.count(F.lit(1)).alias("_rows"),
-        *[F.count_if(_missing(name, dtype)).alias(name) for name, dtype in df.dtypes],
+        *[F.expr(f"count_if({_missing_sql(name, dtype)}) AS `{name}`") for name, dtype in df.dtypes],
     )
-    cells = [F.lit(len(df.columns))]
-    for name in df.columns:
-        cells += [F.lit(name), F.col(name)]
-    summary = counts.select("_rows", F.stack(*cells).alias("column", "missing_count")).select(
+    cells = ", ".join(f"'{name}', `{name}`" for name in df.columns)
+    summary = counts.selectExpr("_rows", f"stack({len(df.columns)}, {cells}) AS (column, missing_count)").select(
         "column",
         "missing_count",
         F.try_divide(F.col("missing_count"), F.col("_rows")).cast("double").alias("_share"),
@@ -71,7 +69,7 @@ def profile_distinct(df: DataFrame, approximate: bool = False) -> DataFrame:
     count = F.approx_count_distinct if approximate else F.count_distinct
 
     def one(name: str, dtype: str) -> DataFrame:
-        present = F.when(~_missing(name, dtype), F.col(name))
+        present = F.expr(f"CASE WHEN NOT ({_missing_sql(name, dtype)}) THEN `{name}` END")
         return df.agg(count(present).alias("n_unique")).select(
             F.lit(name).alias("column"), F.lit(dtype).alias("dtype"), "n_unique"
         )
@@ -236,9 +234,8 @@ def _narrow(values: DataFrame, ranks: dict, found: dict) -> dict:
     return remaining
 
 
-def _missing(name: str, dtype: str) -> Column:
-    missing = F.col(name).isNull()
-    return missing | F.isnan(name) if dtype in ("double", "float") else missing
+def _missing_sql(name: str, dtype: str) -> str:
+    return f"`{name}` IS NULL OR isnan(`{name}`)" if dtype in ("double", "float") else f"`{name}` IS NULL"
 
 
 def _number(name: str) -> Column:

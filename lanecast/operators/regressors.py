@@ -40,10 +40,8 @@ def regressors_by_year(
     macros: DataFrame, years: Sequence[int], columns: Sequence[str] = MACRO_COLUMNS
 ) -> DataFrame:
     """Every macro column extrapolated to the target years: ``len(years)`` rows."""
-    cells = [F.lit(len(columns))]
-    for name in columns:
-        cells += [F.lit(name), F.col(name)]
-    long = macros.select("year", F.stack(*cells).alias("series_id", "value"))
+    cells = ", ".join(f"'{name}', {name}" for name in columns)
+    long = macros.selectExpr("year", f"stack({len(columns)}, {cells}) AS (series_id, value)")
     return (
         extrapolate(long, years)
         .groupBy("year")

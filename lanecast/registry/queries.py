@@ -6,14 +6,14 @@ of addition, cannot differ between engines.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import starschema as star
 from ..forecast.arima import fit_arima, forecast_arima
-from ..forecast.boosted import BoostedSettings, forecast_boosted
+from ..forecast.boosted import BoostedSettings, feature_importance, fit_boosted, forecast_boosted, training_rows
 from ..forecast.common import conform
 from ..forecast.random_walk import forecast_random_walk
 from ..forecast.trend import forecast_trend
@@ -33,9 +33,8 @@ LINE_PROFILE = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linen
 COPY_COLUMNS = ("l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus")
 
 
-def rounded(df: DataFrame, digits: int = 6, columns: Sequence[str] | None = None) -> DataFrame:
-    doubles = [n for n, t in df.dtypes if t == "double" and (columns is None or n in columns)]
-    return df.withColumns({name: F.round(name, digits) for name in doubles})
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    return df.selectExpr(*[f"round({n}, {digits}) AS {n}" if t == "double" else f"`{n}`" for n, t in df.dtypes])
 
 
 # --- layers ---------------------------------------------------------------------------------------
@@ -244,9 +243,9 @@ def step_regressors(spark, sf_dir):
 # --- forecasts ------------------------------------------------------------------------------------
 
 
-def _state_annual(spark, sf_dir):
+def _state_annual(spark, sf_dir, staged=None):
     # Read several times below: computed once into the shared folder.
-    return materialise(corridor_annual_state(spark, sf_dir))
+    return materialise(star.annual(spark, sf_dir, star.state_corridors(spark, sf_dir), staged))
 
 
 def _random_walk(annual):
@@ -284,28 +283,23 @@ def forecast_trend_query(spark, sf_dir):
     )
 
 
-def _boosted(spark, sf_dir):
+def forecast_boosted_query(spark, sf_dir):
     enriched = features.enrich(corridor_annual_state(spark, sf_dir))
     known = materialise(star.macros(spark, sf_dir).where(F.col("year") <= 2000))
-    return forecast_boosted(enriched, known, star.HORIZON, star.HOLDOUT_YEAR, QUICK)
-
-
-def forecast_boosted_query(spark, sf_dir):
-    return _boosted(spark, sf_dir)[0]
+    return forecast_boosted(enriched, known, star.HORIZON, star.HOLDOUT_YEAR, QUICK)[0]
 
 
 def boosted_importance(spark, sf_dir):
-    return _boosted(spark, sf_dir)[1]
+    complete = materialise(training_rows(features.enrich(corridor_annual_state(spark, sf_dir))))
+    return feature_importance(spark, fit_boosted(complete, QUICK))
 
 
 def top_features(spark, sf_dir):
-    return reporting.top_features(_boosted(spark, sf_dir)[1], 10)
+    return reporting.top_features(boosted_importance(spark, sf_dir), 10)
 
 
 def boosted_training_rows(spark, sf_dir):
     """Rows complete in every model input."""
-    from ..forecast.boosted import training_rows
-
     complete = training_rows(features.enrich(corridor_annual(spark, sf_dir)))
     return rounded(complete.select(*BOOSTED_FEATURES, "total_tons"))
 
@@ -347,17 +341,16 @@ def _forecasts(annual):
     return _random_walk(annual).unionByName(_straight_line(annual))
 
 
-def _band(spark, sf_dir):
-    return features.benchmark_band(
-        star.staged_flows(spark, sf_dir), star.state_corridors(spark, sf_dir), star.LAYOUT.benchmark_years
-    )
+def _annual_and_band(spark, sf_dir):
+    """Both feature tables from staged flows that are computed once."""
+    staged = materialise(star.staged_flows(spark, sf_dir))
+    corridors = star.state_corridors(spark, sf_dir)
+    return _state_annual(spark, sf_dir, staged), features.benchmark_band(staged, corridors, star.LAYOUT.benchmark_years)
 
 
 def _comparison(spark, sf_dir):
-    annual = _state_annual(spark, sf_dir)
-    scores = evaluation.evaluate_all(
-        materialise(_forecasts(annual)), annual, _band(spark, sf_dir), star.HOLDOUT_YEAR, star.BENCHMARK_YEAR
-    )
+    annual, band = _annual_and_band(spark, sf_dir)
+    scores = evaluation.evaluate_all(_forecasts(annual), annual, band, star.HOLDOUT_YEAR, star.BENCHMARK_YEAR)
     return scores["model_comparison"]
 
 
@@ -382,8 +375,8 @@ def holdout_scores(spark, sf_dir):
 
 
 def benchmark_scores(spark, sf_dir):
-    annual = _state_annual(spark, sf_dir)
-    return rounded(evaluation.score_benchmark(_forecasts(annual), _band(spark, sf_dir), star.BENCHMARK_YEAR))
+    annual, band = _annual_and_band(spark, sf_dir)
+    return rounded(evaluation.score_benchmark(_forecasts(annual), band, star.BENCHMARK_YEAR))
 
 
 def model_comparison(spark, sf_dir):
@@ -481,8 +474,8 @@ def model_names(spark, sf_dir):
 
 
 def chart_feed(spark, sf_dir):
-    annual = _state_annual(spark, sf_dir)
-    return rounded(reporting.chart_feed(annual, _forecasts(annual), _band(spark, sf_dir)), 4)
+    annual, band = _annual_and_band(spark, sf_dir)
+    return rounded(reporting.chart_feed(annual, _forecasts(annual), band), 4)
 
 
 # --- profiles -------------------------------------------------------------------------------------

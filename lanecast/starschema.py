@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .functions.text import REMAINDER_PREFIX, REST_PREFIX, STATE_ABBREVIATIONS
 from .operators.features import corridor_annual
@@ -45,8 +46,23 @@ NATIONS = 25
 REGIONS = 5
 
 
+# Declared rather than inferred, so that opening a table reads no footers.
+TABLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def flow_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,39 +105,44 @@ def flow_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The wide tables have dozens of generated columns; SQL text builds them in one call each.
+
+
 def _wide_sums(lines: DataFrame, codes: list[str], years) -> DataFrame:
     return lines.groupBy(*codes).agg(
         *[
-            F.round(F.sum(F.when(F.col("year") == y, F.col(m))), 2).alias(f"{m}_{y}")
+            F.expr(f"round(sum(CASE WHEN year = {y} THEN {m} END), 2) AS {m}_{y}")
             for m in ("tons", "value", "tmiles")
             for y in years
         ]
     )
 
 
+def _conform(df: DataFrame, schema: T.StructType, derived: dict[str, str]) -> DataFrame:
+    return df.selectExpr(
+        *[f"CAST({derived.get(f.name, f.name)} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema]
+    )
+
+
 def raw_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide flow table, laid out as the flow file is."""
     codes = ["dms_orig", "dms_dest", "dms_mode", "sctg2", "trade_type"]
     wide = _wide_sums(flow_lines(spark, sf_dir), codes, LAYOUT.annual_years)
-    measures = {}
+    derived = {f"current_value_{year}": f"value_{year}" for year in LAYOUT.annual_years[1:]}
     for year, factor in MID_FACTORS.items():
         for m in ("tons", "value", "tmiles"):
-            measures[f"{m}_{year}"] = F.col(f"{m}_{BASE_YEAR}") * factor
-        for m in ("tons", "value"):
-            measures[f"{m}_{year}_low"] = F.col(f"{m}_{BASE_YEAR}") * (factor * LOW_FACTOR)
-            measures[f"{m}_{year}_high"] = F.col(f"{m}_{BASE_YEAR}") * (factor * HIGH_FACTOR)
-    for year in LAYOUT.annual_years[1:]:
-        measures[f"current_value_{year}"] = F.col(f"value_{year}")
-    imported, exported = F.col("trade_type") == 2, F.col("trade_type") == 3
-    foreign = {
-        "fr_orig": F.when(imported, F.col("dms_orig")),
-        "fr_dest": F.when(exported, F.col("dms_dest")),
-        "fr_inmode": F.when(imported, F.col("dms_mode")),
-        "fr_outmode": F.when(exported, F.col("dms_mode")),
-        "dist_band": F.floor(F.abs(F.col("dms_orig") - F.col("dms_dest")) / 5) + 1,
+            base = f"{m}_{BASE_YEAR}"
+            derived[f"{m}_{year}"] = f"{base} * {factor}D"
+            derived[f"{m}_{year}_low"] = f"{base} * {factor * LOW_FACTOR}D"
+            derived[f"{m}_{year}_high"] = f"{base} * {factor * HIGH_FACTOR}D"
+    derived |= {
+        "fr_orig": "CASE WHEN trade_type = 2 THEN dms_orig END",
+        "fr_dest": "CASE WHEN trade_type = 3 THEN dms_dest END",
+        "fr_inmode": "CASE WHEN trade_type = 2 THEN dms_mode END",
+        "fr_outmode": "CASE WHEN trade_type = 3 THEN dms_mode END",
+        "dist_band": "abs(dms_orig - dms_dest) div 5 + 1",
     }
-    full = wide.withColumns({**measures, **foreign})
-    return full.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in flow_schema(LAYOUT)])
+    return _conform(wide, flow_schema(LAYOUT), derived)
 
 
 def raw_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,10 +152,9 @@ def raw_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     codes = ["dms_origst", "dms_destst", "dms_mode", "sctg2", "trade_type"]
     wide = _wide_sums(lines, codes, LAYOUT.history_years)
-    extra = {f"current_value_{y}": F.col(f"value_{y}") for y in LAYOUT.history_years}
-    extra |= {name: F.lit(None) for name in ("fr_orig", "fr_dest", "fr_inmode", "fr_outmode")}
-    full = wide.withColumns(extra)
-    return full.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in history_schema(LAYOUT)])
+    derived = {f"current_value_{y}": f"value_{y}" for y in LAYOUT.history_years}
+    derived |= {name: "NULL" for name in ("fr_orig", "fr_dest", "fr_inmode", "fr_outmode")}
+    return _conform(wide, history_schema(LAYOUT), derived)
 
 
 def macro_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,7 +274,8 @@ def staged_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage_history(raw_history(spark, sf_dir), LAYOUT)
 
 
-def annual(spark: SparkSession, sf_dir: str, corridors: DataFrame) -> DataFrame:
+def annual(spark: SparkSession, sf_dir: str, corridors: DataFrame, staged: DataFrame | None = None) -> DataFrame:
     """Corridor totals and macros; value to the cent, which removes the noise of summation order."""
-    built = corridor_annual(staged_flows(spark, sf_dir), corridors, macros(spark, sf_dir), LAYOUT.annual_years)
+    flows = staged_flows(spark, sf_dir) if staged is None else staged
+    built = corridor_annual(flows, corridors, macros(spark, sf_dir), LAYOUT.annual_years)
     return built.withColumn("total_value", F.round("total_value", 2))
