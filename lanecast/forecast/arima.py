@@ -28,61 +28,63 @@ _GRID = {0: (1, 0), 1: (53, 7), 2: (13, 14)}
 _SERIES_PER_CHUNK = 256
 
 
-def _state_space(phi1, phi2, theta):
-    """Transition, noise loading and starting covariance of (level, change, carry) for unit noise."""
-    shape = np.broadcast(phi1, phi2, theta).shape
-    move = np.zeros((*shape, 3, 3))
-    move[..., 0, 0] = move[..., 0, 1] = move[..., 1, 2] = 1.0
-    move[..., 1, 1], move[..., 2, 1] = phi1, phi2
-    noise = np.zeros((*shape, 3, 3))
-    noise[..., 1, 1] = 1.0
-    noise[..., 1, 2] = noise[..., 2, 1] = theta
-    noise[..., 2, 2] = theta**2
+def _start(phi1, phi2, theta):
+    """Stationary covariance of the change and its carry-over for unit noise, with a known level."""
     change = (2 * phi1 * theta / (1 - phi2) + theta**2 + 1) / (
         1 - phi1**2 - phi2**2 - 2 * phi1**2 * phi2 / (1 - phi2)
     )
-    start = np.zeros((*shape, 3, 3))
-    start[..., 1, 1] = change
-    start[..., 1, 2] = start[..., 2, 1] = (phi1 * phi2 * change + theta) / (1 - phi2)
-    start[..., 2, 2] = phi2**2 * change + theta**2
-    return move, noise, start
-
-
-def _filter(tons, move, noise, start):
+    return {"aa": change, "ab": (phi1 * phi2 * change + theta) / (1 - phi2), "bb": phi2**2 * change + theta**2}
+
+
+def _advance(state, cov, parameters):
+    """One step of (level, change, carry): the change joins the level, then changes itself."""
+    phi1, phi2, theta = parameters
+    level, change, carry = state
+    moved = (level + change, phi1 * change + carry, phi2 * change)
+    reach = cov["la"] + cov["aa"]
+    widened = {
+        "ll": cov["ll"] + 2 * cov["la"] + cov["aa"],
+        "la": phi1 * reach + cov["lb"] + cov["ab"],
+        "lb": phi2 * reach,
+        "aa": phi1**2 * cov["aa"] + 2 * phi1 * cov["ab"] + cov["bb"] + 1,
+        "ab": phi2 * (phi1 * cov["aa"] + cov["ab"]) + theta,
+        "bb": phi2**2 * cov["aa"] + theta**2,
+    }
+    return moved, widened
+
+
+def _filter(tons, parameters):
     """Concentrated log-likelihood, noise variance, and the state predicted one step past the data.
 
-    ``tons`` is (series, time) with NaN for missing; parameters are (series or 1, candidates). The first
-    observation fixes the level, so the likelihood covers the changes that follow it.
+    ``tons`` is (series, time) with NaN for missing; each of the three parameters is (series or 1,
+    candidates). The first observation fixes the level, so the likelihood covers the changes that follow.
     """
-    count = np.broadcast_shapes(move.shape[:-2], (len(tons), 1))
-    state = np.zeros((*count, 3))
-    cov = np.array(np.broadcast_to(start, (*count, 3, 3)))
-    squares = np.zeros(count)
-    logs = np.zeros(count)
-    seen = np.zeros((tons.shape[0], 1), dtype=int)
-    begun = np.zeros((tons.shape[0], 1), dtype=bool)
-    for t in range(tons.shape[1]):
-        value = tons[:, t][:, None]
+    shape = np.broadcast_shapes(*(p.shape for p in parameters), (len(tons), 1))
+    zero = np.zeros(shape)
+    state = (zero, zero, zero)
+    cov = {"ll": zero, "la": zero, "lb": zero, **_start(*parameters)}
+    squares, logs = np.zeros(shape), np.zeros(shape)
+    seen = np.zeros((len(tons), 1), dtype=int)
+    begun = np.zeros((len(tons), 1), dtype=bool)
+    for value in tons.T[:, :, None]:
         known = ~np.isnan(value)
-        first = known & ~begun
-        update = known & begun
-        state[..., 0] = np.where(first, value, state[..., 0])
-        gain = cov[..., :, 0] + cov[..., :, 1]
-        spread = np.where(update, gain[..., 0] + gain[..., 1], 1.0)
-        error = np.where(update, value - state[..., 0] - state[..., 1], 0.0)
+        first, update = known & ~begun, known & begun
+        begun |= known
+        state = (np.where(first, value, state[0]), *state[1:])
+        gain = {"l": cov["ll"] + cov["la"], "a": cov["la"] + cov["aa"], "b": cov["lb"] + cov["ab"]}
+        spread = np.where(update, gain["l"] + gain["a"], 1.0)
+        error = np.where(update, value - state[0] - state[1], 0.0)
         squares += error**2 / spread
         logs += np.log(spread)
-        gain = np.where(update[..., None], gain, 0.0)
-        state = state + gain * (error / spread)[..., None]
-        cov = cov - gain[..., :, None] * gain[..., None, :] / spread[..., None, None]
         seen += update
-        begun |= known
-        # Before the first observation, and right after it, the change is still at its starting distribution.
+        gain = {name: np.where(update, g, 0.0) for name, g in gain.items()}
+        state = tuple(s + g * error / spread for s, g in zip(state, gain.values()))
+        cov = {pair: c - gain[pair[0]] * gain[pair[1]] / spread for pair, c in cov.items()}
+        # Up to and including the first observation, the change keeps its starting distribution.
         step = begun & ~first
-        moved = np.einsum("...ij,...j->...i", move, state)
-        widened = move @ cov @ np.swapaxes(move, -1, -2) + noise
-        state = np.where(step[..., None], moved, state)
-        cov = np.where(step[..., None, None], widened, cov)
+        moved, widened = _advance(state, cov, parameters)
+        state = tuple(np.where(step, m, s) for m, s in zip(moved, state))
+        cov = {pair: np.where(step, widened[pair], c) for pair, c in cov.items()}
     with np.errstate(divide="ignore", invalid="ignore"):
         variance = squares / seen
         loglik = -0.5 * (seen * (np.log(2 * np.pi * np.maximum(variance, 1e-300)) + 1) + logs)
@@ -116,13 +118,14 @@ def _fit_order(tons, order):
     offsets = np.stack(np.meshgrid(axis, second, indexing="ij"), axis=-1).reshape(-1, 2)
     for _ in range(rounds):
         points = np.clip(centre[:, None, :] + reach * offsets[None], -_LIMIT, _LIMIT)
-        loglik = _filter(tons, *_state_space(*_parameters(order, points)))[0]
+        loglik = _filter(tons, _parameters(order, points))[0]
         best = np.argmax(np.where(np.isnan(loglik), -np.inf, loglik), axis=1)
         centre = points[np.arange(series), best]
         reach *= 2.5 * (axis[1] - axis[0])
-    system = _state_space(*_parameters(order, centre[:, None, :]))
-    loglik, variance, state, cov = _filter(tons, *system)
-    return loglik[:, 0], variance[:, 0], state[:, 0], cov[:, 0], system[0][:, 0], system[1][:, 0]
+    parameters = _parameters(order, centre[:, None, :])
+    loglik, variance, state, cov = _filter(tons, parameters)
+    # One matrix per fit, a row per quantity: what prediction needs, ready to be picked from by order.
+    return loglik[:, 0], np.stack([a[:, 0] for a in (variance, *state, *cov.values(), *parameters)])
 
 
 def select_and_predict(tons: np.ndarray, steps: int, orders=ORDER_GRID):
@@ -133,20 +136,20 @@ def select_and_predict(tons: np.ndarray, steps: int, orders=ORDER_GRID):
     """
     candidates = [*orders, FALLBACK_ORDER]
     by_order = {order: _fit_order(tons, order) for order in dict.fromkeys(candidates)}
-    fits = [by_order[order] for order in candidates]
-    aic = np.stack([2 * (o[0] + o[2] + 1) - 2 * f[0] for o, f in zip(candidates, fits)], axis=1)
+    aic = np.stack([2 * (o[0] + o[2] + 1) - 2 * by_order[o][0] for o in candidates], axis=1)
     ranked = np.where(np.isfinite(aic[:, :-1]), aic[:, :-1], np.inf)
     chosen = np.argmin(ranked, axis=1)
     failed = ~np.isfinite(ranked.min(axis=1))
     source = np.where(failed, len(orders), chosen)
-    row = np.arange(tons.shape[0])
-    variance, state, cov, move, noise = (np.stack([f[i] for f in fits], axis=1)[row, source] for i in range(1, 6))
+    row = np.arange(len(tons))
+    fits = np.stack([by_order[o][1] for o in candidates])[source, :, row]
+    variance, state, parameters = fits[:, 0], tuple(fits[:, 1:4].T), tuple(fits[:, 10:].T)
+    cov = dict(zip(("ll", "la", "lb", "aa", "ab", "bb"), fits[:, 4:10].T))
     means, deviations = [], []
     for _ in range(steps):
-        means.append(state[:, 0] + state[:, 1])
-        deviations.append(np.sqrt(variance * (cov[:, 0, 0] + 2 * cov[:, 0, 1] + cov[:, 1, 1])))
-        state = np.einsum("nij,nj->ni", move, state)
-        cov = move @ cov @ np.swapaxes(move, -1, -2) + noise
+        means.append(state[0] + state[1])
+        deviations.append(np.sqrt(variance * (cov["ll"] + 2 * cov["la"] + cov["aa"])))
+        state, cov = _advance(state, cov, parameters)
     empty = np.isnan(tons).all(axis=1)
     mean = np.where(empty[:, None], np.nan, np.stack(means, axis=1))
     return np.where(failed, -1, chosen), aic[row, source], mean, np.stack(deviations, axis=1)

@@ -78,9 +78,9 @@ def infer_state(short_description: Column | str, long_description: Column | str)
     The rules run from the most to the least specific text; "Rest of XX" is final even when XX is
     not a state, and of several bare abbreviations the last known one decides.
     """
-    names = F.array(*[F.lit(name) for name in STATE_ABBREVIATIONS])
-    by_abbreviation = F.create_map(
-        *[F.lit(part) for name, short in STATE_ABBREVIATIONS.items() for part in (short, name)]
+    names = F.expr("array(" + ", ".join(f"'{name}'" for name in STATE_ABBREVIATIONS) + ")")
+    by_abbreviation = F.expr(
+        "map(" + ", ".join(f"'{short}', '{name}'" for name, short in STATE_ABBREVIATIONS.items()) + ")"
     )
 
     def known_name(text: Column) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 EXACT_PERCENTILE_ROWS = 1_000_000
 _SELECT_ROWS = 100_000
 _ACCURACY = 10_000
+_CELL = 2.0 / _ACCURACY  # Twice the error of an approximate percentile of that accuracy.
 QUARTILES = (0.25, 0.5, 0.75)
 
 
@@ -113,28 +114,29 @@ def profile_numeric(
     names = list(columns or numeric_columns(df))
     values = df.select(*[_number(name).alias(name) for name in names])
     if values.count() <= exact_rows:
-        quartiles = {name: [F.percentile(name, q) for q in QUARTILES] for name in names}
+        shares = F.array(*[F.lit(q) for q in QUARTILES])
+        quartiles = {name: F.percentile(name, shares) for name in names}
     else:
         found = exact_quantiles(values, names, QUARTILES)
-        quartiles = {name: [F.lit(v).cast("double") for v in found[name]] for name in names}
-    stats = [F.count, F.avg, F.stddev_samp, F.min, F.max]
-    row = values.agg(
-        *[F.array(*[s(name).cast("double") for s in stats], *quartiles[name]).alias(name) for name in names]
-    )
-    cells = [F.lit(len(names))]
-    for name in names:
-        cells += [F.lit(name), F.col(name)]
-    at = F.col("stats")
-    return row.select(F.stack(*cells).alias("column", "stats")).select(
-        "column",
-        at[0].cast("bigint").alias("count"),
-        at[1].alias("mean"),
-        at[2].alias("std"),
-        at[3].alias("min"),
-        at[5].alias("q25"),
-        at[6].alias("q50"),
-        at[7].alias("q75"),
-        at[4].alias("max"),
+        quartiles = {name: F.array(*[F.lit(v).cast("double") for v in found[name]]) for name in names}
+    summaries = [
+        F.struct(
+            F.count(name).alias("count"),
+            F.avg(name).alias("mean"),
+            F.stddev_samp(name).alias("std"),
+            F.min(name).alias("min"),
+            quartiles[name].alias("q"),
+            F.max(name).alias("max"),
+        ).alias(name)
+        for name in names
+    ]
+    cells = ", ".join(f"'{name}', `{name}`" for name in names)
+    return (
+        values.agg(*summaries)
+        .selectExpr(f"stack({len(names)}, {cells}) AS (column, s)")
+        .selectExpr(
+            "column", "s.count", "s.mean", "s.std", "s.min", "s.q[0] AS q25", "s.q[1] AS q50", "s.q[2] AS q75", "s.max"
+        )
     )
 
 
@@ -197,30 +199,30 @@ def _select(values: DataFrame, ranks: dict) -> dict:
 def _narrow(values: DataFrame, ranks: dict, found: dict) -> dict:
     if not ranks:
         return {}
-    keys = list(ranks)
-    bracket = []
-    for i, (c, rank) in enumerate(keys):
-        low, high, below, inside = ranks[c, rank]
-        share, slack = (rank - below) / inside, 2.0 / _ACCURACY
-        ends = [max(share - slack, 0.0), min(share + slack, 1.0)]
-        bracket.append(F.percentile_approx(_inside(c, low, high), ends, _ACCURACY).alias(f"r{i}"))
-    ends = values.agg(*bracket).first()
-    counters = []
-    for i, (c, rank) in enumerate(keys):
-        low, high = ends[f"r{i}"]
-        value = F.col(c)
-        counters += [
-            F.count_if(value < low).alias(f"a{i}"),
-            F.count_if(value <= low).alias(f"b{i}"),
-            F.count_if(value < high).alias(f"c{i}"),
-            F.count_if(value <= high).alias(f"d{i}"),
-        ]
-    counts = values.agg(*counters).first()
+    # A bracket spans three cells of a grid of shares; neighbouring ranks fall into the same one.
+    brackets: dict[tuple, list] = {}
+    for (c, rank), (low, high, below, inside) in ranks.items():
+        cell = floor((rank - below) / inside / _CELL)
+        brackets.setdefault((c, low, high), []).append((rank, cell))
+    pieces = []
+    for i, (interval, members) in enumerate(brackets.items()):
+        ends = [min(max((cell + side) * _CELL, 0.0), 1.0) for _, cell in members for side in (-1, 2)]
+        pieces.append(F.percentile_approx(_inside(*interval), ends, _ACCURACY).alias(f"r{i}"))
+    row = values.agg(*pieces).first()
+    ends = {
+        (interval[0], rank): row[f"r{i}"][2 * j : 2 * j + 2]
+        for i, (interval, members) in enumerate(brackets.items())
+        for j, (rank, _) in enumerate(members)
+    }
+    cuts = {(c, end): f"n{i}" for i, (c, end) in enumerate({(c, e) for (c, _), pair in ends.items() for e in pair})}
+    row = values.agg(
+        *[F.struct(F.count_if(F.col(c) < end), F.count_if(F.col(c) <= end)).alias(n) for (c, end), n in cuts.items()]
+    ).first()
     remaining = {}
-    for i, (c, rank) in enumerate(keys):
+    for (c, rank), (new_low, new_high) in ends.items():
         low, high, below, inside = ranks[c, rank]
-        new_low, new_high = ends[f"r{i}"]
-        under_low, upto_low, under_high, upto_high = (counts[f"{x}{i}"] for x in "abcd")
+        under_low, upto_low = row[cuts[c, new_low]]
+        under_high, upto_high = row[cuts[c, new_high]]
         if under_low <= rank < upto_low:
             found[c, rank] = new_low
         elif under_high <= rank < upto_high:

@@ -111,7 +111,7 @@ def test_likelihood_against_the_full_covariance(order, point, missing):
     series = levels.copy()
     series[list(missing)] = np.nan
     params = arima._parameters(order, np.array(point, dtype=float)[None, None, :])
-    loglik, variance, *_ = arima._filter(series[None], *arima._state_space(*params))
+    loglik, variance, *_ = arima._filter(series[None], params)
     gamma = _autocovariance(order, point, 9)
     cov = np.array([[gamma[abs(i - j)] for j in range(8)] for i in range(8)])
     sums = np.tril(np.ones((8, 8)))
@@ -130,7 +130,7 @@ def test_narrowed_grid_finds_the_maximum():
         best = arima._fit_order(series, order)[0]
         axis = np.linspace(-0.999, 0.999, 400 if order == (1, 1, 0) else 120)
         points = np.stack(np.meshgrid(axis, axis if order != (1, 1, 0) else [0.0], indexing="ij"), -1).reshape(1, -1, 2)
-        brute = arima._filter(series, *arima._state_space(*arima._parameters(order, points)))[0].max(axis=1)
+        brute = arima._filter(series, arima._parameters(order, points))[0].max(axis=1)
         assert (best >= brute - 1e-9).all()
 
 
