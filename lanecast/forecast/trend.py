@@ -8,6 +8,7 @@ so a forecast is the same on every run and every partitioning.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from datetime import date
 
 import numpy as np
 import pandas as pd
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import normal_quantile
 from ..operators.regressors import regressors_by_year
 from ..schemas import HOLDOUT_YEAR, HORIZON, TREND_REGRESSORS
-from .common import LEAVE_LAST_OUT, conform, yearly_arrays
+from .common import LEAVE_LAST_OUT, conform, dated, yearly_arrays
 
 # Prior scales and the shape of the slope-change grid.
 LEVEL_SCALE = 5.0
@@ -31,24 +32,19 @@ CHANGE_RANGE = 0.8
 _NOISE_GRID = np.logspace(-3, 0, 61)
 
 
-def _years_to_days(years: np.ndarray) -> np.ndarray:
-    starts = (np.asarray(years, dtype=int) - 1970).astype("datetime64[Y]")
-    return starts.astype("datetime64[D]").astype(float)
-
-
-def fit_and_predict(years, tons, regressors, target_years, target_regressors):
-    """Mean and standard deviation per target year; NaN where a target's regressors are missing.
+def fit_and_predict(days, tons, regressors, target_days, target_regressors):
+    """Mean and standard deviation per target day; NaN where a target's regressors are missing.
 
     Rows lacking tons or a regressor are left out of the fit. ``None`` when fewer than two remain.
     """
     keep = ~np.isnan(tons) & ~np.isnan(regressors).any(axis=1)
     if keep.sum() < 2:
         return None
-    days, y, x = _years_to_days(years[keep]), tons[keep], regressors[keep]
+    days, y, x = days[keep].astype(float), tons[keep], regressors[keep]
     scale = np.abs(y).max() or 1.0
     span = days[-1] - days[0]
     t = (days - days[0]) / span
-    t_new = (_years_to_days(target_years) - days[0]) / span
+    t_new = (target_days - days[0]) / span
     centre = x.mean(axis=0)
     width = x.std(axis=0, ddof=1)
     flat = width == 0
@@ -113,25 +109,27 @@ def fit_trend(
     on every year and uses regressors carried forward.
     """
     names = list(regressors)
-    ahead_years = np.array([int(y) for y in horizon])
+    ahead_years = [int(y) for y in horizon]
+    ahead_days = np.array([(date(y, 1, 1) - date(1970, 1, 1)).days for y in ahead_years], dtype=float)
     # One row per requested year, so this never grows with the data.
     by_year = {row["year"]: row for row in regressors_by_year(macros, horizon, names).collect()}
-    ahead = np.array([[_or_nan(by_year.get(int(y)), name) for name in names] for y in ahead_years])
+    ahead = np.array([[_or_nan(by_year.get(y), name) for name in names] for y in ahead_years])
 
     def rows_of(row) -> Iterator[tuple]:
         years = np.asarray(row["year"])
-        tons = np.asarray(row["total_tons"], dtype=float)
+        days = np.asarray(row["days"], dtype=float)
+        tons = np.asarray(row["y"], dtype=float)
         known = np.column_stack([np.asarray(row[name], dtype=float) for name in names])
         train, last = years < holdout_year, years == holdout_year
         key = (row["corridor_id"], row["corridor_name"])
         counts = (int(train.sum()), len(years))
         if last.any():
-            fit = fit_and_predict(years[train], tons[train], known[train], years[last], known[last])
+            fit = fit_and_predict(days[train], tons[train], known[train], days[last], known[last])
             if fit is not None:
                 yield (*key, "holdout", holdout_year, fit[0][0], fit[1][0], *counts)
-        fit = fit_and_predict(years, tons, known, ahead_years, ahead)
+        fit = fit_and_predict(days, tons, known, ahead_days, ahead)
         if fit is not None:
-            for year, mean, deviation in zip(ahead_years.tolist(), *fit):
+            for year, mean, deviation in zip(ahead_years, *fit):
                 yield (*key, "future", year, mean, deviation, *counts)
 
     columns = [
@@ -148,7 +146,8 @@ def fit_trend(
             found = [out for row in batch.to_dict("records") for out in rows_of(row)]
             yield pd.DataFrame(found, columns=columns)
 
-    fitted = yearly_arrays(annual, ["total_tons", *names], partitions).mapInPandas(fit_batches, schema)
+    series = dated(annual).withColumn("days", F.unix_date("ds"))
+    fitted = yearly_arrays(series, ["days", "y", *names], partitions).mapInPandas(fit_batches, schema)
     number = {name: F.when(~F.isnan(name), F.col(name)) for name in ("prediction", "deviation")}
     spread = F.col("deviation") * normal_quantile(width)
     return fitted.withColumns(number).withColumns(

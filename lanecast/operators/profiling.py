@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 # Columns up to this many values are summarised by the built-in exact percentile, which keeps the
 # distinct values of a column in memory; longer ones are narrowed down first.
-EXACT_PERCENTILE_ROWS = 1_000_000
+EXACT_PERCENTILE_ROWS = 100_000
 _SELECT_ROWS = 100_000
 _ACCURACY = 10_000
 _CELL = 2.0 / _ACCURACY  # Twice the error of an approximate percentile of that accuracy.

@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..forecast.arima import fit_arima
-from ..forecast.boosted import BoostedSettings, forecast_boosted
+from ..forecast.boosted import BoostedSettings, forecast_boosted, training_rows
 from ..forecast.common import conform
 from ..forecast.trend import fit_trend
 from ..operators.evaluation import evaluate_all
 from ..operators.features import benchmark_band, corridor_annual, corridor_history, enrich
 from ..operators.staging import macro_pivot, stage_flows, stage_history, zone_to_state
-from ..schemas import BENCHMARK_YEAR, HOLDOUT_YEAR, HORIZON, MACRO_SERIES, FlowLayout
+from ..schemas import BENCHMARK_YEAR, HOLDOUT_YEAR, HORIZON, MACRO_SERIES, SETTINGS_SCHEMA, TREND_REGRESSORS, FlowLayout
+from ..session import materialise
 from ..sinks.tables import (
     TableBuild,
     append_runs,
@@ -24,7 +28,14 @@ from ..sinks.tables import (
     write_importance,
     write_metrics_json,
 )
-from ..sources.artifacts import read_forecasts
+from ..sources.artifacts import read_forecasts, read_optional
+
+
+@dataclass(frozen=True)
+class Training:
+    forecasts: DataFrame
+    importance: DataFrame
+    settings: DataFrame
 
 
 def build_staged(
@@ -59,12 +70,36 @@ def train_all(
     horizon: Sequence[int] = HORIZON,
     holdout_year: int = HOLDOUT_YEAR,
     settings: BoostedSettings = BoostedSettings(),
-) -> tuple[DataFrame, DataFrame]:
-    """Forecasts of every model for every corridor, and the importance of the pooled features."""
-    arima = conform(fit_arima(annual, horizon, holdout_year))
-    trend = conform(fit_trend(annual, macros, horizon, holdout_year))
+) -> Training:
+    """Train every model for every corridor. Each fit runs once, into the shared folder."""
+    arima = materialise(fit_arima(annual, horizon, holdout_year))
+    trend = materialise(fit_trend(annual, macros, horizon, holdout_year))
     boosted, importance = forecast_boosted(enriched, macros, horizon, holdout_year, settings)
-    return arima.unionByName(trend).unionByName(boosted), importance
+    pooled = training_rows(enriched).where(F.col("year") < holdout_year).count()
+    counts = {name: F.col(name) for name in ("training_rows", "full_rows")}
+    fits = [
+        fit_settings(arima, {"order": F.col("model_order"), "aic": F.col("aic"), **counts}),
+        fit_settings(trend, {"regressors": F.lit(",".join(TREND_REGRESSORS)), **counts}),
+        fit_settings(
+            boosted,
+            {
+                "n_estimators": F.lit(settings.trees),
+                "max_depth": F.lit(settings.depth),
+                "learning_rate": F.lit(settings.rate),
+                "pooled_training_rows": F.lit(pooled),
+            },
+        ),
+    ]
+    forecasts = conform(arima).unionByName(conform(trend)).unionByName(boosted)
+    return Training(forecasts, importance, reduce(DataFrame.unionByName, fits))
+
+
+def fit_settings(fitted: DataFrame, settings: dict[str, Column]) -> DataFrame:
+    """The parameters of each holdout fit as a map, one row per corridor and model."""
+    entries = [part for name, value in settings.items() for part in (F.lit(name), value.cast("string"))]
+    return fitted.where(F.col("forecast_type") == "holdout").select(
+        "corridor_id", "model_name", F.create_map(*entries).alias("settings")
+    )
 
 
 def write_staged(spark: SparkSession, root: str, layout: FlowLayout = FlowLayout()) -> list[TableBuild]:
@@ -96,13 +131,14 @@ def train_and_store(
     holdout_year: int = HOLDOUT_YEAR,
     settings: BoostedSettings = BoostedSettings(),
 ) -> int:
-    """Train on the stored features and replace the stored forecasts and importance."""
+    """Train on the stored features and replace the stored forecasts, importance and fit settings."""
     annual = read_table(spark, root, "feature_corridor_annual")
     enriched = read_table(spark, root, "feature_corridor_enriched")
     macros = read_table(spark, root, "staged_macro_annual")
-    forecasts, importance = train_all(annual, enriched, macros, horizon, holdout_year, settings)
-    write_importance(importance, f"{root}/feature_importance")
-    return write_forecasts(forecasts, f"{root}/forecasts")
+    trained = train_all(annual, enriched, macros, horizon, holdout_year, settings)
+    write_importance(trained.importance, f"{root}/feature_importance")
+    replace_table(trained.settings, root, "model_settings")
+    return write_forecasts(trained.forecasts, f"{root}/forecasts")
 
 
 def evaluate_and_store(
@@ -134,5 +170,6 @@ def evaluate_and_store(
         replace_table(df, root, name)
         stored[name] = spark.read.schema(df.schema).parquet(f"{root}/{name}")
     write_metrics_json(stored["holdout_scores"], f"{root}/metrics")
-    append_runs(run_rows(stored["holdout_scores"]), f"{root}/model_runs")
+    fits = read_optional(spark, f"{root}/model_settings", SETTINGS_SCHEMA)
+    append_runs(run_rows(stored["holdout_scores"], fits), f"{root}/model_runs")
     return stored

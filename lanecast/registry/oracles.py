@@ -15,7 +15,7 @@ from ..starschema import (
     MACRO_MAPPING,
     MID_FACTORS,
     PART_PAID_SERIES,
-    UNREADABLE_EVERY,
+    READABLE_FROM,
 )
 
 YEARS = LAYOUT.annual_years
@@ -50,7 +50,7 @@ MACRO_CASES = ", ".join(
 )
 MACRO = f"""macro AS (
   SELECT CAST(year(o_orderdate) AS INTEGER) AS year, {MACRO_CASES}
-  FROM orders WHERE o_orderkey % {UNREADABLE_EVERY} <> 0 GROUP BY 1)"""
+  FROM orders WHERE o_totalprice >= {READABLE_FROM} GROUP BY 1)"""
 KNOWN_MACRO = f"known_macro AS (SELECT * FROM macro WHERE year <= {HOLDOUT_YEAR})"
 
 ZONE_LANES = """lanes AS (
@@ -409,10 +409,10 @@ FROM orders"""
 
 SERIES = f"""series AS (
   SELECT o_orderpriority AS series_id, CAST(o_orderdate AS DATE) AS date, o_totalprice AS value
-  FROM orders WHERE o_orderkey % {UNREADABLE_EVERY} <> 0
+  FROM orders WHERE o_totalprice >= {READABLE_FROM}
   UNION ALL
   SELECT '{PART_PAID_SERIES}', CAST(o_orderdate AS DATE), o_totalprice
-  FROM orders WHERE o_orderkey % {UNREADABLE_EVERY} <> 0 AND o_orderstatus = 'P')"""
+  FROM orders WHERE o_totalprice >= {READABLE_FROM} AND o_orderstatus = 'P')"""
 
 ORACLES: dict[str, str] = {
     "stage_domestic": STAGE_DOMESTIC,
@@ -458,6 +458,8 @@ UNION ALL SELECT 'raw_commodities', count(*), count(*) FROM customer""",
     + f"SELECT {ROUND_FORECAST} FROM walk",
     "forecast_arima_fixed_order": _with(*ZONE_ANNUAL, _walk("walk", "annual", "ARIMA"))
     + f"SELECT {ROUND_FORECAST} FROM walk",
+    "dated_series": _with(LINES, ZONE_LANES, TOTALS)
+    + "SELECT corridor_id, make_date(year, 1, 1) AS ds, total_tons AS y FROM filled",
     "boosted_training_rows": _with(*ZONE_ANNUAL, ENRICHED)
     + f"SELECT {', '.join(BOOSTED_FEATURES)}, total_tons FROM enriched WHERE "
     + " AND ".join(f"{c} IS NOT NULL" for c in (*BOOSTED_FEATURES, "total_tons")),

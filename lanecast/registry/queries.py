@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import starschema as star
 from ..forecast.arima import fit_arima, forecast_arima
 from ..forecast.boosted import BoostedSettings, feature_importance, fit_boosted, forecast_boosted, training_rows
-from ..forecast.common import conform
+from ..forecast.common import conform, dated
 from ..forecast.random_walk import forecast_random_walk
 from ..forecast.trend import forecast_trend
 from ..functions.numeric import quantile_interval
@@ -276,6 +276,11 @@ def arima_orders(spark, sf_dir):
     )
 
 
+def dated_series(spark, sf_dir):
+    """Each year of a corridor as the date and target a model reads."""
+    return dated(corridor_annual(spark, sf_dir)).select("corridor_id", "ds", "y")
+
+
 def forecast_trend_query(spark, sf_dir):
     known = materialise(star.macros(spark, sf_dir).where(F.col("year") <= 2000))
     return forecast_trend(
@@ -413,9 +418,14 @@ def forecast_csv_scan(spark, sf_dir):
 def run_log_flat(spark, sf_dir):
     annual = _state_annual(spark, sf_dir)
     scores = evaluation.score_holdout(_forecasts(annual), annual, star.HOLDOUT_YEAR)
+    settings = scores.select(
+        "corridor_id", "model_name", F.create_map(F.lit("test_year"), F.col("year").cast("string")).alias("settings")
+    )
     path = scratch_path(spark, "runs")
-    sinks.append_runs(sinks.run_rows(scores, {"training_year": F.col("year") - 1}), path)
-    return rounded(artifacts.flatten_runs(spark.read.parquet(path)).drop("run_id"))
+    sinks.append_runs(sinks.run_rows(scores, settings), path)
+    stored = spark.read.parquet(path)
+    flat = artifacts.flatten_runs(stored.where(F.col("params")["test_year"] == str(star.HOLDOUT_YEAR)))
+    return rounded(flat.drop("run_id"))
 
 
 def metrics_json(spark, sf_dir):
@@ -556,6 +566,7 @@ QUERIES: dict[str, Query] = {
     "forecast_arima_fixed_order": forecast_arima_fixed_order,
     "forecast_arima": forecast_arima_query,
     "arima_orders": arima_orders,
+    "dated_series": dated_series,
     "forecast_trend": forecast_trend_query,
     "forecast_boosted": forecast_boosted_query,
     "boosted_importance": boosted_importance,

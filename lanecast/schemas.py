@@ -238,6 +238,13 @@ COMPARISON_SCHEMA = _struct(
     ]
 )
 IMPORTANCE_SCHEMA = _struct([("feature", T.StringType()), ("importance", T.DoubleType())])
+SETTINGS_SCHEMA = _struct(
+    [
+        ("corridor_id", T.IntegerType()),
+        ("model_name", T.StringType()),
+        ("settings", T.MapType(T.StringType(), T.StringType())),
+    ]
+)
 RUN_SCHEMA = _struct(
     [
         ("run_id", T.StringType()),

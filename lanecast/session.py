@@ -1,9 +1,10 @@
-"""Session settings and the shared folder used to cut lineage."""
+"""Session settings, the shared folder for intermediate tables, and shipping of this package."""
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -49,14 +50,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder, never used before."""
-    unique = spark._jvm.java.util.UUID.randomUUID().toString()
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{unique}"
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4()}"
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared folder and cut its lineage (survives executor loss)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute ``df`` once into a Parquet table in the shared folder and go on from there.
+
+    This cuts the lineage, survives lost executors, and gives later joins the true size of the table.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import FlowLayout, table_schemas
@@ -70,13 +70,16 @@ def write_importance(importance: DataFrame, path: str) -> None:
     write_csv(importance.orderBy(F.desc_nulls_last("importance"), "feature"), path)
 
 
-def run_rows(scores: DataFrame, params: dict[str, Column] | None = None) -> DataFrame:
+def run_rows(scores: DataFrame, settings: DataFrame | None = None) -> DataFrame:
     """Run-log rows for a table of per-corridor model scores.
 
-    ``params`` maps extra parameter names to columns of ``scores``.
+    ``settings`` adds the parameters of each fit: a map per ``corridor_id`` and ``model_name``.
     """
     keys = ("corridor_id", "corridor_name", "model_name", "training_strategy")
-    entries = {**{name: F.col(name) for name in keys}, **(params or {})}
+    params = F.create_map(*[part for key in keys for part in (F.lit(key), F.col(key).cast("string"))])
+    if settings is not None:
+        scores = scores.join(settings.select("corridor_id", "model_name", "settings"), ["corridor_id", "model_name"], "left")
+        params = F.map_concat(params, F.coalesce("settings", F.create_map().cast("map<string,string>")))
     name = F.concat_ws(
         "_", "model_name", F.lit("corridor"), F.col("corridor_id").cast("string"), "training_strategy"
     )
@@ -84,9 +87,7 @@ def run_rows(scores: DataFrame, params: dict[str, Column] | None = None) -> Data
         F.expr("uuid()").alias("run_id"),
         name.alias("run_name"),
         F.lit("FINISHED").alias("status"),
-        F.create_map(*[part for key, col in entries.items() for part in (F.lit(key), col.cast("string"))]).alias(
-            "params"
-        ),
+        params.alias("params"),
         F.create_map(*[part for m in ("mape", "rmse", "mae") for part in (F.lit(m), F.col(m))]).alias("metrics"),
     )
 

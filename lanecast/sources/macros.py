@@ -34,12 +34,11 @@ def combine_series(spark: SparkSession, pulls: dict[str, DataFrame]) -> DataFram
 def replace_series(series: DataFrame, table_path: str, requested: int) -> SeriesValidation:
     """Replace exactly the series present in the batch; the others keep their rows.
 
-    The batch is laid out by series and hashed date so that one long series is written by
-    several tasks.
+    The batch is rebalanced by series: short series share a task, a long one is split over several.
     """
-    spread = series.repartition(F.col("series_id"), F.pmod(F.xxhash64("date"), F.lit(16)))
     (
-        spread.write.mode("overwrite")
+        series.hint("rebalance", "series_id")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("series_id")
         .parquet(table_path)
@@ -60,4 +59,4 @@ def read_series(spark: SparkSession, table_path: str) -> DataFrame:
 
 def write_series(series: DataFrame, table_path: str) -> int:
     """Replace the whole table."""
-    return write_counted(series, table_path, partition_by=("series_id",))
+    return write_counted(series.hint("rebalance", "series_id"), table_path, partition_by=("series_id",))

@@ -41,7 +41,8 @@ MACRO_MAPPING = {
     PART_PAID_SERIES: "vehicle_miles",
 }
 EVENT_MAPPING = {"click": "clicks", "error": "errors", "purchase": "purchases", "signup": "signups", "view": "views"}
-UNREADABLE_EVERY = 97
+# Smaller amounts arrive as a placeholder instead of a number.
+READABLE_FROM = 5000
 NATIONS = 25
 REGIONS = 5
 
@@ -160,11 +161,11 @@ def raw_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def macro_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observations as text, a few of them unreadable, the way a series service returns them."""
     tags = F.array("o_orderpriority", F.when(F.col("o_orderstatus") == "P", F.lit(PART_PAID_SERIES)))
-    unreadable = F.col("o_orderkey") % UNREADABLE_EVERY == 0
+    readable = F.col("o_totalprice") >= READABLE_FROM
     return table(spark, sf_dir, "orders").select(
         F.explode(F.filter(tags, lambda tag: tag.isNotNull())).alias("series_id"),
         F.col("o_orderdate").cast("string").alias("date"),
-        F.when(unreadable, F.lit(".")).otherwise(F.col("o_totalprice").cast("string")).alias("value"),
+        F.when(readable, F.col("o_totalprice").cast("string")).otherwise(F.lit(".")).alias("value"),
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.sizing import join_lookup
 from ..sources.macros import normalise_series, replace_series
 
 PULL_SCHEMA = "series_id string, date string, value string"
@@ -18,9 +19,8 @@ PULL_SCHEMA = "series_id string, date string, value string"
 def latest_pulls(batch: DataFrame) -> DataFrame:
     """Of several pulls of a series in one batch, the rows of the newest file only."""
     newest = batch.groupBy("series_id").agg(F.max(F.struct("pulled_at", "pulled_from")).alias("newest"))
-    # One row per series: AQE broadcasts it when small and splits a long series otherwise.
     return (
-        batch.join(newest, "series_id")
+        join_lookup(batch, newest, "series_id")
         .where((F.col("pulled_at") == F.col("newest.pulled_at")) & (F.col("pulled_from") == F.col("newest.pulled_from")))
         .select("series_id", "date", "value")
     )

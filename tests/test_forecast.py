@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lanecast.forecast import arima, boosted, trend
-from lanecast.forecast.common import conform
+from lanecast.forecast.common import conform, dated
 from lanecast.forecast.random_walk import forecast_random_walk
 from lanecast.operators.features import enrich
 from lanecast.operators.regressors import extrapolate, future_regressors, step_regressors
@@ -180,11 +180,16 @@ def test_random_walk_aic():
     assert aic[0] == pytest.approx(2 + len(changes) * (np.log(2 * np.pi * sigma2) + 1))
 
 
+def test_series_are_dated_by_the_first_of_january(annual):
+    row = dated(annual).where("corridor_id = 1 AND year = 2018").first()
+    assert str(row["ds"]) == "2018-01-01" and row["y"] == 110.0
+
+
 def test_trend_follows_a_straight_line():
     years = np.arange(2010, 2022)
     x = np.random.default_rng(1).normal(size=(12, 2))
     tons = 50 + 3.0 * (years - 2010)
-    mean, deviation = trend.fit_and_predict(years, tons, x, np.array([2022, 2025]), np.zeros((2, 2)))
+    mean, deviation = trend.fit_and_predict(365 * years, tons, x, 365 * np.array([2022, 2025]), np.zeros((2, 2)))
     assert mean == pytest.approx([86.0, 95.0], rel=0.02)
     assert 0 < deviation[0] < deviation[1] < 5
 
@@ -193,7 +198,7 @@ def test_trend_uses_its_regressors():
     years = np.arange(2000, 2024)
     x = np.random.default_rng(2).normal(size=(24, 1))
     tons = 100 + 10 * x[:, 0]
-    mean, _ = trend.fit_and_predict(years, tons, x, np.array([2024, 2024]), np.array([[1.0], [-1.0]]))
+    mean, _ = trend.fit_and_predict(365 * years, tons, x, 365 * np.array([2024, 2024]), np.array([[1.0], [-1.0]]))
     assert mean == pytest.approx([110.0, 90.0], rel=0.02)
 
 

@@ -48,6 +48,10 @@ def test_layers_forecasts_and_scores_end_to_end(spark, tmp_path):
     models = {r[0] for r in read_forecasts(spark, f"{root}/forecasts").select("model_name").distinct().collect()}
     assert models == {"ARIMA", "TrendRegression", "BoostedTrees"}
     assert scores["model_comparison"].count() == scores["holdout_scores"].count() > 0
-    runs = flatten_runs(spark.read.parquet(f"{root}/model_runs"))
+    log = spark.read.parquet(f"{root}/model_runs")
+    given = {r[0]: set(r[1]) for r in log.select(F.col("params")["model_name"], F.map_keys("params")).distinct().collect()}
+    assert {"order", "aic", "training_rows"} <= given["ARIMA"] and "regressors" in given["TrendRegression"]
+    assert {"n_estimators", "pooled_training_rows"} <= given["BoostedTrees"]
+    runs = flatten_runs(log)
     assert runs.count() == scores["holdout_scores"].count()
     assert read_optional_csv(spark, f"{root}/feature_importance", IMPORTANCE_SCHEMA).count() == 17

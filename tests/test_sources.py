@@ -154,7 +154,8 @@ def test_run_log_round_trip(spark, tmp_path):
         "rmse double, mae double, model_order string",
     )
     path = str(tmp_path / "runs")
-    append_runs(run_rows(scores, {"order": F.col("model_order")}), path)
+    settings = scores.select("corridor_id", "model_name", F.create_map(F.lit("order"), "model_order").alias("settings"))
+    append_runs(run_rows(scores, settings), path)
     append_runs(run_rows(scores), path)
     stored = spark.read.parquet(path)
     assert stored.select("run_id").distinct().count() == 2
