@@ -16,155 +16,13 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import normal_quantile
 from ..schemas import HOLDOUT_YEAR, HORIZON
+from ..session import ship_package
 from .common import LEAVE_LAST_OUT, conform, yearly_arrays
+from .likelihood import FALLBACK_ORDER, ORDER_GRID, padded, select_and_predict
 
-# The candidate orders, the first winning ties, and the one used when all fail.
-ORDER_GRID = ((0, 1, 0), (1, 1, 0), (1, 1, 1), (2, 1, 0))
-FALLBACK_ORDER = (1, 1, 0)
-
-_LIMIT = 0.9999
-# Grid points per axis and narrowing rounds, by number of free coefficients.
-_GRID = {0: (1, 0), 1: (53, 7), 2: (13, 14)}
 _SERIES_PER_CHUNK = 256
 
 
-def _start(phi1, phi2, theta):
-    """Stationary covariance of the change and its carry-over for unit noise, with a known level."""
-    change = (2 * phi1 * theta / (1 - phi2) + theta**2 + 1) / (
-        1 - phi1**2 - phi2**2 - 2 * phi1**2 * phi2 / (1 - phi2)
-    )
-    return {"aa": change, "ab": (phi1 * phi2 * change + theta) / (1 - phi2), "bb": phi2**2 * change + theta**2}
-
-
-def _advance(state, cov, parameters):
-    """One step of (level, change, carry): the change joins the level, then changes itself."""
-    phi1, phi2, theta = parameters
-    level, change, carry = state
-    moved = (level + change, phi1 * change + carry, phi2 * change)
-    reach = cov["la"] + cov["aa"]
-    widened = {
-        "ll": cov["ll"] + 2 * cov["la"] + cov["aa"],
-        "la": phi1 * reach + cov["lb"] + cov["ab"],
-        "lb": phi2 * reach,
-        "aa": phi1**2 * cov["aa"] + 2 * phi1 * cov["ab"] + cov["bb"] + 1,
-        "ab": phi2 * (phi1 * cov["aa"] + cov["ab"]) + theta,
-        "bb": phi2**2 * cov["aa"] + theta**2,
-    }
-    return moved, widened
-
-
-def _filter(tons, parameters):
-    """Concentrated log-likelihood, noise variance, and the state predicted one step past the data.
-
-    ``tons`` is (series, time) with NaN for missing; each of the three parameters is (series or 1,
-    candidates). The first observation fixes the level, so the likelihood covers the changes that follow.
-    """
-    shape = np.broadcast_shapes(*(p.shape for p in parameters), (len(tons), 1))
-    zero = np.zeros(shape)
-    state = (zero, zero, zero)
-    cov = {"ll": zero, "la": zero, "lb": zero, **_start(*parameters)}
-    squares, logs = np.zeros(shape), np.zeros(shape)
-    seen = np.zeros((len(tons), 1), dtype=int)
-    begun = np.zeros((len(tons), 1), dtype=bool)
-    for value in tons.T[:, :, None]:
-        known = ~np.isnan(value)
-        first, update = known & ~begun, known & begun
-        begun |= known
-        state = (np.where(first, value, state[0]), *state[1:])
-        gain = {"l": cov["ll"] + cov["la"], "a": cov["la"] + cov["aa"], "b": cov["lb"] + cov["ab"]}
-        spread = np.where(update, gain["l"] + gain["a"], 1.0)
-        error = np.where(update, value - state[0] - state[1], 0.0)
-        squares += error**2 / spread
-        logs += np.log(spread)
-        seen += update
-        gain = {name: np.where(update, g, 0.0) for name, g in gain.items()}
-        state = tuple(s + g * error / spread for s, g in zip(state, gain.values()))
-        cov = {pair: c - gain[pair[0]] * gain[pair[1]] / spread for pair, c in cov.items()}
-        # Up to and including the first observation, the change keeps its starting distribution.
-        step = begun & ~first
-        moved, widened = _advance(state, cov, parameters)
-        state = tuple(np.where(step, m, s) for m, s in zip(moved, state))
-        cov = {pair: np.where(step, widened[pair], c) for pair, c in cov.items()}
-    with np.errstate(divide="ignore", invalid="ignore"):
-        variance = squares / seen
-        loglik = -0.5 * (seen * (np.log(2 * np.pi * np.maximum(variance, 1e-300)) + 1) + logs)
-    return np.where(seen > 0, loglik, -np.inf), variance, state, cov
-
-
-def _parameters(order, points):
-    """AR and MA coefficients for points in the open unit square; every point is stationary and invertible."""
-    first, second = points[..., 0], points[..., 1]
-    zero = np.zeros_like(first)
-    if order == (0, 1, 0):
-        return zero, zero, zero
-    if order == (1, 1, 0):
-        return first, zero, zero
-    if order == (1, 1, 1):
-        return first, zero, second
-    if order == (2, 1, 0):
-        return first * (1 - second), second, zero
-    raise ValueError(f"unsupported order {order}")
-
-
-def _fit_order(tons, order):
-    """Best point, log-likelihood and filtered state of one order for each series."""
-    series = tons.shape[0]
-    free = order[0] + order[2]
-    centre = np.zeros((series, 2))
-    reach = _LIMIT
-    per_axis, rounds = _GRID[free]
-    axis = np.linspace(-1.0, 1.0, per_axis)
-    second = axis if free == 2 else np.zeros(1)
-    offsets = np.stack(np.meshgrid(axis, second, indexing="ij"), axis=-1).reshape(-1, 2)
-    for _ in range(rounds):
-        points = np.clip(centre[:, None, :] + reach * offsets[None], -_LIMIT, _LIMIT)
-        loglik = _filter(tons, _parameters(order, points))[0]
-        best = np.argmax(np.where(np.isnan(loglik), -np.inf, loglik), axis=1)
-        centre = points[np.arange(series), best]
-        reach *= 2.5 * (axis[1] - axis[0])
-    parameters = _parameters(order, centre[:, None, :])
-    loglik, variance, state, cov = _filter(tons, parameters)
-    # One matrix per fit, a row per quantity: what prediction needs, ready to be picked from by order.
-    return loglik[:, 0], np.stack([a[:, 0] for a in (variance, *state, *cov.values(), *parameters)])
-
-
-def select_and_predict(tons: np.ndarray, steps: int, orders=ORDER_GRID):
-    """Order index, AIC, means and standard deviations of the next ``steps`` values for each series.
-
-    The lowest AIC wins and the earlier order wins ties. An index of -1 marks the fallback order,
-    used when no order has a finite AIC.
-    """
-    candidates = [*orders, FALLBACK_ORDER]
-    by_order = {order: _fit_order(tons, order) for order in dict.fromkeys(candidates)}
-    aic = np.stack([2 * (o[0] + o[2] + 1) - 2 * by_order[o][0] for o in candidates], axis=1)
-    ranked = np.where(np.isfinite(aic[:, :-1]), aic[:, :-1], np.inf)
-    chosen = np.argmin(ranked, axis=1)
-    failed = ~np.isfinite(ranked.min(axis=1))
-    source = np.where(failed, len(orders), chosen)
-    row = np.arange(len(tons))
-    fits = np.stack([by_order[o][1] for o in candidates])[source, :, row]
-    variance, state, parameters = fits[:, 0], tuple(fits[:, 1:4].T), tuple(fits[:, 10:].T)
-    cov = dict(zip(("ll", "la", "lb", "aa", "ab", "bb"), fits[:, 4:10].T))
-    means, deviations = [], []
-    for _ in range(steps):
-        means.append(state[0] + state[1])
-        deviations.append(np.sqrt(variance * (cov["ll"] + 2 * cov["la"] + cov["aa"])))
-        state, cov = _advance(state, cov, parameters)
-    empty = np.isnan(tons).all(axis=1)
-    mean = np.where(empty[:, None], np.nan, np.stack(means, axis=1))
-    return np.where(failed, -1, chosen), aic[row, source], mean, np.stack(deviations, axis=1)
-
-
-def _padded(arrays: Sequence[np.ndarray]) -> np.ndarray:
-    """Right-aligned matrix, so that the last column is each series' last row."""
-    length = max((len(a) for a in arrays), default=0)
-    out = np.full((len(arrays), length), np.nan)
-    for i, values in enumerate(arrays):
-        if len(values):
-            out[i, length - len(values) :] = np.asarray(values, dtype=float)
-    return out
-
-
 def fit_arima(
     annual: DataFrame,
     horizon: Sequence[int] = HORIZON,
@@ -175,7 +33,7 @@ def fit_arima(
     partitions: int | None = None,
 ) -> DataFrame:
     """Forecast rows plus the settings of the holdout fit: order, AIC and row counts."""
-    z = normal_quantile(width)
+    ship_package(annual.sparkSession)
     years_ahead = [int(y) for y in horizon]
     grid = [tuple(o) for o in orders]
 
@@ -186,8 +44,8 @@ def fit_arima(
         full = [np.asarray(v, dtype=float) for v in corridors["total_tons"]]
         years = [np.asarray(v) for v in corridors["year"]]
         train = [v[y < holdout_year] for v, y in zip(full, years)]
-        selected, aic, train_mean, train_dev = select_and_predict(_padded(train), 1, grid)
-        _, _, mean, dev = select_and_predict(_padded(full), len(years_ahead), grid)
+        selected, aic, train_mean, train_dev = select_and_predict(padded(train), 1, grid)
+        _, _, mean, dev = select_and_predict(padded(full), len(years_ahead), grid)
         for i, (cid, name) in enumerate(zip(corridors["corridor_id"], corridors["corridor_name"])):
             settings = (describe(selected[i]), aic[i], len(train[i]), len(full[i]))
             if holdout_year in years[i]:
@@ -212,7 +70,7 @@ def fit_arima(
 
     fitted = yearly_arrays(annual, ["total_tons"], partitions).mapInPandas(fit_batches, schema)
     number = {name: F.when(~F.isnan(name), F.col(name)) for name in ("prediction", "deviation", "aic")}
-    spread = F.col("deviation") * z
+    spread = F.col("deviation") * normal_quantile(width)
     return fitted.withColumns(number).withColumns(
         {
             "model_name": F.lit(model_name),

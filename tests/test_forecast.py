@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lanecast.forecast import arima, boosted, trend
+from lanecast.forecast import arima, bayes_line, boosted, likelihood, trend
 from lanecast.forecast.common import conform, dated
 from lanecast.forecast.random_walk import forecast_random_walk
 from lanecast.operators.features import enrich
@@ -95,7 +95,7 @@ def test_published_intervals_grow_with_the_square_root():
 
 def _autocovariance(order, point, lags):
     """Covariances of the differenced series for unit noise, by summing its moving-average weights."""
-    phi1, phi2, theta = (float(np.asarray(v)) for v in arima._parameters(order, np.array(point)))
+    phi1, phi2, theta = (float(np.asarray(v)) for v in likelihood._parameters(order, np.array(point)))
     psi = [1.0, phi1 + theta]
     for _ in range(20000):
         psi.append(phi1 * psi[-1] + phi2 * psi[-2])
@@ -110,8 +110,8 @@ def test_likelihood_against_the_full_covariance(order, point, missing):
     levels = 100 + rng.normal(size=9).cumsum()
     series = levels.copy()
     series[list(missing)] = np.nan
-    params = arima._parameters(order, np.array(point, dtype=float)[None, None, :])
-    loglik, variance, *_ = arima._filter(series[None], params)
+    params = likelihood._parameters(order, np.array(point, dtype=float)[None, None, :])
+    loglik, variance, *_ = likelihood._filter(series[None], params)
     gamma = _autocovariance(order, point, 9)
     cov = np.array([[gamma[abs(i - j)] for j in range(8)] for i in range(8)])
     sums = np.tril(np.ones((8, 8)))
@@ -127,10 +127,10 @@ def test_narrowed_grid_finds_the_maximum():
     rng = np.random.default_rng(3)
     series = (100 + rng.normal(size=(5, 12)).cumsum(axis=1)).cumsum(axis=1)
     for order in ((1, 1, 0), (1, 1, 1), (2, 1, 0)):
-        best = arima._fit_order(series, order)[0]
+        best = likelihood._fit_order(series, order)[0]
         axis = np.linspace(-0.999, 0.999, 400 if order == (1, 1, 0) else 120)
         points = np.stack(np.meshgrid(axis, axis if order != (1, 1, 0) else [0.0], indexing="ij"), -1).reshape(1, -1, 2)
-        brute = arima._filter(series, arima._parameters(order, points))[0].max(axis=1)
+        brute = likelihood._filter(series, likelihood._parameters(order, points))[0].max(axis=1)
         assert (best >= brute - 1e-9).all()
 
 
@@ -141,15 +141,15 @@ def test_lowest_aic_wins_and_ties_go_to_the_first():
     for t in range(1, 40):
         drift[t] = 0.95 * drift[t - 1] + noise[t]
     series = np.stack([100 + drift.cumsum(), np.full(40, 5.0)])
-    order, aic, mean, deviation = arima.select_and_predict(series, 2)
+    order, aic, mean, deviation = likelihood.select_and_predict(series, 2)
     assert order[0] != 0 and order[1] == 0
     assert mean[1].tolist() == [5.0, 5.0] and deviation[1] == pytest.approx([0, 0], abs=1e-6)
-    alone = arima.select_and_predict(series, 2, orders=[(0, 1, 0)])
+    alone = likelihood.select_and_predict(series, 2, orders=[(0, 1, 0)])
     assert aic[0] < alone[1][0]
 
 
 def test_series_too_short_for_any_order_uses_the_fallback():
-    order, _, mean, deviation = arima.select_and_predict(np.array([[np.nan, 7.0], [np.nan, np.nan]]), 2)
+    order, _, mean, deviation = likelihood.select_and_predict(np.array([[np.nan, 7.0], [np.nan, np.nan]]), 2)
     assert order.tolist() == [-1, -1]
     assert mean[0].tolist() == [7.0, 7.0] and np.isnan(deviation[0]).all() and np.isnan(mean[1]).all()
 
@@ -176,7 +176,7 @@ def test_random_walk_aic():
     series = np.array([100.0, 110.0, 120.0, 118.0, 131.0])
     changes = np.diff(series)
     sigma2 = (changes**2).mean()
-    _, aic, _, _ = arima.select_and_predict(series[None], 1, orders=[(0, 1, 0)])
+    _, aic, _, _ = likelihood.select_and_predict(series[None], 1, orders=[(0, 1, 0)])
     assert aic[0] == pytest.approx(2 + len(changes) * (np.log(2 * np.pi * sigma2) + 1))
 
 
@@ -189,7 +189,7 @@ def test_trend_follows_a_straight_line():
     years = np.arange(2010, 2022)
     x = np.random.default_rng(1).normal(size=(12, 2))
     tons = 50 + 3.0 * (years - 2010)
-    mean, deviation = trend.fit_and_predict(365 * years, tons, x, 365 * np.array([2022, 2025]), np.zeros((2, 2)))
+    mean, deviation = bayes_line.fit_and_predict(365 * years, tons, x, 365 * np.array([2022, 2025]), np.zeros((2, 2)))
     assert mean == pytest.approx([86.0, 95.0], rel=0.02)
     assert 0 < deviation[0] < deviation[1] < 5
 
@@ -198,13 +198,13 @@ def test_trend_uses_its_regressors():
     years = np.arange(2000, 2024)
     x = np.random.default_rng(2).normal(size=(24, 1))
     tons = 100 + 10 * x[:, 0]
-    mean, _ = trend.fit_and_predict(365 * years, tons, x, 365 * np.array([2024, 2024]), np.array([[1.0], [-1.0]]))
+    mean, _ = bayes_line.fit_and_predict(365 * years, tons, x, 365 * np.array([2024, 2024]), np.array([[1.0], [-1.0]]))
     assert mean == pytest.approx([110.0, 90.0], rel=0.02)
 
 
 def test_trend_needs_two_complete_rows():
     x = np.array([[1.0], [np.nan], [2.0]])
-    assert trend.fit_and_predict(np.array([1, 2, 3]), np.array([np.nan, 1.0, 2.0]), x, np.array([4]), np.array([[1.0]])) is None
+    assert bayes_line.fit_and_predict(np.array([1, 2, 3]), np.array([np.nan, 1.0, 2.0]), x, np.array([4]), np.array([[1.0]])) is None
 
 
 def test_trend_table(annual, macro_rows):
