@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 # Columns up to this many values are summarised by the built-in exact percentile, which keeps the
 # distinct values of a column in memory; longer ones are narrowed down first.
 EXACT_PERCENTILE_ROWS = 100_000
-_SELECT_ROWS = 100_000
+_SELECT_ROWS = 10_000
 _ACCURACY = 10_000
 _CELL = 2.0 / _ACCURACY  # Twice the error of an approximate percentile of that accuracy.
 QUARTILES = (0.25, 0.5, 0.75)
@@ -152,9 +152,9 @@ def exact_quantiles(
     """
     totals = values.agg(*[F.count(c).alias(c) for c in columns]).first()
     places = {c: [(totals[c] - 1) * p for p in probabilities] for c in columns if totals[c]}
-    # Open interval, the count of values at or below its lower end, and the values inside.
+    # Bounds of an open interval, the count of values at or below the lower one, and the count inside.
     open_ranks = {
-        (c, rank): (float("-inf"), float("inf"), 0, totals[c])
+        (c, rank): (None, None, 0, totals[c])
         for c, spots in places.items()
         for spot in spots
         for rank in (floor(spot), ceil(spot))
@@ -177,11 +177,12 @@ def exact_quantiles(
     return result
 
 
-def _inside(column: str, low: float, high: float) -> Column:
+def _inside(column: str, low: float | None, high: float | None) -> Column:
+    """The values strictly between two bounds; None leaves a side open."""
     test = F.col(column).isNotNull()
-    if low != float("-inf"):
+    if low is not None:
         test &= F.col(column) > low
-    if high != float("inf"):
+    if high is not None:
         test &= F.col(column) < high
     return F.when(test, F.col(column))
 

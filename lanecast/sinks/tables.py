@@ -46,7 +46,7 @@ def write_forecasts(forecasts: DataFrame, path: str) -> int:
     One directory per model; within it rows are ordered by corridor, so a corridor filter skips
     row groups. A directory per corridor would mean millions of tiny files.
     """
-    rows = forecasts.sortWithinPartitions("corridor_id", "year")
+    rows = forecasts.sortWithinPartitions("model_name", "corridor_id", "year")
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("model_name").parquet(path)
     return rows.sparkSession.read.parquet(path).count()
 

@@ -149,3 +149,16 @@ def test_enriched_table_uses_one_shuffle_for_all_windows(spark, annual, tmp_path
     annual.write.parquet(str(tmp_path / "annual"))
     plan = features.enrich(spark.read.parquet(str(tmp_path / "annual")))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
+
+
+def test_one_pair_holding_most_rows_is_summed_before_the_shuffle(spark, lanes, tmp_path):
+    """With the corridor table too long to broadcast, a hot pair still reaches the shuffle as one row per task."""
+    path = str(tmp_path / "hot")
+    hot = spark.range(30_000).selectExpr(
+        "CAST(IF(id % 3 = 0, 1, 3) AS int) AS dms_orig", "CAST(IF(id % 3 = 0, 2, 4) AS int) AS dms_dest", "1D AS tons_2017"
+    )
+    hot.repartition(6).write.parquet(path)
+    got = features.totals_by_corridor(spark.read.parquet(path), lanes, ["tons_2017"], max_broadcast_rows=0)
+    assert {r["corridor_id"]: r["tons_2017"] for r in got.collect()} == {1: 10_000.0, 2: 20_000.0}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("partial_sum(tons_2017") > plan.rindex("Join")

@@ -53,7 +53,7 @@ def test_numeric(table):
     assert v["std"] == pytest.approx(1.5) and got["k"]["count"] == 5
 
 
-@pytest.mark.parametrize("shape", ["spread", "hot", "two hot", "geometric", "constant"])
+@pytest.mark.parametrize("shape", ["spread", "hot", "two hot", "geometric", "constant", "infinite"])
 def test_quantiles_of_long_columns_are_exact(spark, shape):
     rng = np.random.default_rng(11)
     values = {
@@ -62,9 +62,10 @@ def test_quantiles_of_long_columns_are_exact(spark, shape):
         "two hot": np.where(rng.random(20_000) < 0.5, 1.0, 2.0),
         "geometric": 2.0 ** -rng.integers(0, 900, 20_000),
         "constant": np.full(20_000, 3.0),
+        "infinite": np.where(rng.random(20_000) < 0.2, np.where(rng.random(20_000) < 0.5, np.inf, -np.inf), rng.normal(size=20_000)),
     }[shape]
     df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double").repartition(5)
-    probabilities = (0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0)
+    probabilities = (0.15, 0.25, 0.5, 0.75) if shape == "infinite" else (0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0)
     got = profiling.exact_quantiles(df, ["v"], probabilities, select_rows=3)["v"]
     assert got == pytest.approx(list(np.quantile(values, probabilities)), rel=1e-12)
 
