@@ -8,14 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import ratio
 from ..operators.regressors import step_regressors
 from ..schemas import BOOSTED_FEATURES, FORECAST_SCHEMA, HOLDOUT_YEAR, HORIZON, IMPORTANCE_SCHEMA, MACRO_COLUMNS
 from ..session import materialise
@@ -119,44 +117,43 @@ def predict_recursively(
     """Predictions of every year of the horizon, each fed by the predictions before it."""
     # One row per year of the horizon, so this never grows with the data.
     by_year = {row["year"]: row for row in step_regressors(macros, horizon).collect()}
-    carried = ["corridor_id", "corridor_name", "value_ratio"]
+    years = sorted(int(y) for y in horizon)
     table = state
     done: list[str] = []
-    for year in sorted(horizon):
-        row = by_year.get(int(year))
-        macro = {name: F.lit(None if row is None else row[name]).cast("double") for name in MACRO_COLUMNS}
-        inputs = table.withColumns({"year": F.lit(int(year)), **macro, **_step_features(macro)})
+    for year in years:
+        macro = {name: None if year not in by_year else by_year[year][name] for name in MACRO_COLUMNS}
+        known = [f"CAST({'NULL' if v is None else repr(float(v))} AS DOUBLE) AS {name}" for name, v in macro.items()]
+        inputs = table.selectExpr("*", f"{year} AS year", *known).selectExpr("*", *_STEP_FEATURES)
         predicted = model.transform(_assemble(inputs, BOOSTED_FEATURES))
-        done.append(f"tons_{year}")
-        table = predicted.select(
-            *carried,
-            F.col("prediction").alias("tons_lag1"),
-            F.col("tons_lag1").alias("tons_lag2"),
-            F.col("tons_lag2").alias("tons_lag3"),
-            F.col("gdp").alias("gdp_before"),
-            F.col("diesel_price").alias("diesel_lag1"),
-            *done[:-1],
-            F.col("prediction").alias(done[-1]),
+        # The newest value takes the first place and the others move back by one.
+        table = predicted.selectExpr(
+            "corridor_id",
+            "corridor_name",
+            "value_ratio",
+            "prediction AS tons_lag1",
+            "tons_lag1 AS tons_lag2",
+            "tons_lag2 AS tons_lag3",
+            "gdp AS gdp_before",
+            "diesel_price AS diesel_lag1",
+            *done,
+            f"prediction AS tons_{year}",
         )
-    cells = [F.lit(len(done))]
-    for name, year in zip(done, sorted(horizon)):
-        cells += [F.lit(int(year)), F.col(name)]
-    return table.select(
-        "corridor_id", "corridor_name", F.lit("future").alias("forecast_type"), F.stack(*cells).alias("year", "prediction")
+        done.append(f"tons_{year}")
+    cells = ", ".join(f"{year}, tons_{year}" for year in years)
+    return table.selectExpr(
+        "corridor_id", "corridor_name", "'future' AS forecast_type", f"stack({len(years)}, {cells}) AS (year, prediction)"
     )
 
 
-def _step_features(macro: dict[str, Column]) -> dict[str, Column]:
-    lags = [F.col("tons_lag1"), F.col("tons_lag2"), F.col("tons_lag3")]
-    mean = reduce(Column.__add__, lags) / 3
-    squares = reduce(Column.__add__, [F.pow(lag - mean, 2) for lag in lags])
-    return {
-        "value_lag1": F.col("tons_lag1") * F.col("value_ratio"),
-        "tons_rolling_mean_3yr": mean,
-        "tons_rolling_std_3yr": F.sqrt(squares / 2),
-        "gdp_yoy_change": ratio(macro["gdp"] - F.col("gdp_before"), F.col("gdp_before")),
-        "diesel_yoy_change": ratio(macro["diesel_price"] - F.col("diesel_lag1"), F.col("diesel_lag1")),
-    }
+_MEAN = "(tons_lag1 + tons_lag2 + tons_lag3) / 3"
+_SQUARES = " + ".join(f"pow({lag} - {_MEAN}, 2)" for lag in ("tons_lag1", "tons_lag2", "tons_lag3"))
+_STEP_FEATURES = (
+    "tons_lag1 * value_ratio AS value_lag1",
+    f"{_MEAN} AS tons_rolling_mean_3yr",
+    f"sqrt(({_SQUARES}) / 2) AS tons_rolling_std_3yr",
+    "try_divide(gdp - gdp_before, gdp_before) AS gdp_yoy_change",
+    "try_divide(diesel_price - diesel_lag1, diesel_lag1) AS diesel_yoy_change",
+)
 
 
 def _bounds(factors: tuple[float, float]) -> dict[str, Column]:

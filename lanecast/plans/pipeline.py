@@ -102,10 +102,12 @@ def fit_settings(fitted: DataFrame, settings: dict[str, Column]) -> DataFrame:
     )
 
 
-def write_staged(spark: SparkSession, root: str, layout: FlowLayout = FlowLayout()) -> list[TableBuild]:
+def write_staged(
+    spark: SparkSession, root: str, layout: FlowLayout = FlowLayout(), mapping: dict[str, str] = MACRO_SERIES
+) -> list[TableBuild]:
     """Rebuild the staged tables from the raw tables below ``root``."""
     names = ("raw_flows", "raw_flow_history", "raw_macro_series", "raw_zones", "raw_states")
-    staged = build_staged({name: read_table(spark, root, name, layout) for name in names}, layout)
+    staged = build_staged({name: read_table(spark, root, name, layout) for name in names}, layout, mapping)
     return [replace_table(df, root, name) for name, df in staged.items()]
 
 

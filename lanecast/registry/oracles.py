@@ -124,6 +124,7 @@ HISTORY_KEYS = """CAST(o % 5 AS INTEGER) AS dms_origst, CAST(d % 5 AS INTEGER) A
 STAGE_HISTORY = _with(LINES) + (
     f"SELECT * FROM ({_wide(HISTORY_KEYS, LAYOUT.history_years)}) WHERE trade_type = 1"
 )
+HISTORY_WIDE = f"history AS ({_wide(HISTORY_KEYS, LAYOUT.history_years)})"
 RAW_HISTORY = _with(LINES) + (
     f"SELECT *, {', '.join(f'value_{y} AS current_value_{y}' for y in LAYOUT.history_years)} "
     f"FROM ({_wide(HISTORY_KEYS, LAYOUT.history_years)})"
@@ -430,6 +431,22 @@ ORACLES: dict[str, str] = {
     "corridor_annual_via_unpivot": _with(LINES, ZONE_LANES, TOTALS) + "SELECT * FROM filled",
     "corridor_history_state": HISTORY_TOTALS,
     "benchmark_band": _with(LINES, ZONE_LANES, BAND) + "SELECT * FROM band",
+    "layer_row_counts": _with(LINES, WIDE, MACRO, SERIES, ZONE_LANES, TOTALS, HISTORY_WIDE)
+    + f"""SELECT 'raw_flows' AS table_name, count(*) AS row_count FROM wide
+UNION ALL SELECT 'raw_flow_history', count(*) FROM history
+UNION ALL SELECT 'raw_macro_series', count(*) FROM series
+UNION ALL SELECT 'raw_zones', count(*) FROM nation
+UNION ALL SELECT 'raw_states', count(*) FROM region
+UNION ALL SELECT 'staged_flows', count(*) FROM wide WHERE trade_type = 1
+UNION ALL SELECT 'staged_flow_history', count(*) FROM history WHERE trade_type = 1
+UNION ALL SELECT 'staged_macro_annual', count(*) FROM (
+  SELECT DISTINCT year(date) FROM series)
+UNION ALL SELECT 'staged_zone_state', count(*) FROM nation
+UNION ALL SELECT 'feature_corridor_annual', count(*) FROM filled
+UNION ALL SELECT 'feature_corridor_enriched', count(*) FROM filled
+UNION ALL SELECT 'feature_corridor_history', {len(LAYOUT.history_years)} * count(*) FROM lanes
+  JOIN (SELECT DISTINCT dms_origst, dms_destst FROM history WHERE trade_type = 1) ON o % 5 = dms_origst AND d % 5 = dms_destst
+UNION ALL SELECT 'feature_benchmark', {len(MID_FACTORS)} * count(DISTINCT corridor_id) FROM totals""",
     "feat_lags": _with(*ZONE_ANNUAL) + _features(ALL_FEATURES[:5], "annual"),
     "feat_rolling": _with(*ZONE_ANNUAL) + _features(ALL_FEATURES[5:7], "annual"),
     "feat_yoy_padded": _with(*ZONE_ANNUAL) + _features(ALL_FEATURES[7:10], "annual"),

@@ -19,6 +19,7 @@ from ..forecast.random_walk import forecast_random_walk
 from ..forecast.trend import forecast_trend
 from ..functions.numeric import quantile_interval
 from ..operators import evaluation, features, profiling, regressors, reporting, staging
+from ..plans import pipeline
 from ..schemas import BOOSTED_FEATURES, ENRICHED_FEATURES, MACRO_COLUMNS, SERIES_SCHEMA
 from ..session import materialise, scratch_path
 from ..sinks import tables as sinks
@@ -139,6 +140,16 @@ def feat_on_sparse_zone_pairs(spark, sf_dir):
     return rounded(features.enrich(active).select(*KEYS, "total_tons", *ENRICHED_FEATURES))
 
 
+def layer_row_counts(spark, sf_dir):
+    """Raw tables stored, then both later layers rebuilt from what is stored."""
+    root = scratch_path(spark, "layers")
+    sinks.declare_tables(spark, root, star.LAYOUT)
+    builds = [sinks.replace_table(df, root, name) for name, df in star.raw_layer(spark, sf_dir).items()]
+    builds += pipeline.write_staged(spark, root, star.LAYOUT, star.MACRO_MAPPING)
+    builds += pipeline.write_features(spark, root, star.zone_corridors(spark, sf_dir), star.LAYOUT)
+    return spark.createDataFrame([(b.table_name, b.row_count) for b in builds], "table_name string, row_count bigint")
+
+
 # --- sources and sinks ----------------------------------------------------------------------------
 
 
@@ -394,6 +405,15 @@ def metrics_by_model(spark, sf_dir):
     return rounded(evaluation.regression_metrics(scored, by=["model_name"]))
 
 
+def full_evaluation(spark, sf_dir):
+    """Every model trained for every pair of regions, scored and compared."""
+    annual, band = _annual_and_band(spark, sf_dir)
+    known = materialise(star.macros(spark, sf_dir).where(F.col("year") <= 2000))
+    trained = pipeline.train_all(annual, features.enrich(annual), known, star.HORIZON, star.HOLDOUT_YEAR, QUICK)
+    scores = evaluation.evaluate_all(trained.forecasts, annual, band, star.HOLDOUT_YEAR, star.BENCHMARK_YEAR)
+    return scores["model_comparison"]
+
+
 # --- run log and stored forecasts -----------------------------------------------------------------
 
 
@@ -547,6 +567,7 @@ QUERIES: dict[str, Query] = {
     "corridor_annual_via_unpivot": corridor_annual_via_unpivot,
     "corridor_history_state": corridor_history_state,
     "benchmark_band": benchmark_band,
+    "layer_row_counts": layer_row_counts,
     "feat_lags": feat_lags,
     "feat_rolling": feat_rolling,
     "feat_yoy_padded": feat_yoy_padded,
@@ -580,6 +601,7 @@ QUERIES: dict[str, Query] = {
     "benchmark_scores": benchmark_scores,
     "model_comparison": model_comparison,
     "metrics_by_model": metrics_by_model,
+    "full_evaluation": full_evaluation,
     "forecast_store": forecast_store,
     "forecast_csv_scan": forecast_csv_scan,
     "run_log_flat": run_log_flat,

@@ -261,6 +261,35 @@ def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nation_zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as zones whose text names the state that stands for their region."""
+    shorts = F.array(*[F.lit(a) for a in list(STATE_ABBREVIATIONS.values())[:REGIONS]])
+    return table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("numeric_label"),
+        F.concat(F.lit(REST_PREFIX), F.get(shorts, F.col("n_regionkey"))).alias("short_description"),
+        F.col("n_name").alias("long_description"),
+    )
+
+
+def region_state_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions as states: the region's key with the name of the state that stands for it."""
+    names = F.array(*[F.lit(n) for n in list(STATE_ABBREVIATIONS)[:REGIONS]])
+    return table(spark, sf_dir, "region").select(
+        F.col("r_regionkey").alias("numeric_label"), F.get(names, F.col("r_regionkey")).alias("description")
+    )
+
+
+def raw_layer(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Every raw table that the staged layer is built from."""
+    return {
+        "raw_flows": raw_flows(spark, sf_dir),
+        "raw_flow_history": raw_history(spark, sf_dir),
+        "raw_macro_series": normalise_series(macro_pull(spark, sf_dir)),
+        "raw_zones": nation_zone_lookup(spark, sf_dir),
+        "raw_states": region_state_lookup(spark, sf_dir),
+    }
+
+
 def state_lookup(spark: SparkSession) -> DataFrame:
     """States numbered in alphabetical order, from one."""
     rows = [(i + 1, name) for i, name in enumerate(STATE_ABBREVIATIONS)]

@@ -36,7 +36,7 @@ CHECKED = (
     "profile_numeric_large",
     "profile_categorical",
 )
-FITTED = {"forecast_arima", "arima_orders", "forecast_trend", "forecast_boosted", "boosted_importance", "top_features"}
+FITTED = {"full_evaluation", "forecast_arima", "arima_orders", "forecast_trend", "forecast_boosted", "boosted_importance", "top_features"}
 
 
 @pytest.fixture(scope="module")
