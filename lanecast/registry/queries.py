@@ -20,7 +20,7 @@ from ..forecast.trend import forecast_trend
 from ..functions.numeric import quantile_interval
 from ..operators import evaluation, features, profiling, regressors, reporting, staging
 from ..plans import pipeline
-from ..schemas import BOOSTED_FEATURES, ENRICHED_FEATURES, MACRO_COLUMNS, SERIES_SCHEMA
+from ..schemas import BOOSTED_FEATURES, ENRICHED_FEATURES, SERIES_SCHEMA
 from ..session import materialise, scratch_path
 from ..sinks import tables as sinks
 from ..sources import artifacts, flows, lookups, macros as macro_source, validation

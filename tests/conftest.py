@@ -11,6 +11,10 @@ for path in (str(ROOT), str(ROOT / "tests")):
 SMALL = "/root/testdata/sf0.001"
 
 
+def macro_values(i):
+    return 1000.0 + 30 * i, 2.0 + 0.2 * i, 90.0 + i, 5.0 - 0.1 * i, 100.0 + i, 10.0 + i
+
+
 @pytest.fixture(scope="session")
 def spark():
     from lanecast.session import local_session, ship_package
@@ -24,12 +28,11 @@ def spark():
 @pytest.fixture(scope="session")
 def annual_rows():
     """Two corridors: a complete one, and one with a null year."""
-    return [
-        (1, "A_to_B", 2017 + i, tons, tons * 2, tons * 3, 1000.0 + 30 * i, 2.0 + 0.2 * i, 90.0 + i, 5.0 - 0.1 * i, 100.0 + i, 10.0 + i)
-        for i, tons in enumerate([100.0, 110.0, 120.0, 118.0, 131.0, 140.0, 139.0, 150.0])
-    ] + [
-        (2, "B_to_A", 2017 + i, tons, None if tons is None else tons * 4, 1.0, 1000.0 + 30 * i, 2.0 + 0.2 * i, 90.0 + i, 5.0 - 0.1 * i, 100.0 + i, 10.0 + i)
-        for i, tons in enumerate([10.0, None, 0.0, 5.0, 6.0, 7.0, 9.0, 8.0])
+    complete = [100.0, 110.0, 120.0, 118.0, 131.0, 140.0, 139.0, 150.0]
+    gappy = [10.0, None, 0.0, 5.0, 6.0, 7.0, 9.0, 8.0]
+    rows = [(1, "A_to_B", 2017 + i, t, t * 2, t * 3, *macro_values(i)) for i, t in enumerate(complete)]
+    return rows + [
+        (2, "B_to_A", 2017 + i, t, None if t is None else t * 4, 1.0, *macro_values(i)) for i, t in enumerate(gappy)
     ]
 
 
@@ -44,5 +47,5 @@ def annual(spark, annual_rows):
 def macro_rows(spark):
     from lanecast.schemas import MACRO_ANNUAL_SCHEMA
 
-    rows = [(2017 + i, 1000.0 + 30 * i, 2.0 + 0.2 * i, 90.0 + i, 5.0 - 0.1 * i, 100.0 + i, 10.0 + i) for i in range(8)]
+    rows = [(2017 + i, *macro_values(i)) for i in range(8)]
     return spark.createDataFrame(rows, MACRO_ANNUAL_SCHEMA)

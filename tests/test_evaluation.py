@@ -72,7 +72,8 @@ def test_best_model_ranks_missing_errors_last(spark):
 
 
 def test_metrics(spark):
-    df = spark.createDataFrame([("x", 100.0, 110.0), ("x", 120.0, 115.0), ("z", 0.0, 5.0), ("z", 100.0, 90.0), ("n", 0.0, 1.0)], "g string, actual double, prediction double")
+    rows = [("x", 100.0, 110.0), ("x", 120.0, 115.0), ("z", 0.0, 5.0), ("z", 100.0, 90.0), ("n", 0.0, 1.0)]
+    df = spark.createDataFrame(rows, "g string, actual double, prediction double")
     got = {r["g"]: r for r in evaluation.regression_metrics(df, by=["g"]).collect()}
     assert (got["x"]["mae"], got["x"]["rmse"], got["x"]["mape"]) == pytest.approx((7.5, 7.9056942, 7.0833333))
     assert got["z"]["mape"] == pytest.approx(10.0) and got["n"]["mape"] is None

@@ -4,7 +4,10 @@ from pyspark.sql import functions as F
 from lanecast.operators import features
 from lanecast.schemas import ANNUAL_SCHEMA, ENRICHED_SCHEMA, ZONE_STATE_SCHEMA
 
-FLOWS = "dms_orig int, dms_dest int, tons_2017 double, tons_2018 double, value_2017 double, value_2018 double, tmiles_2017 double, tmiles_2018 double"
+FLOWS = (
+    "dms_orig int, dms_dest int, tons_2017 double, tons_2018 double, "
+    "value_2017 double, value_2018 double, tmiles_2017 double, tmiles_2018 double"
+)
 YEARS = (2017, 2018)
 
 

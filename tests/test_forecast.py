@@ -245,7 +245,8 @@ def test_boosted_trees(spark, pooled, macro_rows):
 def test_recursion_feeds_each_year_with_the_one_before(spark, pooled, macro_rows):
     model = boosted.fit_boosted(boosted.training_rows(pooled), boosted.BoostedSettings(trees=4, bins=16))
     state = boosted.latest_state(pooled)
-    chained = {(r["corridor_id"], r["year"]): r["prediction"] for r in boosted.predict_recursively(model, state, macro_rows, HORIZON).collect()}
+    predicted = boosted.predict_recursively(model, state, macro_rows, HORIZON).collect()
+    chained = {(r["corridor_id"], r["year"]): r["prediction"] for r in predicted}
     start = state.where("corridor_id = 2").first()
     lags = [start["tons_lag1"], start["tons_lag2"], start["tons_lag3"]]
     assert lags == [300.0, 278.0, 280.0] and start["value_ratio"] == pytest.approx(2.0)

@@ -8,15 +8,18 @@ from lanecast.schemas import LOOKUP_SCHEMA, SERIES_SCHEMA, ZONE_LOOKUP_SCHEMA, f
 DAY = datetime.date
 
 
+def _rows_of(schema, trade_types):
+    one = {"int": 1, "double": 1.0}
+    return [
+        tuple(t if f.name == "trade_type" else one[f.dataType.simpleString()] for f in schema) for t in trade_types
+    ]
+
+
 def test_only_domestic_flows_are_staged(spark):
-    names = flow_schema().names
-    rows = [tuple(t if n == "trade_type" else 1 if n.startswith(("dms", "sctg", "dist")) else 1.0 for n in names) for t in (1, 2, 3, None)]
-    staged = stage_flows(spark.createDataFrame(rows, flow_schema()))
+    staged = stage_flows(spark.createDataFrame(_rows_of(flow_schema(), (1, 2, 3, None)), flow_schema()))
     assert staged.count() == 1
     assert staged.schema.names == table_schemas()["staged_flows"].names
-    names = history_schema().names
-    rows = [tuple(t if n == "trade_type" else 1 if n in ("dms_origst", "dms_destst", "dms_mode", "sctg2") else 1.0 for n in names) for t in (1, 2)]
-    staged = stage_history(spark.createDataFrame(rows, history_schema()))
+    staged = stage_history(spark.createDataFrame(_rows_of(history_schema(), (1, 2)), history_schema()))
     assert staged.count() == 1
     assert staged.schema.names == table_schemas()["staged_flow_history"].names
 
