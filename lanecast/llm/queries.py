@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lanecast.llm import jaccard_join
+from lanecast.llm import jaccard_join, nb_svm, suffix_dedup, template_match, unigram
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,20 +20,55 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked_documents(_table(spark, sf_dir, "documents"), settings)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of each document without every byte under a string of 400 bytes that also starts elsewhere."""
+    return suffix_dedup.removal_report(_table(spark, sf_dir, "documents"), suffix_dedup.RepeatSettings(length=400))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, by a model fitted to ``labels``."""
+    documents = _table(spark, sf_dir, "documents")
+    model = nb_svm.fit(documents, _table(spark, sf_dir, "labels"))
+    rows = nb_svm.scored(documents, model)
+    return rows.select("doc_id", nb_svm.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items found in them, given again with the same or other values."""
+    found = template_match.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("row_key")
+
+
+def piece_model() -> str:
+    """The public piece model of the installed tokenizer files."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece numbers of every document, and whether decoding them gives the text again."""
+    return unigram.encoded(_table(spark, sf_dir, "documents"), piece_model())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_jaccard_join": op3_jaccard_join,
+    "op5_suffix_dedup": op5_suffix_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 
 ORACLES: dict[str, str] = {
     "op3_jaccard_join": r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-           'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+           'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
 sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN []
            WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-           ELSE list_distinct(list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' '))) END AS s
+           ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
   FROM words),
 shingles AS (SELECT doc_id, len(s) AS n, hash(x) AS x FROM (SELECT doc_id, s, unnest(s) AS x FROM sets)),
 common AS (
