@@ -7,13 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanecast.llm import jaccard_join, nb_svm, suffix_dedup, template_match, unigram
+from lanecast.llm import jaccard_join, language_spans, nb_svm, suffix_dedup, template_match, token_file, unigram
+from lanecast.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written to a token file in the shared folder and read back."""
+    import public_tokenizers
+
+    path = scratch_path(spark, "tokens")
+    token_file.write_token_file(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_file.read_token_file(spark, path)
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents linked by the Jaccard similarity of their four-word shingles, 0.85 or more."""
     settings = jaccard_join.JaccardSettings(words=4, percent=85)
@@ -39,6 +49,14 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.drop("row_key")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from ``lang`` of two thirds of them."""
+    documents = _table(spark, sf_dir, "documents")
+    held = nb_svm.held_out(F.col("doc_id"))
+    rows = language_spans.predicted(documents, language_spans.fit(documents.where(~held)))
+    return rows.select("doc_id", held.alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
 def piece_model() -> str:
     """The public piece model of the installed tokenizer files."""
     import public_tokenizers
@@ -52,10 +70,12 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_file": op1_token_file,
     "op3_jaccard_join": op3_jaccard_join,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_language_id": op9_language_id,
     "op10_sentencepiece": op10_sentencepiece,
 }
 

@@ -45,22 +45,23 @@ def looked_up(cache: WordCache, words: list, dtype) -> np.ndarray:
 
 
 def mix(values: np.ndarray) -> np.ndarray:
-    """Scramble 64-bit integers (the SplitMix64 finaliser); wraps around."""
-    with np.errstate(over="ignore"):
-        x = values.astype(np.uint64) + _GOLDEN
-        x = (x ^ (x >> np.uint64(30))) * _MIX1
-        x = (x ^ (x >> np.uint64(27))) * _MIX2
-        return x ^ (x >> np.uint64(31))
+    """Scramble an array of 64-bit integers (the SplitMix64 finaliser); wraps around."""
+    x = values.astype(np.uint64) + _GOLDEN
+    x ^= x >> np.uint64(30)
+    x *= _MIX1
+    x ^= x >> np.uint64(27)
+    x *= _MIX2
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     """One hash for every run of ``size`` neighbours, ``len(hashes) - size + 1`` of them."""
     count = max(0, len(hashes) - size + 1)
     total = np.full(count, size, np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(size):
-            total = mix(total * _GOLDEN + hashes[k : k + count])
-    return total
+    for factor, k in zip(mix(np.arange(size, dtype=np.uint64)) | np.uint64(1), range(size)):
+        total += hashes[k : k + count] * factor
+    return mix(total)
 
 
 def pieces(texts: list, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
