@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanecast.llm import jaccard_join, language_spans, nb_svm, suffix_dedup, template_match, token_file, unigram
+from lanecast.llm import html_layout, jaccard_join, language_spans, line_crf, maxent_lm, nb_svm, suffix_dedup, template_match, token_file, unigram
 from lanecast.session import scratch_path
 
 
@@ -24,17 +24,35 @@ def op1_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.read_token_file(spark, path)
 
 
+def op2_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visible text of every page."""
+    return html_layout.extracted(_table(spark, sf_dir, "pages"))
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents linked by the Jaccard similarity of their four-word shingles, 0.85 or more."""
     settings = jaccard_join.JaccardSettings(words=4, percent=85)
     return jaccard_join.linked_documents(_table(spark, sf_dir, "documents"), settings)
 
 
+def op4_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and the verdict of the line labels for every document."""
+    documents = _table(spark, sf_dir, "documents")
+    return line_crf.judged(documents, line_crf.fit(documents, _table(spark, sf_dir, "labels")))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stays of each document without every byte under a string of 400 bytes that also starts elsewhere."""
     return suffix_dedup.removal_report(_table(spark, sf_dir, "documents"), suffix_dedup.RepeatSettings(length=400))
 
 
+def op6_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document, learned from six of seven."""
+    documents = _table(spark, sf_dir, "documents")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    return maxent_lm.scored(documents, maxent_lm.fit(documents.where(~held)), held)
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, by a model fitted to ``labels``."""
     documents = _table(spark, sf_dir, "documents")
@@ -71,8 +89,11 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_file": op1_token_file,
+    "op2_html_layout": op2_html_layout,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_line_crf": op4_line_crf,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_maxent_lm": op6_maxent_lm,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_language_id": op9_language_id,
