@@ -105,6 +105,8 @@ def viterbi_spans(scores: np.ndarray, sizes: np.ndarray, penalty: float) -> np.n
 
     Texts advance side by side, the longest first, so a step works on all texts that are still going.
     """
+    if not len(scores):
+        return np.zeros(0, np.int8)
     order = np.argsort(-sizes, kind="stable")
     begins = (np.cumsum(sizes) - sizes)[order]
     longest = int(sizes.max(initial=0))
