@@ -21,6 +21,8 @@ from .common import conform
 
 POOLED_LEAVE_LAST_OUT = "pooled_leave_last_year_out"
 
+ROWS_PER_TASK = 50_000
+
 # Holdout bounds, and the future bounds that the 0.1 and 0.9 quantiles of
 # (0.95 p, p, 1.05 p) amount to.
 HOLDOUT_BOUNDS = (0.9, 1.1)
@@ -57,7 +59,9 @@ def fit_boosted(
         minInstancesPerNode=1,
         seed=settings.seed,
     )
-    return booster.fit(_assemble(rows, features).select("features", "total_tons"))
+    # A tree takes several jobs over the same rows: as few tasks as their number needs.
+    tasks = 1 + rows.count() // ROWS_PER_TASK
+    return booster.fit(_assemble(rows, features).select("features", "total_tons").repartition(tasks))
 
 
 def forecast_boosted(

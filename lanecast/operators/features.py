@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import finite, ratio
-from ..functions.sizing import BROADCAST_MAX_ROWS, fits_broadcast
+from ..functions.sizing import fits_broadcast
+from ..session import materialise
 from ..schemas import (
     ANNUAL_YEARS,
     BENCHMARK_YEARS,
@@ -39,22 +40,17 @@ def totals_by_corridor(
     columns: Sequence[str],
     flow_keys: tuple[str, str] = ("dms_orig", "dms_dest"),
     corridor_keys: tuple[str, str] = ("origin", "destination"),
-    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Sums of wide columns per corridor; corridors without flows are absent.
 
-    A corridor table proven small is broadcast, which discards other flows during the scan. A larger
-    one is joined after the flows are summed per endpoint pair: that sum combines map-side, so even a
-    pair holding most of the rows reaches the shuffle as one row per task, and the join that follows
-    sees each pair once.
+    Flows are summed per endpoint pair before they meet the corridors: that sum combines map-side, so even a
+    pair holding most of the rows reaches the shuffle as one row per task, and corridors that share
+    a pair multiply sums, never flows. Whether the join is broadcast is left to adaptive execution.
     """
     sums = [F.expr(f"sum(`{name}`) AS `{name}`") for name in columns]
     ends = [F.col(c).alias(f) for c, f in zip(corridor_keys, flow_keys)]
     lanes = corridors.select("corridor_id", "corridor_name", *ends)
-    if fits_broadcast(lanes, max_broadcast_rows):
-        matched = flows.select(*flow_keys, *columns).join(F.broadcast(lanes), list(flow_keys))
-    else:
-        matched = flows.groupBy(*flow_keys).agg(*sums).join(lanes, list(flow_keys))
+    matched = flows.groupBy(*flow_keys).agg(*sums).join(lanes, list(flow_keys))
     return matched.groupBy("corridor_id", "corridor_name").agg(*sums)
 
 
@@ -69,11 +65,30 @@ def corridor_annual(
     flows: DataFrame, corridors: DataFrame, macros: DataFrame, years: Sequence[int] = ANNUAL_YEARS
 ) -> DataFrame:
     """Annual tons, value and ton-miles per corridor, with the macro averages of the year."""
-    totals = _yearly_totals(flows, corridors, years, ANNUAL_MEASURES)
-    # One row per calendar year: at most a few thousand rows, whatever the size of the series behind it.
-    return totals.join(F.broadcast(macros), "year", "left").select(
-        "corridor_id", "corridor_name", "year", *TOTALS, *MACRO_COLUMNS
-    )
+    return _with_macros(_yearly_totals(flows, corridors, years, ANNUAL_MEASURES), macros)
+
+
+def _with_macros(totals: DataFrame, macros: DataFrame) -> DataFrame:
+    return totals.join(macros, "year", "left").select("corridor_id", "corridor_name", "year", *TOTALS, *MACRO_COLUMNS)
+
+
+def annual_and_band(
+    flows: DataFrame,
+    corridors: DataFrame,
+    macros: DataFrame,
+    annual_years: Sequence[int] = ANNUAL_YEARS,
+    benchmark_years: Sequence[int] = BENCHMARK_YEARS,
+) -> tuple[DataFrame, DataFrame]:
+    """Annual totals and benchmark band from one pass over the flows.
+
+    All columns of both are summed together; only that table, a row per corridor, goes to the shared folder.
+    """
+    keys = ("corridor_id", "corridor_name")
+    parts = ((ANNUAL_MEASURES, annual_years), (BAND_MEASURES, benchmark_years))
+    columns = [pattern.format(year=year) for measures, years in parts for pattern in measures.values() for year in years]
+    wide = materialise(totals_by_corridor(flows, corridors, list(dict.fromkeys(columns))))
+    annual, band = (unpivot_years(wide, keys, years, measures) for measures, years in parts)
+    return _with_macros(annual, macros), band
 
 
 def benchmark_band(flows: DataFrame, corridors: DataFrame, years: Sequence[int] = BENCHMARK_YEARS) -> DataFrame:

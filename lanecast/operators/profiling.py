@@ -10,10 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Columns up to this many values are summarised by the built-in exact percentile, which keeps the
-# distinct values of a column in memory; longer ones are narrowed down first.
-EXACT_PERCENTILE_ROWS = 100_000
+# The most values of one rank's interval, and of all intervals of one pass, that are gathered and sorted.
 _SELECT_ROWS = 10_000
+_GATHERED_ROWS = 100_000
 _ACCURACY = 10_000
 _CELL = 2.0 / _ACCURACY  # Twice the error of an approximate percentile of that accuracy.
 QUARTILES = (0.25, 0.5, 0.75)
@@ -107,18 +106,12 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
 
 
-def profile_numeric(
-    df: DataFrame, columns: Sequence[str] | None = None, exact_rows: int = EXACT_PERCENTILE_ROWS
-) -> DataFrame:
+def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles of each numeric column."""
     names = list(columns or numeric_columns(df))
     values = df.select(*[_number(name).alias(name) for name in names])
-    if values.count() <= exact_rows:
-        shares = F.array(*[F.lit(q) for q in QUARTILES])
-        quartiles = {name: F.percentile(name, shares) for name in names}
-    else:
-        found = exact_quantiles(values, names, QUARTILES)
-        quartiles = {name: F.array(*[F.lit(v).cast("double") for v in found[name]]) for name in names}
+    found = exact_quantiles(values, names, QUARTILES)
+    quartiles = {name: F.array(*[F.lit(v).cast("double") for v in found[name]]) for name in names}
     summaries = [
         F.struct(
             F.count(name).alias("count"),
@@ -162,8 +155,8 @@ def exact_quantiles(
     found: dict[tuple[str, int], float] = {}
     while open_ranks:
         short = {k: v for k, v in open_ranks.items() if v[3] <= select_rows}
-        if short:
-            found.update(_select(values, short))
+        for group in _bounded(short):
+            found.update(_select(values, group))
         open_ranks = _narrow(values, {k: v for k, v in open_ranks.items() if k not in short}, found)
     result: dict[str, list[float | None]] = {}
     for c in columns:
@@ -177,6 +170,19 @@ def exact_quantiles(
     return result
 
 
+def _bounded(ranks: dict) -> list[dict]:
+    """``ranks`` in groups whose intervals hold a bounded number of values together."""
+    groups: list[dict] = []
+    held = _GATHERED_ROWS
+    for key, bounds in ranks.items():
+        held += bounds[3]
+        if held > _GATHERED_ROWS:
+            groups.append({})
+            held = bounds[3]
+        groups[-1][key] = bounds
+    return groups
+
+
 def _inside(column: str, low: float | None, high: float | None) -> Column:
     """The values strictly between two bounds; None leaves a side open."""
     test = F.col(column).isNotNull()

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.numeric import finite
 from ..schemas import MACRO_COLUMNS
 
 
@@ -17,8 +18,10 @@ def extrapolate(
 
     The line runs through the last observed value with the plain difference of the last two
     observations as its yearly step, also backwards. One observation gives a flat line, none gives NULL.
+    NaN and infinity are no observations.
     """
     earlier = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    series = series.withColumn(value, finite(F.col(value).cast("double")))
     known = F.col(value).isNotNull()
     wanted = known & F.col(order).isin([int(y) for y in years])
     anchors = (
@@ -58,8 +61,7 @@ def future_regressors(
         .distinct()
         .withColumn("year", F.explode(F.array(*[F.lit(int(y)) for y in years])))
     )
-    # Exactly one row per requested year, so the broadcast side cannot grow.
-    by_year = F.broadcast(regressors_by_year(macros, years, columns))
+    by_year = regressors_by_year(macros, years, columns)
     return grid.join(by_year, "year", "left").select("year", *columns, "corridor_id", "corridor_name")
 
 
@@ -68,7 +70,7 @@ def step_regressors(macros: DataFrame, years: Sequence[int], columns: Sequence[s
     existing = macros.where(F.col("year").isin([int(y) for y in years])).select(
         "year", F.lit(True).alias("_exists"), *[F.col(name).alias(f"_own_{name}") for name in columns]
     )
-    merged = regressors_by_year(macros, years, columns).join(F.broadcast(existing), "year", "left")
+    merged = regressors_by_year(macros, years, columns).join(existing, "year", "left")
     return merged.select(
         "year", *[F.when(F.col("_exists"), F.col(f"_own_{name}")).otherwise(F.col(name)).alias(name) for name in columns]
     )

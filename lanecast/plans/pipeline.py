@@ -14,12 +14,11 @@ from ..forecast.boosted import BoostedSettings, forecast_boosted, training_rows
 from ..forecast.common import conform
 from ..forecast.trend import fit_trend
 from ..operators.evaluation import evaluate_all
-from ..operators.features import benchmark_band, corridor_annual, corridor_history, enrich
+from ..operators.features import annual_and_band, corridor_history, enrich
 from ..operators.staging import macro_pivot, stage_flows, stage_history, zone_to_state
 from ..schemas import BENCHMARK_YEAR, HOLDOUT_YEAR, HORIZON, MACRO_SERIES, SETTINGS_SCHEMA, TREND_REGRESSORS, FlowLayout
 from ..session import materialise
 from ..sinks.tables import (
-    TableBuild,
     append_runs,
     read_table,
     replace_table,
@@ -52,14 +51,16 @@ def build_staged(
 def build_features(
     staged: dict[str, DataFrame], corridors: DataFrame, layout: FlowLayout = FlowLayout()
 ) -> dict[str, DataFrame]:
-    annual = corridor_annual(staged["staged_flows"], corridors, staged["staged_macro_annual"], layout.annual_years)
+    annual, band = annual_and_band(
+        staged["staged_flows"], corridors, staged["staged_macro_annual"], layout.annual_years, layout.benchmark_years
+    )
     return {
         "feature_corridor_annual": annual,
         "feature_corridor_enriched": enrich(annual),
         "feature_corridor_history": corridor_history(
             staged["staged_flow_history"], corridors, staged["staged_zone_state"], layout.history_years
         ),
-        "feature_benchmark": benchmark_band(staged["staged_flows"], corridors, layout.benchmark_years),
+        "feature_benchmark": band,
     }
 
 
@@ -104,7 +105,7 @@ def fit_settings(fitted: DataFrame, settings: dict[str, Column]) -> DataFrame:
 
 def write_staged(
     spark: SparkSession, root: str, layout: FlowLayout = FlowLayout(), mapping: dict[str, str] = MACRO_SERIES
-) -> list[TableBuild]:
+) -> list[tuple[str, int]]:
     """Rebuild the staged tables from the raw tables below ``root``."""
     names = ("raw_flows", "raw_flow_history", "raw_macro_series", "raw_zones", "raw_states")
     staged = build_staged({name: read_table(spark, root, name, layout) for name in names}, layout, mapping)
@@ -113,7 +114,7 @@ def write_staged(
 
 def write_features(
     spark: SparkSession, root: str, corridors: DataFrame, layout: FlowLayout = FlowLayout()
-) -> list[TableBuild]:
+) -> list[tuple[str, int]]:
     """Rebuild the feature tables from the staged tables below ``root``.
 
     The enriched table is derived from the stored annual table, so flows are summed once.

@@ -5,20 +5,19 @@ from __future__ import annotations
 from ..functions.text import STATE_ABBREVIATIONS
 from ..schemas import BOOSTED_FEATURES
 from ..starschema import (
-    BASE_YEAR,
     EVENT_MAPPING,
-    HIGH_FACTOR,
-    HOLDOUT_YEAR,
-    HORIZON,
     LAYOUT,
-    LOW_FACTOR,
     MACRO_MAPPING,
-    MID_FACTORS,
     PART_PAID_SERIES,
-    READABLE_FROM,
 )
 
-YEARS = LAYOUT.annual_years
+# Written out here, so that a wrong value in the code under test cannot pass.
+YEARS = tuple(range(1995, 2002))
+HOLDOUT_YEAR = 2001
+HORIZON = tuple(range(2002, 2008))
+BASE_YEAR = 2000
+MID_FACTORS = {2005: 1.25, 2010: 1.5, 2015: 1.75, 2020: 2.0, 2025: 2.25}
+LOW_FACTOR, HIGH_FACTOR = 0.75, 1.125
 MEASURES = ("tons", "value", "tmiles")
 MACROS = tuple(MACRO_MAPPING.values())
 Z80 = 1.2815515655446004
@@ -39,8 +38,7 @@ LINES = f"""lines AS (
   FROM lineitem
   JOIN orders ON l_orderkey = o_orderkey
   JOIN supplier ON l_suppkey = s_suppkey
-  JOIN customer ON o_custkey = c_custkey
-  WHERE year(o_orderdate) BETWEEN {YEARS[0]} AND {YEARS[-1]})"""
+  JOIN customer ON o_custkey = c_custkey)"""
 
 MACRO_CASES = ", ".join(
     f"round(avg(CASE WHEN o_orderstatus = 'P' THEN o_totalprice END), 4) AS {name}"
@@ -50,7 +48,7 @@ MACRO_CASES = ", ".join(
 )
 MACRO = f"""macro AS (
   SELECT CAST(year(o_orderdate) AS INTEGER) AS year, {MACRO_CASES}
-  FROM orders WHERE o_totalprice >= {READABLE_FROM} GROUP BY 1)"""
+  FROM orders GROUP BY 1)"""
 KNOWN_MACRO = f"known_macro AS (SELECT * FROM macro WHERE year <= {HOLDOUT_YEAR})"
 
 ZONE_LANES = """lanes AS (
@@ -126,7 +124,8 @@ STAGE_HISTORY = _with(LINES) + (
 )
 HISTORY_WIDE = f"history AS ({_wide(HISTORY_KEYS, LAYOUT.history_years)})"
 RAW_HISTORY = _with(LINES) + (
-    f"SELECT *, {', '.join(f'value_{y} AS current_value_{y}' for y in LAYOUT.history_years)} "
+    f"SELECT *, {', '.join(f'CAST(NULL AS DOUBLE) AS fr_{c}' for c in ('orig', 'dest', 'inmode', 'outmode'))}, "
+    f"{', '.join(f'value_{y} AS current_value_{y}' for y in LAYOUT.history_years)} "
     f"FROM ({_wide(HISTORY_KEYS, LAYOUT.history_years)})"
 )
 
@@ -286,7 +285,7 @@ def _macro_future(source: str, years) -> str:
 future_macro AS (SELECT year, {wide} FROM carried GROUP BY year)"""
 
 
-STEP_YEARS = (2000, *HORIZON)
+STEP_YEARS = (2000, 2001, *HORIZON)
 STEP_REGRESSORS = _with(MACRO, _macro_future("macro", STEP_YEARS)) + "SELECT f.year, " + ", ".join(
     f"CASE WHEN m.year IS NOT NULL THEN m.{c} ELSE f.{c} END AS {c}" for c in MACROS
 ) + " FROM future_macro f LEFT JOIN macro m ON m.year = f.year"
@@ -339,7 +338,7 @@ line AS (
   FROM (SELECT 'holdout' AS forecast_type, * FROM line_holdout UNION ALL SELECT 'future', * FROM line_future)
   JOIN (SELECT DISTINCT corridor_id, corridor_name FROM annual) USING (corridor_id))"""
 FORECASTS = "forecasts AS (SELECT * FROM walk UNION ALL SELECT * FROM line)"
-STATE_FORECASTS = (*STATE_ANNUAL, _walk("walk", "annual", "RandomWalk"), STRAIGHT, FORECASTS)
+ALL_FORECASTS = (*ZONE_ANNUAL, _walk("walk", "annual", "RandomWalk"), STRAIGHT, FORECASTS)
 
 SCORES = f"""holdout AS (
   SELECT f.corridor_id, f.corridor_name, model_name, training_strategy, f.year, a.total_tons AS actual, prediction,
@@ -359,7 +358,7 @@ COMPARISON = """comparison AS (
          round(mae, 6) AS mae, within_bts_band, round(pct_deviation_vs_bts, 6) AS pct_deviation_vs_bts
   FROM holdout LEFT JOIN (SELECT corridor_id, model_name, within_bts_band, pct_deviation_vs_bts FROM verdicts)
   USING (corridor_id, model_name))"""
-COMPARED = (*STATE_FORECASTS, BAND, SCORES, VERDICTS, COMPARISON)
+COMPARED = (*ALL_FORECASTS, BAND, SCORES, VERDICTS, COMPARISON)
 
 
 # --- profiles -------------------------------------------------------------------------------------
@@ -377,13 +376,14 @@ LINE_TYPES = (
     ("l_linestatus", "string"),
     ("l_shipdate", "timestamp_ntz"),
 )
-PROFILE_NUMERIC = " UNION ALL ".join(
-    f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std,
+def _numeric(table: str, columns) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std,
   round(CAST(min({c}) AS DOUBLE), 4) AS min, round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 4) AS q25,
   round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 4) AS q50, round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 4) AS q75,
-  round(CAST(max({c}) AS DOUBLE), 4) AS max FROM lineitem"""
-    for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber")
-)
+  round(CAST(max({c}) AS DOUBLE), 4) AS max FROM {table}"""
+        for c in columns
+    )
 
 
 def _missing(columns) -> str:
@@ -410,10 +410,10 @@ FROM orders"""
 
 SERIES = f"""series AS (
   SELECT o_orderpriority AS series_id, CAST(o_orderdate AS DATE) AS date, o_totalprice AS value
-  FROM orders WHERE o_totalprice >= {READABLE_FROM}
+  FROM orders
   UNION ALL
   SELECT '{PART_PAID_SERIES}', CAST(o_orderdate AS DATE), o_totalprice
-  FROM orders WHERE o_totalprice >= {READABLE_FROM} AND o_orderstatus = 'P')"""
+  FROM orders WHERE o_orderstatus = 'P')"""
 
 ORACLES: dict[str, str] = {
     "stage_domestic": STAGE_DOMESTIC,
@@ -456,16 +456,23 @@ UNION ALL SELECT 'feature_benchmark', {len(MID_FACTORS)} * count(DISTINCT corrid
     "load_flow_csv": RAW_FLOWS,
     "load_history_csv": RAW_HISTORY,
     "load_validation": _with(LINES, WIDE)
-    + "SELECT 'raw_flows' AS table_name, count(*) AS expected_rows, count(*) AS actual_rows, true AS is_valid FROM wide",
+    + "SELECT 'raw_flows' AS target, count(*) AS sent, count(*) AS stored FROM wide",
     "series_replace": _with(SERIES)
-    + """SELECT series_id, count(*) AS observations, min(date) AS first_date, max(date) AS last_date,
-  round(avg(CASE WHEN series_id = '1-URGENT' THEN value * 2 ELSE value END), 4) AS mean_value
-FROM series GROUP BY series_id""",
+    + """SELECT '00' || substr(series_id, 1, 1) AS series_id, date,
+  CASE WHEN substr(series_id, 1, 1) = '1' THEN value * 2 ELSE value END AS value FROM series""",
+    "series_combine": """SELECT event_type AS series_id, CAST(ts AS DATE) AS date, value FROM events
+WHERE event_type IN ('click', 'view') AND value IS NOT NULL AND NOT isnan(value)""",
     "lookup_normalise": LOOKUP_NORMALISE,
-    "lookup_load": """SELECT 'raw_states' AS table_name, count(*) AS expected_rows, count(*) AS actual_rows FROM nation
-UNION ALL SELECT 'raw_commodities', count(*), count(*) FROM customer""",
+    "lookup_load": _with(ZONES)
+    + """SELECT 'raw_states' AS table_name, CAST(n_nationkey AS INTEGER) AS numeric_label, n_name AS description FROM nation
+UNION ALL SELECT 'raw_zones', zone_id, long FROM zones
+UNION ALL SELECT 'raw_commodities', c_custkey, c_name FROM customer
+UNION ALL SELECT 'raw_modes', r_regionkey, r_name FROM region
+UNION ALL SELECT 'raw_trade_types', s_suppkey, s_name FROM supplier
+UNION ALL SELECT 'raw_distance_bands', n_nationkey, n_name FROM nation
+UNION ALL SELECT 'raw_distance_bands', r_regionkey, r_name FROM region""",
     "macro_extrapolate": _with(
-        LINES, ZONE_LANES, TOTALS, _extrapolated("carried", "filled", "corridor_id", "total_tons", (1999, 2000, 2001, 2003))
+        LINES, ZONE_LANES, TOTALS, _extrapolated("carried", "filled", "corridor_id", "total_tons", (2000, 2001, 2002, 2004))
     )
     + "SELECT * FROM carried",
     "future_regressors": _with(MACRO, KNOWN_MACRO, ZONE_LANES, _macro_future("known_macro", HORIZON))
@@ -492,12 +499,18 @@ UNION ALL SELECT 'raw_commodities', count(*), count(*) FROM customer""",
     + """SELECT t.corridor_id, string_agg(CAST(e.year AS VARCHAR), ',' ORDER BY e.year) AS train_years, t.year AS test_year
 FROM ordered t JOIN ordered e ON e.corridor_id = t.corridor_id AND e.n < t.n
 WHERE t.n > 4 GROUP BY t.corridor_id, t.year""",
-    "expanding_backtest_random_walk": _with(*STATE_ANNUAL)
+    "boosted_state": _with(*ZONE_ANNUAL)
+    + """SELECT corridor_id, corridor_name, round(max(CASE WHEN n = 1 THEN total_tons END), 4) AS tons_lag1,
+  round(max(CASE WHEN n = 2 THEN total_tons END), 4) AS tons_lag2, round(max(CASE WHEN n = 3 THEN total_tons END), 4) AS tons_lag3,
+  round(max(CASE WHEN n = 1 THEN gdp END), 4) AS gdp_before, round(max(CASE WHEN n = 1 THEN diesel_price END), 4) AS diesel_lag1,
+  round(avg(total_value / nullif(total_tons, 0)), 4) AS value_ratio
+FROM (SELECT *, row_number() OVER (PARTITION BY corridor_id ORDER BY year DESC) AS n FROM annual) GROUP BY ALL""",
+    "expanding_backtest_random_walk": _with(*ZONE_ANNUAL)
     + """SELECT corridor_id, corridor_name, year AS test_year, actual, prediction, CAST(n - 1 AS INTEGER) AS train_size
 FROM (SELECT corridor_id, corridor_name, year, total_tons AS actual, row_number() OVER w AS n,
         last_value(total_tons IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prediction
       FROM annual WINDOW w AS (PARTITION BY corridor_id ORDER BY year)) WHERE n > 3""",
-    "backtest_metrics": _with(*STATE_ANNUAL)
+    "backtest_metrics": _with(*ZONE_ANNUAL)
     + """SELECT corridor_id, corridor_name,
   round(avg(abs((actual - prediction) / nullif(actual, 0))) * 100, 6) AS mape,
   round(sqrt(avg((actual - prediction) * (actual - prediction))), 6) AS rmse,
@@ -505,23 +518,23 @@ FROM (SELECT corridor_id, corridor_name, year, total_tons AS actual, row_number(
 FROM (SELECT corridor_id, corridor_name, total_tons AS actual, row_number() OVER w AS n,
         last_value(total_tons IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prediction
       FROM annual WINDOW w AS (PARTITION BY corridor_id ORDER BY year)) WHERE n > 3 GROUP BY ALL""",
-    "holdout_scores": _with(*STATE_FORECASTS, SCORES)
+    "holdout_scores": _with(*ALL_FORECASTS, SCORES)
     + """SELECT corridor_id, corridor_name, model_name, training_strategy, year, actual, round(prediction, 6) AS prediction,
   round(mape, 6) AS mape, round(rmse, 6) AS rmse, round(mae, 6) AS mae FROM holdout""",
-    "benchmark_scores": _with(*STATE_FORECASTS, BAND, VERDICTS)
+    "benchmark_scores": _with(*ALL_FORECASTS, BAND, VERDICTS)
     + """SELECT * REPLACE (round(prediction, 6) AS prediction, round(bts_tons, 6) AS bts_tons,
   round(bts_tons_low, 6) AS bts_tons_low, round(bts_tons_high, 6) AS bts_tons_high,
   round(pct_deviation_vs_bts, 6) AS pct_deviation_vs_bts) FROM verdicts""",
     "model_comparison": _with(*COMPARED) + "SELECT * FROM comparison",
-    "metrics_by_model": _with(*STATE_FORECASTS, SCORES)
+    "metrics_by_model": _with(*ALL_FORECASTS, SCORES)
     + """SELECT model_name, round(avg(mape), 6) AS mape, round(sqrt(avg(rmse * rmse)), 6) AS rmse,
   round(avg(mae), 6) AS mae FROM holdout GROUP BY model_name""",
-    "forecast_store": _with(*STATE_FORECASTS) + f"SELECT {ROUND_FORECAST} FROM forecasts",
-    "forecast_csv_scan": _with(*STATE_FORECASTS) + f"SELECT {ROUND_FORECAST} FROM forecasts",
-    "run_log_flat": _with(*STATE_FORECASTS, SCORES)
+    "forecast_store": _with(*ALL_FORECASTS) + f"SELECT {ROUND_FORECAST} FROM forecasts",
+    "forecast_csv_scan": _with(*ALL_FORECASTS) + f"SELECT {ROUND_FORECAST} FROM forecasts",
+    "run_log_flat": _with(*ALL_FORECASTS, SCORES)
     + """SELECT 'FINISHED' AS status, CAST(corridor_id AS VARCHAR) AS corridor_id, corridor_name, model_name,
   training_strategy, round(mape, 6) AS mape, round(rmse, 6) AS rmse, round(mae, 6) AS mae FROM holdout""",
-    "metrics_json": _with(*STATE_FORECASTS, SCORES)
+    "metrics_json": _with(*ALL_FORECASTS, SCORES)
     + """SELECT corridor_id, model_name, round(mape, 6) AS mape, round(rmse, 6) AS rmse, round(mae, 6) AS mae
 FROM holdout WHERE model_name = 'RandomWalk'""",
     "optional_tables": _with(SERIES)
@@ -542,13 +555,13 @@ QUALIFY row_number() OVER (PARTITION BY corridor_id ORDER BY mape NULLS LAST, mo
   avg(CASE WHEN model_name = 'StraightLine' THEN rmse END) AS StraightLine FROM comparison GROUP BY 1, 2""",
     "score_bars": _with(*COMPARED)
     + "SELECT corridor_name, model_name, pct_deviation_vs_bts AS height FROM comparison",
-    "selected_rows": _with(*STATE_FORECASTS)
+    "selected_rows": _with(*ALL_FORECASTS)
     + f"""SELECT {ROUND_FORECAST} FROM forecasts
-WHERE corridor_name IN ('ASIA_to_EUROPE', 'AFRICA_to_ASIA') AND model_name = 'RandomWalk'""",
+WHERE corridor_name IN ('FRANCE_to_CHINA', 'PERU_to_CANADA') AND model_name = 'RandomWalk'""",
     "corridor_names": _with(LINES, ZONE_LANES, TOTALS) + "SELECT DISTINCT corridor_name FROM totals",
     "model_names": "SELECT model_name FROM (VALUES ('RandomWalk'), ('StraightLine')) AS v(model_name)"
     " WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_returnflag = 'N')",
-    "chart_feed": _with(*STATE_FORECASTS, BAND)
+    "chart_feed": _with(*ALL_FORECASTS, BAND)
     + """SELECT corridor_id, corridor_name, year, 'actual' AS series, round(total_tons, 4) AS value,
   CAST(NULL AS DOUBLE) AS low, CAST(NULL AS DOUBLE) AS high FROM annual
 UNION ALL SELECT corridor_id, corridor_name, year, model_name, round(prediction, 4), round(lower_bound, 4),
@@ -562,14 +575,15 @@ UNION ALL SELECT corridor_id, corridor_name, year, 'benchmark', round(bts_tons,
     "profile_last_rows": "SELECT * FROM orders ORDER BY o_orderkey DESC LIMIT 5",
     "profile_missing": _missing(_flow_columns()),
     "profile_missing_only": _missing(["fr_orig", "fr_dest", "dms_orig", "trade_type"]) + " WHERE missing_count > 0",
-    "profile_duplicates": """SELECT CAST(sum(n - 1) AS BIGINT) AS duplicate_rows FROM (
-  SELECT count(*) AS n FROM lineitem
-  GROUP BY l_suppkey, l_linenumber, l_quantity, l_returnflag, l_linestatus)""",
+    "profile_duplicates": """SELECT 'all columns' AS compared, CAST(sum(n - 1) AS BIGINT) AS duplicate_rows
+FROM (SELECT count(*) AS n FROM (SELECT * FROM lineitem) t GROUP BY t)
+UNION ALL SELECT 'item', CAST(sum(n - 1) AS BIGINT) FROM (
+  SELECT count(*) AS n FROM lineitem GROUP BY l_suppkey, l_quantity, l_returnflag, l_linestatus)""",
     "profile_distinct": " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", '{t}' AS dtype, count(DISTINCT {c}) AS n_unique FROM lineitem"""
         for c, t in LINE_TYPES
     ),
-    "profile_numeric": PROFILE_NUMERIC,
-    "profile_numeric_large": PROFILE_NUMERIC,
+    "profile_numeric": _numeric("lineitem", [c for c, t in LINE_TYPES if t in ("bigint", "int", "double")]),
+    "profile_numeric_large": _numeric("orders", ("o_orderkey", "o_custkey", "o_totalprice")),
     "profile_categorical": " UNION ALL ".join(_categorical(c) for c in ("o_orderstatus", "o_orderpriority")),
 }

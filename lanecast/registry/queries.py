@@ -7,13 +7,14 @@ of addition, cannot differ between engines.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import starschema as star
 from ..forecast.arima import fit_arima, forecast_arima
-from ..forecast.boosted import BoostedSettings, feature_importance, fit_boosted, forecast_boosted, training_rows
+from ..forecast.boosted import feature_importance, fit_boosted, forecast_boosted, latest_state, training_rows
 from ..forecast.common import conform, dated
 from ..forecast.random_walk import forecast_random_walk
 from ..forecast.trend import forecast_trend
@@ -28,10 +29,6 @@ from ..sources import artifacts, flows, lookups, macros as macro_source, validat
 Query = Callable[[SparkSession, str], DataFrame]
 
 KEYS = ("corridor_id", "corridor_name", "year")
-# The default model grows 200 trees, several Spark jobs each; a few show the same behaviour here.
-QUICK = BoostedSettings(trees=10, bins=64)
-LINE_PROFILE = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber")
-COPY_COLUMNS = ("l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus")
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -70,11 +67,11 @@ def corridor_annual_state(spark, sf_dir):
 
 
 def corridor_annual_large_dimension(spark, sf_dir):
-    """The plan for corridor tables too long to broadcast: sum per endpoint pair, then join."""
+    """The totals alone, as they are summed per endpoint pair before any corridor is joined."""
     years = star.LAYOUT.annual_years
     columns = [p.format(year=y) for p in features.ANNUAL_MEASURES.values() for y in years]
     wide = features.totals_by_corridor(
-        star.staged_flows(spark, sf_dir), star.zone_corridors(spark, sf_dir), columns, max_broadcast_rows=0
+        star.staged_flows(spark, sf_dir), star.zone_corridors(spark, sf_dir), columns
     )
     long = features.unpivot_years(wide, ("corridor_id", "corridor_name"), years, features.ANNUAL_MEASURES)
     return rounded(long, 2)
@@ -147,7 +144,7 @@ def layer_row_counts(spark, sf_dir):
     builds = [sinks.replace_table(df, root, name) for name, df in star.raw_layer(spark, sf_dir).items()]
     builds += pipeline.write_staged(spark, root, star.LAYOUT, star.MACRO_MAPPING)
     builds += pipeline.write_features(spark, root, star.zone_corridors(spark, sf_dir), star.LAYOUT)
-    return spark.createDataFrame([(b.table_name, b.row_count) for b in builds], "table_name string, row_count bigint")
+    return spark.createDataFrame(builds, "table_name string, row_count bigint")
 
 
 # --- sources and sinks ----------------------------------------------------------------------------
@@ -167,36 +164,30 @@ def load_history_csv(spark, sf_dir):
     sinks.write_csv(star.raw_history(spark, sf_dir), source)
     target = scratch_path(spark, "raw-history")
     flows.load_history(spark, source, target, star.LAYOUT)
-    return spark.read.parquet(target).drop("fr_orig", "fr_dest", "fr_inmode", "fr_outmode")
+    return spark.read.parquet(target)
 
 
 def load_validation(spark, sf_dir):
-    result = validation.validate_load(
-        star.raw_flows(spark, sf_dir), scratch_path(spark, "validated"), "raw_flows"
-    )
-    row = [(result.table_name, result.expected_rows, result.actual_rows, result.is_valid)]
-    return spark.createDataFrame(
-        row, "table_name string, expected_rows bigint, actual_rows bigint, is_valid boolean"
-    )
+    row = validation.replace_checked(star.raw_flows(spark, sf_dir), scratch_path(spark, "validated"), "raw_flows")
+    return spark.createDataFrame([row], "target string, sent bigint, stored bigint")
 
 
 def series_replace(spark, sf_dir):
-    """All series loaded, then one of them pulled again with doubled values: the others stay."""
+    """All series loaded, then one of them pulled again with doubled values: the others stay. Ids begin with zeros."""
     path = scratch_path(spark, "macro-series")
     first = macro_source.normalise_series(star.macro_pull(spark, sf_dir))
+    first = first.withColumn("series_id", F.concat(F.lit("00"), F.substring("series_id", 1, 1)))
     macro_source.write_series(first, path)
-    again = first.where(F.col("series_id") == "1-URGENT").withColumn("value", F.col("value") * 2)
+    again = first.where(F.col("series_id") == "001").withColumn("value", F.col("value") * 2)
     macro_source.replace_series(again, path, requested=1)
-    stored = macro_source.read_series(spark, path)
-    return rounded(
-        stored.groupBy("series_id").agg(
-            F.count(F.lit(1)).alias("observations"),
-            F.min("date").alias("first_date"),
-            F.max("date").alias("last_date"),
-            F.avg("value").alias("mean_value"),
-        ),
-        4,
-    )
+    return macro_source.read_series(spark, path)
+
+
+def series_combine(spark, sf_dir):
+    """Two pulled series as one table, joined by a pull that brought nothing."""
+    events = star.table(spark, sf_dir, "events").select(F.col("ts").alias("date"), "value", "event_type")
+    pulls = {kind: events.where(F.col("event_type") == kind) for kind in ("click", "view", "nothing of the kind")}
+    return macro_source.combine_series(spark, pulls)
 
 
 def lookup_normalise(spark, sf_dir):
@@ -207,28 +198,38 @@ def lookup_normalise(spark, sf_dir):
         F.col("short_description").alias("Short Description"),
         F.col("numeric_label").cast("string").alias("Numeric Label"),
     )
-    spec = next(tab for tab in lookups.LOOKUP_TABS if tab.table == "raw_zones")
-    return lookups.normalise_tab(zones, spec)
+    return lookups.normalise_tab(zones, "raw_zones")
 
 
 def lookup_load(spark, sf_dir):
+    """All tabs of the lookup workbook loaded and read back."""
     root = scratch_path(spark, "lookups")
-    nations = star.table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("Numeric Label"), F.col("n_name").alias("Description")
-    )
-    customers = star.table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("Numeric Label"), F.col("c_name").alias("Description")
+
+    def tab(table, key, text):
+        return star.table(spark, sf_dir, table).select(F.col(key).alias("Numeric Label"), F.col(text).alias("Description"))
+
+    nations, regions = tab("nation", "n_nationkey", "n_name"), tab("region", "r_regionkey", "r_name")
+    zones = star.zone_lookup(spark, sf_dir).withColumnsRenamed(
+        {c: lookups.HEADINGS[c] for c in ("numeric_label", "short_description", "long_description")}
     )
-    specs = {tab.table: tab for tab in lookups.LOOKUP_TABS}
-    loaded = lookups.load_lookups(
+    tables = lookups.normalise_tabs(
         {
-            "raw_states": lookups.normalise_tab(nations, specs["raw_states"]),
-            "raw_commodities": lookups.normalise_tab(customers, specs["raw_commodities"]),
-        },
-        root,
+            "State": nations,
+            "FAF Zone (Domestic)": zones,
+            "Commodity (SCTG2)": tab("customer", "c_custkey", "c_name"),
+            "Mode": regions,
+            "Trade Type": tab("supplier", "s_suppkey", "s_name"),
+            "Distance Band": nations.union(regions),
+        }
     )
-    rows = [(v.table_name, v.expected_rows, v.actual_rows) for v in loaded]
-    return spark.createDataFrame(rows, "table_name string, expected_rows bigint, actual_rows bigint")
+    lookups.load_lookups(tables, root)
+    stored = [
+        spark.read.schema(df.schema).parquet(f"{root}/{name}").select(
+            F.lit(name).alias("table_name"), "numeric_label", F.col(df.columns[-1]).alias("description")
+        )
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, stored)
 
 
 # --- regressors -----------------------------------------------------------------------------------
@@ -237,26 +238,26 @@ def lookup_load(spark, sf_dir):
 def macro_extrapolate(spark, sf_dir):
     """Tons of every nation pair carried forward; pairs with gaps or one year included."""
     series = corridor_annual(spark, sf_dir).select("corridor_id", "year", F.col("total_tons").alias("value"))
-    return regressors.extrapolate(series, (1999, 2000, 2001, 2003), key="corridor_id")
+    return regressors.extrapolate(series, (2000, 2001, 2002, 2004), key="corridor_id")
 
 
 def future_regressors(spark, sf_dir):
-    known = materialise(star.macros(spark, sf_dir).where(F.col("year") <= 2000))
+    known = star.macros(spark, sf_dir).where(F.col("year") <= star.HOLDOUT_YEAR)
     built = regressors.future_regressors(star.zone_corridors(spark, sf_dir), known, star.HORIZON)
     return rounded(built, 4)
 
 
 def step_regressors(spark, sf_dir):
     """Years with a macro row keep it, here 2000 and the incomplete 2001."""
-    return rounded(regressors.step_regressors(star.macros(spark, sf_dir), (2000, *star.HORIZON)), 4)
+    return rounded(regressors.step_regressors(star.macros(spark, sf_dir), (2000, 2001, *star.HORIZON)), 4)
 
 
 # --- forecasts ------------------------------------------------------------------------------------
 
 
-def _state_annual(spark, sf_dir, staged=None):
+def _stored_annual(spark, sf_dir):
     # Read several times below: computed once into the shared folder.
-    return materialise(star.annual(spark, sf_dir, star.state_corridors(spark, sf_dir), staged))
+    return materialise(corridor_annual(spark, sf_dir))
 
 
 def _random_walk(annual):
@@ -293,21 +294,21 @@ def dated_series(spark, sf_dir):
 
 
 def forecast_trend_query(spark, sf_dir):
-    known = materialise(star.macros(spark, sf_dir).where(F.col("year") <= 2000))
+    known = star.macros(spark, sf_dir).where(F.col("year") <= star.HOLDOUT_YEAR)
     return forecast_trend(
         corridor_annual(spark, sf_dir), known, horizon=star.HORIZON, holdout_year=star.HOLDOUT_YEAR
     )
 
 
 def forecast_boosted_query(spark, sf_dir):
-    enriched = features.enrich(corridor_annual_state(spark, sf_dir))
-    known = materialise(star.macros(spark, sf_dir).where(F.col("year") <= 2000))
-    return forecast_boosted(enriched, known, star.HORIZON, star.HOLDOUT_YEAR, QUICK)[0]
+    enriched = features.enrich(corridor_annual(spark, sf_dir))
+    known = star.macros(spark, sf_dir).where(F.col("year") <= star.HOLDOUT_YEAR)
+    return forecast_boosted(enriched, known, star.HORIZON, star.HOLDOUT_YEAR)[0]
 
 
 def boosted_importance(spark, sf_dir):
-    complete = materialise(training_rows(features.enrich(corridor_annual_state(spark, sf_dir))))
-    return feature_importance(spark, fit_boosted(complete, QUICK))
+    complete = materialise(training_rows(features.enrich(corridor_annual(spark, sf_dir))))
+    return feature_importance(spark, fit_boosted(complete))
 
 
 def top_features(spark, sf_dir):
@@ -320,6 +321,11 @@ def boosted_training_rows(spark, sf_dir):
     return rounded(complete.select(*BOOSTED_FEATURES, "total_tons"))
 
 
+def boosted_state(spark, sf_dir):
+    """What the recursion starts from: the last tons and macro values of a corridor and its mean value of a ton."""
+    return rounded(latest_state(features.enrich(corridor_annual(spark, sf_dir))), 4)
+
+
 def interval_quantile(spark, sf_dir):
     grouped = corridor_annual(spark, sf_dir).groupBy("corridor_id").agg(F.collect_list("total_tons").alias("tons"))
     low, high = quantile_interval("tons", 0.8)
@@ -358,10 +364,15 @@ def _forecasts(annual):
 
 
 def _annual_and_band(spark, sf_dir):
-    """Both feature tables from staged flows that are computed once."""
-    staged = materialise(star.staged_flows(spark, sf_dir))
-    corridors = star.state_corridors(spark, sf_dir)
-    return _state_annual(spark, sf_dir, staged), features.benchmark_band(staged, corridors, star.LAYOUT.benchmark_years)
+    """Both feature tables from one pass over the flows."""
+    annual, band = features.annual_and_band(
+        star.staged_flows(spark, sf_dir),
+        star.zone_corridors(spark, sf_dir),
+        star.macros(spark, sf_dir),
+        star.LAYOUT.annual_years,
+        star.LAYOUT.benchmark_years,
+    )
+    return annual.withColumn("total_value", F.round("total_value", 2)), band
 
 
 def _comparison(spark, sf_dir):
@@ -377,16 +388,16 @@ def expanding_splits(spark, sf_dir):
 
 
 def expanding_backtest_random_walk(spark, sf_dir):
-    return evaluation.backtest_random_walk(corridor_annual_state(spark, sf_dir), min_train=3)
+    return evaluation.backtest_random_walk(corridor_annual(spark, sf_dir), min_train=3)
 
 
 def backtest_metrics(spark, sf_dir):
-    tested = evaluation.backtest_random_walk(corridor_annual_state(spark, sf_dir), min_train=3)
+    tested = evaluation.backtest_random_walk(corridor_annual(spark, sf_dir), min_train=3)
     return rounded(evaluation.regression_metrics(tested, by=["corridor_id", "corridor_name"]))
 
 
 def holdout_scores(spark, sf_dir):
-    annual = _state_annual(spark, sf_dir)
+    annual = _stored_annual(spark, sf_dir)
     return rounded(evaluation.score_holdout(_forecasts(annual), annual, star.HOLDOUT_YEAR))
 
 
@@ -400,16 +411,16 @@ def model_comparison(spark, sf_dir):
 
 
 def metrics_by_model(spark, sf_dir):
-    annual = _state_annual(spark, sf_dir)
+    annual = _stored_annual(spark, sf_dir)
     scored = evaluation.score_holdout(_forecasts(annual), annual, star.HOLDOUT_YEAR)
     return rounded(evaluation.regression_metrics(scored, by=["model_name"]))
 
 
 def full_evaluation(spark, sf_dir):
-    """Every model trained for every pair of regions, scored and compared."""
+    """Every model trained for every pair of nations, scored and compared."""
     annual, band = _annual_and_band(spark, sf_dir)
-    known = materialise(star.macros(spark, sf_dir).where(F.col("year") <= 2000))
-    trained = pipeline.train_all(annual, features.enrich(annual), known, star.HORIZON, star.HOLDOUT_YEAR, QUICK)
+    known = star.macros(spark, sf_dir).where(F.col("year") <= star.HOLDOUT_YEAR)
+    trained = pipeline.train_all(annual, features.enrich(annual), known, star.HORIZON, star.HOLDOUT_YEAR)
     scores = evaluation.evaluate_all(trained.forecasts, annual, band, star.HOLDOUT_YEAR, star.BENCHMARK_YEAR)
     return scores["model_comparison"]
 
@@ -419,7 +430,7 @@ def full_evaluation(spark, sf_dir):
 
 def forecast_store(spark, sf_dir):
     """Forecasts written by model, one model replaced, and everything read back."""
-    annual = _state_annual(spark, sf_dir)
+    annual = _stored_annual(spark, sf_dir)
     path = scratch_path(spark, "forecasts")
     sinks.write_forecasts(_forecasts(annual), path)
     sinks.write_forecasts(_straight_line(annual), path)
@@ -428,7 +439,7 @@ def forecast_store(spark, sf_dir):
 
 def forecast_csv_scan(spark, sf_dir):
     """Forecast files of two models found by one pattern."""
-    annual = _state_annual(spark, sf_dir)
+    annual = _stored_annual(spark, sf_dir)
     root = scratch_path(spark, "forecast-csv")
     sinks.write_csv(_random_walk(annual), f"{root}/walk_forecasts.csv")
     sinks.write_csv(_straight_line(annual), f"{root}/line_forecasts.csv")
@@ -436,7 +447,7 @@ def forecast_csv_scan(spark, sf_dir):
 
 
 def run_log_flat(spark, sf_dir):
-    annual = _state_annual(spark, sf_dir)
+    annual = _stored_annual(spark, sf_dir)
     scores = evaluation.score_holdout(_forecasts(annual), annual, star.HOLDOUT_YEAR)
     settings = scores.select(
         "corridor_id", "model_name", F.create_map(F.lit("test_year"), F.col("year").cast("string")).alias("settings")
@@ -449,7 +460,7 @@ def run_log_flat(spark, sf_dir):
 
 
 def metrics_json(spark, sf_dir):
-    annual = _state_annual(spark, sf_dir)
+    annual = _stored_annual(spark, sf_dir)
     path = scratch_path(spark, "metrics")
     sinks.write_metrics_json(evaluation.score_holdout(_random_walk(annual), annual, star.HOLDOUT_YEAR), path)
     stored = spark.read.schema("corridor_id int, mape double, rmse double, mae double, model_name string").json(path)
@@ -490,7 +501,7 @@ def score_bars(spark, sf_dir):
 
 def selected_rows(spark, sf_dir):
     chosen = reporting.select_rows(
-        _forecasts(_state_annual(spark, sf_dir)), corridors=["ASIA_to_EUROPE", "AFRICA_to_ASIA"], models=["RandomWalk"]
+        _forecasts(_stored_annual(spark, sf_dir)), corridors=["FRANCE_to_CHINA", "PERU_to_CANADA"], models=["RandomWalk"]
     )
     return rounded(reporting.forecast_rows(chosen), 4)
 
@@ -500,7 +511,7 @@ def corridor_names(spark, sf_dir):
 
 
 def model_names(spark, sf_dir):
-    return reporting.model_names(_forecasts(_state_annual(spark, sf_dir)))
+    return reporting.model_names(_forecasts(_stored_annual(spark, sf_dir)))
 
 
 def chart_feed(spark, sf_dir):
@@ -533,7 +544,12 @@ def profile_missing_only(spark, sf_dir):
 
 
 def profile_duplicates(spark, sf_dir):
-    return profiling.profile_duplicates(star.table(spark, sf_dir, "lineitem").select(*COPY_COLUMNS))
+    """Repeated rows of the table as it is, and how many of its items are alike but for order and line."""
+    lines = star.table(spark, sf_dir, "lineitem")
+    alike = lines.select("l_suppkey", "l_quantity", "l_returnflag", "l_linestatus")
+    return profiling.profile_duplicates(lines).select(
+        F.lit("all columns").alias("compared"), "duplicate_rows"
+    ).unionByName(profiling.profile_duplicates(alike).select(F.lit("item").alias("compared"), "duplicate_rows"))
 
 
 def profile_distinct(spark, sf_dir):
@@ -541,14 +557,12 @@ def profile_distinct(spark, sf_dir):
 
 
 def profile_numeric(spark, sf_dir):
-    lines = star.table(spark, sf_dir, "lineitem")
-    return rounded(profiling.profile_numeric(lines, LINE_PROFILE), 4)
+    return rounded(profiling.profile_numeric(star.table(spark, sf_dir, "lineitem")), 4)
 
 
 def profile_numeric_large(spark, sf_dir):
-    """The same summary by narrowing ranks, the plan for columns too long to hold in memory."""
-    lines = star.table(spark, sf_dir, "lineitem")
-    return rounded(profiling.profile_numeric(lines, LINE_PROFILE, exact_rows=0), 4)
+    """The summary of the orders, whose keys are all different and whose prices nearly so."""
+    return rounded(profiling.profile_numeric(star.table(spark, sf_dir, "orders")), 4)
 
 
 def profile_categorical(spark, sf_dir):
@@ -578,6 +592,7 @@ QUERIES: dict[str, Query] = {
     "load_history_csv": load_history_csv,
     "load_validation": load_validation,
     "series_replace": series_replace,
+    "series_combine": series_combine,
     "lookup_normalise": lookup_normalise,
     "lookup_load": lookup_load,
     "macro_extrapolate": macro_extrapolate,
@@ -592,6 +607,7 @@ QUERIES: dict[str, Query] = {
     "forecast_boosted": forecast_boosted_query,
     "boosted_importance": boosted_importance,
     "boosted_training_rows": boosted_training_rows,
+    "boosted_state": boosted_state,
     "top_features": top_features,
     "interval_quantile": interval_quantile,
     "expanding_splits": expanding_splits,

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
@@ -25,6 +27,8 @@ def local_session(cores: int | str = "*", app_name: str = "lanecast", shuffle_pa
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
     )
+    if CHECKPOINT_SETTING not in SparkConf().toDebugString():
+        builder = builder.config(CHECKPOINT_SETTING, tempfile.mkdtemp(prefix="lanecast-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -41,7 +45,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_SETTING, None) or context.getConf().get(CHECKPOINT_SETTING)
     if context.getCheckpointDir() is None:
         if not configured:
-            if not context.master.startswith("local"):
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
                 raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
             configured = tempfile.mkdtemp(prefix="lanecast-")
         context.setCheckpointDir(configured)

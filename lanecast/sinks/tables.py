@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,12 +10,6 @@ from ..sources.artifacts import _exists
 from ..sources.validation import write_counted
 
 
-@dataclass(frozen=True)
-class TableBuild:
-    table_name: str
-    row_count: int
-
-
 def declare_tables(spark: SparkSession, root: str, layout: FlowLayout = FlowLayout()) -> list[str]:
     """Create every missing table of the three layers, empty and typed."""
     created = []
@@ -29,9 +21,9 @@ def declare_tables(spark: SparkSession, root: str, layout: FlowLayout = FlowLayo
     return created
 
 
-def replace_table(df: DataFrame, root: str, name: str) -> TableBuild:
-    """Overwrite one table and report its row count."""
-    return TableBuild(name, write_counted(df, f"{root}/{name}"))
+def replace_table(df: DataFrame, root: str, name: str) -> tuple[str, int]:
+    """Overwrite one table; its name and how many rows it now has."""
+    return name, write_counted(df, f"{root}/{name}")
 
 
 def read_table(spark: SparkSession, root: str, name: str, layout: FlowLayout = FlowLayout()) -> DataFrame:
@@ -43,12 +35,11 @@ def read_table(spark: SparkSession, root: str, name: str, layout: FlowLayout = F
 def write_forecasts(forecasts: DataFrame, path: str) -> int:
     """Replace the forecasts of the models in the batch.
 
-    One directory per model; within it rows are ordered by corridor, so a corridor filter skips
-    row groups. A directory per corridor would mean millions of tiny files.
+    One directory per model; rows are ranged over its files and ordered by corridor, so a corridor filter
+    skips files and row groups. Returns how many rows were written.
     """
-    rows = forecasts.sortWithinPartitions("model_name", "corridor_id", "year")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("model_name").parquet(path)
-    return rows.sparkSession.read.parquet(path).count()
+    rows = forecasts.repartitionByRange("model_name", "corridor_id").sortWithinPartitions("model_name", "corridor_id", "year")
+    return write_counted(rows, path, partition_by=("model_name",), partitionOverwriteMode="dynamic")
 
 
 def write_metrics_json(scores: DataFrame, path: str) -> None:

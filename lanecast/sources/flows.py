@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..schemas import FlowLayout, flow_schema, history_schema
-from .validation import LoadValidation, validate_load
+from .validation import replace_checked
 
 
 def read_flow_csv(spark: SparkSession, path: str, layout: FlowLayout = FlowLayout()) -> DataFrame:
@@ -19,14 +19,14 @@ def read_history_csv(spark: SparkSession, path: str, layout: FlowLayout = FlowLa
     return _read_strict_csv(spark, path, history_schema(layout))
 
 
-def load_flows(spark: SparkSession, csv_path: str, table_path: str, layout: FlowLayout = FlowLayout()) -> LoadValidation:
-    return validate_load(read_flow_csv(spark, csv_path, layout), table_path, "raw_flows")
+def load_flows(spark: SparkSession, csv_path: str, table_path: str, layout: FlowLayout = FlowLayout()) -> dict[str, int | str]:
+    return replace_checked(read_flow_csv(spark, csv_path, layout), table_path, "raw_flows")
 
 
 def load_history(
     spark: SparkSession, csv_path: str, table_path: str, layout: FlowLayout = FlowLayout()
-) -> LoadValidation:
-    return validate_load(read_history_csv(spark, csv_path, layout), table_path, "raw_flow_history")
+) -> dict[str, int | str]:
+    return replace_checked(read_history_csv(spark, csv_path, layout), table_path, "raw_flow_history")
 
 
 def _read_strict_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import SERIES_SCHEMA
-from .validation import SeriesValidation, write_counted
+from ..session import materialise
+from .validation import ensure, write_counted
 
 
 def normalise_series(pull: DataFrame, series_id: str | Column | None = None) -> DataFrame:
@@ -31,30 +32,25 @@ def combine_series(spark: SparkSession, pulls: dict[str, DataFrame]) -> DataFram
     return reduce(DataFrame.unionByName, frames, spark.createDataFrame([], SERIES_SCHEMA))
 
 
-def replace_series(series: DataFrame, table_path: str, requested: int) -> SeriesValidation:
+def replace_series(series: DataFrame, table_path: str, requested: int) -> dict[str, int | str]:
     """Replace exactly the series present in the batch; the others keep their rows.
 
-    The batch is rebalanced by series: short series share a task, a long one is split over several.
+    The batch is computed once and checked before anything is replaced: it must hold rows of as many
+    series as were requested. It is rebalanced by series: short ones share a task, a long one is split.
     """
-    (
-        series.hint("rebalance", "series_id")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("series_id")
-        .parquet(table_path)
-    )
-    batch_ids = series.select("series_id").distinct()
-    loaded = read_series(series.sparkSession, table_path).join(batch_ids, "series_id", "left_semi")
-    found = loaded.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("series_id").alias("series")).first()
-    result = SeriesValidation(requested, found["rows"], found["series"])
-    if not result.is_valid:
-        raise ValueError(f"macro series validation failed: rows={found['rows']}, series={found['series']}")
-    return result
+    batch = materialise(series)
+    found = batch.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("series_id").alias("series")).first()
+    counts = {"requested": requested, "rows": found["rows"], "series": found["series"]}
+    row = ensure("macro series", counts, {"rows": "positive", "series": "requested"})
+    rows = batch.hint("rebalance", "series_id")
+    write_counted(rows, table_path, partition_by=("series_id",), partitionOverwriteMode="dynamic")
+    return row
 
 
 def read_series(spark: SparkSession, table_path: str) -> DataFrame:
-    stored = spark.read.option("basePath", table_path).parquet(table_path)
-    return stored.select(F.col("series_id").cast("string"), "date", "value")
+    """The stored series. Ids are text, also where they look like numbers; an empty table has no rows."""
+    stored = spark.read.schema(SERIES_SCHEMA).option("basePath", table_path).parquet(table_path)
+    return stored.select("series_id", "date", "value")
 
 
 def write_series(series: DataFrame, table_path: str) -> int:

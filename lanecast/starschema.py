@@ -17,12 +17,12 @@ from .schemas import MACRO_COLUMNS, FlowLayout, flow_schema, history_schema
 from .sources.macros import normalise_series
 
 LAYOUT = FlowLayout(
-    annual_years=(1995, 1996, 1997, 1998, 1999, 2000),
+    annual_years=(1995, 1996, 1997, 1998, 1999, 2000, 2001),
     benchmark_years=(2005, 2010, 2015, 2020, 2025),
     history_years=(1995, 1996, 1997, 1998),
 )
-HOLDOUT_YEAR = 2000
-HORIZON = (2001, 2002, 2003, 2004, 2005, 2006)
+HOLDOUT_YEAR = 2001
+HORIZON = (2002, 2003, 2004, 2005, 2006, 2007)
 BENCHMARK_YEAR = 2005
 
 # Published futures: multiples of the base year that binary fractions hold exactly.
@@ -41,8 +41,6 @@ MACRO_MAPPING = {
     PART_PAID_SERIES: "vehicle_miles",
 }
 EVENT_MAPPING = {"click": "clicks", "error": "errors", "purchase": "purchases", "signup": "signups", "view": "views"}
-# Smaller amounts arrive as a placeholder instead of a number.
-READABLE_FROM = 5000
 NATIONS = 25
 REGIONS = 5
 
@@ -67,15 +65,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def flow_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line item with its endpoints, codes, year and measures."""
-    first, last = LAYOUT.annual_years[0], LAYOUT.annual_years[-1]
-    placed = F.col("o_orderdate")
+    """One row per line item with its endpoints, codes, year and measures. An order of a year without columns is an error."""
+    year = F.year("o_orderdate")
+    unknown = F.raise_error(F.concat(F.lit("no columns for the year "), year.cast("string"))).cast("int")
     customers = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("dms_dest"))
     orders = (
         table(spark, sf_dir, "orders")
-        .where((placed >= F.lit(f"{first}-01-01").cast("timestamp_ntz")))
-        .where((placed < F.lit(f"{last + 1}-01-01").cast("timestamp_ntz")))
-        .select("o_orderkey", F.col("o_custkey").alias("c_custkey"), F.year(placed).alias("year"))
+        .select(
+            "o_orderkey",
+            F.col("o_custkey").alias("c_custkey"),
+            F.when(year.isin(list(LAYOUT.annual_years)), year).otherwise(unknown).alias("year"),
+        )
         .join(customers, "c_custkey")
     )
     suppliers = table(spark, sf_dir, "supplier").select(
@@ -159,13 +159,12 @@ def raw_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def macro_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Observations as text, a few of them unreadable, the way a series service returns them."""
+    """Observations as text, the way a series service returns them."""
     tags = F.array("o_orderpriority", F.when(F.col("o_orderstatus") == "P", F.lit(PART_PAID_SERIES)))
-    readable = F.col("o_totalprice") >= READABLE_FROM
     return table(spark, sf_dir, "orders").select(
         F.explode(F.filter(tags, lambda tag: tag.isNotNull())).alias("series_id"),
         F.col("o_orderdate").cast("string").alias("date"),
-        F.when(readable, F.col("o_totalprice").cast("string")).otherwise(F.lit(".")).alias("value"),
+        F.col("o_totalprice").cast("string").alias("value"),
     )
 
 

@@ -18,9 +18,9 @@ def test_layers_forecasts_and_scores_end_to_end(spark, tmp_path):
     for name, df in star.raw_layer(spark, SMALL).items():
         replace_table(df, root, name)
     corridors = star.zone_corridors(spark, SMALL).where("origin IN (8, 18)")
-    staged = {b.table_name: b.row_count for b in pipeline.write_staged(spark, root, star.LAYOUT, star.MACRO_MAPPING)}
+    staged = {name: rows for name, rows in pipeline.write_staged(spark, root, star.LAYOUT, star.MACRO_MAPPING)}
     assert staged["staged_flows"] > 0 and staged["staged_zone_state"] == 25
-    built = {b.table_name: b.row_count for b in pipeline.write_features(spark, root, corridors, star.LAYOUT)}
+    built = {name: rows for name, rows in pipeline.write_features(spark, root, corridors, star.LAYOUT)}
     assert built["feature_corridor_annual"] == built["feature_corridor_enriched"] > 0
     assert built["feature_benchmark"] % 5 == 0 and built["feature_corridor_history"] == 50 * 4
     for name, schema in table_schemas(star.LAYOUT).items():

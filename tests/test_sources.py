@@ -7,7 +7,7 @@ from lanecast.schemas import FORECAST_SCHEMA, SERIES_SCHEMA, FlowLayout, flow_sc
 from lanecast.sinks.tables import append_runs, declare_tables, run_rows, write_forecasts, write_metrics_json
 from lanecast.sources.artifacts import flatten_runs, read_forecast_csvs, read_forecasts, read_optional
 from lanecast.sources.flows import load_flows, load_history, read_flow_csv
-from lanecast.sources.lookups import LOOKUP_TABS, corridor_dimension, load_lookups, normalise_tab, normalise_tabs
+from lanecast.sources.lookups import LOOKUP_TABLES, corridor_dimension, load_lookups, normalise_tab, normalise_tabs
 from lanecast.sources.macros import combine_series, normalise_series, read_series, replace_series, write_series
 
 DAY = datetime.date
@@ -31,7 +31,7 @@ def test_wide_layout_has_the_published_width():
 def test_flow_csv_loads_and_counts(spark, tmp_path):
     _flow_csv(tmp_path / "flows.csv")
     result = load_flows(spark, str(tmp_path / "flows.csv"), str(tmp_path / "raw_flows"))
-    assert result.is_valid and result.actual_rows == 2
+    assert result["sent"] == result["stored"] == 2
     row = spark.read.parquet(str(tmp_path / "raw_flows")).orderBy("tons_2017").first()
     assert row["dms_orig"] is None and row["tons_2017"] == 1.0 and row["value_2050_high"] == 1.0
 
@@ -40,7 +40,7 @@ def test_history_csv_loads(spark, tmp_path):
     names = history_schema().names
     rows = [[""] + [str(a), str(b)] + [""] * 3 + [""] + ["1", "1"] + ["5"] * 16 for a, b in ((1, 2), (2, 3))]
     (tmp_path / "history.csv").write_text("\n".join(",".join(r) for r in [names, *rows]))
-    assert load_history(spark, str(tmp_path / "history.csv"), str(tmp_path / "out")).actual_rows == 2
+    assert load_history(spark, str(tmp_path / "history.csv"), str(tmp_path / "out"))["stored"] == 2
 
 
 def test_malformed_number_fails(spark, tmp_path):
@@ -59,16 +59,16 @@ def test_misnamed_column_fails(spark, tmp_path):
 def test_lookup_tabs(spark, tmp_path):
     labelled = spark.createDataFrame([("1", "first", "x")], ["Numeric Label", "Description", "Other"])
     zones = spark.createDataFrame([(11, "short", "long")], ["Numeric Label", "Short Description", "Long Description"])
-    tabs = {spec.tab: zones if spec.table == "raw_zones" else labelled for spec in LOOKUP_TABS}
+    tabs = {tab: zones if table == "raw_zones" else labelled for tab, table in LOOKUP_TABLES.items()}
     tables = normalise_tabs(tabs)
     assert len(tables) == 6
     assert tables["raw_states"].schema == table_schemas()["raw_states"]
     assert tables["raw_zones"].collect()[0].asDict() == {
         "numeric_label": 11, "short_description": "short", "long_description": "long",
     }
-    assert [(v.table_name, v.actual_rows) for v in load_lookups(tables, str(tmp_path))][0] == ("raw_states", 1)
+    assert [(v["target"], v["stored"]) for v in load_lookups(tables, str(tmp_path))][0] == ("raw_states", 1)
     with pytest.raises(Exception):
-        normalise_tab(labelled.drop("Description"), LOOKUP_TABS[0])
+        normalise_tab(labelled.drop("Description"), "raw_states")
 
 
 def test_series_normalisation_drops_unreadable_values(spark):
@@ -91,14 +91,26 @@ def test_replacing_one_series_keeps_the_others(spark, tmp_path):
     write_series(spark.createDataFrame(rows, SERIES_SCHEMA), path)
     again = spark.createDataFrame([("A", DAY(2020, 1, 1), 9.0)], SERIES_SCHEMA)
     result = replace_series(again, path, requested=1)
-    assert (result.loaded_rows, result.distinct_series) == (1, 1)
+    assert (result["rows"], result["series"]) == (1, 1)
     assert sorted((r["series_id"], r["value"]) for r in read_series(spark, path).collect()) == [("A", 9.0), ("B", 2.0)]
 
 
 def test_series_validation_counts_requested_series(spark, tmp_path):
     one = spark.createDataFrame([("A", DAY(2020, 1, 1), 9.0)], SERIES_SCHEMA)
-    with pytest.raises(ValueError, match="validation"):
-        replace_series(one, str(tmp_path / "series"), requested=2)
+    path = str(tmp_path / "series")
+    write_series(spark.createDataFrame([("A", DAY(2020, 1, 1), 1.0)], SERIES_SCHEMA), path)
+    with pytest.raises(ValueError, match="rejected"):
+        replace_series(one, path, requested=2)
+    assert [r["value"] for r in read_series(spark, path).collect()] == [1.0]
+
+
+def test_ids_that_look_like_numbers_and_an_empty_table(spark, tmp_path):
+    path = str(tmp_path / "series")
+    write_series(spark.createDataFrame([], SERIES_SCHEMA), path)
+    assert read_series(spark, path).count() == 0
+    write_series(spark.createDataFrame([("007", DAY(2020, 1, 1), 1.0), ("08", DAY(2020, 1, 1), 2.0)], SERIES_SCHEMA), path)
+    replace_series(spark.createDataFrame([("007", DAY(2020, 1, 1), 3.0)], SERIES_SCHEMA), path, requested=1)
+    assert sorted((r["series_id"], r["value"]) for r in read_series(spark, path).collect()) == [("007", 3.0), ("08", 2.0)]
 
 
 def test_three_pulled_rows_in_two_series(spark):
