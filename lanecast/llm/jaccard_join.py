@@ -26,10 +26,10 @@ from lanecast.session import materialise
 
 #: Further partitionings for sets that leave partitions empty; the last one also signs empty subsets.
 SEEDS = 4
-#: The members of a larger bucket sign anew before any pairs are formed.
-WIDE_BUCKET = 32
-#: (parts, spare) of those further signatures, each with larger subsets than the one before.
-FINER = ((5, 2), (8, 3), (9, 4))
+#: The members of a larger bucket sign anew before any pairs are formed, so many times at most.
+WIDE_BUCKET, LEVELS = 12, 1
+#: Sets that are looked at for shingles common among the members of wide buckets, and the most such shingles.
+COMMON_SAMPLE, COMMON_SHINGLES = 4000, 200_000
 
 
 @dataclass(frozen=True)
@@ -41,6 +41,8 @@ class JaccardSettings:
     ratio: float = 1.5
     parts: int = 2
     spare: int = 1
+    #: Groups beyond those that the bound asks for, so that sets with some empty partitions keep a margin.
+    slack: float = 1.05
 
 
 @lru_cache(maxsize=None)
@@ -61,14 +63,22 @@ def band_of(size: int, settings: JaccardSettings) -> list[tuple[int, int]]:
             for band in ((at, at - 1) if at and smallest < bounds[at] else (at,))]
 
 
-def signatures(shingles: np.ndarray, settings: JaccardSettings) -> np.ndarray:
-    """The PartEnum signatures of a set of 64-bit shingles.
+def signatures(shingles: np.ndarray, settings: JaccardSettings, common: np.ndarray | None = None) -> np.ndarray:
+    """The PartEnum signatures of a set of sorted 64-bit shingles.
 
     A subset without elements would be shared by unrelated sets, so it is skipped. That is safe while more than
     k / (k2 + 1) groups have k2 + 1 filled partitions; a set without that margin signs again under the next seed, and
     under the last one with its empty subsets.
+
+    With ``common``, shingles that are the same for all sets, every other shingle is a partition of its own. A partner
+    without any of these differs in all of them, so only a set that has few of them signs on the whole domain too.
     """
     out = []
+    if common is not None:
+        rare = shingles[~np.isin(shingles, common, assume_unique=True)]
+        out.append(mix(rare ^ np.uint64(SEEDS)))
+        if len(rare) > len(shingles) * (100 - settings.percent) // settings.percent:
+            return out[0]
     for band, k in band_of(len(shingles), settings):
         for seed in range(SEEDS):
             found, safe = _signed(shingles, band, k, seed, settings, seed == SEEDS - 1)
@@ -78,43 +88,49 @@ def signatures(shingles: np.ndarray, settings: JaccardSettings) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
-def _signed(shingles, band, k, seed, settings, sign_empty) -> tuple[np.ndarray, bool]:
-    tag = mix(np.array([band * SEEDS + seed], np.uint64))[0]
-    mixed = np.sort(mix(shingles ^ tag)) if seed else shingles
-    with np.errstate(over="ignore"):
-        values = mix(mixed)
-        if k == 0:
-            return mix(np.array([values.sum() ^ tag], np.uint64)), True
-        parts, spare = settings.parts, settings.spare
-        groups = math.ceil((k + 1) / (spare + 1) * 1.05) + 1
-        place = ((mixed >> np.uint64(32)) * np.uint64(groups * parts)) >> np.uint64(32)
-        first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-        sums = np.zeros(groups * parts, np.uint64)
-        filled = np.zeros(groups * parts, bool)
-        at = place[first].astype(np.int64)
-        sums[at], filled[at] = np.add.reduceat(values, first), True
-        sums, filled = sums.reshape(groups, parts), filled.reshape(groups, parts)
-        safe = int((filled.sum(axis=1) > spare).sum()) * (spare + 1) > k
-        out = []
-        for number, subset in enumerate(combinations(range(parts), parts - spare)):
-            names = np.arange(groups, dtype=np.uint64) * np.uint64(64) + np.uint64(number)
-            total = mix(names ^ tag)
-            for part in subset:
-                total = mix(total + sums[:, part])
-            out.append(total[slice(None) if sign_empty and not safe else filled[:, list(subset)].any(axis=1)])
-    return np.concatenate(out), safe
+@lru_cache(maxsize=None)
+def _names(band: int, seed: int, groups: int, number: int) -> np.ndarray:
+    return mix(mix(np.arange(groups, dtype=np.uint64) * np.uint64(256) + np.uint64(number)) ^ np.uint64(band * 64 + seed))
 
 
-def shingle_set(hashes: np.ndarray, words: int) -> np.ndarray:
-    """Distinct shingles of a text given as word hashes; a shorter text is one shingle, none has none."""
-    if not len(hashes):
-        return np.zeros(0, np.uint64)
-    return np.unique(window_hashes(hashes, min(words, len(hashes))))
+def _signed(shingles, band, k, seed, settings, sign_empty) -> tuple[np.ndarray, bool]:
+    if seed:
+        shingles = np.sort(mix(shingles ^ np.uint64(seed * 0x9E3779B97F4A7C15 & (2**64 - 1))))
+    values = mix(shingles)
+    if k == 0:
+        return mix(values.sum(keepdims=True) ^ _names(band, seed, 1, 255)), True
+    parts, spare = settings.parts, settings.spare
+    groups = math.ceil((k + 1) / (spare + 1) * settings.slack) + 1
+    place = (((shingles >> np.uint64(32)) * np.uint64(groups * parts)) >> np.uint64(32)).astype(np.int64)
+    first = np.flatnonzero(place[1:] != place[:-1]) + 1
+    first = np.concatenate([[0], first])
+    at = place[first]
+    sums = np.zeros(groups * parts, np.uint64)
+    filled = np.zeros(groups * parts, bool)
+    sums[at], filled[at] = np.add.reduceat(values, first), True
+    sums, filled = sums.reshape(groups, parts), filled.reshape(groups, parts)
+    safe = int((filled.sum(axis=1) > spare).sum()) * (spare + 1) > k
+    out = []
+    for number, subset in enumerate(combinations(range(parts), parts - spare)):
+        keep = np.arange(groups) if sign_empty and not safe else np.flatnonzero(filled[:, subset].any(axis=1))
+        total = _names(band, seed, groups, number)[keep]
+        for part in subset:
+            total = mix(total + sums[keep, part])
+        out.append(total)
+    return np.concatenate(out), safe
 
 
-def _sets(texts: list, words: int, cache) -> Iterator[np.ndarray]:
-    for text in texts:
-        yield shingle_set(looked_up(cache, text.lower().split(), np.uint64), words)
+def shingle_sets(texts: list[bytes], words: int, cache) -> Iterator[np.ndarray]:
+    """Distinct shingles of each text, sorted; a shorter text is one shingle as a whole, one without words has none."""
+    split = [text.lower().split() for text in texts]
+    hashes = looked_up(cache, [word for text in split for word in text], np.uint64)
+    shingles, begin = window_hashes(hashes, words), 0
+    for text in split:
+        end = begin + len(text)
+        found = shingles[begin : end - words + 1] if len(text) >= words else window_hashes(hashes[begin:end], len(text) or 1)
+        found = np.sort(found)
+        yield found[np.concatenate([[True], found[1:] != found[:-1]])] if len(found) > 1 else found
+        begin = end
 
 
 def _sign_documents(settings: JaccardSettings):
@@ -129,13 +145,12 @@ def _sign_documents(settings: JaccardSettings):
         texts = text_bytes(batch)
         for begin, end in pieces(texts):
             sizes, nodes, marks, owners, seen = [], [], [], [], set()
-            for at, shingles in enumerate(_sets(texts[begin:end], settings.words, cache)):
+            for at, shingles in enumerate(shingle_sets(texts[begin:end], settings.words, cache)):
                 sizes.append(len(shingles))
                 if not len(shingles):
                     nodes.append(None)
                     continue
-                with np.errstate(over="ignore"):
-                    node = int(as_signed(mix(np.array([mix(shingles).sum() + np.uint64(len(shingles))], np.uint64)))[0])
+                node = int(as_signed(mix(mix(shingles).sum(keepdims=True) + np.uint64(len(shingles))))[0])
                 nodes.append(node)
                 if node not in seen:
                     seen.add(node)
@@ -171,7 +186,7 @@ def _set_of_text(settings: JaccardSettings):
     def transform(batch: pa.RecordBatch) -> Iterator[dict]:
         texts = text_bytes(batch)
         for begin, end in pieces(texts):
-            sets = list(_sets(texts[begin:end], settings.words, cache))
+            sets = list(shingle_sets(texts[begin:end], settings.words, cache))
             yield {
                 "node": batch.column(batch.schema.get_field_index("node"))[begin:end],
                 "shingles": lists(as_signed(np.concatenate(sets)), [len(s) for s in sets]),
@@ -180,12 +195,13 @@ def _set_of_text(settings: JaccardSettings):
     return transform
 
 
-def _marks_of_set(settings: JaccardSettings):
-    """Signatures of a stored set, under settings that enumerate larger subsets."""
+def _marks_of_set(settings: JaccardSettings, common):
+    """Signatures of a stored set, the shingles of the broadcast array ``common`` left out."""
 
     def transform(batch: pa.RecordBatch) -> Iterator[dict]:
-        sets = batch.column(batch.schema.get_field_index("shingles")).to_pylist()
-        found = [signatures(np.sort(np.array(s, np.int64).view(np.uint64)), settings) for s in sets]
+        column = batch.column(batch.schema.get_field_index("shingles"))
+        flat, ends = np.asarray(column.flatten()).view(np.uint64), np.cumsum(np.asarray(column.value_lengths()))
+        found = [signatures(np.sort(part), settings, common.value) for part in np.split(flat, ends[:-1])]
         yield {
             "node": batch.column(batch.schema.get_field_index("node")),
             "marks": lists(as_signed(np.concatenate(found)), [len(f) for f in found]),
@@ -194,6 +210,14 @@ def _marks_of_set(settings: JaccardSettings):
     return transform
 
 
+def _common_shingles(sets: DataFrame) -> np.ndarray:
+    """The shingles most often met in a bounded sample of sets. They only steer the search: any choice keeps it complete."""
+    share = -(-sets.count() // COMMON_SAMPLE) or 1
+    sample = sets.where(F.pmod(F.xxhash64("node"), F.lit(share)) == 0).select(F.explode("shingles").alias("x"))
+    often = sample.groupBy("x").count().where(F.expr(f"count > 2 and count * {share} > {WIDE_BUCKET}")).orderBy(F.desc("count"), "x").limit(COMMON_SHINGLES)
+    return np.sort(np.array([row[0] for row in often.select("x").collect()], np.int64).view(np.uint64))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
@@ -209,35 +233,65 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _open_pairs(members: DataFrame, parts: DataFrame, sets: DataFrame, settings: JaccardSettings) -> DataFrame:
-    """Pairs of one bucket that are in different components after the first round.
+def _still_open(members: DataFrame, parts: DataFrame, least: int) -> DataFrame:
+    """(mark, node, part, members) of the buckets of more than ``least`` classes that are in different components."""
+    rows = members.join(parts, "node", "left").select("mark", "node", F.coalesce("component", "node").alias("part"))
+    size = rows.groupBy("mark").agg(F.count("*").alias("members"), F.min("part").alias("p"), F.max("part").alias("q"))
+    return materialise(rows.join(size.where(F.expr(f"p <> q and members > {least}")).select("mark", "members"), "mark"))
+
 
-    Classes of a wide bucket sign anew with larger subsets, under which unrelated sets rarely meet: those
-    signatures are complete as well, so the wide bucket itself can go.
+def _central_pairs(rows: DataFrame) -> DataFrame:
+    """Every class of an open bucket with the most central one of another component there.
+
+    Central is the class whose buckets are the largest: of a family of near copies the text they were made from, to which
+    they are more similar than to each other.
     """
+    weight = rows.groupBy("node").agg(F.sum("members").alias("weight"))
+    chosen = rows.join(weight, "node").groupBy("mark").agg(F.max(F.struct("weight", F.col("node").alias("a"), F.col("part").alias("p"))).alias("c"))
+    pairs = rows.join(chosen.select("mark", "c.a", "c.p"), "mark").where("part <> p")
+    return pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+
 
-    def still_open(rows: DataFrame, least: int) -> DataFrame:
-        rows = rows.join(parts, "node", "left").select("mark", "node", F.coalesce("component", "node").alias("part"))
-        size = rows.groupBy("mark").agg(F.count("*").alias("members"), F.min("part").alias("p"), F.max("part").alias("q"))
-        return materialise(rows.join(size.where(F.expr(f"p <> q and members > {least}")).select("mark", "members"), "mark"))
+def _open_pairs(rows: DataFrame, parts: DataFrame, sets: DataFrame, settings: JaccardSettings) -> DataFrame:
+    """The other pairs of one bucket that are still in different components.
 
-    rows = still_open(members, 2)  # two members were compared with each other in the first round
+    A wide bucket mostly comes of a passage that many texts share. Its members sign anew without the shingles common
+    among them: those signatures are complete as well, so the wide bucket itself can go.
+    """
     found = None
-    for shape in (*FINER, None):
-        narrow = rows.where(F.col("members") <= WIDE_BUCKET) if shape else rows
+    for level in range(LEVELS + 1):
+        narrow = rows.where(F.col("members") <= WIDE_BUCKET)
         left = narrow.select("mark", F.col("node").alias("a"), F.col("part").alias("p"))
         right = narrow.select("mark", F.col("node").alias("b"), F.col("part").alias("q"))
         pairs = left.join(right, "mark").where("a < b and p <> q").select("a", "b").distinct()
         found = pairs if found is None else found.union(pairs)
         wide = rows.where(F.col("members") > WIDE_BUCKET)
-        if shape is None or wide.isEmpty():
+        if wide.isEmpty():
             break
-        finer = replace(settings, parts=shape[0], spare=shape[1])
-        marks = map_batches(sets.join(wide.select("node").distinct(), "node", "left_semi"), _marks_of_set(finer), "node long, marks array<long>")
-        rows = still_open(marks.select("node", F.explode("marks").alias("mark")), 1)
+        if level == LEVELS:
+            found = found.union(_pairs_by_part(wide))
+            break
+        again = materialise(sets.join(wide.select("node").distinct(), "node", "left_semi"))
+        common = again.sparkSession.sparkContext.broadcast(_common_shingles(again))
+        finer = replace(settings, parts=6, spare=3)
+        marks = map_batches(again, _marks_of_set(finer, common), "node long, marks array<long>")
+        rows = _still_open(marks.select("node", F.explode("marks").alias("mark")), parts, 1)
     return found.distinct()
 
 
+def _pairs_by_part(rows: DataFrame) -> DataFrame:
+    """Pairs of classes in buckets that stay wide: families of near copies with members just beyond the similarity.
+
+    Two components that share a bucket are compared once, member by member, however many buckets they share.
+    """
+    parts = rows.select("mark", F.col("part").alias("p")).distinct()
+    meeting = parts.join(parts.select("mark", F.col("p").alias("q")), "mark").where("p < q").select("p", "q").distinct()
+    members = rows.select("node", "part").distinct()
+    ours = members.select(F.col("node").alias("a"), F.col("part").alias("p"))
+    theirs = members.select(F.col("node").alias("b"), F.col("part").alias("q"))
+    return meeting.join(ours, "p").join(theirs, "q").select("a", "b")
+
+
 def similarity_classes(documents: DataFrame, settings: JaccardSettings) -> DataFrame:
     """(row_key, doc_id, n_shingles, node, component): one row per document row.
 
@@ -245,8 +299,8 @@ def similarity_classes(documents: DataFrame, settings: JaccardSettings) -> DataF
     words. Null ids and texts, repeated rows and empty tables pass through; other columns are not read.
 
     Round one compares every class with the smallest class of each of its buckets, so a family of n near copies
-    costs n comparisons a bucket. Round two forms the remaining pairs of buckets whose members are still in
-    different components; buckets of unrelated sets are first split by further signatures.
+    costs n comparisons a bucket. The next rounds compare classes of buckets that are still in different components with the
+    most central one there. The last forms the pairs that remain; buckets of unrelated sets are first split by further signatures.
     """
     keyed = documents.select(row_key(documents).alias("row_key"), "doc_id", "text")
     signed = materialise(
@@ -273,10 +327,16 @@ def similarity_classes(documents: DataFrame, settings: JaccardSettings) -> DataF
     links = materialise(_verified(pairs, sets, settings.percent))
     parts = connected_components(links)
     members = star.select("mark", "node").union(star.select("mark", F.col("leader").alias("node"))).distinct()
-    more = materialise(_verified(_open_pairs(members, parts, sets, settings), sets, settings.percent))
-    if not more.isEmpty():
-        links = links.union(more)
-        parts = connected_components(links)
+    rows = _still_open(members, parts, 2)  # two members were compared with each other in the first round
+    for pairs_of in (_central_pairs, None):
+        if rows.isEmpty():
+            break
+        pairs = pairs_of(rows) if pairs_of else _open_pairs(rows, parts, sets, settings)
+        more = materialise(_verified(pairs, sets, settings.percent))
+        if not more.isEmpty():
+            links = links.union(more)
+            parts = connected_components(links)
+            rows = _still_open(members, parts, 2) if pairs_of else rows
     parts = parts.withColumnRenamed("node", "n2")
     return signed.select("row_key", "doc_id", "n_shingles", "node").join(parts, F.col("node") == F.col("n2"), "left").select(
         "row_key", "doc_id", "n_shingles", "node", F.coalesce("component", "node").alias("component")
