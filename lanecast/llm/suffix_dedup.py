@@ -36,7 +36,7 @@ BLOCK = 40
 #: Regions that a task sorts at a time; whole buckets, none larger than WIDE.
 SORTED_REGIONS = 4000
 #: A bucket of more classes is counted start by start instead, which splits it and adds up before the shuffle.
-WIDE = 256
+WIDE = 8192
 
 
 @dataclass(frozen=True)
