@@ -557,7 +557,7 @@ QUALIFY row_number() OVER (PARTITION BY corridor_id ORDER BY mape NULLS LAST, mo
     + "SELECT corridor_name, model_name, pct_deviation_vs_bts AS height FROM comparison",
     "selected_rows": _with(*ALL_FORECASTS)
     + f"""SELECT {ROUND_FORECAST} FROM forecasts
-WHERE corridor_name IN ('FRANCE_to_CHINA', 'PERU_to_CANADA') AND model_name = 'RandomWalk'""",
+WHERE corridor_name IN ('NATION_20_to_NATION_11', 'NATION_18_to_NATION_19') AND model_name = 'RandomWalk'""",
     "corridor_names": _with(LINES, ZONE_LANES, TOTALS) + "SELECT DISTINCT corridor_name FROM totals",
     "model_names": "SELECT model_name FROM (VALUES ('RandomWalk'), ('StraightLine')) AS v(model_name)"
     " WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_returnflag = 'N')",

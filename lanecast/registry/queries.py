@@ -507,7 +507,7 @@ def score_bars(spark, sf_dir):
 
 def selected_rows(spark, sf_dir):
     chosen = reporting.select_rows(
-        _forecasts(_stored_annual(spark, sf_dir)), corridors=["FRANCE_to_CHINA", "PERU_to_CANADA"], models=["RandomWalk"]
+        _forecasts(_stored_annual(spark, sf_dir)), corridors=["NATION_20_to_NATION_11", "NATION_18_to_NATION_19"], models=["RandomWalk"]
     )
     return rounded(reporting.forecast_rows(chosen), 4)
 

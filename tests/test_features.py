@@ -50,13 +50,23 @@ def test_wide_sums_equal_long_sums(flows, lanes, macro_rows):
     assert sorted(_tons(wide), key=str) == sorted(_tons(summed), key=str)
 
 
-def test_large_corridor_table_gives_the_same_totals(flows, lanes):
+def test_corridors_that_share_a_pair_each_receive_its_totals(flows, lanes):
     columns = ["tons_2017", "tons_2018"]
     shared = lanes.unionByName(lanes.sparkSession.createDataFrame([(4, "k1 again", 1, 2), (2, "k2", 1, 2)], lanes.schema))
-    small = features.totals_by_corridor(flows, shared, columns)
-    large = features.totals_by_corridor(flows, shared, columns, max_broadcast_rows=0)
-    assert sorted(map(tuple, small.collect()), key=str) == sorted(map(tuple, large.collect()), key=str)
-    assert {r["corridor_id"]: r["tons_2017"] for r in small.collect()} == {1: 3.0, 2: 8.0, 4: 3.0}
+    got = features.totals_by_corridor(flows, shared, columns)
+    assert {r["corridor_id"]: r["tons_2017"] for r in got.collect()} == {1: 3.0, 2: 8.0, 4: 3.0}
+
+
+def test_annual_and_band_come_from_one_scan(spark, lanes, macro_rows, tmp_path):
+    path = str(tmp_path / "flows")
+    row = {name: 1.0 for name in ("tons_2017", "value_2017", "tmiles_2017", "tons_2030", "tons_2030_low", "tons_2030_high")}
+    spark.createDataFrame([{"dms_orig": 1, "dms_dest": 2, **row}] * 3).write.parquet(path)
+    flows = spark.read.parquet(path)
+    wide = features.totals_by_corridor(flows, lanes, list(row))
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and plan.rindex("Aggregate") > plan.index("Join")
+    annual, band = features.annual_and_band(flows, lanes, macro_rows, (2017,), (2030,))
+    assert [r["total_tons"] for r in annual.collect()] == [r["bts_tons"] for r in band.collect()] == [3.0]
 
 
 def test_unrelated_corridor_changes_nothing(flows, lanes, macro_rows):
@@ -161,7 +171,7 @@ def test_one_pair_holding_most_rows_is_summed_before_the_shuffle(spark, lanes, t
         "CAST(IF(id % 3 = 0, 1, 3) AS int) AS dms_orig", "CAST(IF(id % 3 = 0, 2, 4) AS int) AS dms_dest", "1D AS tons_2017"
     )
     hot.repartition(6).write.parquet(path)
-    got = features.totals_by_corridor(spark.read.parquet(path), lanes, ["tons_2017"], max_broadcast_rows=0)
+    got = features.totals_by_corridor(spark.read.parquet(path), lanes, ["tons_2017"])
     assert {r["corridor_id"]: r["tons_2017"] for r in got.collect()} == {1: 10_000.0, 2: 20_000.0}
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.rindex("partial_sum(tons_2017") > plan.rindex("Join")
