@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lanecast.llm.words import CACHE_WORDS, as_signed, lists, map_batches, mix, pieces, text_bytes
+from lanecast.llm.words import CACHE_WORDS, as_signed, bounded_texts, lists, map_batches, mix, pieces, text_bytes
 from lanecast.session import materialise, ship_package
 
 #: Word ids carry the number of a word's ending in their low bits; number 0 is the end of a text.
@@ -113,8 +113,7 @@ def endings_to_classes(documents: DataFrame, settings: MaxentSettings) -> np.nda
 
     From a bounded sample; endings not met go to class 0. Classes only shape the model: words of all texts have one.
     """
-    short = documents.where(f"octet_length(text) between 1 and {settings.sample_bytes}")
-    texts = [r[0].encode() for r in short.orderBy(F.xxhash64("doc_id", "text")).limit(settings.sample).select("text").collect()]
+    texts = [text.encode() for text in bounded_texts(documents, settings.sample, settings.sample_bytes)]
     classes = np.zeros(ENDINGS, np.int64)
     if texts:
         ids, _ = Words().ids(texts)

@@ -22,7 +22,7 @@ from pyspark import SparkFiles, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanecast.llm.words import CACHE_WORDS, map_batches, pieces
+from lanecast.llm.words import CACHE_WORDS, bounded_texts, map_batches, pieces
 
 _GAPS = re.compile(r"\s\s|^\s|\s$")
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -58,19 +58,39 @@ class TextEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        size = self.tokenizer.get_vocab_size()
+        # byte-level tokens are written with one sign a byte
+        self.token_bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
+        #: Words met lately, and those of the time before: a word in use moves over instead of being encoded again.
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _encoded(self, texts: list[str]) -> Iterator[bytes]:
         for at in range(0, len(texts), 10_000):
             for item in self.tokenizer.encode_batch_fast(texts[at : at + 10_000], add_special_tokens=False):
                 yield np.array(item.ids, f"<u{self.width}").tobytes()
 
+    def _encoded_words(self, words: list[str]) -> Iterator[bytes]:
+        """The ids of words with a space before each, many words a call: no token spans two of them, so lengths tell them apart."""
+        for at in range(0, len(words), 2000):
+            part = words[at : at + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, np.int64)
+            ends = np.cumsum([len(word.encode()) + 1 for word in part])
+            cuts = np.searchsorted(np.cumsum(self.token_bytes[ids]), ends, side="left") + 1
+            data, begin = ids.astype(f"<u{self.width}").tobytes(), 0
+            for cut in (cuts * self.width).tolist():
+                yield data[begin:cut]
+                begin = cut
+
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.split(" ") if not _GAPS.search(t) else _SAFE_CUT.split(t) for t in texts]
         if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        new = list(set().union(*(s[1:] for s in split)) - self.words.keys())
-        self.words.update(zip(new, self._encoded([" " + word for word in new])))
+            self.words, self.older = {}, self.words
+        needed = set().union(*(s[1:] for s in split)) - self.words.keys()
+        known = needed & self.older.keys()
+        self.words.update((word, self.older[word]) for word in known)
+        new = list(needed - known)
+        self.words.update(zip(new, self._encoded_words(new)))
         heads = self._encoded([s[0] for s in split])
         return [head + b"".join(map(self.words.__getitem__, s[1:])) for head, s in zip(heads, split)]
 
@@ -93,9 +113,7 @@ def _send(spark: SparkSession, path: str) -> str:
 
 def train_dictionary(documents: DataFrame, tokenizer: str, settings: TokenFileSettings) -> bytes:
     """A dictionary for serialised ids, trained on a bounded sample of documents of bounded size; empty when there are too few."""
-    short = documents.where(f"octet_length(text) between 1 and {settings.sample_bytes}")
-    rows = short.orderBy(F.xxhash64("doc_id", "text")).limit(settings.sample).select("text").collect()
-    samples = _encoder(tokenizer).encode([row[0] for row in rows])
+    samples = _encoder(tokenizer).encode(bounded_texts(documents, settings.sample, settings.sample_bytes))
     try:
         return zstandard.train_dictionary(settings.dictionary_bytes, samples).as_bytes()
     except zstandard.ZstdError:

@@ -107,6 +107,18 @@ def map_batches(df: DataFrame, transform: Callable[[pa.RecordBatch], Iterator[di
     return df.mapInArrow(run, schema)
 
 
+def bounded_texts(documents: DataFrame, count: int, max_bytes: int) -> list[str]:
+    """About ``count`` texts of at most ``max_bytes``, those with the smallest hash of id and text; the same ones on every run.
+
+    Only hashes are compared first, so what reaches the driver is bounded by the texts chosen. Texts that share the last hash all come.
+    """
+    short = documents.where(f"octet_length(text) between 1 and {max_bytes}").withColumn("h", F.xxhash64("doc_id", "text"))
+    last = [row[0] for row in short.select("h").orderBy("h").limit(count).collect()]
+    if not last:
+        return []
+    return sorted(row[0] for row in short.where(F.col("h") <= last[-1]).select("text").distinct().collect())
+
+
 def row_key(df: DataFrame) -> Column:
     """A 64-bit key of a document row: equal exactly for rows with equal id and text."""
     return F.xxhash64(df["doc_id"], df["text"], F.isnull(df["text"]), F.isnull(df["doc_id"]))
