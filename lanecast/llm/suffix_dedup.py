@@ -322,7 +322,7 @@ def merged(begins: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
 
 def _ranges_of(batch: pa.RecordBatch) -> list[list[tuple[int, int]]]:
     out = []
-    for item in batch.column(batch.schema.get_field_index("ranges")):
+    for item in batch.column(batch.schema.get_field_index("__ranges")):
         values = item.values.flatten() if item.is_valid else None
         out.append(merged(*(np.asarray(v) for v in values)) if values else [])
     return out
@@ -334,7 +334,7 @@ def _kept(text: bytes, ranges: list[tuple[int, int]]) -> bytes:
 
 
 def _with_ranges(documents: DataFrame, settings: RepeatSettings) -> DataFrame:
-    ranges = repeated_ranges(documents, settings).withColumnRenamed("row_key", "__row_key")
+    ranges = repeated_ranges(documents, settings).withColumnsRenamed({"row_key": "__row_key", "ranges": "__ranges"})
     keyed = documents.withColumn("__row_key", row_key(documents))
     return keyed.join(ranges, "__row_key", "left").drop("__row_key")
 
