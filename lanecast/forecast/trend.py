@@ -46,6 +46,10 @@ def fit_trend(
     by_year = {row["year"]: row for row in regressors_by_year(macros, horizon, names).collect()}
     ahead = np.array([[_or_nan(by_year.get(y), name) for name in names] for y in ahead_years])
 
+    def unknown(count: int) -> tuple[np.ndarray, np.ndarray]:
+        # too few complete years: the corridor keeps its rows, without a prediction
+        return np.full(count, np.nan), np.full(count, np.nan)
+
     def rows_of(row) -> Iterator[tuple]:
         years = np.asarray(row["year"])
         days = np.asarray(row["days"], dtype=float)
@@ -55,13 +59,11 @@ def fit_trend(
         key = (row["corridor_id"], row["corridor_name"])
         counts = (int(train.sum()), len(years))
         if last.any():
-            fit = fit_and_predict(days[train], tons[train], known[train], days[last], known[last])
-            if fit is not None:
-                yield (*key, "holdout", holdout_year, fit[0][0], fit[1][0], *counts)
-        fit = fit_and_predict(days, tons, known, ahead_days, ahead)
-        if fit is not None:
-            for year, mean, deviation in zip(ahead_years, *fit):
-                yield (*key, "future", year, mean, deviation, *counts)
+            fit = fit_and_predict(days[train], tons[train], known[train], days[last], known[last]) or unknown(1)
+            yield (*key, "holdout", holdout_year, fit[0][0], fit[1][0], *counts)
+        fit = fit_and_predict(days, tons, known, ahead_days, ahead) or unknown(len(ahead_years))
+        for year, mean, deviation in zip(ahead_years, *fit):
+            yield (*key, "future", year, mean, deviation, *counts)
 
     columns = [
         "corridor_id", "corridor_name", "forecast_type", "year", "prediction", "deviation",
