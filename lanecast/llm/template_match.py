@@ -1,8 +1,9 @@
 """Benchmark decontamination by template canonicalisation.
 
 Numbers, names and units become typed placeholders, so a question asked again with other values has the same
-template. Windows of template tokens of the texts are looked up in those of the benchmark; matches are aligned, and the values
-behind the placeholders must agree one to one between item and text.
+template. Whether a capitalised word is a name is open, so windows are read in three ways: names inside sentences, all capitalised
+words as names, and lower-cased without names. Windows of the texts are looked up in those of the benchmark; matches are aligned token by
+token, and the values behind the placeholders must agree one to one between item and text.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lanecast.llm.words import WordCache, looked_up, map_batches, row_key, text_bytes, window_hashes
+from lanecast.llm.words import WordCache, looked_up, map_batches, pieces, row_key, text_bytes, window_hashes
 from lanecast.session import materialise
 
 #: Units of measure that become one placeholder; fixed values.
@@ -35,7 +37,8 @@ _WORD, _NUMBER_KIND, _NAME_KIND, _UNIT_KIND, _ENDS = 0, 1, 2, 3, 4
 
 @dataclass(frozen=True)
 class TemplateSettings:
-    """``window``: template tokens of a window. ``share``: of an item's windows that must be found in one text.
+    """``window``: template tokens of a window. ``share``: of an item's windows that must be found in one text, or the tokens
+    that such a run covers at one shift.
 
     An item shorter than a window is one window as long as it is, from ``shortest`` tokens on.
     """
@@ -70,68 +73,148 @@ def _tokens() -> WordCache:
     return WordCache(token_of)
 
 
-def template(words: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(template tokens, hashes of the values behind them, places in ``words``) of a text.
-
-    A capitalised word is a name unless it opens a sentence. Punctuation alone is no token.
+@dataclass(frozen=True)
+class Template:
+    """Tokens of texts one after another: their kind, the hash of the value, and whether they open a sentence."""
+
+    kind: np.ndarray
+    value: np.ndarray
+    opens: np.ndarray
+
+    def readings(self) -> Iterator[np.ndarray]:
+        """The template tokens: capitalised words as names unless they open a sentence, all of them as names, and none."""
+        open_slot = (self.kind == _NUMBER_KIND) | (self.kind == _UNIT_KIND)
+        name = self.kind == _NAME_KIND
+        for slot in (open_slot | (name & ~self.opens), open_slot | name, open_slot):
+            yield np.where(slot, self.kind, self.value)
+
+    def part(self, begin: int, end: int) -> Template:
+        return Template(self.kind[begin:end], self.value[begin:end], self.opens[begin:end])
+
+
+def template(texts: list) -> tuple[Template, np.ndarray]:
+    """The template of all texts (bytes) together, and where each begins and the last ends. Punctuation alone is no token."""
+    split = [text.split() for text in texts]
+    packed = looked_up(_tokens(), list(chain.from_iterable(split)), np.uint64)
+    kept = packed != 0
+    ends = np.cumsum([0, *map(len, split)])
+    bounds = np.concatenate([[0], np.cumsum(kept)])[ends]
+    packed = packed[kept]
+    opens = np.ones(len(packed), bool)
+    opens[1:] = (packed[:-1] & np.uint64(_ENDS)) != 0
+    opens[bounds[:-1][bounds[:-1] < len(packed)]] = True
+    return Template(packed & np.uint64(3), packed & ~np.uint64(7), opens), bounds
+
+
+def agreement(ours: Template, theirs: Template, sure: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """(places that agree, those of them that hold another value) of two stretches of equal length; None if values contradict.
+
+    Each value of a slot stands for one value of the other side and the other way round: within ``sure``, where windows were found,
+    numbers, units and names inside sentences must keep to that; elsewhere, and for words that only may be names, a
+    place that does not simply disagrees. A side without any capitalised word hides its names: there a word may stand for a name.
     """
-    packed = looked_up(_tokens(), words, np.uint64)
-    place = np.flatnonzero(packed)
-    packed = packed[place]
-    kind = packed & np.uint64(3)
-    opens = np.r_[True, (packed[:-1] & np.uint64(_ENDS)) != 0] if len(packed) else np.zeros(0, bool)
-    kind = np.where((kind == _NAME_KIND) & opens, np.uint64(_WORD), kind)
-    value = packed & ~np.uint64(7)
-    return np.where(kind == _WORD, value, kind), value, place
+    same = ours.value == theirs.value
+    both = ours.kind == theirs.kind
+    name, their_name = ours.kind == _NAME_KIND, theirs.kind == _NAME_KIND
+    slot = both & (ours.kind != _WORD)
+    if not their_name.any():
+        hidden = name & (theirs.kind == _WORD) & ~same
+    elif not name.any():
+        hidden = their_name & (ours.kind == _WORD) & ~same
+    else:
+        hidden = np.zeros(len(same), bool)
+    if hidden.sum() <= same.sum():
+        slot |= hidden
+    must = slot & both & sure & ~(name & (ours.opens | theirs.opens))
+    pairs = set(zip(ours.value[must].tolist(), theirs.value[must].tolist()))
+    there, back = dict(pairs), {b: a for a, b in pairs}
+    if not len(pairs) == len(there) == len(back):
+        return None
+    agree = same & (~slot | must | (name & (ours.opens | theirs.opens))) | must
+    for at in np.flatnonzero(slot & ~agree).tolist():
+        a, b = int(ours.value[at]), int(theirs.value[at])
+        if there.get(a, b) == b and back.get(b, a) == a:
+            there[a], back[b], agree[at] = b, a, True
+    return agree, agree & ~same
 
 
 class BenchmarkBlock:
-    """Windows of some benchmark items, ready for lookup."""
+    """Windows of some benchmark items in all their readings, ready for lookup."""
 
     def __init__(self, items: list, settings: TemplateSettings):
-        self.items = [(item_id, *template((text or "").encode().split())[:2]) for item_id, text in items]
-        where = defaultdict(list)
-        self.total = []
-        for number, (_, tokens, _) in enumerate(self.items):
-            size = min(settings.window, len(tokens))
-            found = window_hashes(tokens, size).tolist() if size >= min(settings.shortest, settings.window) else []
-            self.total.append(len(found))
-            for start, name in enumerate(found):
-                where[(size, name)].append((number, start))
-        self.where = dict(where)
-        self.sizes = sorted({size for size, _ in where})
-        self.sieve = {}
-        for size in self.sizes:
-            table = np.zeros(1 << 22, bool)
-            table[np.array([n for s, n in where if s == size], np.uint64) >> np.uint64(42)] = True
-            self.sieve[size] = table
-
-    def hits(self, tokens: np.ndarray) -> dict:
-        """item number -> shift of the text against the item -> starts in the item of the windows found."""
+        self.settings = settings
+        self.ids = [item_id for item_id, _ in items]
+        whole, bounds = template([(text or "").encode() for _, text in items])
+        self.items = [whole.part(a, b) for a, b in zip(bounds[:-1], bounds[1:])]
+        lengths = np.diff(bounds)
+        sizes = np.minimum(lengths, settings.window)
+        sizes[sizes < max(1, min(settings.shortest, settings.window))] = 0
+        self.total = np.where(sizes > 0, lengths - sizes + 1, 0)
+        readings = list(whole.readings())
+        self.tables = {}
+        for size in sorted(set(sizes[sizes > 0].tolist())):
+            own = np.flatnonzero(sizes == size)
+            number = np.repeat(own, self.total[own])
+            start = np.arange(len(number)) - np.repeat(np.cumsum(self.total[own]) - self.total[own], self.total[own])
+            at, names, rows = bounds[number] + start, [], []
+            for reading in readings:
+                found = window_hashes(reading, size)[at]
+                new = np.logical_and.reduce([found != other for other in names]) if names else np.ones(len(at), bool)
+                names.append(found)
+                rows.append(np.flatnonzero(new))
+            names, rows = np.concatenate([n[r] for n, r in zip(names, rows)]), np.concatenate(rows)
+            order = np.argsort(names, kind="stable")
+            sieve = np.zeros(1 << 22, bool)
+            sieve[names >> np.uint64(42)] = True
+            self.tables[size] = sieve, names[order], number[rows][order], start[rows][order]
+
+    def hits(self, texts: Template, bounds: np.ndarray) -> dict:
+        """(text, item number) -> shift of the text against the item -> starts in the item of the windows found."""
         found = defaultdict(lambda: defaultdict(set))
-        for size in self.sizes:
-            names = window_hashes(tokens, size)
-            for at in np.flatnonzero(self.sieve[size][names >> np.uint64(42)]).tolist():
-                for number, start in self.where.get((size, int(names[at])), ()):
-                    found[number][at - start].add(start)
+        readings = list(texts.readings())
+        for size, (sieve, known, number, start) in self.tables.items():
+            for reading in readings:
+                names = window_hashes(reading, size)
+                at = np.flatnonzero(sieve[names >> np.uint64(42)])
+                text = np.searchsorted(bounds, at, "right") - 1
+                inside = at + size <= bounds[text + 1]
+                at, text = at[inside], text[inside]
+                first = np.searchsorted(known, names[at], "left")
+                times = np.searchsorted(known, names[at], "right") - first
+                for t, a, f, n in zip(text[times > 0].tolist(), at[times > 0].tolist(), first[times > 0].tolist(), times[times > 0].tolist()):
+                    for k in range(f, f + n):
+                        found[t, int(number[k])][a - int(bounds[t]) - int(start[k])].add(int(start[k]))
         return found
 
-    def matches(self, tokens: np.ndarray, values: np.ndarray, settings: TemplateSettings) -> Iterator[tuple]:
-        """(item_id, windows found, windows of the item, values that differ) of each item found in a text."""
-        for number, shifts in self.hits(tokens).items():
-            item_id, item_tokens, item_values = self.items[number]
-            found, changed = set(), 0
+    def matches(self, texts: list) -> Iterator[tuple]:
+        """(text, item_id, windows found, windows of the item, values that differ) of each item found in a text.
+
+        Found is an item when its share of windows is, or when as many of its tokens as such a run of windows covers agree at one shift.
+        """
+        whole, bounds = template(texts)
+        for (text, number), shifts in sorted(self.hits(whole, bounds).items()):
+            item, total = self.items[number], int(self.total[number])
+            length = len(item.kind)
+            size = min(self.settings.window, length)
+            text_length = int(bounds[text + 1] - bounds[text])
+            found, changed, longest = set(), 0, 0
             for shift, starts in sorted(shifts.items()):
-                size = min(settings.window, len(item_tokens))
-                covered = sorted({start + k for start in starts for k in range(size)})
-                slots = [p for p in covered if item_tokens[p] < 8]
-                ours, theirs = item_values[slots].tolist(), values[[p + shift for p in slots]].tolist()
-                # each value of the item stands for one value of the text and the other way round
-                if len(set(zip(ours, theirs))) == len(set(ours)) == len(set(theirs)):
-                    found |= starts
-                    changed += sum(a != b for a, b in zip(ours, theirs))
-            if found and len(found) >= settings.share * self.total[number]:
-                yield item_id, len(found), self.total[number], changed
+                # the part of the item that lies over the text at this shift
+                begin, end = max(0, -shift), min(length, text_length - shift)
+                sure = np.zeros(length, bool)
+                for start in starts:
+                    sure[start : start + size] = True
+                from_text = int(bounds[text]) + shift
+                agreed = agreement(item.part(begin, end), whole.part(from_text + begin, from_text + end), sure[begin:end])
+                if agreed is not None:
+                    agree, differs = agreed
+                    longest = max(longest, int(agree.sum()))
+                    changed += int(differs.sum())
+                    runs = np.convolve(agree, np.ones(size, int), "valid") == size if len(agree) >= size else np.zeros(0, bool)
+                    found |= set((np.flatnonzero(runs) + begin).tolist())
+            wanted = self.settings.share * total
+            if longest and (len(found) >= wanted or longest >= np.ceil(wanted) + size - 1):
+                yield text, self.ids[number], len(found), total, changed
 
 
 def _blocks(benchmark: DataFrame, settings: TemplateSettings) -> Iterator[list]:
@@ -172,9 +255,8 @@ def _find(shared, settings: TemplateSettings):
         keys = batch.column(batch.schema.get_field_index("row_key")).to_pylist()
         ids = batch.column(batch.schema.get_field_index("doc_id")).to_pylist()
         rows, texts = [], text_bytes(batch)
-        for at, text in enumerate(texts):
-            tokens, values, _ = template(text.split())
-            rows += [(keys[at], ids[at], *match) for match in block.matches(tokens, values, settings)]
+        for first, last in pieces(texts):
+            rows += [(keys[first + at], ids[first + at], *match) for at, *match in block.matches(texts[first:last])]
         names = ("row_key", "doc_id", "item_id", "windows_found", "windows_total", "values_changed")
         yield dict(zip(names, map(list, zip(*rows)))) if rows else {name: [] for name in names}
 

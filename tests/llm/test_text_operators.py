@@ -159,6 +159,21 @@ def test_changed_questions_are_found_and_slots_must_agree(documents_of, spark):
     assert template_match.leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_names_are_met_at_sentence_starts_and_without_case(documents_of, spark):
+    item = "Natalia sold clips to 48 of her friends in April. Weng then sold half as many in May. How many clips did Weng sell?"
+    again = item.replace("Natalia", "Maria").replace("48", "36").replace("Weng", "Pavel")
+    two_names = again.replace("Pavel then", "Olga then")
+    part = "He sold clips to 9 of her friends in June, and nobody knows what he did with all of the others."
+    texts = [item, again, item.lower(), item.upper(), again.lower(), "So it was. " + again + " Well?", two_names, part, part.lower()]
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    got = {r.doc_id: r for r in template_match.leaks(documents_of(texts), bench).collect()}
+    assert got.keys() == {0, 1, 2, 3, 4, 5, 6}
+    assert [got[k].windows_found for k in range(6)] == [17] * 6 and got[6].windows_found < 17
+    assert [got[k].values_changed for k in range(6)] == [0, 4, 0, 0, 4, 4]
+    lower = spark.createDataFrame([(7, item.lower())], "item_id long, text string")
+    assert {r.doc_id for r in template_match.leaks(documents_of(texts), lower).collect()} >= {0, 1, 2, 3, 5}
+
+
 def test_spans_are_the_best_labels():
     rng = np.random.default_rng(5)
     sizes = np.array([3, 0, 6, 1])
