@@ -1,8 +1,9 @@
 """Language-model scoring: a hashed maximum-entropy model with class-factored softmax.
 
 The class of a token is predicted from hashed features of the words before it (n-grams and skips) by a softmax over the classes; the
-word within its class by its share there. Every task makes gradient updates on its own training texts and the
-weights are averaged by tokens; word counts cover all training texts. Scoring is done in numpy batches.
+word within its class by its plain share there, without features: no history tells the words of one class apart, and the tables of
+features have a fixed size. Every task makes gradient updates on its own training texts and the
+weights are averaged by tokens; classes and word counts are those of all training texts. Scoring is done in numpy batches.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lanecast.llm.words import CACHE_WORDS, as_signed, bounded_texts, lists, map_batches, mix, pieces, text_bytes
+from lanecast.llm.words import CACHE_WORDS, as_signed, lists, map_batches, mix, pieces, text_bytes
 from lanecast.session import materialise, ship_package
 
 #: Word ids carry the number of a word's ending in their low bits; number 0 is the end of a text.
@@ -29,14 +30,14 @@ _END = np.uint64(0)
 class MaxentSettings:
     """``head``: most frequent words whose counts every task holds; counts of all others come by a join.
 
-    ``sample``: texts, of ``sample_bytes`` at most, from which word endings are sorted into classes.
+    ``rounds``: passes over all training texts, each from the averaged weights of the one before. ``step_tokens``: tokens of a gradient step.
     """
 
     classes: int = 16
     bits: int = 12
     head: int = 1_000_000
-    sample: int = 2000
-    sample_bytes: int = 16_384
+    rounds: int = 1
+    step_tokens: int = 1_000_000
     rate: float = 0.4
     ridge: float = 5.0
 
@@ -94,31 +95,46 @@ def class_logs(rows: list[np.ndarray], bias: np.ndarray, weights: np.ndarray) ->
     return total
 
 
-def update(rows: list[np.ndarray], target: np.ndarray, bias: np.ndarray, weights: np.ndarray, settings: MaxentSettings) -> None:
+def update(rows: list[np.ndarray], target: np.ndarray, bias: np.ndarray, weights: np.ndarray, settings: MaxentSettings, rate: float) -> None:
     """One gradient step on a batch, scaled by the curvature of each weight."""
-    width = 1 << settings.bits
-    share = np.exp(class_logs(rows, bias, weights))
-    off = -share
+    off = bias + weights[0][rows[0]]
+    for table, own in zip(weights[1:], rows[1:]):
+        off += table[own]
+    np.exp(np.minimum(off, 80, out=off), out=off)
+    off /= -(off @ np.ones(off.shape[1], off.dtype))[:, None]
+    curve = np.maximum(-off.mean(axis=0), 1e-4)
     off[np.arange(len(target)), target] += 1
-    curve = np.maximum(share.mean(axis=0), 1e-4)
     for table, own in zip(weights, rows):
-        count = np.bincount(own, minlength=width)
-        for kind in range(table.shape[1]):
-            slope = np.bincount(own, weights=off[:, kind], minlength=width)
-            table[:, kind] += settings.rate * np.clip(slope / (count * curve[kind] + settings.ridge), -2, 2)
+        order = np.argsort(own.astype(np.uint16) if settings.bits <= 16 else own, kind="stable")
+        own = own[order]
+        begins = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        count = np.diff(np.r_[begins, len(own)]).astype(np.float32)
+        slope = np.add.reduceat(off[order], begins, axis=0)
+        table[own[begins]] += rate * np.clip(slope / (count[:, None] * curve + np.float32(settings.ridge)), -2, 2)
 
 
-def endings_to_classes(documents: DataFrame, settings: MaxentSettings) -> np.ndarray:
-    """Class of each word ending: endings met beside like endings share one, the end of a text has its own.
+def train(ids: np.ndarray, sizes: np.ndarray, classes: np.ndarray, bias: np.ndarray, weights: np.ndarray, settings: MaxentSettings, rate: float) -> int:
+    """Gradient steps of ``step_tokens`` tokens each over some texts; how many there were."""
+    target = classes[(ids & np.uint64(ENDINGS - 1)).astype(np.int64)]
+    rows = feature_rows(ids, sizes, settings.bits)
+    steps = -(-len(ids) // settings.step_tokens)
+    for number in range(steps):
+        own = slice(number * len(ids) // steps, (number + 1) * len(ids) // steps)
+        update([row[own] for row in rows], target[own], bias, weights, settings, rate)
+    return steps
 
-    From a bounded sample; endings not met go to class 0. Classes only shape the model: words of all texts have one.
-    """
-    texts = [text.encode() for text in bounded_texts(documents, settings.sample, settings.sample_bytes)]
+
+def ending_pairs(ids: np.ndarray) -> np.ndarray:
+    """Counts of neighbouring word endings, by 512 x 512 cells; a text begins after an end."""
+    ending = np.concatenate([[0], (ids & np.uint64(ENDINGS - 1)).astype(np.int64)])
+    return np.bincount(ending[:-1] * ENDINGS + ending[1:], minlength=ENDINGS * ENDINGS)
+
+
+def endings_to_classes(cells: np.ndarray, settings: MaxentSettings) -> np.ndarray:
+    """Class of each word ending by the pairs of neighbours: endings met beside like endings share one, the end of a text has its own."""
     classes = np.zeros(ENDINGS, np.int64)
-    if texts:
-        ids, _ = Words().ids(texts)
-        ending = (ids & np.uint64(ENDINGS - 1)).astype(np.int64)
-        cell = np.bincount(ending[:-1] * ENDINGS + ending[1:], minlength=ENDINGS * ENDINGS).reshape(ENDINGS, ENDINGS).astype(float)
+    if cells.any():
+        cell = cells.reshape(ENDINGS, ENDINGS).astype(float)
         cell += cell.T.copy()
         mass = cell.sum(axis=1)
         shape = np.sqrt((cell + 0.01) / (cell + 0.01).sum(axis=1, keepdims=True))
@@ -162,45 +178,50 @@ class MaxentModel:
         return int(self.class_words.sum())
 
 
+_PARTS = pa.schema([("word", pa.int64()), ("n", pa.int64()), ("block", pa.int32()), ("data", pa.binary())])
+
+
+def _part_rows(total: np.ndarray, seen: int) -> Iterator[pa.RecordBatch]:
+    """A table of sums in sixteen rows."""
+    for block, part in enumerate(np.split(total.reshape(-1), 16)):
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([seen]), pa.array([block], pa.int32()), pa.array([part.astype("<f8").tobytes()])], schema=_PARTS)
+
+
+def _add_parts(rows: pd.DataFrame) -> pd.DataFrame:
+    total = sum(np.frombuffer(data, "<f8") for data in rows["data"])
+    return pd.DataFrame({"block": [rows["block"].iloc[0]], "data": [total.tobytes()], "n": [int(rows["n"].sum())]})
+
+
+def _summed(rows: DataFrame, length: int) -> tuple[np.ndarray, int]:
+    """The sum of all tasks' tables and of what they saw. One row a block comes here: bounded by the table, not by the texts."""
+    parts = rows.where("block is not null").groupBy("block").applyInPandas(_add_parts, "block int, data binary, n long").toPandas().sort_values("block")
+    if not len(parts):
+        return np.zeros(length), 0
+    return np.concatenate([np.frombuffer(d, "<f8") for d in parts["data"]]), int(parts["n"].iloc[0])
+
+
 def fit(documents: DataFrame, settings: MaxentSettings | None = None) -> MaxentModel:
-    """Learn from all texts given, in one pass: counts and weights. A null text is empty and has an end alone."""
+    """Learn from all texts given: counts of words and neighbouring endings in a first pass, weights in ``rounds`` more. A null text is empty and has an end alone."""
     settings, spark = settings or MaxentSettings(), documents.sparkSession
     ship_package(spark)
-    classes = endings_to_classes(documents, settings)
     shape = (len(TEMPLATES), 1 << settings.bits, settings.classes + 1)
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, weights = Words(), np.zeros(shape, np.float32)
-        mark, seen = np.ones(shape[2]), 0
-        schema = pa.schema([("word", pa.int64()), ("n", pa.int64()), ("block", pa.int32()), ("data", pa.binary())])
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, cells, seen = Words(), np.zeros(ENDINGS * ENDINGS, np.int64), 0
         for batch in batches:
             texts = text_bytes(batch)
             for first, last in pieces(texts):
-                ids, sizes = words.ids(texts[first:last])
+                ids, _ = words.ids(texts[first:last])
                 names, times = np.unique(ids, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(as_signed(names)), pa.array(times), pa.nulls(len(names), pa.int32()), pa.nulls(len(names), pa.binary())], schema=schema)
-                target = classes[(ids & np.uint64(ENDINGS - 1)).astype(np.int64)]
-                mark += np.bincount(target, minlength=shape[2])
-                update(feature_rows(ids, sizes, settings.bits), target, np.log(mark / mark.sum()).astype(np.float32), weights, settings)
+                yield pa.RecordBatch.from_arrays([pa.array(as_signed(names)), pa.array(times), pa.nulls(len(names), pa.int32()), pa.nulls(len(names), pa.binary())], schema=_PARTS)
+                cells += ending_pairs(ids)
                 seen += len(ids)
         if seen:
-            for block, part in enumerate(np.split((weights * seen).reshape(-1, shape[2]), 16)):
-                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([seen]), pa.array([block], pa.int32()), pa.array([part.astype("<f8").tobytes()])], schema=schema)
+            yield from _part_rows(cells, seen)
 
-    learned = materialise(documents.select("text").mapInArrow(learn, "word long, n long, block int, data binary"))
-    counts = materialise(learned.where("word is not null").groupBy("word").agg(F.sum("n").alias("n")))
-
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(shape[0] * shape[1] // 16 * shape[2])
-        for data in rows["data"]:
-            total += np.frombuffer(data, "<f8")
-        return pd.DataFrame({"block": [rows["block"].iloc[0]], "data": [total.tobytes()], "n": [int(rows["n"].sum())]})
-
-    # sixteen blocks of a fixed size, one row a task: bounded by the table, not by the texts
-    parts = learned.where("block is not null").groupBy("block").applyInPandas(add, "block int, data binary, n long").toPandas().sort_values("block")
-    weights = np.zeros(shape, np.float32)
-    if len(parts):
-        weights = (np.concatenate([np.frombuffer(d, "<f8") for d in parts["data"]]) / parts["n"].iloc[0]).reshape(shape).astype(np.float32)
+    counted = materialise(documents.select("text").mapInArrow(count, "word long, n long, block int, data binary"))
+    counts = materialise(counted.where("word is not null").groupBy("word").agg(F.sum("n").alias("n")))
+    classes = endings_to_classes(_summed(counted, ENDINGS * ENDINGS)[0], settings)
     ending = F.col("word").bitwiseAND(F.lit(ENDINGS - 1)).alias("ending")
     totals = counts.groupBy(ending).agg(F.sum("n").alias("n"), F.count("*").alias("words")).toPandas()
     kinds = classes[totals["ending"].to_numpy(dtype=np.int64)]
@@ -210,9 +231,32 @@ def fit(documents: DataFrame, settings: MaxentSettings | None = None) -> MaxentM
     ids = np.asarray(head.column("word")).view(np.uint64)
     order = np.argsort(ids)
     bias = np.log((tokens + 1) / (tokens + 1).sum()).astype(np.float32)
+    weights = np.zeros(shape, np.float32)
+    for done in range(settings.rounds):
+        learned = documents.select("text").mapInArrow(_learn(spark.sparkContext.broadcast((classes, bias, weights)), settings, done), "word long, n long, block int, data binary")
+        total, seen = _summed(learned, weights.size)
+        weights = (total / max(1, seen)).reshape(shape).astype(np.float32)
     return MaxentModel(settings, classes, bias, weights, ids[order], np.asarray(head.column("n"))[order], tokens, number, counts)
 
 
+def _learn(shared, settings: MaxentSettings, number: int):
+    """One round: weights of a task, times its tokens, from the weights given."""
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes, bias, start = shared.value
+        words, weights, seen = Words(), start.copy(), 0
+        for batch in batches:
+            texts = text_bytes(batch)
+            for first, last in pieces(texts):
+                ids, sizes = words.ids(texts[first:last])
+                train(ids, sizes, classes, bias, weights, settings, settings.rate / (1 + number))
+                seen += len(ids)
+        if seen:
+            yield from _part_rows(weights.astype(float) * seen, seen)
+
+    return learn
+
+
 def scored(documents: DataFrame, model: MaxentModel, held_out: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens (long), base_score, score (double: log10 probability) of every row.
 

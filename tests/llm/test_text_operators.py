@@ -112,6 +112,22 @@ def test_language_model_scores(documents_of):
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
 
 
+def test_classes_come_from_all_training_texts(documents_of):
+    """Words of a text too long for the sample that classes once came from: those met beside ``xx`` and beside ``yy`` are told apart."""
+    from collections import defaultdict
+
+    by_ending = defaultdict(list)
+    for n in range(400):
+        word = f"w{n}".encode()
+        by_ending[maxent_lm.word_id(word) % maxent_lm.ENDINGS].append(word.decode())
+    words = [own[0] for own in by_ending.values()][:40]
+    text = " ".join([f"xx {words[n % 20]}" for n in range(4000)] + [f"yy {words[20 + n % 20]}" for n in range(4000)])
+    assert len(text) > 16_384
+    model = maxent_lm.fit(documents_of([text]), maxent_lm.MaxentSettings(classes=4, bits=8, rounds=1))
+    kinds = [int(model.classes[maxent_lm.word_id(w.encode()) % maxent_lm.ENDINGS]) for w in words]
+    assert len(set(kinds[:20])) == len(set(kinds[20:])) == 1 and kinds[0] != kinds[20]
+
+
 def test_class_probabilities_sum_to_one():
     rng = np.random.default_rng(1)
     ids, sizes = maxent_lm.Words().ids([b"a b c a b", b"", b"x a"])
