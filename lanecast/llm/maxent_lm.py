@@ -2,8 +2,8 @@
 
 The class of a token is predicted from hashed features of the words before it (n-grams and skips) by a softmax over the classes; the
 word within its class by its plain share there, without features: no history tells the words of one class apart, and the tables of
-features have a fixed size. Every task makes gradient updates on its own training texts and the
-weights are averaged by tokens; classes and word counts are those of all training texts. Scoring is done in numpy batches.
+features have a fixed size. Every task makes gradient updates on its own training texts, in several rounds, each from the weights of
+the last averaged by tokens; classes and word counts are those of all training texts. Scoring is done in numpy batches.
 """
 
 from __future__ import annotations
@@ -36,8 +36,8 @@ class MaxentSettings:
     classes: int = 16
     bits: int = 12
     head: int = 1_000_000
-    rounds: int = 1
-    step_tokens: int = 1_000_000
+    rounds: int = 3
+    step_tokens: int = 8192
     rate: float = 0.4
     ridge: float = 5.0
 

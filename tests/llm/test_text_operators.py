@@ -128,6 +128,23 @@ def test_classes_come_from_all_training_texts(documents_of):
     assert len(set(kinds[:20])) == len(set(kinds[20:])) == 1 and kinds[0] != kinds[20]
 
 
+def test_training_grows_with_the_texts_and_rounds(documents_of):
+    texts = [f"aa bb{i % 7} cc dd{i % 5} ee" for i in range(3000)]
+    ids, sizes = maxent_lm.Words().ids([t.encode() for t in texts])
+    settings = maxent_lm.MaxentSettings(classes=4, bits=8, step_tokens=1000)
+    classes = maxent_lm.endings_to_classes(maxent_lm.ending_pairs(ids), settings)
+    weights = np.zeros((4, 256, 5), np.float32)
+    assert maxent_lm.train(ids, sizes, classes, np.zeros(5, np.float32), weights, settings, 0.4) == 18 and weights.any()
+    docs = documents_of(texts)
+    held = docs.doc_id < 0
+
+    def score(rounds):
+        model = maxent_lm.fit(docs, maxent_lm.MaxentSettings(classes=4, bits=8, rounds=rounds))
+        return sum(r.score for r in maxent_lm.scored(docs, model, held).collect())
+
+    assert score(3) > score(1)
+
+
 def test_class_probabilities_sum_to_one():
     rng = np.random.default_rng(1)
     ids, sizes = maxent_lm.Words().ids([b"a b c a b", b"", b"x a"])
