@@ -14,7 +14,7 @@ from lanecast.llm.words import map_batches
 
 # Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-HIDDEN = frozenset("head script style template noscript title iframe object svg math datalist audio video canvas".split())
+HIDDEN = frozenset("head script style template noscript title iframe object datalist audio video canvas".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table ul".split()
@@ -35,16 +35,25 @@ IMPLIED = {
     "option": ("option", ("select", "datalist", "optgroup")),
     "optgroup": ("option optgroup", ("select",)),
 }
+#: What is open directly in a table, and what each part of a table may stand in. Anything else there goes before the table.
+TABLE_PARTS = frozenset("table thead tbody tfoot tr".split())
+STANDS_IN = {part: ("table",) for part in ("caption", "colgroup", "col", "thead", "tbody", "tfoot")}
+STANDS_IN |= {"tr": ("thead", "tbody", "tfoot", "table"), "td": ("tr", "thead", "tbody", "tfoot", "table"), "th": ("tr", "thead", "tbody", "tfoot", "table")}
+#: Parts of drawings and formulas that are not drawn, and those whose text stands apart from that of their neighbours.
+UNDRAWN = frozenset("desc metadata defs symbol annotation annotation-xml".split())
+APART = frozenset("text mtd".split())
+SCRIPTS = frozenset("mfrac msup msub msubsup mroot munder mover munderover".split())
 _BARRIERS = frozenset("table td th caption button object template html".split())
 _SPACES = re.compile(r"[ \t\n\r\f]+")
-_INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_INVISIBLE = re.compile(r"display\s*:\s*none|content-visibility\s*:\s*hidden", re.I)
+_VISIBILITY = re.compile(r"(?<![\w-])visibility\s*:\s*(hidden|collapse|visible|initial)", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "children")
+    __slots__ = ("tag", "attributes", "children", "shown")
 
     def __init__(self, tag: str, attributes: dict):
-        self.tag, self.attributes, self.children = tag, attributes, []
+        self.tag, self.attributes, self.children, self.shown = tag, attributes, [], True
 
 
 class TreeBuilder(HTMLParser):
@@ -77,29 +86,76 @@ class TreeBuilder(HTMLParser):
         if tag in IMPLIED:
             closed, fences = IMPLIED[tag]
             self._close(closed.split(), fences)
+        if tag == "table" and self.open[-1].tag in TABLE_PARTS:
+            self._close(("table",), ())
+        in_table = self.open[-1].tag in TABLE_PARTS
+        if tag in STANDS_IN and self._table() is not None:
+            self._table_part(tag)
         self._open(tag, attributes)
-        if tag in VOID:
+        if tag in UNDRAWN and self._foreign():
+            self.open[-1].attributes["hidden"] = ""
+        if tag in VOID or (tag == "form" and in_table):
             self.open.pop()
 
+    def _table(self) -> int | None:
+        """Where the innermost open table is, as seen from the last open tag."""
+        for at in range(len(self.open) - 1, 0, -1):
+            if self.open[at].tag == "table":
+                return at
+            if self.open[at].tag == "template":
+                return None
+        return None
+
+    def _table_part(self, tag) -> None:
+        """Closes what a part of a table cannot stand in, and opens the body and row that it needs."""
+        at = len(self.open) - 1
+        while self.open[at].tag not in STANDS_IN[tag]:
+            at -= 1
+        del self.open[at + 1 :]
+        if tag in ("tr", "td", "th") and self.open[-1].tag == "table":
+            self._open("tbody", ())
+        if tag in ("td", "th") and self.open[-1].tag != "tr":
+            self._open("tr", ())
+
+    def _foreign(self) -> bool:
+        return any(n.tag in ("svg", "math") for n in self.open)
+
+    def _add(self, child) -> Node:
+        """Puts a node or text into what is open, or before the table if it cannot stand in one; what it was put into."""
+        parent, table = self.open[-1], None
+        if parent.tag in TABLE_PARTS and (child.strip() if isinstance(child, str) else child.tag not in STANDS_IN and child.tag not in HIDDEN):
+            table = self._table()
+        if table is None:
+            parent.children.append(child)
+        else:
+            # an open table is the last child of what it stands in
+            parent = self.open[table - 1]
+            parent.children.insert(len(parent.children) - 1, child)
+        return parent
+
     def _open(self, tag, attributes):
         node = Node(tag, {name: value or "" for name, value in attributes})
-        self.open[-1].children.append(node)
+        parent = self._add(node)
+        own = _VISIBILITY.findall(node.attributes.get("style", ""))
+        node.shown = own[-1].lower() in ("visible", "initial") if own else parent.shown
         self.open.append(node)
 
     def handle_startendtag(self, tag, attributes):
         self.handle_starttag(tag, attributes)
-        # a slash closes nothing in HTML but what is empty anyway
+        # a slash closes nothing in HTML but what is empty anyway; in drawings and formulas it does
+        if tag not in VOID and self.open[-1].tag == tag and self._foreign():
+            self.open.pop()
 
     def handle_endtag(self, tag):
         if tag == "br":
-            self.open[-1].children.append(Node("br", {}))
+            self._add(Node("br", {}))
         elif tag == "p" and not any(n.tag == "p" for n in self.open):
-            self.open[-1].children.append(Node("p", {}))
+            self._add(Node("p", {}))
         else:
             self._close((tag,), ("table",) if tag not in ("table", "body", "html") else ())
 
     def handle_data(self, data):
-        self.open[-1].children.append(data)
+        self._add(data)
 
 
 def parse(html: str) -> Node:
@@ -111,7 +167,10 @@ def parse(html: str) -> Node:
 
 
 def visible(node: Node) -> bool:
-    """False for what no reader sees: scripts and the like, hidden attributes, hiding styles, hidden inputs."""
+    """False for what no reader sees with all below it: scripts and the like, hidden attributes, styles without display, hidden inputs.
+
+    ``Node.shown`` tells whether its own text is visible: that is inherited, and a child of a hidden parent may be visible again.
+    """
     attributes = node.attributes
     return not (
         node.tag in HIDDEN
@@ -188,7 +247,8 @@ def _render(node: Node, out: _Lines, literal: bool, depth: int) -> None:
     number = int(node.attributes["start"]) if node.tag == "ol" and node.attributes.get("start", "").isdigit() else 1
     for child in node.children:
         if isinstance(child, str):
-            out.text(child, literal)
+            if node.shown:
+                out.text(child, literal)
             continue
         if not visible(child):
             continue
@@ -198,9 +258,9 @@ def _render(node: Node, out: _Lines, literal: bool, depth: int) -> None:
         elif tag == "hr":
             out.gap()
         elif tag == "img":
-            out.text(child.attributes.get("alt", ""), False)
+            out.text(child.attributes.get("alt", "") if child.shown else "", False)
         elif tag == "input":
-            out.text(" " + child.attributes.get("value", "") + " ", False)
+            out.text(" " + (child.attributes.get("value", "") if child.shown else "") + " ", False)
         elif tag == "table":
             out.gap()
             out.add(_table(child))
@@ -210,6 +270,10 @@ def _render(node: Node, out: _Lines, literal: bool, depth: int) -> None:
             mark = f"{number}. " if node.tag == "ol" else "- "
             number += 1
             inner = [line for line in render_lines(child, depth + 1)]
+            if not child.shown:
+                # the mark of an item is as hidden as its text
+                out.add(inner)
+                continue
             out.add([mark + (inner[0] if inner else "")] + [" " * len(mark) + line if line else "" for line in inner[1:]])
         elif tag in BLOCKS:
             spaced = tag in SPACED and not (tag in ("ul", "ol", "dl") and node.tag in ("li", "ul", "ol"))
@@ -229,19 +293,24 @@ def _render(node: Node, out: _Lines, literal: bool, depth: int) -> None:
                 out.end()
         elif depth > 400:
             out.text(" ".join(_strings(child)), False)
+        elif tag in APART or node.tag in SCRIPTS:
+            out.text(" ", False)
+            _render(child, out, literal, depth + 1)
+            out.text(" ", False)
         else:
             _render(child, out, literal or tag in ("textarea",), depth + 1)
 
 
 def _strings(node: Node) -> Iterator[str]:
     """All visible text below a node, without layout and without recursion."""
-    stack = [node]
+    stack = [(node, True)]
     while stack:
-        item = stack.pop()
+        item, shown = stack.pop()
         if isinstance(item, str):
-            yield item
+            if shown:
+                yield item
         elif visible(item):
-            stack += reversed(item.children)
+            stack += [(child, item.shown) for child in reversed(item.children)]
 
 
 def render_lines(node: Node, depth: int = 0) -> list[str]:

@@ -65,6 +65,29 @@ def test_visible_text(html, text):
     assert got == text or html == "<<>></"
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<table><td>a</table>", "a"),
+        ("<table><tbody><td>a<td>b<tr><td>c</table>", "a  b\nc"),
+        ("<table><form><tr><td>a</form></table>", "a"),
+        ("<table><div>a</div></table>", "a"),
+        ("<table><tr><div>a</div><td>b</table>", "a\n\nb"),
+        ("x<table>bare<tr><td>b</td> late</table>y", "xbare late\n\nb\n\ny"),
+        ("<table><tr><td>a<table><tr><td>in</table><td>b</table>", "a in  b"),
+        ("<table><tr><td>a<div>x<tr><td>b</table>", "a x\nb"),
+        ("<table><tr><td>a<tbody><tr><td>b<table><template><tr><td>no</template></table></table>", "a\nb"),
+        ("<svg><title>no</title><defs/><path d='x'/><text>a</text><text>b</text></svg>", "a b"),
+        ("<math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac><annotation>no</annotation></math>", "x= 1 2"),
+        ("<div style='visibility: hidden'>no<b style='visibility: visible'>yes</b><i>no</i></div>", "yes"),
+        ("<ul style='visibility:hidden'><li>no<li style='visibility:visible'>yes</ul>", "- yes"),
+        ("<p style='content-visibility: hidden'>no</p><p style='display:none'><b style='visibility:visible'>no</b></p>yes", "yes"),
+    ],
+)
+def test_all_visible_text_is_emitted(html, text):
+    assert html_layout.visible_text(html) == text
+
+
 def test_pages_keep_all_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a"), (None, None, None), (1, "u", "<p>a")], "page_id long, url string, html string")
     assert sorted((r.page_id or 0, r.text, r.n_lines) for r in html_layout.extracted(pages).collect()) == [(0, "", 0), (1, "a", 1), (1, "a", 1)]
