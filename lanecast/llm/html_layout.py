@@ -47,6 +47,8 @@ _BARRIERS = frozenset("table td th caption button object template html".split())
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 _INVISIBLE = re.compile(r"display\s*:\s*none|content-visibility\s*:\s*hidden", re.I)
 _VISIBILITY = re.compile(r"(?<![\w-])visibility\s*:\s*(hidden|collapse|visible|initial)", re.I)
+#: Nesting from which text is emitted without layout.
+DEEPEST = 400
 
 
 class Node:
@@ -216,28 +218,28 @@ class _Lines:
         self.blank = True
 
 
-def _cells(node: Node) -> tuple[list[str], list[list[str]]]:
+def _cells(node: Node, depth: int) -> tuple[list[str], list[list[str]]]:
     """Caption lines and rows of rendered cells of a table, inner tables being text of their cell. A spanning cell leaves the others empty."""
     caption, rows, stack = [], [], [node]
     while stack:
         item = stack.pop()
         inner = [child for child in item.children if isinstance(child, Node) and visible(child)]
         if item.tag != "tr":
-            caption += [line for child in inner if child.tag == "caption" for line in render_lines(child)]
+            caption += [line for child in inner if child.tag == "caption" for line in render_lines(child, depth + 2)]
             stack += [child for child in reversed(inner) if child.tag in ("thead", "tbody", "tfoot", "tr")]
             continue
         row: list[str] = []
         for cell in inner:
             if cell.tag in ("td", "th"):
-                row.append(" ".join(line for line in render_lines(cell) if line))
+                row.append(" ".join(line for line in render_lines(cell, depth + 2) if line))
                 span = cell.attributes.get("colspan", "1")
                 row += [""] * (min(int(span), 1000) - 1 if span.isdigit() else 0)
         rows.append(row)
     return caption, [row for row in rows if any(row)]
 
 
-def _table(node: Node) -> list[str]:
-    caption, rows = _cells(node)
+def _table(node: Node, depth: int) -> list[str]:
+    caption, rows = _cells(node, depth)
     widths = [max(map(len, column)) for column in zip_longest(*rows, fillvalue="")]
     lines = ["  ".join(cell.ljust(width) for cell, width in zip(row, widths)).rstrip() for row in rows]
     return caption + lines
@@ -261,9 +263,13 @@ def _render(node: Node, out: _Lines, literal: bool, depth: int) -> None:
             out.text(child.attributes.get("alt", "") if child.shown else "", False)
         elif tag == "input":
             out.text(" " + (child.attributes.get("value", "") if child.shown else "") + " ", False)
+        elif depth > DEEPEST:
+            out.end() if tag in BLOCKS else None
+            out.text(" ".join(_strings(child)), False)
+            out.end() if tag in BLOCKS else None
         elif tag == "table":
             out.gap()
-            out.add(_table(child))
+            out.add(_table(child, depth))
             out.blank = True
         elif tag == "li":
             out.end()
@@ -282,8 +288,6 @@ def _render(node: Node, out: _Lines, literal: bool, depth: int) -> None:
                 out.add(["> " + line if line else ">" for line in render_lines(child, depth + 1)])
             elif tag == "dd":
                 out.add(["  " + line if line else "" for line in render_lines(child, depth + 1)])
-            elif depth > 400:
-                out.text(" ".join(_strings(child)), False)
             else:
                 _render(child, out, literal or tag == "pre", depth + 1)
             if spaced:
@@ -291,8 +295,6 @@ def _render(node: Node, out: _Lines, literal: bool, depth: int) -> None:
                 out.blank = True
             else:
                 out.end()
-        elif depth > 400:
-            out.text(" ".join(_strings(child)), False)
         elif tag in APART or node.tag in SCRIPTS:
             out.text(" ", False)
             _render(child, out, literal, depth + 1)

@@ -88,6 +88,12 @@ def test_all_visible_text_is_emitted(html, text):
     assert html_layout.visible_text(html) == text
 
 
+@pytest.mark.parametrize("tags", ["<blockquote>", "<table><tr><td>", "<ul><li>", "<table><caption>", "<div><table><td><b>"])
+def test_deep_pages_give_their_text(tags):
+    for count in (200, 490, 3000):
+        assert "deep" in html_layout.visible_text(tags * count + "deep")
+
+
 def test_pages_keep_all_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a"), (None, None, None), (1, "u", "<p>a")], "page_id long, url string, html string")
     assert sorted((r.page_id or 0, r.text, r.n_lines) for r in html_layout.extracted(pages).collect()) == [(0, "", 0), (1, "a", 1), (1, "a", 1)]
