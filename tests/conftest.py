@@ -8,11 +8,7 @@ for path in (str(ROOT), str(ROOT / "tests")):
     if path not in sys.path:
         sys.path.insert(0, path)
 
-SMALL = "/root/testdata/sf0.001"
-
-
-def macro_values(i):
-    return 1000.0 + 30 * i, 2.0 + 0.2 * i, 90.0 + i, 5.0 - 0.1 * i, 100.0 + i, 10.0 + i
+from small_data import macro_values  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -1,5 +1,5 @@
 import pytest
-from conftest import SMALL
+from small_data import SMALL
 from pyspark.sql import functions as F
 
 from lanecast import starschema as star

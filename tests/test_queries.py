@@ -2,7 +2,7 @@
 
 import pytest
 from compare import connect, difference, spark_rows, sql_rows
-from conftest import SMALL
+from small_data import SMALL
 
 import __spark_entry__
 from lanecast.registry.oracles import ORACLES
