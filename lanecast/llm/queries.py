@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanecast.llm import html_layout, jaccard_join, language_spans, line_crf, maxent_lm, nb_svm, suffix_dedup, template_match, token_file, unigram
+from lanecast.llm import html_layout, jaccard_join, language_spans, line_crf, line_filters, maxent_lm, merkle_manifest, nb_svm, periodic_runs
+from lanecast.llm import suffix_dedup, template_match, token_file, unigram
+from lanecast.llm.oracles import ORACLES
 from lanecast.session import scratch_path
 
 
@@ -87,6 +89,42 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram.encoded(_table(spark, sf_dir, "documents"), piece_model())
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, a tenth of them with a repetition planted by their id."""
+    rows = periodic_runs.periodic_runs(periodic_runs.planted(_table(spark, sf_dir, "documents")))
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    rows = rows.withColumn("best", periodic_runs.strongest(F.col("runs")))
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and whether a leaf, tampered with in one of seven documents, folds to the root."""
+    seventh = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    manifest = merkle_manifest.build(_table(spark, sf_dir, "documents"), seventh)
+    rows = merkle_manifest.proofs(manifest)
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.array_join("siblings", ""), 256).alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
+def op13_line_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that ten documents or more have."""
+    documents = _table(spark, sf_dir, "documents")
+    rows = line_filters.without_common_lines(documents, line_filters.build(documents, min_docs=10))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_file": op1_token_file,
     "op2_html_layout": op2_html_layout,
@@ -98,27 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_language_id": op9_language_id,
     "op10_sentencepiece": op10_sentencepiece,
-}
-
-ORACLES: dict[str, str] = {
-    "op3_jaccard_join": r"""
-WITH RECURSIVE words AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-           'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
-  FROM documents),
-sets AS (
-  SELECT doc_id, CASE WHEN len(w) = 0 THEN []
-           WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-           ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
-  FROM words),
-shingles AS (SELECT doc_id, len(s) AS n, hash(x) AS x FROM (SELECT doc_id, s, unnest(s) AS x FROM sets)),
-common AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c, any_value(a.n) AS na, any_value(b.n) AS nb
-  FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
-links AS (SELECT a, b FROM common WHERE 100 * c >= 85 * (na + nb - c)),
-both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
-reach AS (SELECT a, b FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a)
-SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, least(s.doc_id, coalesce(r.m, s.doc_id)) AS component_id
-FROM sets s LEFT JOIN (SELECT a, min(b) AS m FROM reach GROUP BY a) r ON r.a = s.doc_id
-""",
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_line_filters": op13_line_filters,
 }
