@@ -53,10 +53,6 @@ def leaf_digest(columns: dict[str, Column] | None = None) -> Column:
     return F.sha2(F.concat(*[_field(given.get(name, F.col(name))) for name in FIELDS]), 256)
 
 
-def _slot(level, pos) -> Column:
-    return F.shiftleft(F.lit(level).cast("long"), _LEVEL_BITS).bitwiseOR(pos)
-
-
 def _next_level(nodes: Column) -> Column:
     """Digests of each two consecutive ones, the last one alone if it has no partner."""
     count = F.floor((F.size(nodes) + 1) / 2).cast("int")
@@ -164,7 +160,10 @@ def build(documents: DataFrame, tampered: Column | None = None) -> Manifest:
 
 
 def climbed(manifest: Manifest) -> DataFrame:
-    """(leaf_no, folded_root, siblings): each leaf, altered where it is, taken to the root by a recursive query."""
+    """(leaf_no, folded_root, siblings): each leaf, altered where it is, taken to the root by a recursive query.
+
+    Siblings are their 32-byte digests, one after the other.
+    """
     spark = manifest.leaves.sparkSession
     starts = manifest.leaves.select(
         "leaf_no", F.col("node_tree").alias("tree"), F.col("node_slot").alias("slot"), F.unhex(F.coalesce("altered", "leaf")).alias("folded")
@@ -174,26 +173,26 @@ def climbed(manifest: Manifest) -> DataFrame:
     try:
         rows = spark.sql(
             """
-            WITH RECURSIVE climb(leaf_no, tree, slot, folded, sibling, step) AS (
-              SELECT leaf_no, tree, slot, folded, CAST(NULL AS BINARY), 0 FROM {starts}
+            WITH RECURSIVE climb(leaf_no, tree, slot, folded, sibling) AS (
+              SELECT leaf_no, tree, slot, folded, CAST(NULL AS BINARY) FROM {starts}
               UNION ALL
               SELECT c.leaf_no, n.parent_tree, n.parent_slot,
                      unhex(sha2(lower(concat(
                        CASE WHEN n.sibling_first THEN hex(n.sibling) ELSE '' END,
                        hex(c.folded),
                        CASE WHEN n.sibling_first OR n.sibling IS NULL THEN '' ELSE hex(n.sibling) END)), 256)),
-                     n.sibling, c.step + 1
+                     n.sibling
               FROM climb c JOIN {nodes} n ON n.tree = c.tree AND n.slot = c.slot)
-            SELECT leaf_no, folded, sibling, step FROM climb
+            SELECT leaf_no, struct(tree = -1 AS above, slot) AS place, folded, sibling FROM climb
             """,
             starts=starts,
             nodes=spark.table(manifest.nodes),
         )
-        # one row a level: at most a few dozen for each leaf
+        # a slot grows with its level, and the tree above comes last: one row a level, a few dozen for each leaf
         path = rows.groupBy("leaf_no").agg(
-            F.max_by("folded", "step").alias("folded"), F.sort_array(F.collect_list(F.struct("step", "sibling"))).alias("path")
+            F.max_by("folded", "place").alias("folded"), F.sort_array(F.collect_list(F.struct("place", "sibling"))).alias("path")
         )
-        siblings = F.transform(F.filter("path.sibling", lambda s: s.isNotNull()), lambda s: F.lower(F.hex(s)))
+        siblings = F.aggregate(F.filter("path.sibling", lambda s: s.isNotNull()), F.lit(b""), lambda done, s: F.concat(done, s))
         return materialise(path.select("leaf_no", F.lower(F.hex("folded")).alias("folded_root"), siblings.alias("siblings")))
     finally:
         spark.conf.set(_ROW_LIMIT, limit)
@@ -207,7 +206,10 @@ def proofs(manifest: Manifest) -> DataFrame:
         "leaf",
         "subroot",
         F.lit(manifest.root).cast("string").alias("root"),
-        "siblings",
+        F.transform(
+            F.filter(F.sequence(F.lit(0), F.octet_length("siblings")), lambda i: (i % 32 == 0) & (i < F.octet_length("siblings"))),
+            lambda i: F.lower(F.hex(F.substring("siblings", i + 1, F.lit(32)))),
+        ).alias("siblings"),
         "folded_root",
         (F.col("folded_root") == F.lit(manifest.root)).alias("verified"),
     )
