@@ -10,6 +10,7 @@ from ..starschema import (
     MACRO_MAPPING,
     PART_PAID_SERIES,
 )
+from .model_sql import arima_ctes, trend_ctes
 
 # Written out here, so that a wrong value in the code under test cannot pass.
 YEARS = tuple(range(1995, 2002))
@@ -340,6 +341,66 @@ line AS (
 FORECASTS = "forecasts AS (SELECT * FROM walk UNION ALL SELECT * FROM line)"
 ALL_FORECASTS = (*ZONE_ANNUAL, _walk("walk", "annual", "RandomWalk"), STRAIGHT, FORECASTS)
 
+BOTH_CUTS = (("train", HOLDOUT_YEAR - 1), ("full", 9999))
+BACKTEST_YEARS = YEARS[3:]
+BACKTEST_CUTS = tuple((f"before_{y}", y - 1) for y in BACKTEST_YEARS)
+
+
+def _recursive(*ctes: str) -> str:
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
+
+
+def _fitted(name: str, model: str, source: str, mean: str, deviation: str) -> str:
+    """A forecast table from (cut, corridor_id, year) rows; corridors without an observation in the holdout year have none there."""
+    return f"""{name} AS (
+  SELECT corridor_id, corridor_name, '{model}' AS model_name, 'leave_last_year_out' AS training_strategy, forecast_type, year,
+         {mean} AS prediction, {mean} - {Z80} * {deviation} AS lower_bound, {mean} + {Z80} * {deviation} AS upper_bound
+  FROM (SELECT corridor_id, corridor_name, 'holdout' AS forecast_type, year, 'train' AS cut FROM annual WHERE year = {HOLDOUT_YEAR}
+        UNION ALL SELECT DISTINCT corridor_id, corridor_name, 'future', CAST(y AS INTEGER), 'full' FROM annual CROSS JOIN (VALUES {_values(HORIZON)}) AS v(y))
+  LEFT JOIN {source} USING (cut, corridor_id, year))"""
+
+
+ARIMA = (
+    *arima_ctes(BOTH_CUTS, len(HORIZON)),
+    f"a_years AS (SELECT *, CASE cut WHEN 'train' THEN {HOLDOUT_YEAR} ELSE {HOLDOUT_YEAR} + step END AS year FROM a_path WHERE cut = 'full' OR step = 1)",
+    _fitted("arima", "ARIMA", "a_years", "level", "sqrt(variance)"),
+)
+_REGRESSOR_LIST = "gdp, diesel_price, industrial_production, unemployment_rate"
+TREND = (
+    KNOWN_MACRO,
+    _macro_future("known_macro", HORIZON).replace("round(max(CASE WHEN sid", "(max(CASE WHEN sid").replace("END), 4)", "END))"),
+    *trend_ctes(
+        BOTH_CUTS,
+        f"""SELECT 'train' AS cut, corridor_id, year, {_REGRESSOR_LIST} FROM annual WHERE year = {HOLDOUT_YEAR}
+  UNION ALL SELECT 'full', corridor_id, year, {_REGRESSOR_LIST} FROM (SELECT DISTINCT corridor_id FROM annual) CROSS JOIN future_macro""",
+        "known_macro",
+        HOLDOUT_YEAR,
+    ),
+    _fitted("trend", "TrendRegression", "t_found", "mean", "deviation"),
+)
+BACKTESTS = f"""backtests AS (
+  SELECT 'ARIMA' AS model_name, a.corridor_id, corridor_name, year, total_tons AS actual, level AS prediction
+  FROM annual a JOIN a_path p ON p.corridor_id = a.corridor_id AND cut = 'before_' || year AND step = 1
+  UNION ALL
+  SELECT 'TrendRegression', corridor_id, corridor_name, year, total_tons, mean
+  FROM annual JOIN (VALUES {_values(BACKTEST_YEARS)}) AS v(y) ON year = y LEFT JOIN t_found USING (corridor_id, year)
+  UNION ALL
+  SELECT 'RandomWalk', corridor_id, corridor_name, year, actual, prediction
+  FROM (SELECT corridor_id, corridor_name, year, total_tons AS actual, row_number() OVER w AS n,
+          last_value(total_tons IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prediction
+        FROM annual WINDOW w AS (PARTITION BY corridor_id ORDER BY year)) WHERE n > 3)"""
+BACKTESTED = (
+    *arima_ctes(BACKTEST_CUTS, 1),
+    KNOWN_MACRO,
+    *trend_ctes(
+        BACKTEST_CUTS,
+        f"SELECT 'before_' || year AS cut, corridor_id, year, {_REGRESSOR_LIST} FROM annual WHERE year >= {BACKTEST_YEARS[0]}",
+        "known_macro",
+        HOLDOUT_YEAR,
+    ),
+    BACKTESTS,
+)
+
 SCORES = f"""holdout AS (
   SELECT f.corridor_id, f.corridor_name, model_name, training_strategy, f.year, a.total_tons AS actual, prediction,
          abs((a.total_tons - prediction) / nullif(a.total_tons, 0)) * 100 AS mape,
@@ -482,6 +543,24 @@ UNION ALL SELECT 'raw_distance_bands', r_regionkey, r_name FROM region""",
     + f"SELECT {ROUND_FORECAST} FROM walk",
     "forecast_arima_fixed_order": _with(*ZONE_ANNUAL, _walk("walk", "annual", "ARIMA"))
     + f"SELECT {ROUND_FORECAST} FROM walk",
+    "forecast_arima": _recursive(*ZONE_ANNUAL, *ARIMA) + f"SELECT {ROUND_FORECAST} FROM arima",
+    "arima_orders": _recursive(*ZONE_ANNUAL, *ARIMA)
+    + f"""SELECT a.corridor_id, a.corridor_name, model_order, round(aic, 6) AS aic, CAST(n_rows AS INTEGER) AS training_rows,
+  CAST(full_rows AS INTEGER) AS full_rows
+FROM annual a LEFT JOIN a_best b ON b.corridor_id = a.corridor_id AND b.cut = 'train'
+JOIN (SELECT corridor_id, count(*) AS full_rows FROM annual GROUP BY 1) c ON c.corridor_id = a.corridor_id WHERE a.year = {HOLDOUT_YEAR}""",
+    "forecast_trend": _recursive(*ZONE_ANNUAL, *TREND) + f"SELECT {ROUND_FORECAST.replace(', 4)', ', 1)')} FROM trend",
+    "backtest_models": _recursive(*ZONE_ANNUAL, *BACKTESTED)
+    + "SELECT model_name, corridor_id, corridor_name, "
+    + ", ".join(
+        f"CASE any_value(model_name) WHEN 'TrendRegression' THEN round({m}, 1) ELSE round({m}, 5) END AS {name}"
+        for name, m in {
+            "mape": "avg(abs((actual - prediction) / nullif(actual, 0))) * 100",
+            "rmse": "sqrt(avg((actual - prediction) * (actual - prediction)))",
+            "mae": "avg(abs(actual - prediction))",
+        }.items()
+    )
+    + " FROM backtests GROUP BY ALL",
     "dated_series": _with(LINES, ZONE_LANES, TOTALS)
     + "SELECT corridor_id, make_date(year, 1, 1) AS ds, total_tons AS y FROM filled",
     "boosted_training_rows": _with(*ZONE_ANNUAL, ENRICHED)

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lanecast.forecast import arima, bayes_line, boosted, likelihood, trend
+from lanecast.forecast import arima, boosted, trend
 from lanecast.forecast.common import conform, dated
 from lanecast.forecast.random_walk import forecast_random_walk
 from lanecast.operators.features import enrich
@@ -93,65 +93,107 @@ def test_published_intervals_grow_with_the_square_root():
         assert half[steps] / half[1] == pytest.approx(np.sqrt(steps), rel=1e-9)
 
 
-def _autocovariance(order, point, lags):
-    """Covariances of the differenced series for unit noise, by summing its moving-average weights."""
-    phi1, phi2, theta = (float(np.asarray(v)) for v in likelihood._parameters(order, np.array(point)))
-    psi = [1.0, phi1 + theta]
-    for _ in range(20000):
-        psi.append(phi1 * psi[-1] + phi2 * psi[-2])
-    psi = np.array(psi)
-    return [float(psi[: len(psi) - k] @ psi[k:]) for k in range(lags)]
-
-
-@pytest.mark.parametrize("order, point", [((0, 1, 0), (0, 0)), ((1, 1, 0), (0.5, 0)), ((1, 1, 1), (0.4, -0.6)), ((2, 1, 0), (0.3, -0.5))])
-@pytest.mark.parametrize("missing", [(), (3,), (2, 3, 6)])
-def test_likelihood_against_the_full_covariance(order, point, missing):
-    rng = np.random.default_rng(7)
-    levels = 100 + rng.normal(size=9).cumsum()
-    series = levels.copy()
-    series[list(missing)] = np.nan
-    params = likelihood._parameters(order, np.array(point, dtype=float)[None, None, :])
-    loglik, variance, *_ = likelihood._filter(series[None], params)
-    gamma = _autocovariance(order, point, 9)
-    cov = np.array([[gamma[abs(i - j)] for j in range(8)] for i in range(8)])
-    sums = np.tril(np.ones((8, 8)))
-    keep = [i - 1 for i in range(1, 9) if i not in missing]
-    level_cov = (sums @ cov @ sums.T)[np.ix_(keep, keep)]
-    shift = (levels[1:] - levels[0])[keep]
-    sigma2 = shift @ np.linalg.solve(level_cov, shift) / len(keep)
-    expected = -0.5 * (len(keep) * (np.log(2 * np.pi * sigma2) + 1) + np.linalg.slogdet(level_cov)[1])
-    assert variance[0, 0] == pytest.approx(sigma2) and loglik[0, 0] == pytest.approx(expected)
-
-
-def test_narrowed_grid_finds_the_maximum():
-    rng = np.random.default_rng(3)
-    series = (100 + rng.normal(size=(5, 12)).cumsum(axis=1)).cumsum(axis=1)
-    for order in ((1, 1, 0), (1, 1, 1), (2, 1, 0)):
-        best = likelihood._fit_order(series, order)[0]
-        axis = np.linspace(-0.999, 0.999, 400 if order == (1, 1, 0) else 120)
-        points = np.stack(np.meshgrid(axis, axis if order != (1, 1, 0) else [0.0], indexing="ij"), -1).reshape(1, -1, 2)
-        brute = likelihood._filter(series, likelihood._parameters(order, points))[0].max(axis=1)
-        assert (best >= brute - 1e-9).all()
-
-
-def test_lowest_aic_wins_and_ties_go_to_the_first():
-    rng = np.random.default_rng(5)
-    noise = rng.normal(size=40)
-    drift = np.zeros(40)
-    for t in range(1, 40):
-        drift[t] = 0.95 * drift[t - 1] + noise[t]
-    series = np.stack([100 + drift.cumsum(), np.full(40, 5.0)])
-    order, aic, mean, deviation = likelihood.select_and_predict(series, 2)
-    assert order[0] != 0 and order[1] == 0
-    assert mean[1].tolist() == [5.0, 5.0] and deviation[1] == pytest.approx([0, 0], abs=1e-6)
-    alone = likelihood.select_and_predict(series, 2, orders=[(0, 1, 0)])
-    assert aic[0] < alone[1][0]
-
-
-def test_series_too_short_for_any_order_uses_the_fallback():
-    order, _, mean, deviation = likelihood.select_and_predict(np.array([[np.nan, 7.0], [np.nan, np.nan]]), 2)
-    assert order.tolist() == [-1, -1]
-    assert mean[0].tolist() == [7.0, 7.0] and np.isnan(deviation[0]).all() and np.isnan(mean[1]).all()
+def _series(spark, rows):
+    return spark.createDataFrame([(i, [None if v is None else float(v) for v in r]) for i, r in enumerate(rows)], "i int, x array<double>")
+
+
+def _fits(spark, rows, steps=3, orders=arima.ORDER_GRID):
+    return [r for r in sorted(arima.with_fit(_series(spark, rows), "x", steps, orders).collect(), key=lambda r: r.i)]
+
+
+def _brute(row, steps, orders=arima.ORDER_GRID):
+    """The same estimates by dense least squares on explicitly filtered changes."""
+    at = [i for i, v in enumerate(row) if v is not None]
+    late, level = (len(row) - 1 - at[-1], row[at[-1]]) if at else (0, None)
+    d = np.array([row[b] - row[a] for a, b in zip(at, at[1:])], dtype=float)
+    g = np.array([b - a for a, b in zip(at, at[1:])], dtype=float)
+    n = len(d)
+
+    def lagged(u, k):
+        return np.concatenate([np.zeros(min(k, n)), u[: max(0, n - k)]])
+
+    def fit(p, t):
+        u = np.zeros(n)
+        for i in range(n):
+            u[i] = d[i] - (t * u[i - 1] if i else 0)
+        x = np.stack([lagged(u, k) for k in range(1, p + 1)], axis=1) if p else np.zeros((n, 0))
+        if p == 2 and (n < 2 or np.linalg.matrix_rank(x / np.sqrt(g)[:, None]) < 2):
+            return None
+        phi = np.linalg.lstsq(x / np.sqrt(g)[:, None], u / np.sqrt(g), rcond=None)[0] if p else np.zeros(0)
+        a, b = (list(phi) + [0, 0])[:2]
+        border = max(abs(b), a + b, b - a)
+        shrink = min(1, 0.99 / border) if border > 0 else 1
+        e = u - x @ (phi * shrink)
+        return (e * e / g).sum(), a * shrink, b * shrink, t, e[-1] if n else 0.0
+
+    def best(order):
+        if not order[2]:
+            return fit(order[0], 0.0)
+        base = fit(0, 0.0)[0]
+        return min((fit(order[0], t) for t in arima.ma_grid()), key=lambda f: (round(f[0] / base, 9) if base else 0, abs(f[3]), f[3]))
+
+    total, chosen = fit(0, 0.0)[0], None
+    for order in orders:
+        f = best(order)
+        if f and n and f[0] > 1e-12 * total:
+            aic = 2 * (order[0] + order[2] + 1) + n * (np.log(2 * np.pi * f[0] / n) + 1) + np.log(g).sum()
+            if chosen is None or round(aic, 9) < round(chosen[1], 9):
+                chosen = (str(order), aic, f)
+    if chosen is None:
+        chosen = (str(arima.FALLBACK_ORDER), None, best(arima.FALLBACK_ORDER))
+    sse, a, b, t, e = chosen[2]
+    weights = [1.0, a + t]
+    while len(weights) < late + steps:
+        weights.append(a * weights[-1] + b * weights[-2])
+    c, path = list(lagged(d, 0)[-1:]) + list(lagged(d, 1)[-1:]) or [0.0, 0.0], []
+    c = (c + [0.0, 0.0])[:2]
+    for k in range(late + steps):
+        move = a * c[0] + b * c[1] + (t * e if k == 0 else 0)
+        c, level = [move, c[0]], None if level is None else level + move
+        variance = (np.cumsum(weights)[: k + 1] ** 2).sum() * sse / n if n else None
+        path.append((level, variance))
+    return chosen[0], chosen[1], path[late:]
+
+
+def test_orders_and_paths_equal_dense_least_squares(spark):
+    rng = np.random.default_rng(11)
+    rows = [[100, 110, 120, 118, 131], [5, 5, 5], [], [None, None], [7], [3, None], [1, 2], [1, 2, 4], [None, 1, None, 2, 4, None, None], [0, 0, 3, 5, 9]]
+    for size in (4, 6, 9, 15, 40):
+        for kind in range(4):
+            noise = rng.normal(size=size)
+            change = noise.copy()
+            for i in range(1, size):
+                change[i] += (0.8, -0.6, 0.0, 0.5)[kind] * change[i - 1] + (0.0, 0.0, 0.7, 0.0)[kind] * noise[i - 1]
+                change[i] -= 0.8 * change[i - 2] if kind == 3 and i > 1 else 0
+            levels = list(50 + 10 * change.cumsum())
+            rows.append(levels)
+            rows.append([None if rng.random() < 0.25 else v for v in levels])
+    seen = set()
+    for row, got in zip(rows, _fits(spark, rows)):
+        order, aic, path = _brute(row, 3)
+        assert got["order"] == order and (got["aic"] is None) == (aic is None)
+        assert aic is None or got["aic"] == pytest.approx(aic, rel=1e-9)
+        assert len(got["path"]) == 3
+        for mine, (level, variance) in zip(got["path"], path):
+            assert (mine["level"] is None) == (level is None) and (mine["variance"] is None) == (variance is None)
+            assert level is None or mine["level"] == pytest.approx(level, rel=1e-7)
+            assert variance is None or mine["variance"] == pytest.approx(variance, rel=1e-7, abs=1e-9)
+        seen.add(order)
+    assert seen == {str(o) for o in arima.ORDER_GRID}
+
+
+def test_a_persistent_change_is_carried_on(spark):
+    change = [10 * 0.8**i for i in range(12)]
+    (got,) = _fits(spark, [list(np.cumsum(change))], steps=2, orders=((0, 1, 0), (1, 1, 0)))
+    assert got["order"] == "(1, 1, 0)"
+    assert got["path"][0]["level"] == pytest.approx(sum(change) + 0.8 * change[-1])
+
+
+def test_infinity_is_no_observation_and_other_orders_are_refused(spark):
+    plain, odd = _fits(spark, [[1, 2, None, 5], [1, 2, float("inf"), 5]])
+    assert plain[2:] == odd[2:]
+    with pytest.raises(ValueError, match="unsupported"):
+        arima.with_fit(_series(spark, [[1]]), "x", 1, orders=((3, 1, 0),))
 
 
 def test_arima_held_to_the_random_walk(annual):
@@ -172,12 +214,19 @@ def test_arima_table_and_settings(annual):
     assert conform(fitted).columns == list(FORECAST_COLUMNS)
 
 
-def test_random_walk_aic():
-    series = np.array([100.0, 110.0, 120.0, 118.0, 131.0])
-    changes = np.diff(series)
-    sigma2 = (changes**2).mean()
-    _, aic, _, _ = likelihood.select_and_predict(series[None], 1, orders=[(0, 1, 0)])
-    assert aic[0] == pytest.approx(2 + len(changes) * (np.log(2 * np.pi * sigma2) + 1))
+def test_random_walk_aic(spark):
+    changes = np.diff([100.0, 110.0, 120.0, 118.0, 131.0])
+    (got,) = _fits(spark, [[100, 110, 120, 118, 131]], orders=((0, 1, 0),))
+    assert got["aic"] == pytest.approx(2 + len(changes) * (np.log(2 * np.pi * (changes**2).mean()) + 1))
+
+
+def test_backtest_predicts_each_year_from_those_before(spark, annual):
+    rows = {(r.corridor_id, r.test_year): r for r in arima.backtest_arima(annual, min_train=4).collect()}
+    assert sorted(y for c, y in rows if c == 1) == [2021, 2022, 2023, 2024]
+    for (corridor, year), row in rows.items():
+        earlier = annual.where((F.col("corridor_id") == corridor) & (F.col("year") < year)).orderBy("year")
+        assert row.prediction == pytest.approx(_brute([r.total_tons for r in earlier.collect()], 1)[2][0][0])
+        assert row.train_size == year - 2017
 
 
 def test_series_are_dated_by_the_first_of_january(annual):
@@ -185,26 +234,76 @@ def test_series_are_dated_by_the_first_of_january(annual):
     assert str(row["ds"]) == "2018-01-01" and row["y"] == 110.0
 
 
-def test_trend_follows_a_straight_line():
-    years = np.arange(2010, 2022)
-    x = np.random.default_rng(1).normal(size=(12, 2))
-    tons = 50 + 3.0 * (years - 2010)
-    mean, deviation = bayes_line.fit_and_predict(365 * years, tons, x, 365 * np.array([2022, 2025]), np.zeros((2, 2)))
-    assert mean == pytest.approx([86.0, 95.0], rel=0.02)
-    assert 0 < deviation[0] < deviation[1] < 5
-
-
-def test_trend_uses_its_regressors():
-    years = np.arange(2000, 2024)
-    x = np.random.default_rng(2).normal(size=(24, 1))
-    tons = 100 + 10 * x[:, 0]
-    mean, _ = bayes_line.fit_and_predict(365 * years, tons, x, 365 * np.array([2024, 2024]), np.array([[1.0], [-1.0]]))
-    assert mean == pytest.approx([110.0, 90.0], rel=0.02)
-
-
-def test_trend_needs_two_complete_rows():
-    x = np.array([[1.0], [np.nan], [2.0]])
-    assert bayes_line.fit_and_predict(np.array([1, 2, 3]), np.array([np.nan, 1.0, 2.0]), x, np.array([4]), np.array([[1.0]])) is None
+def _yearly(spark, tons, gdp, first=2000):
+    """A corridor and its macro table from tons and gdp by year; the other regressors never change."""
+    rows = [(1, "c", first + i, t, 1.0, 1.0, g, 2.0, 3.0, 4.0, 5.0, 6.0) for i, (t, g) in enumerate(zip(tons, gdp))]
+    macros = [(r[2], *r[6:]) for r in rows]
+    return spark.createDataFrame(rows, ANNUAL_SCHEMA), spark.createDataFrame(macros, MACRO_ANNUAL_SCHEMA)
+
+
+def _predicted(df, kind):
+    return [(r["year"], r["prediction"], r["deviation"]) for r in df.where(F.col("forecast_type") == kind).orderBy("year").collect()]
+
+
+def test_trend_follows_a_straight_line(spark):
+    annual, macros = _yearly(spark, [50.0 + 3 * i for i in range(12)], [1.0] * 12)
+    got = trend.fit_trend(annual, macros, (2012, 2015), holdout_year=2011)
+    (now,), (near, far) = _predicted(got, "holdout"), _predicted(got, "future")
+    assert now[1] == pytest.approx(83.0, rel=0.02)
+    assert (near[1], far[1]) == (pytest.approx(86.0, rel=0.02), pytest.approx(95.0, rel=0.02))
+    assert 0 < near[2] < far[2] < 5
+
+
+def test_trend_uses_its_regressors(spark):
+    gdp = np.random.default_rng(2).normal(size=24).tolist()
+    annual, macros = _yearly(spark, [100 + 10 * g for g in gdp], gdp)
+    (now,) = _predicted(trend.fit_trend(annual, macros, (2024,), holdout_year=2023), "holdout")
+    assert now[1] == pytest.approx(100 + 10 * gdp[-1], rel=0.02)
+
+
+def _dense_trend(x, y, target, last, noise_grid=trend.NOISE_GRID):
+    """Gaussian-process form of the same model: covariances between rows instead of normal equations."""
+    prior, scale, best = np.array(trend._prior(x.shape[1] - 5)), np.abs(y).max() or 1.0, None
+    for q in noise_grid:
+        cov = (x * prior) @ x.T + q * q * np.eye(len(y))
+        weights = np.linalg.solve(cov, y / scale)
+        evidence = -0.5 * (np.linalg.slogdet(cov)[1] + (y / scale) @ weights) - 0.5 * (q / 0.5) ** 2
+        if best is None or evidence > best[0]:
+            cross = (target * prior) @ x.T
+            size = np.abs((prior[:, None] * x.T) @ weights)[2:5].mean()
+            drift = 2 * size**2 * max(target[1] - last, 0) ** 3
+            spread = (target**2 * prior).sum() - cross @ np.linalg.solve(cov, cross) + q * q + drift
+            best = (evidence, scale * cross @ weights, scale * np.sqrt(spread))
+    return best[1:]
+
+
+def test_trend_equals_the_dense_model(spark):
+    rng = np.random.default_rng(4)
+    gdp, tons = rng.normal(size=14).tolist(), [None if i in (2, 9) else float(v) for i, v in enumerate(80 + rng.normal(size=14).cumsum() * 9)]
+    annual, macros = _yearly(spark, tons, gdp)
+    rows = trend.backtest_trend(annual, macros, 2013, min_train=3).collect()
+    assert len(rows) == 11
+    seen = np.array(gdp[:13])
+    t = np.arange(14) / 13
+    x = np.column_stack([np.ones(14), t, *[np.maximum(t - h, 0) for h in trend.HINGES], (np.array(gdp) - seen.mean()) / seen.std(ddof=1), np.zeros((14, 3))])
+    y = np.array([np.nan if v is None else v for v in tons])
+    for row in rows:
+        cut = row.test_year - 2000
+        keep = ~np.isnan(y[:cut])
+        mean, _ = _dense_trend(x[:cut][keep], y[:cut][keep], x[cut], t[cut - 1])
+        assert row.prediction == pytest.approx(mean, rel=1e-6)
+    (now,) = _predicted(trend.fit_trend(annual, macros, (2014,), holdout_year=2013), "holdout")
+    keep = ~np.isnan(y[:13])
+    assert now[1:] == pytest.approx(_dense_trend(x[:13][keep], y[:13][keep], x[13], t[12]), rel=1e-6)
+
+
+def test_trend_needs_two_complete_rows(spark):
+    annual, macros = _yearly(spark, [None, 5.0, None, 7.0], [1.0, 2.0, None, 3.0])
+    got = trend.fit_trend(annual, macros, (2004,), holdout_year=2003)
+    assert _predicted(got, "holdout") == [(2003, None, None)]
+    assert _predicted(got, "future")[0][1] is not None
+    gapless = trend.fit_trend(annual.where("year < 2003"), macros, (2004,), holdout_year=2003)
+    assert _predicted(gapless, "holdout") == [] and _predicted(gapless, "future") == [(2004, None, None)]
 
 
 def test_trend_table(annual, macro_rows):
@@ -212,7 +311,7 @@ def test_trend_table(annual, macro_rows):
     assert got.count() == 8
     rows = {(r["corridor_id"], r["year"]): r for r in got.collect()}
     assert all(r["lower_bound"] < r["prediction"] < r["upper_bound"] for r in rows.values())
-    again = {(r["corridor_id"], r["year"]): r for r in trend.fit_trend(annual, macro_rows, HORIZON, partitions=5).collect()}
+    again = {(r["corridor_id"], r["year"]): r for r in trend.fit_trend(annual.repartition(5), macro_rows, HORIZON).collect()}
     assert rows == again
 
 

@@ -25,6 +25,10 @@ CHECKED = (
     "step_regressors",
     "forecast_random_walk",
     "forecast_arima_fixed_order",
+    "forecast_arima",
+    "arima_orders",
+    "forecast_trend",
+    "backtest_models",
     "interval_quantile",
     "expanding_splits",
     "model_comparison",
@@ -38,7 +42,7 @@ CHECKED = (
     "profile_numeric_large",
     "profile_categorical",
 )
-FITTED = {"full_evaluation", "forecast_arima", "arima_orders", "forecast_trend", "forecast_boosted", "boosted_importance", "top_features"}
+FITTED = {"full_evaluation", "forecast_boosted", "boosted_importance", "top_features"}
 
 
 @pytest.fixture(scope="module")
