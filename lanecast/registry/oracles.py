@@ -561,6 +561,12 @@ JOIN (SELECT corridor_id, count(*) AS full_rows FROM annual GROUP BY 1) c ON c.c
         }.items()
     )
     + " FROM backtests GROUP BY ALL",
+    "boosted_walk": _with(*ZONE_ANNUAL)
+    + f"""SELECT corridor_id, 'holdout' AS forecast_type, year, 0.0::DOUBLE AS apart, 0.2::DOUBLE AS width FROM annual WHERE year = {HOLDOUT_YEAR}
+UNION ALL SELECT DISTINCT corridor_id, 'future', CAST(y AS INTEGER), 0.0::DOUBLE, 0.08::DOUBLE FROM annual CROSS JOIN (VALUES {_values(HORIZON)}) AS v(y)""",
+    "boosted_importance_from_nodes": "SELECT feature, 0.0::DOUBLE AS apart FROM (VALUES "
+    + ", ".join(f"('{f}')" for f in BOOSTED_FEATURES)
+    + ") AS v(feature) WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_returnflag = 'N')",
     "dated_series": _with(LINES, ZONE_LANES, TOTALS)
     + "SELECT corridor_id, make_date(year, 1, 1) AS ds, total_tons AS y FROM filled",
     "boosted_training_rows": _with(*ZONE_ANNUAL, ENRICHED)

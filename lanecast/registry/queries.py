@@ -7,13 +7,14 @@ of addition, cannot differ between engines.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache, reduce
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import starschema as star
 from ..forecast.arima import backtest_arima, fit_arima, forecast_arima
+from ..forecast import boosted
 from ..forecast.boosted import forecast_boosted, latest_state, training_rows
 from ..forecast.common import conform, dated
 from ..forecast.random_walk import forecast_random_walk
@@ -22,7 +23,7 @@ from ..functions.numeric import quantile_interval
 from ..operators import evaluation, features, profiling, regressors, reporting, staging
 from ..plans import pipeline
 from ..schemas import BOOSTED_FEATURES, ENRICHED_FEATURES, SERIES_SCHEMA
-from ..session import materialise, scratch_path
+from ..session import materialise, scratch_path, shared_dir
 from ..sinks import tables as sinks
 from ..sources import artifacts, flows, lookups, macros as macro_source, validation
 
@@ -304,21 +305,66 @@ def forecast_trend_query(spark, sf_dir):
     return rounded(built, 1)
 
 
-@lru_cache(maxsize=1)
-def _boosted(application: str, spark, sf_dir):
-    """Forecasts and importance of the pooled model, fitted once for the three queries that show it."""
-    enriched = features.enrich(corridor_annual(spark, sf_dir))
+def _boosted_inputs(spark, sf_dir):
     known = star.macros(spark, sf_dir).where(F.col("year") <= star.HOLDOUT_YEAR)
-    forecasts, importance = forecast_boosted(enriched, known, star.HORIZON, star.HOLDOUT_YEAR)
-    return materialise(forecasts), importance
+    return features.enrich(_stored_annual(spark, sf_dir)), known, f"{shared_dir(spark)}/models"
+
+
+def _boosted(spark, sf_dir):
+    """Forecasts and importance of the pooled model, which is fitted only if the same rows have not been."""
+    enriched, known, store = _boosted_inputs(spark, sf_dir)
+    return forecast_boosted(enriched, known, star.HORIZON, star.HOLDOUT_YEAR, store=store)
 
 
 def forecast_boosted_query(spark, sf_dir):
-    return _boosted(spark.sparkContext.applicationId, spark, sf_dir)[0]
+    return _boosted(spark, sf_dir)[0]
 
 
 def boosted_importance(spark, sf_dir):
-    return _boosted(spark.sparkContext.applicationId, spark, sf_dir)[1]
+    return _boosted(spark, sf_dir)[1]
+
+
+def _boosted_nodes(spark, sf_dir):
+    enriched, known, store = _boosted_inputs(spark, sf_dir)
+    rows = materialise(enriched)
+    early, full = boosted.fitted_models(rows, star.HOLDOUT_YEAR, boosted.BoostedSettings(), store)
+    return rows, known, early, full
+
+
+def boosted_nodes(spark, sf_dir):
+    """The trees of the pooled model as a table."""
+    return boosted.model_nodes(_boosted_nodes(spark, sf_dir)[3], scratch_path(spark, "trees"))
+
+
+def boosted_walk(spark, sf_dir):
+    """Every forecast of the pooled model against a walk over the stored trees: how far apart, and how wide the bounds are."""
+    rows, known, early, full = _boosted_nodes(spark, sf_dir)
+    stored = {kind: materialise(boosted.model_nodes(model, scratch_path(spark, "trees"))) for kind, model in (("holdout", early), ("future", full))}
+    walked = boosted.walk(rows.where(F.col("year") == star.HOLDOUT_YEAR), stored["holdout"]).select("corridor_id", F.lit("holdout").alias("forecast_type"), "year", "walked")
+    state = boosted.latest_state(rows)
+    for year in star.HORIZON:
+        inputs = boosted.step_inputs(state, year, known)
+        step = materialise(boosted.walk(inputs, stored["future"]))
+        walked = walked.unionByName(step.select("corridor_id", F.lit("future").alias("forecast_type"), "year", "walked"))
+        state = boosted.step_state(step, "walked")
+    forecasts = _boosted(spark, sf_dir)[0]
+    size = F.greatest(F.abs("prediction"), F.lit(1.0))
+    return rounded(
+        forecasts.join(walked, ["corridor_id", "forecast_type", "year"], "full_outer").select(
+            "corridor_id", "forecast_type", "year",
+            F.abs(F.round((F.col("walked") - F.col("prediction")) / size, 6)).alias("apart"),
+            ((F.col("upper_bound") - F.col("lower_bound")) / F.abs("prediction")).alias("width"),
+        )
+    )
+
+
+def boosted_importance_from_nodes(spark, sf_dir):
+    """The importance each feature has in the stored trees against what the model says."""
+    _, _, _, full = _boosted_nodes(spark, sf_dir)
+    nodes = boosted.model_nodes(full, scratch_path(spark, "trees"))
+    says = boosted.feature_importance(spark, full).withColumnRenamed("importance", "said")
+    both = boosted.importance_from_nodes(nodes).join(says, "feature", "full_outer")
+    return both.select("feature", F.abs(F.round(F.col("importance") - F.col("said"), 6)).alias("apart"))
 
 
 def top_features(spark, sf_dir):
@@ -631,6 +677,9 @@ QUERIES: dict[str, Query] = {
     "forecast_trend": forecast_trend_query,
     "forecast_boosted": forecast_boosted_query,
     "boosted_importance": boosted_importance,
+    "boosted_nodes": boosted_nodes,
+    "boosted_walk": boosted_walk,
+    "boosted_importance_from_nodes": boosted_importance_from_nodes,
     "boosted_training_rows": boosted_training_rows,
     "boosted_state": boosted_state,
     "top_features": top_features,

@@ -368,3 +368,52 @@ def test_recursion_feeds_each_year_with_the_one_before(spark, pooled, macro_rows
 def test_boosted_trees_without_complete_rows(spark, pooled, macro_rows):
     forecasts, importance = boosted.forecast_boosted(pooled.where("year < 2019"), macro_rows, HORIZON)
     assert forecasts.count() == 0 and importance.count() == 0 and tuple(forecasts.columns) == FORECAST_COLUMNS
+
+
+def test_trees_as_a_table_predict_in_sql(spark, pooled, tmp_path):
+    import duckdb
+
+    model = boosted.fit_boosted(boosted.training_rows(pooled), boosted.BoostedSettings(trees=5, bins=16))
+    nodes = boosted.model_nodes(model, str(tmp_path / "model"))
+    nodes.write.parquet(str(tmp_path / "nodes"))
+    rows = pooled.select("corridor_id", "year", *[f for f in BOOSTED_FEATURES if f not in ("corridor_id", "year")])
+    rows.write.parquet(str(tmp_path / "rows"))
+    missing_goes_right = ", ".join(f"coalesce({f}::DOUBLE, 'nan'::DOUBLE)" for f in BOOSTED_FEATURES)
+    found = duckdb.sql(f"""
+WITH RECURSIVE nodes AS (SELECT * FROM read_parquet('{tmp_path}/nodes/*.parquet')),
+rows AS (SELECT corridor_id, year, [{missing_goes_right}] AS x FROM read_parquet('{tmp_path}/rows/*.parquet')),
+walk AS (
+  SELECT corridor_id, year, x, tree, 0 AS node FROM rows CROSS JOIN (SELECT DISTINCT tree FROM nodes)
+  UNION ALL
+  SELECT w.corridor_id, w.year, x, w.tree, CASE WHEN x[feature + 1] <= threshold THEN "left" ELSE "right" END
+  FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.node WHERE "left" >= 0)
+SELECT w.corridor_id, w.year, sum(weight * value) FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.node WHERE "left" < 0 GROUP BY ALL
+""").fetchall()
+    by_sql = {(c, y): v for c, y, v in found}
+    walked = boosted.walk(pooled, nodes).collect()
+    said = {(r["corridor_id"], r["year"]): r["prediction"] for r in model.transform(boosted._assemble(pooled, BOOSTED_FEATURES)).collect()}
+    assert len(by_sql) == len(walked) == len(said) == 32
+    for row in walked:
+        key = row["corridor_id"], row["year"]
+        assert row["walked"] == pytest.approx(said[key]) and by_sql[key] == pytest.approx(said[key])
+    shares = {r["feature"]: r["importance"] for r in boosted.importance_from_nodes(nodes).collect()}
+    assert [shares[f] for f in BOOSTED_FEATURES] == pytest.approx(list(model.featureImportances.toArray()))
+
+
+def test_the_same_rows_are_fitted_once(spark, pooled, macro_rows, tmp_path, monkeypatch):
+    fits = []
+    fit = boosted.fit_boosted
+    monkeypatch.setattr(boosted, "fit_boosted", lambda rows, settings: fits.append(1) or fit(rows, settings))
+    options = {"settings": boosted.BoostedSettings(trees=2, bins=16), "store": str(tmp_path)}
+    first = boosted.forecast_boosted(pooled, macro_rows, HORIZON, **options)[0].collect()
+    again = boosted.forecast_boosted(pooled.repartition(3), macro_rows, HORIZON, **options)[0].collect()
+    assert len(fits) == 2 and sorted(first) == sorted(again)
+    boosted.forecast_boosted(pooled.where("corridor_id < 4"), macro_rows, HORIZON, **options)
+    assert len(fits) == 4
+
+
+def test_missing_inputs_do_not_cost_the_holdout_row(spark, pooled, macro_rows):
+    gappy = pooled.withColumn("value_lag1", F.when(F.col("corridor_id") != 2, F.col("value_lag1")))
+    forecasts, _ = boosted.forecast_boosted(gappy, macro_rows, HORIZON, settings=boosted.BoostedSettings(trees=2, bins=16))
+    held = forecasts.where("forecast_type = 'holdout'").collect()
+    assert sorted(r["corridor_id"] for r in held) == [1, 2, 3, 4] and all(r["prediction"] is not None for r in held)

@@ -42,7 +42,7 @@ CHECKED = (
     "profile_numeric_large",
     "profile_categorical",
 )
-FITTED = {"full_evaluation", "forecast_boosted", "boosted_importance", "top_features"}
+FITTED = {"full_evaluation", "forecast_boosted", "boosted_importance", "boosted_nodes", "top_features"}
 
 
 @pytest.fixture(scope="module")
