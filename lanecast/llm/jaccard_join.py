@@ -17,7 +17,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanecast.llm.components import connected_components
@@ -26,6 +26,9 @@ from lanecast.session import materialise
 
 #: Further partitionings for sets that leave partitions empty; the last one also signs empty subsets.
 SEEDS = 4
+#: Bits of a set's parity sketch: bit i tells whether an odd number of its shingles falls into cell i. Two sets differ in at least as many
+#: shingles as their sketches do in bits, so too many differing bits rule a pair out before any set is read.
+SKETCH_BITS = 512
 #: The members of a larger bucket sign anew before any pairs are formed, so many times at most.
 WIDE_BUCKET, LEVELS = 12, 1
 #: Sets that are looked at for shingles common among the members of wide buckets, and the most such shingles.
@@ -133,6 +136,27 @@ def shingle_sets(texts: list[bytes], words: int, cache) -> Iterator[np.ndarray]:
         begin = end
 
 
+def parity_sketch(shingles: np.ndarray) -> np.ndarray:
+    """The parity of the number of shingles in each of SKETCH_BITS cells, as 64-bit integers."""
+    cells = (mix(shingles) >> np.uint64(64 - SKETCH_BITS.bit_length() + 1)).astype(np.int64)
+    return np.packbits(np.bincount(cells, minlength=SKETCH_BITS).astype(np.uint8) & 1).view(np.int64)
+
+
+def _near(percent: int, one: str, other: str) -> Column:
+    """Whether two sets can be similar enough, by their sizes and sketches; never false for a pair that is.
+
+    With d differing and s shingles in both sets together, the similarity is (s - d) / (s + d).
+    """
+    bits = " + ".join(f"bit_count({one}_sketch[{i}] ^ {other}_sketch[{i}])" for i in range(SKETCH_BITS // 64))
+    sizes = f"least({one}_n, {other}_n) * 100 >= greatest({one}_n, {other}_n) * {percent}"
+    return F.expr(f"{sizes} AND ({bits}) * {100 + percent} <= {100 - percent} * ({one}_n + {other}_n)")
+
+
+def _as(traits: DataFrame, name: str) -> DataFrame:
+    """``node``, ``n`` and ``sketch`` under the name of one side of a pair; other columns stay."""
+    return traits.withColumnsRenamed({"node": name, "n": f"{name}_n", "sketch": f"{name}_sketch"})
+
+
 def _sign_documents(settings: JaccardSettings):
     """Batch function: set size, class and signatures of each text.
 
@@ -144,9 +168,10 @@ def _sign_documents(settings: JaccardSettings):
     def transform(batch: pa.RecordBatch) -> Iterator[dict]:
         texts = text_bytes(batch)
         for begin, end in pieces(texts):
-            sizes, nodes, marks, owners, seen = [], [], [], [], set()
+            sizes, nodes, marks, owners, seen, sketches = [], [], [], [], set(), []
             for at, shingles in enumerate(shingle_sets(texts[begin:end], settings.words, cache)):
                 sizes.append(len(shingles))
+                sketches.append(parity_sketch(shingles))
                 if not len(shingles):
                     nodes.append(None)
                     continue
@@ -172,6 +197,7 @@ def _sign_documents(settings: JaccardSettings):
                 "doc_id": batch.column(batch.schema.get_field_index("doc_id"))[begin:end],
                 "n_shingles": sizes,
                 "node": nodes,
+                "sketch": lists(np.concatenate(sketches), [SKETCH_BITS // 64] * count),
                 "marks": lists(marks[new], np.bincount(owners[new], minlength=count)),
                 "held": lists(marks[~new], np.bincount(owners[~new], minlength=count)),
                 "leader": lists(lead[~new], np.bincount(owners[~new], minlength=count)),
@@ -222,13 +248,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    small = F.least(F.size("left"), F.size("right"))
-    fits = small * 100 >= F.greatest(F.size("left"), F.size("right")) * percent
     common = F.size(F.array_intersect("left", "right"))
     union = F.size("left") + F.size("right") - F.col("common")
     return (
-        pairs.join(left, "a").join(right, "b").where(fits)
-        .select("a", "b", "left", "right").withColumn("common", common)
+        pairs.join(left, "a").join(right, "b").withColumn("common", common)
         .where(F.col("common") * 100 >= union * percent).select("a", "b")
     )
 
@@ -240,19 +263,27 @@ def _still_open(members: DataFrame, parts: DataFrame, least: int) -> DataFrame:
     return materialise(rows.join(size.where(F.expr(f"p <> q and members > {least}")).select("mark", "members"), "mark"))
 
 
-def _central_pairs(rows: DataFrame) -> DataFrame:
-    """Every class of an open bucket with the most central one of another component there.
+def _central_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Every class of an open bucket with the most central one of another component there, where the two can be similar.
 
     Central is the class whose buckets are the largest: of a family of near copies the text they were made from, to which
     they are more similar than to each other.
     """
     weight = rows.groupBy("node").agg(F.sum("members").alias("weight"))
-    chosen = rows.join(weight, "node").groupBy("mark").agg(F.max(F.struct("weight", F.col("node").alias("a"), F.col("part").alias("p"))).alias("c"))
-    pairs = rows.join(chosen.select("mark", "c.a", "c.p"), "mark").where("part <> p")
-    return pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    central = F.max(F.struct("weight", "node", "part", "n", "sketch")).alias("c")
+    chosen = rows.join(weight, "node").groupBy("mark").agg(central).select("mark", "c.node", F.col("c.part").alias("p"), "c.n", "c.sketch")
+    pairs = _as(chosen, "a").join(_as(rows, "b"), "mark").where((F.col("part") != F.col("p")) & _near(percent, "a", "b"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _open_pairs(rows: DataFrame, parts: DataFrame, sets: DataFrame, settings: JaccardSettings) -> DataFrame:
+def _pairs_of_bucket(rows: DataFrame, percent: int) -> DataFrame:
+    """The pairs of one bucket, in different components, that can be similar: the test is part of the join, so no other pair becomes a row."""
+    left = _as(rows.select("mark", "node", F.col("part").alias("p"), "n", "sketch"), "a")
+    right = _as(rows.select("mark", "node", F.col("part").alias("q"), "n", "sketch"), "b")
+    return left.join(right, "mark").where((F.col("a") < F.col("b")) & (F.col("p") != F.col("q")) & _near(percent, "a", "b")).select("a", "b").distinct()
+
+
+def _open_pairs(rows: DataFrame, parts: DataFrame, sets: DataFrame, traits: DataFrame, settings: JaccardSettings) -> DataFrame:
     """The other pairs of one bucket that are still in different components.
 
     A wide bucket mostly comes of a passage that many texts share. Its members sign anew without the shingles common
@@ -260,38 +291,20 @@ def _open_pairs(rows: DataFrame, parts: DataFrame, sets: DataFrame, settings: Ja
     """
     found = None
     for level in range(LEVELS + 1):
-        narrow = rows.where(F.col("members") <= WIDE_BUCKET)
-        left = narrow.select("mark", F.col("node").alias("a"), F.col("part").alias("p"))
-        right = narrow.select("mark", F.col("node").alias("b"), F.col("part").alias("q"))
-        pairs = left.join(right, "mark").where("a < b and p <> q").select("a", "b").distinct()
+        narrow = rows if level == LEVELS else rows.where(F.col("members") <= WIDE_BUCKET)
+        pairs = _pairs_of_bucket(narrow, settings.percent)
         found = pairs if found is None else found.union(pairs)
         wide = rows.where(F.col("members") > WIDE_BUCKET)
-        if wide.isEmpty():
-            break
-        if level == LEVELS:
-            found = found.union(_pairs_by_part(wide))
+        if level == LEVELS or wide.isEmpty():
             break
         again = materialise(sets.join(wide.select("node").distinct(), "node", "left_semi"))
         common = again.sparkSession.sparkContext.broadcast(_common_shingles(again))
         finer = replace(settings, parts=6, spare=3)
         marks = map_batches(again, _marks_of_set(finer, common), "node long, marks array<long>")
-        rows = _still_open(marks.select("node", F.explode("marks").alias("mark")), parts, 1)
+        rows = _still_open(marks.select("node", F.explode("marks").alias("mark")), parts, 1).join(traits, "node")
     return found.distinct()
 
 
-def _pairs_by_part(rows: DataFrame) -> DataFrame:
-    """Pairs of classes in buckets that stay wide: families of near copies with members just beyond the similarity.
-
-    Two components that share a bucket are compared once, member by member, however many buckets they share.
-    """
-    parts = rows.select("mark", F.col("part").alias("p")).distinct()
-    meeting = parts.join(parts.select("mark", F.col("p").alias("q")), "mark").where("p < q").select("p", "q").distinct()
-    members = rows.select("node", "part").distinct()
-    ours = members.select(F.col("node").alias("a"), F.col("part").alias("p"))
-    theirs = members.select(F.col("node").alias("b"), F.col("part").alias("q"))
-    return meeting.join(ours, "p").join(theirs, "q").select("a", "b")
-
-
 def similarity_classes(documents: DataFrame, settings: JaccardSettings) -> DataFrame:
     """(row_key, doc_id, n_shingles, node, component): one row per document row.
 
@@ -307,7 +320,7 @@ def similarity_classes(documents: DataFrame, settings: JaccardSettings) -> DataF
         map_batches(
             keyed,
             _sign_documents(settings),
-            "row_key long, doc_id long, n_shingles long, node long, marks array<long>, held array<long>, leader array<long>",
+            "row_key long, doc_id long, n_shingles long, node long, sketch array<long>, marks array<long>, held array<long>, leader array<long>",
         )
     )
     spread = signed.select("node", F.explode("marks").alias("mark"))
@@ -318,25 +331,29 @@ def similarity_classes(documents: DataFrame, settings: JaccardSettings) -> DataF
     star = materialise(shared.union(local))
     pairs = materialise(star.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
 
+    alike = [F.any_value(c).alias(name) for c, name in (("n_shingles", "n"), ("sketch", "sketch"))]
+    classes = signed.where("node is not null").groupBy("node").agg(F.min("row_key").alias("row_key"), *alike)
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    places = signed.where("node is not null").groupBy("node").agg(F.min("row_key").alias("row_key"))
-    places = materialise(places.join(wanted, "node", "left_semi"))
-    texts = keyed.select("row_key", "text").join(places, "row_key").select("node", "text").dropDuplicates(["node"])
+    classes = materialise(classes.join(wanted, "node", "left_semi"))
+    traits = classes.select("node", "n", "sketch")
+    near = pairs.join(_as(traits, "a"), "a").join(_as(traits, "b"), "b").where(_near(settings.percent, "a", "b")).select("a", "b")
+    texts = keyed.select("row_key", "text").join(classes.select("node", "row_key"), "row_key").select("node", "text").dropDuplicates(["node"])
     sets = materialise(map_batches(texts.select("node", "text"), _set_of_text(settings), "node long, shingles array<long>"))
 
-    links = materialise(_verified(pairs, sets, settings.percent))
+    links = materialise(_verified(near, sets, settings.percent))
     parts = connected_components(links)
     members = star.select("mark", "node").union(star.select("mark", F.col("leader").alias("node"))).distinct()
     rows = _still_open(members, parts, 2)  # two members were compared with each other in the first round
-    for pairs_of in (_central_pairs, None):
+    for central in (True, False):
         if rows.isEmpty():
             break
-        pairs = pairs_of(rows) if pairs_of else _open_pairs(rows, parts, sets, settings)
-        more = materialise(_verified(pairs, sets, settings.percent))
+        known = rows.join(traits, "node")
+        found = _central_pairs(known, settings.percent) if central else _open_pairs(known, parts, sets, traits, settings)
+        more = materialise(_verified(found, sets, settings.percent))
         if not more.isEmpty():
             links = links.union(more)
             parts = connected_components(links)
-            rows = _still_open(members, parts, 2) if pairs_of else rows
+            rows = _still_open(members, parts, 2) if central else rows
     parts = parts.withColumnRenamed("node", "n2")
     return signed.select("row_key", "doc_id", "n_shingles", "node").join(parts, F.col("node") == F.col("n2"), "left").select(
         "row_key", "doc_id", "n_shingles", "node", F.coalesce("component", "node").alias("component")

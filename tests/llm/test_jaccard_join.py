@@ -81,3 +81,32 @@ def test_components_of_a_long_chain(spark):
     links = [(i * 7919 % 1009, (i + 1) * 7919 % 1009) for i in range(300)]
     got = dict(tuple(r) for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect())
     assert set(got.values()) == {min(x for pair in links for x in pair)}
+
+
+def test_sketches_never_rule_out_a_similar_pair():
+
+    rng = np.random.default_rng(3)
+    for size in (1, 5, 40, 700, 5000):
+        one = rng.integers(0, 2**63, size).astype(np.uint64)
+        other = np.concatenate([one[size // 5 :], rng.integers(0, 2**63, size // 7).astype(np.uint64)])
+        bits = sum(int(x).bit_count() for x in (J.parity_sketch(one) ^ J.parity_sketch(other)).view(np.uint64))
+        assert bits <= len(np.setxor1d(one, other)) and len(J.parity_sketch(one)) * 64 == J.SKETCH_BITS
+
+
+def test_a_family_just_below_the_similarity(spark, documents_of):
+    """Texts that share most of a template but are linked with no other, beside real copies: every verdict as by brute force."""
+    rng = random.Random(9)
+    template = [f"t{i}" for i in range(200)]
+    rows = []
+    for i in range(60):
+        at = rng.randrange(0, 170)
+        rows.append(" ".join(template[:at] + [f"own{i}x{k}" for k in range(14 + i % 5)] + template[at + 10 :]))
+    rows += [rows[0] + " tail", rows[7]]
+    settings = J.JaccardSettings(words=4, percent=85)
+    sets = []
+    for text in rows:
+        words = text.split()
+        sets.append({tuple(words[k : k + 4]) for k in range(len(words) - 3)})
+    links = [(a, b) for a in range(len(rows)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    got = {r.doc_id: r.component_id for r in J.linked_documents(documents_of(rows), settings).collect()}
+    assert [got[i] for i in range(len(rows))] == components_of(len(rows), links)
