@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanecast.llm.components import connected_components
-from lanecast.llm.words import as_signed, lists, looked_up, map_batches, mix, pieces, row_key, text_bytes, window_hashes, word_hashes
+from lanecast.llm.words import as_signed, free_name, lists, looked_up, map_batches, mix, pieces, row_key, text_bytes, window_hashes, word_hashes
 from lanecast.session import materialise
 
 #: Further partitionings for sets that leave partitions empty; the last one also signs empty subsets.
@@ -377,8 +377,9 @@ def one_of_each(documents: DataFrame, settings: JaccardSettings) -> DataFrame:
     rows = materialise(similarity_classes(documents, settings))
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
     first = rows.where("component is not null").groupBy("component").agg(F.min(rank).alias("first"))
-    kept = first.select(F.col("first.row_key").alias("__row_key"), F.lit(True).alias("__one"))
-    free = rows.where("component is null").select(F.col("row_key").alias("__row_key"), F.lit(False).alias("__one")).distinct()
-    joined = documents.withColumn("__row_key", row_key(documents)).join(kept.union(free), "__row_key")
-    single = joined.where("__one").dropDuplicates(["__row_key"])
-    return single.union(joined.where("not __one")).select(*[F.col(f"`{c}`") for c in documents.columns])
+    key, one = free_name(documents, "__row_key"), free_name(documents, "__one")
+    kept = first.select(F.col("first.row_key").alias(key), F.lit(True).alias(one))
+    free = rows.where("component is null").select(F.col("row_key").alias(key), F.lit(False).alias(one)).distinct()
+    joined = documents.withColumn(key, row_key(documents)).join(kept.union(free), key)
+    single = joined.where(F.col(one)).dropDuplicates([key])
+    return single.union(joined.where(~F.col(one))).select(*[F.col(f"`{c}`") for c in documents.columns])

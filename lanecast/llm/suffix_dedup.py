@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanecast.llm.suffix_sort import suffix_order
-from lanecast.llm.words import as_signed, map_batches, mix, pieces, row_key, text_bytes
+from lanecast.llm.words import as_signed, free_name, map_batches, mix, pieces, row_key, text_bytes
 from lanecast.session import materialise
 
 GRAM = 32
@@ -287,7 +287,7 @@ def repeated_ranges(documents: DataFrame, settings: RepeatSettings) -> DataFrame
     classes = materialise(found.groupBy("anchor", "class").agg(F.count("*").alias("copies"), one))
     whole = found.join(classes.where("copies > 1").select("anchor", "class"), ["anchor", "class"], "left_semi").select(
         "row_key", F.col("start").alias("begin"), (F.col("start") + F.col("before") - F.col("after") + length).alias("end")
-    )
+    ).distinct()  # repeated rows have one key, and each brings the same ranges
     buckets = classes.groupBy("anchor").agg(F.count("*").alias("classes"), F.min("copies").alias("least"))
     # a bucket of one class is done, and so is one in which every class has copies
     mixed = classes.join(buckets.where("classes > 1 and least = 1"), "anchor").select("anchor", "copies", "classes", "one.*")
@@ -321,8 +321,9 @@ def merged(begins: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _ranges_of(batch: pa.RecordBatch) -> list[list[tuple[int, int]]]:
+    """The merged ranges of each row, from the last column."""
     out = []
-    for item in batch.column(batch.schema.get_field_index("__ranges")):
+    for item in batch.column(batch.num_columns - 1):
         values = item.values.flatten() if item.is_valid else None
         out.append(merged(*(np.asarray(v) for v in values)) if values else [])
     return out
@@ -334,26 +335,34 @@ def _kept(text: bytes, ranges: list[tuple[int, int]]) -> bytes:
 
 
 def _with_ranges(documents: DataFrame, settings: RepeatSettings) -> DataFrame:
-    ranges = repeated_ranges(documents, settings).withColumnsRenamed({"row_key": "__row_key", "ranges": "__ranges"})
-    keyed = documents.withColumn("__row_key", row_key(documents))
-    return keyed.join(ranges, "__row_key", "left").drop("__row_key")
+    """``documents`` and, as last column under a free name, the ranges of each row."""
+    key, ranges = free_name(documents, "__row_key"), free_name(documents, "__ranges")
+    found = repeated_ranges(documents, settings).withColumnsRenamed({"row_key": key, "ranges": ranges})
+    joined = documents.withColumn(key, row_key(documents)).join(found, key, "left")
+    return joined.select(*[F.col(f"`{c}`") for c in documents.columns], ranges)
 
 
 def removal_report(documents: DataFrame, settings: RepeatSettings | None = None) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans (long), kept_sha256 of every row; a null text is empty, repeated rows repeat each other."""
+    """doc_id, n_bytes, n_removed, n_spans (long), kept_sha256, changed and kept of every row.
+
+    ``kept`` is the text left, without characters that are only partly there. A null text is empty, repeated rows repeat each other.
+    """
 
     def transform(batch: pa.RecordBatch) -> Iterator[dict]:
         texts, cuts = text_bytes(batch), _ranges_of(batch)
+        kept = [_kept(t, c) for t, c in zip(texts, cuts)]
         yield {
             "doc_id": batch.column(batch.schema.get_field_index("doc_id")),
             "n_bytes": [len(t) for t in texts],
             "n_removed": [sum(b - a for a, b in c) for c in cuts],
             "n_spans": [len(c) for c in cuts],
-            "kept_sha256": [hashlib.sha256(_kept(t, c)).hexdigest() for t, c in zip(texts, cuts)],
+            "kept_sha256": [hashlib.sha256(k).hexdigest() for k in kept],
+            "changed": [bool(c) for c in cuts],
+            "kept": [k.decode("utf-8", "ignore") for k in kept],
         }
 
     rows = _with_ranges(documents.select("doc_id", "text"), settings or RepeatSettings())
-    return map_batches(rows, transform, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return map_batches(rows, transform, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, changed boolean, kept string")
 
 
 def without_repeats(documents: DataFrame, settings: RepeatSettings | None = None) -> DataFrame:

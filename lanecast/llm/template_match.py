@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lanecast.llm.words import WordCache, looked_up, map_batches, pieces, row_key, text_bytes, window_hashes
+from lanecast.llm.words import WordCache, free_name, looked_up, map_batches, pieces, row_key, text_bytes, window_hashes
 from lanecast.session import materialise
 
 #: Units of measure that become one placeholder; fixed values.
@@ -265,6 +265,7 @@ def _find(shared, settings: TemplateSettings):
 
 def without_leaks(documents: DataFrame, benchmark: DataFrame, settings: TemplateSettings | None = None) -> DataFrame:
     """``documents`` without the rows in which a benchmark item was found; all columns as they are."""
-    found = materialise(leaks(documents, benchmark, settings).select(F.col("row_key").alias("__row_key")).distinct())
-    keyed = documents.withColumn("__row_key", row_key(documents))
-    return keyed.join(found, "__row_key", "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])
+    key = free_name(documents, "__row_key")
+    found = materialise(leaks(documents, benchmark, settings).select(F.col("row_key").alias(key)).distinct())
+    keyed = documents.withColumn(key, row_key(documents))
+    return keyed.join(found, key, "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])

@@ -119,6 +119,14 @@ def bounded_texts(documents: DataFrame, count: int, max_bytes: int) -> list[str]
     return sorted(row[0] for row in short.where(F.col("h") <= last[-1]).select("text").distinct().collect())
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def row_key(df: DataFrame) -> Column:
     """A 64-bit key of a document row: equal exactly for rows with equal id and text."""
     return F.xxhash64(df["doc_id"], df["text"], F.isnull(df["text"]), F.isnull(df["doc_id"]))
