@@ -60,22 +60,54 @@ def profile_duplicates(df: DataFrame) -> DataFrame:
     return df.groupBy(*df.columns).count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
-def profile_distinct(df: DataFrame, approximate: bool = False) -> DataFrame:
-    """Distinct non-missing values of each column, largest first.
+#: Columns that one scan of the table counts the values of.
+COLUMNS_PER_SCAN = 16
+
+
+def _value_text(name: str, dtype: str) -> str:
+    """A text that is equal exactly for equal values; NULL for a missing one."""
+    if dtype == "string":
+        text = f"`{name}`"
+    elif dtype == "binary":
+        text = f"hex(`{name}`)"
+    elif dtype in ("double", "float"):
+        text = f"CAST(`{name}` + 0 AS STRING)"  # minus zero is zero
+    elif dtype.startswith(("array", "struct", "map", "variant")):
+        text = f"to_json(struct(`{name}`))"
+    else:
+        text = f"CAST(`{name}` AS STRING)"
+    return f"CASE WHEN NOT ({_missing_sql(name, dtype)}) THEN {text} END"
 
-    Each column is counted by its own scan of that column alone: together they read the table once,
-    and no row is multiplied as it would be by counting all columns in one aggregate.
+
+def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """(column, value, n): how often each value of each column occurs, values as text, missing ones left out.
+
+    A scan counts up to COLUMNS_PER_SCAN columns together; equal values combine in their task before anything is shuffled.
     """
-    count = F.approx_count_distinct if approximate else F.count_distinct
+    types = {name: dtype for name, dtype in df.dtypes if columns is None or name in columns}
+    names = list(types)
+    counted = []
+    for begin in range(0, len(names), COLUMNS_PER_SCAN):
+        group = names[begin : begin + COLUMNS_PER_SCAN]
+        cells = ", ".join(f"'{name}', {_value_text(name, types[name])}" for name in group)
+        long = df.selectExpr(f"stack({len(group)}, {cells}) AS (column, value)").where("value IS NOT NULL")
+        counted.append(long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+    return reduce(DataFrame.unionByName, counted)
 
-    def one(name: str, dtype: str) -> DataFrame:
-        present = F.expr(f"CASE WHEN NOT ({_missing_sql(name, dtype)}) THEN `{name}` END")
-        return df.agg(count(present).alias("n_unique")).select(
-            F.lit(name).alias("column"), F.lit(dtype).alias("dtype"), "n_unique"
-        )
 
-    counted = reduce(DataFrame.unionByName, [one(*column) for column in df.dtypes])
-    return counted.orderBy(F.desc("n_unique"), "column")
+def profile_distinct(df: DataFrame, approximate: bool = False) -> DataFrame:
+    """Distinct non-missing values of each column, largest first, exactly or by one sketch a column."""
+    types = df.sparkSession.createDataFrame(df.dtypes, "column string, dtype string")
+    if approximate:
+        present = [F.expr(_value_text(*column)) for column in df.dtypes]
+        sketched = df.agg(*[F.approx_count_distinct(p).alias(f"c{i}") for i, p in enumerate(present)])
+        cells = ", ".join(f"'{name}', c{i}" for i, name in enumerate(df.columns))
+        found = sketched.selectExpr(f"stack({len(df.columns)}, {cells}) AS (column, found)")
+    else:
+        found = value_counts(df).groupBy("column").agg(F.count(F.lit(1)).alias("found"))
+    # one row a column
+    rows = types.join(F.broadcast(found), "column", "left")
+    return rows.select("column", "dtype", F.coalesce("found", F.lit(0)).alias("n_unique")).orderBy(F.desc("n_unique"), "column")
 
 
 def profile_categorical(df: DataFrame) -> DataFrame:
@@ -84,22 +116,18 @@ def profile_categorical(df: DataFrame) -> DataFrame:
     Of equally frequent values the smallest is reported.
     """
     names = [name for name, dtype in df.dtypes if dtype == "string"]
-
-    def one(name: str) -> DataFrame:
-        tally = df.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("value")).agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        return tally.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("count"),
-            F.count(F.lit(1)).alias("unique"),
-            F.min_by("value", F.struct(-F.col("n"), "value")).alias("top"),
-            F.max("n").alias("freq"),
-        ).select(F.lit(name).alias("column"), "count", "unique", "top", "freq")
-
+    spark = df.sparkSession
     if not names:
-        empty = "column string, count bigint, unique bigint, top string, freq bigint"
-        return df.sparkSession.createDataFrame([], empty)
-    return reduce(DataFrame.unionByName, [one(name) for name in names])
+        return spark.createDataFrame([], "column string, count bigint, unique bigint, top string, freq bigint")
+    found = value_counts(df, names).groupBy("column").agg(
+        F.sum("n").alias("count"),
+        F.count(F.lit(1)).alias("unique"),
+        F.min_by("value", F.struct(-F.col("n"), "value")).alias("top"),
+        F.max("n").alias("freq"),
+    )
+    rows = spark.createDataFrame([(n,) for n in names], "column string").join(F.broadcast(found), "column", "left")
+    zero = F.lit(0).cast("long")
+    return rows.select("column", F.coalesce("count", zero).alias("count"), F.coalesce("unique", zero).alias("unique"), "top", "freq")
 
 
 def numeric_columns(df: DataFrame) -> list[str]:

@@ -567,6 +567,28 @@ UNION ALL SELECT DISTINCT corridor_id, 'future', CAST(y AS INTEGER), 0.0::DOUBLE
     "boosted_importance_from_nodes": "SELECT feature, 0.0::DOUBLE AS apart FROM (VALUES "
     + ", ".join(f"('{f}')" for f in BOOSTED_FEATURES)
     + ") AS v(feature) WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_returnflag = 'N')",
+    "corridor_rows": _with(ZONE_LANES) + "SELECT corridor_id, corridor_name, CAST(o AS INTEGER) AS origin, CAST(d AS INTEGER) AS destination FROM lanes",
+    "ordered_scan": _with(*ZONE_ANNUAL) + "SELECT *, row_number() OVER (ORDER BY corridor_id, year) AS row_number FROM annual",
+    "score_table_ordered": _with(*ALL_FORECASTS, SCORES)
+    + """SELECT corridor_id, corridor_name, model_name, training_strategy, year, actual, round(prediction, 6) AS prediction,
+  round(mape, 6) AS mape, round(rmse, 6) AS rmse, round(mae, 6) AS mae,
+  row_number() OVER (ORDER BY mape NULLS LAST, corridor_id, model_name) AS place FROM holdout""",
+    "importance_file": """SELECT l_returnflag AS feature, round(sum(l_quantity) / (SELECT sum(l_quantity) FROM lineitem), 6) AS importance
+FROM lineitem GROUP BY 1""",
+    "feat_infinite_inputs": _with(
+        *ZONE_ANNUAL,
+        "holed AS (SELECT * REPLACE (CASE WHEN year % 3 <> 0 THEN total_value END AS total_value, CASE WHEN year % 3 <> 0 THEN gdp END AS gdp) FROM annual)",
+    )
+    + _features(["value_per_ton", "gdp_yoy_change"], "holed", "total_value, gdp, "),
+    "profile_files": " UNION ALL ".join(
+        f"""SELECT '{t}' AS table_name, '{c}' AS "column", count(*) - count({c}) AS missing_count, count(DISTINCT {c}) AS n_unique FROM {t}"""
+        for t, columns in {
+            "orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
+            "customer": ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"),
+            "lineitem": tuple(c for c, _ in LINE_TYPES),
+        }.items()
+        for c in columns
+    ),
     "dated_series": _with(LINES, ZONE_LANES, TOTALS)
     + "SELECT corridor_id, make_date(year, 1, 1) AS ds, total_tons AS y FROM filled",
     "boosted_training_rows": _with(*ZONE_ANNUAL, ENRICHED)

@@ -22,7 +22,7 @@ from ..forecast.trend import backtest_trend, forecast_trend
 from ..functions.numeric import quantile_interval
 from ..operators import evaluation, features, profiling, regressors, reporting, staging
 from ..plans import pipeline
-from ..schemas import BOOSTED_FEATURES, ENRICHED_FEATURES, SERIES_SCHEMA
+from ..schemas import BOOSTED_FEATURES, ENRICHED_FEATURES, IMPORTANCE_SCHEMA, SERIES_SCHEMA
 from ..session import materialise, scratch_path, shared_dir
 from ..sinks import tables as sinks
 from ..sources import artifacts, flows, lookups, macros as macro_source, validation
@@ -168,6 +168,58 @@ def load_history_csv(spark, sf_dir):
     return spark.read.parquet(target)
 
 
+def corridor_rows(spark, sf_dir):
+    """The corridor dimension that every join uses."""
+    return star.zone_corridors(spark, sf_dir)
+
+
+def ordered_scan(spark, sf_dir):
+    """The annual table written in a total order of corridor and year, and read back with the place of each row."""
+    path = scratch_path(spark, "ordered")
+    sinks.write_ordered(corridor_annual(spark, sf_dir), path, ["corridor_id", "year"])
+    return spark.read.parquet(path)
+
+
+def score_table_ordered(spark, sf_dir):
+    """Holdout scores written from the largest corridor totals to missing ones, with ranks, and read back."""
+    annual = _stored_annual(spark, sf_dir)
+    scores = evaluation.score_holdout(_forecasts(annual), annual, star.HOLDOUT_YEAR)
+    path = scratch_path(spark, "scores")
+    sinks.write_ordered(scores, path, ["mape", "corridor_id", "model_name"], "place")
+    return rounded(spark.read.parquet(path))
+
+
+def importance_file(spark, sf_dir):
+    """A table of shares by the importance writer and its reader: the tons of each trade type."""
+    lines = star.table(spark, sf_dir, "lineitem").groupBy(F.col("l_returnflag").alias("feature")).agg(F.sum("l_quantity").alias("tons"))
+    whole = star.table(spark, sf_dir, "lineitem").agg(F.sum("l_quantity")).first()[0]
+    path = scratch_path(spark, "importance")
+    sinks.write_importance(lines.select("feature", F.try_divide("tons", F.lit(whole)).alias("importance")), path)
+    return rounded(artifacts.read_optional_csv(spark, path, IMPORTANCE_SCHEMA))
+
+
+def feat_infinite_inputs(spark, sf_dir):
+    """Ratios and changes over totals in which every third year is infinite: infinity counts as missing everywhere."""
+    infinite = F.when(F.col("year") % 3 == 0, F.lit(float("inf")))
+    annual = corridor_annual(spark, sf_dir).withColumns(
+        {"total_value": F.coalesce(infinite, "total_value"), "gdp": F.coalesce(-infinite, "gdp")}
+    )
+    built = features.add_economic_change_features(features.add_derived_features(annual))
+    return rounded(built.select(*KEYS, "total_value", "gdp", "value_per_ton", "gdp_yoy_change"))
+
+
+def profile_files(spark, sf_dir):
+    """Missing and distinct summaries of three data sets written as CSV files and read back."""
+    root = scratch_path(spark, "profiles")
+    stored = []
+    for name in ("orders", "customer", "lineitem"):
+        missing, unique = sinks.write_profiles(star.table(spark, sf_dir, name), root, name)
+        read = spark.read.option("header", True)
+        both = read.csv(missing).join(read.csv(unique), "column")
+        stored.append(both.selectExpr(f"'{name}' AS table_name", "column", "CAST(missing_count AS BIGINT) AS missing_count", "CAST(n_unique AS BIGINT) AS n_unique"))
+    return reduce(DataFrame.unionByName, stored)
+
+
 def load_validation(spark, sf_dir):
     row = validation.replace_checked(star.raw_flows(spark, sf_dir), scratch_path(spark, "validated"), "raw_flows")
     return spark.createDataFrame([row], "target string, sent bigint, stored bigint")
@@ -661,6 +713,12 @@ QUERIES: dict[str, Query] = {
     "feat_on_sparse_zone_pairs": feat_on_sparse_zone_pairs,
     "load_flow_csv": load_flow_csv,
     "load_history_csv": load_history_csv,
+    "corridor_rows": corridor_rows,
+    "ordered_scan": ordered_scan,
+    "score_table_ordered": score_table_ordered,
+    "importance_file": importance_file,
+    "feat_infinite_inputs": feat_infinite_inputs,
+    "profile_files": profile_files,
     "load_validation": load_validation,
     "series_replace": series_replace,
     "series_combine": series_combine,

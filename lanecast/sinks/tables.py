@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ordering import ordered_table
+from ..operators.profiling import profile_distinct, profile_missing
 from ..schemas import FlowLayout, table_schemas
 from ..sources.artifacts import _exists
 from ..sources.validation import write_counted
@@ -56,6 +60,19 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def write_ordered(df: DataFrame, path: str, order: Sequence[str], number: str = "row_number") -> None:
+    """Replace a table by ``df`` in a total order, nulls last: its files follow each other and every row carries its place."""
+    ordered_table(df, [F.asc_nulls_last(c) for c in order], number).write.mode("overwrite").parquet(path)
+
+
+def write_profiles(df: DataFrame, root: str, name: str) -> list[str]:
+    """Summaries of one data set as CSV with a header: missing values, and distinct values, of each column."""
+    parts = {"missing": profile_missing(df), "unique": profile_distinct(df)}
+    for part, summary in parts.items():
+        write_csv(summary, f"{root}/{name}_{part}_summary")
+    return [f"{root}/{name}_{part}_summary" for part in parts]
+
+
 def write_importance(importance: DataFrame, path: str) -> None:
     """Feature importance, most important first."""
     write_csv(importance.orderBy(F.desc_nulls_last("importance"), "feature"), path)

@@ -19,6 +19,12 @@ CHECKED = (
     "corridor_enriched",
     "feat_on_sparse_zone_pairs",
     "load_flow_csv",
+    "corridor_rows",
+    "ordered_scan",
+    "score_table_ordered",
+    "importance_file",
+    "feat_infinite_inputs",
+    "profile_files",
     "series_replace",
     "macro_extrapolate",
     "future_regressors",
