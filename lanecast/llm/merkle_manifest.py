@@ -160,9 +160,10 @@ def build(documents: DataFrame, tampered: Column | None = None) -> Manifest:
 
 
 def climbed(manifest: Manifest) -> DataFrame:
-    """(leaf_no, folded_root, siblings): each leaf, altered where it is, taken to the root by a recursive query.
+    """(doc_id, leaf, tree, folded, siblings): each leaf, altered where it is, taken to the root by a recursive query.
 
-    Siblings are their 32-byte digests, one after the other.
+    Siblings are their 32-byte digests, one after the other. A leaf's own columns join its steps as one more row, so that
+    they meet in the one grouping and nothing as wide as a proof is shuffled again.
     """
     spark = manifest.leaves.sparkSession
     starts = manifest.leaves.select(
@@ -188,28 +189,32 @@ def climbed(manifest: Manifest) -> DataFrame:
             starts=starts,
             nodes=spark.table(manifest.nodes),
         )
+        own = manifest.leaves.select("leaf_no", "doc_id", F.unhex("leaf").alias("leaf"), F.col("tree").alias("language"))
         # a slot grows with its level, and the tree above comes last: one row a level, a few dozen for each leaf
-        path = rows.groupBy("leaf_no").agg(
-            F.max_by("folded", "place").alias("folded"), F.sort_array(F.collect_list(F.struct("place", "sibling"))).alias("path")
+        step = F.when(F.col("place").isNotNull(), F.struct("place", "sibling"))
+        path = rows.unionByName(own, allowMissingColumns=True).groupBy("leaf_no").agg(
+            F.max("doc_id").alias("doc_id"),
+            F.max("leaf").alias("leaf"),
+            F.max("language").alias("tree"),
+            F.max_by("folded", "place").alias("folded"),
+            F.sort_array(F.collect_list(step)).alias("path"),
         )
         siblings = F.aggregate(F.filter("path.sibling", lambda s: s.isNotNull()), F.lit(b""), lambda done, s: F.concat(done, s))
-        return materialise(path.select("leaf_no", F.lower(F.hex("folded")).alias("folded_root"), siblings.alias("siblings")))
+        return materialise(path.select("doc_id", "leaf", "tree", "folded", siblings.alias("siblings")))
     finally:
         spark.conf.set(_ROW_LIMIT, limit)
 
 
 def proofs(manifest: Manifest) -> DataFrame:
     """Per leaf: doc_id, leaf, subroot, root, siblings from the leaf up, folded_root, verified."""
-    rows = manifest.leaves.join(climbed(manifest), "leaf_no").join(manifest.subroots, "tree")
+    rows = climbed(manifest).join(manifest.subroots, "tree").withColumn("folded_root", F.lower(F.hex("folded")))
+    starts = F.filter(F.sequence(F.lit(0), F.octet_length("siblings")), lambda i: (i % 32 == 0) & (i < F.octet_length("siblings")))
     return rows.select(
         "doc_id",
-        "leaf",
+        F.lower(F.hex("leaf")).alias("leaf"),
         "subroot",
         F.lit(manifest.root).cast("string").alias("root"),
-        F.transform(
-            F.filter(F.sequence(F.lit(0), F.octet_length("siblings")), lambda i: (i % 32 == 0) & (i < F.octet_length("siblings"))),
-            lambda i: F.lower(F.hex(F.substring("siblings", i + 1, F.lit(32)))),
-        ).alias("siblings"),
+        F.transform(starts, lambda i: F.lower(F.hex(F.substring("siblings", i + 1, F.lit(32))))).alias("siblings"),
         "folded_root",
         (F.col("folded_root") == F.lit(manifest.root)).alias("verified"),
     )
