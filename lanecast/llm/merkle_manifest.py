@@ -11,6 +11,7 @@ An empty table has no rows and no root. Rows with equal ids are ordered by their
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from uuid import uuid4
@@ -159,10 +160,21 @@ def build(documents: DataFrame, tampered: Column | None = None) -> Manifest:
     return Manifest(leaves, subroots.withColumnRenamed("digest", "subroot"), name, root["digest"] if root else None)
 
 
-def climbed(manifest: Manifest) -> DataFrame:
+def _hex_digests(siblings: Column) -> Column:
+    """32-byte digests, one after the other, as an array of lowercase hex."""
+    starts = F.filter(F.sequence(F.lit(0), F.octet_length(siblings)), lambda i: (i % 32 == 0) & (i < F.octet_length(siblings)))
+    return F.transform(starts, lambda i: F.lower(F.hex(F.substring(siblings, i + 1, F.lit(32)))))
+
+
+def proof_digest(siblings: Column) -> Column:
+    """One digest over all siblings of a proof."""
+    return F.sha2(F.lower(F.hex(siblings)).cast("binary"), 256)
+
+
+def climbed(manifest: Manifest, shown: Callable[[Column], Column] = _hex_digests) -> DataFrame:
     """(doc_id, leaf, tree, folded, siblings): each leaf, altered where it is, taken to the root by a recursive query.
 
-    Siblings are their 32-byte digests, one after the other. A leaf's own columns join its steps as one more row, so that
+    ``siblings`` is what ``shown`` makes of the 32-byte digests, one after the other. A leaf's own columns join its steps as one more row, so that
     they meet in the one grouping and nothing as wide as a proof is shuffled again.
     """
     spark = manifest.leaves.sparkSession
@@ -200,21 +212,20 @@ def climbed(manifest: Manifest) -> DataFrame:
             F.sort_array(F.collect_list(step)).alias("path"),
         )
         siblings = F.aggregate(F.filter("path.sibling", lambda s: s.isNotNull()), F.lit(b""), lambda done, s: F.concat(done, s))
-        return materialise(path.select("doc_id", "leaf", "tree", "folded", siblings.alias("siblings")))
+        return materialise(path.select("doc_id", "leaf", "tree", "folded", shown(siblings).alias("siblings")))
     finally:
         spark.conf.set(_ROW_LIMIT, limit)
 
 
-def proofs(manifest: Manifest) -> DataFrame:
-    """Per leaf: doc_id, leaf, subroot, root, siblings from the leaf up, folded_root, verified."""
-    rows = climbed(manifest).join(manifest.subroots, "tree").withColumn("folded_root", F.lower(F.hex("folded")))
-    starts = F.filter(F.sequence(F.lit(0), F.octet_length("siblings")), lambda i: (i % 32 == 0) & (i < F.octet_length("siblings")))
+def proofs(manifest: Manifest, shown: Callable[[Column], Column] = _hex_digests) -> DataFrame:
+    """Per leaf: doc_id, leaf, subroot, root, siblings from the leaf up (or what ``shown`` makes of them), folded_root, verified."""
+    rows = climbed(manifest, shown).join(manifest.subroots, "tree").withColumn("folded_root", F.lower(F.hex("folded")))
     return rows.select(
         "doc_id",
         F.lower(F.hex("leaf")).alias("leaf"),
         "subroot",
         F.lit(manifest.root).cast("string").alias("root"),
-        F.transform(starts, lambda i: F.lower(F.hex(F.substring("siblings", i + 1, F.lit(32))))).alias("siblings"),
+        "siblings",
         "folded_root",
         (F.col("folded_root") == F.lit(manifest.root)).alias("verified"),
     )

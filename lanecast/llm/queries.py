@@ -110,9 +110,9 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, subroot, root and proof of every document, and whether a leaf, tampered with in one of seven documents, folds to the root."""
     seventh = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
     manifest = merkle_manifest.build(_table(spark, sf_dir, "documents"), seventh)
-    rows = merkle_manifest.proofs(manifest)
+    rows = merkle_manifest.proofs(manifest, merkle_manifest.proof_digest).withColumnRenamed("siblings", "proof_sha256")
     return rows.select(
-        "doc_id", "leaf", "subroot", "root", F.sha2(F.array_join("siblings", ""), 256).alias("proof_sha256"), "folded_root", "verified"
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
     )
 
 
