@@ -133,21 +133,36 @@ def _series_window(key: str, order: str):
     return Window.partitionBy(key).orderBy(order)
 
 
-def lag_features(key: str = "corridor_id", order: str = "year") -> dict[str, Column]:
-    """Earlier rows of the series; a missing year shortens the distance."""
+def lag_features(key: str = "corridor_id", order: str = "year", calendar: bool = False) -> dict[str, Column]:
+    """Earlier rows of the series; a missing year shortens the distance.
+
+    With ``calendar`` the values of the very year so many years before, NULL where that year is missing.
+    """
     w = _series_window(key, order)
+
+    def lag(name: str, distance: int) -> Column:
+        return F.first(name).over(w.rangeBetween(-distance, -distance)) if calendar else F.lag(name, distance).over(w)
+
     return {
-        "tons_lag1": F.lag("total_tons", 1).over(w),
-        "tons_lag2": F.lag("total_tons", 2).over(w),
-        "tons_lag3": F.lag("total_tons", 3).over(w),
-        "value_lag1": F.lag("total_value", 1).over(w),
-        "diesel_lag1": F.lag("diesel_price", 1).over(w),
+        "tons_lag1": lag("total_tons", 1),
+        "tons_lag2": lag("total_tons", 2),
+        "tons_lag3": lag("total_tons", 3),
+        "value_lag1": lag("total_value", 1),
+        "diesel_lag1": lag("diesel_price", 1),
     }
 
 
-def rolling_features(key: str = "corridor_id", order: str = "year", rows: int = 3) -> dict[str, Column]:
-    """Mean (from one value) and sample deviation (from two) of the last rows, the current one included."""
-    w = _series_window(key, order).rowsBetween(1 - rows, 0)
+def rolling_features(
+    key: str = "corridor_id", order: str = "year", rows: int = 3, calendar: bool = False, current: bool = True
+) -> dict[str, Column]:
+    """Mean (from one value) and sample deviation (from two) of the last rows, the current one included.
+
+    With ``calendar`` of the rows of the last years, however many there are; without ``current`` of those before the row,
+    so that a feature holds nothing of the value it is to predict.
+    """
+    w = _series_window(key, order)
+    last = 0 if current else -1
+    w = w.rangeBetween(last + 1 - rows, last) if calendar else w.rowsBetween(last + 1 - rows, last)
     return {
         "tons_rolling_mean_3yr": F.avg("total_tons").over(w),
         "tons_rolling_std_3yr": F.stddev_samp("total_tons").over(w),
@@ -179,12 +194,14 @@ def economic_change_features(key: str = "corridor_id", order: str = "year") -> d
     }
 
 
-def add_lag_features(df: DataFrame, key: str = "corridor_id", order: str = "year") -> DataFrame:
-    return df.withColumns(lag_features(key, order))
+def add_lag_features(df: DataFrame, key: str = "corridor_id", order: str = "year", calendar: bool = False) -> DataFrame:
+    return df.withColumns(lag_features(key, order, calendar))
 
 
-def add_rolling_features(df: DataFrame, key: str = "corridor_id", order: str = "year") -> DataFrame:
-    return df.withColumns(rolling_features(key, order))
+def add_rolling_features(
+    df: DataFrame, key: str = "corridor_id", order: str = "year", calendar: bool = False, current: bool = True
+) -> DataFrame:
+    return df.withColumns(rolling_features(key, order, calendar=calendar, current=current))
 
 
 def add_derived_features(df: DataFrame, key: str = "corridor_id", order: str = "year") -> DataFrame:

@@ -16,7 +16,7 @@ from ..forecast.trend import fit_trend
 from ..operators.evaluation import evaluate_all
 from ..operators.features import annual_and_band, corridor_history, enrich
 from ..operators.staging import macro_pivot, stage_flows, stage_history, zone_to_state
-from ..schemas import BENCHMARK_YEAR, HOLDOUT_YEAR, HORIZON, MACRO_SERIES, SETTINGS_SCHEMA, TREND_REGRESSORS, FlowLayout
+from ..schemas import BENCHMARK_YEAR, FITS_SCHEMA, HOLDOUT_YEAR, HORIZON, MACRO_SERIES, SETTINGS_SCHEMA, TREND_REGRESSORS, FlowLayout
 from ..session import materialise
 from ..sinks.tables import (
     append_runs,
@@ -28,6 +28,7 @@ from ..sinks.tables import (
     write_metrics_json,
 )
 from ..sources.artifacts import read_forecasts, read_optional
+from .retrain import fingerprints, with_changes
 
 
 @dataclass(frozen=True)
@@ -76,20 +77,10 @@ def train_all(
     arima = materialise(fit_arima(annual, horizon, holdout_year))
     trend = materialise(fit_trend(annual, macros, horizon, holdout_year))
     boosted, importance = forecast_boosted(enriched, macros, horizon, holdout_year, settings)
-    pooled = training_rows(enriched).where(F.col("year") < holdout_year).count()
-    counts = {name: F.col(name) for name in ("training_rows", "full_rows")}
     fits = [
-        fit_settings(arima, {"order": F.col("model_order"), "aic": F.col("aic"), **counts}),
-        fit_settings(trend, {"regressors": F.lit(",".join(TREND_REGRESSORS)), **counts}),
-        fit_settings(
-            boosted,
-            {
-                "n_estimators": F.lit(settings.trees),
-                "max_depth": F.lit(settings.depth),
-                "learning_rate": F.lit(settings.rate),
-                "pooled_training_rows": F.lit(pooled),
-            },
-        ),
+        _series_settings(arima, "ARIMA"),
+        _series_settings(trend, "TrendRegression"),
+        _pooled_settings(boosted, enriched, holdout_year, settings),
     ]
     forecasts = conform(arima).unionByName(conform(trend)).unionByName(boosted)
     return Training(forecasts, importance, reduce(DataFrame.unionByName, fits))
@@ -141,7 +132,86 @@ def train_and_store(
     trained = train_all(annual, enriched, macros, horizon, holdout_year, settings)
     write_importance(trained.importance, f"{root}/feature_importance")
     replace_table(trained.settings, root, "model_settings")
-    return write_forecasts(trained.forecasts, f"{root}/forecasts")
+    written = write_forecasts(trained.forecasts, f"{root}/forecasts")
+    replace_table(fingerprints(annual, macros, horizon, holdout_year, {m: repr(settings) for m in MODELS}), root, "model_fits")
+    return written
+
+
+#: The trained models; the last one is fitted to all corridors together.
+MODELS = ("ARIMA", "TrendRegression", "BoostedTrees")
+
+
+def train_missing(
+    spark: SparkSession,
+    root: str,
+    horizon: Sequence[int] = HORIZON,
+    holdout_year: int = HOLDOUT_YEAR,
+    settings: BoostedSettings = BoostedSettings(),
+    models: Sequence[str] = MODELS,
+) -> DataFrame:
+    """Train what the stored forecasts lack, and keep the rest: one row per model and corridor, with ``trained``.
+
+    A corridor is trained again if any of its rows, the macros or the settings differ from those of its stored fit;
+    the pooled model for all corridors if any has changed, come or gone. Forecasts of corridors that are gone go.
+    Fingerprints are stored last, so a run that fails trains the same corridors again.
+    """
+    annual = read_table(spark, root, "feature_corridor_annual")
+    macros = read_table(spark, root, "staged_macro_annual")
+    stored = read_optional(spark, f"{root}/model_fits", FITS_SCHEMA)
+    prints = materialise(fingerprints(annual, macros, horizon, holdout_year, {m: repr(settings) for m in models}))
+    state = materialise(with_changes(prints, stored, pooled=MODELS[-1:]))
+    gone = stored.where(F.col("model_name").isin(*models)).join(prints, ["model_name", "corridor_id"], "left_anti")
+    touched = {r[0] for r in state.where("trained").select("model_name").union(gone.select("model_name")).distinct().collect()}
+    if not touched:
+        return state.select("model_name", "corridor_id", "trained")
+
+    kept = state.where(~F.col("trained")).select("model_name", "corridor_id")
+    settings_now = read_optional(spark, f"{root}/model_settings", SETTINGS_SCHEMA)
+    fits = [settings_now.join(kept, ["model_name", "corridor_id"], "left_semi"), settings_now.where(~F.col("model_name").isin(*models))]
+    try:
+        forecasts = [read_forecasts(spark, f"{root}/forecasts").join(kept.where(F.col("model_name").isin(*touched)), ["model_name", "corridor_id"], "left_semi")]
+    except FileNotFoundError:
+        forecasts = []
+    for model in [m for m in models if m in touched]:
+        changed = state.where(F.col("trained") & (F.col("model_name") == model)).select("corridor_id")
+        if changed.isEmpty():
+            continue
+        if model == MODELS[-1]:
+            enriched = read_table(spark, root, "feature_corridor_enriched")
+            rows, importance = forecast_boosted(enriched, macros, horizon, holdout_year, settings, store=f"{root}/models")
+            write_importance(importance, f"{root}/feature_importance")
+            fits.append(_pooled_settings(rows, enriched, holdout_year, settings))
+        else:
+            series = annual.join(changed, "corridor_id", "left_semi")
+            rows = materialise(fit_arima(series, horizon, holdout_year) if model == "ARIMA" else fit_trend(series, macros, horizon, holdout_year))
+            fits.append(_series_settings(rows, model))
+        forecasts.append(conform(rows))
+    columns = [F.col(name) for name in SETTINGS_SCHEMA.names]
+    replace_table(reduce(DataFrame.unionByName, [f.select(*columns) for f in fits]), root, "model_settings")
+    if forecasts:
+        # what is kept comes from the very folders that are replaced
+        write_forecasts(materialise(reduce(DataFrame.unionByName, forecasts)), f"{root}/forecasts")
+    others = stored.where(~F.col("model_name").isin(*models))
+    replace_table(others.unionByName(prints), root, "model_fits")
+    return state.select("model_name", "corridor_id", "trained")
+
+
+def _series_settings(fitted: DataFrame, model: str) -> DataFrame:
+    own = {"order": F.col("model_order"), "aic": F.col("aic")} if model == "ARIMA" else {"regressors": F.lit(",".join(TREND_REGRESSORS))}
+    return fit_settings(fitted, {**own, **{name: F.col(name) for name in ("training_rows", "full_rows")}})
+
+
+def _pooled_settings(boosted: DataFrame, enriched: DataFrame, holdout_year: int, settings: BoostedSettings) -> DataFrame:
+    pooled = training_rows(enriched).where(F.col("year") < holdout_year).count()
+    return fit_settings(
+        boosted,
+        {
+            "n_estimators": F.lit(settings.trees),
+            "max_depth": F.lit(settings.depth),
+            "learning_rate": F.lit(settings.rate),
+            "pooled_training_rows": F.lit(pooled),
+        },
+    )
 
 
 def evaluate_and_store(
@@ -153,14 +223,10 @@ def evaluate_and_store(
     horizon: Sequence[int] = HORIZON,
     settings: BoostedSettings = BoostedSettings(),
 ) -> dict[str, DataFrame]:
-    """Score the stored forecasts, store the scores and add them to the run log."""
-    try:
-        forecasts = read_forecasts(spark, f"{root}/forecasts")
-    except FileNotFoundError:
-        if not train_if_missing:
-            raise
-        train_and_store(spark, root, horizon, holdout_year, settings)
-        forecasts = read_forecasts(spark, f"{root}/forecasts")
+    """Score the stored forecasts, store the scores and add them to the run log. ``train_if_missing`` first trains what is missing."""
+    if train_if_missing:
+        train_missing(spark, root, horizon, holdout_year, settings)
+    forecasts = read_forecasts(spark, f"{root}/forecasts")
     scores = evaluate_all(
         forecasts,
         read_table(spark, root, "feature_corridor_annual"),
@@ -171,7 +237,7 @@ def evaluate_and_store(
     stored = {}
     for name, df in scores.items():
         replace_table(df, root, name)
-        stored[name] = spark.read.schema(df.schema).parquet(f"{root}/{name}")
+        stored[name] = read_optional(spark, f"{root}/{name}", df.schema)
     write_metrics_json(stored["holdout_scores"], f"{root}/metrics")
     fits = read_optional(spark, f"{root}/model_settings", SETTINGS_SCHEMA)
     append_runs(run_rows(stored["holdout_scores"], fits), f"{root}/model_runs")

@@ -514,6 +514,21 @@ UNION ALL SELECT 'feature_benchmark', {len(MID_FACTORS)} * count(DISTINCT corrid
     "feat_ratios": _with(*ZONE_ANNUAL) + _features(ALL_FEATURES[10:], "annual"),
     "corridor_enriched": _with(*ZONE_ANNUAL, ENRICHED) + "SELECT * FROM enriched",
     "feat_on_sparse_zone_pairs": _with(*ZONE_ANNUAL, ACTIVE) + _features(ALL_FEATURES, "active", "total_tons, "),
+    "feat_calendar_windows": _with(*ZONE_ANNUAL, ACTIVE)
+    + """SELECT a.corridor_id, a.corridor_name, a.year,
+  round(b1.total_tons, 6) AS tons_lag1, round(b2.total_tons, 6) AS tons_lag2, round(b3.total_tons, 6) AS tons_lag3,
+  round(b1.total_value, 6) AS value_lag1, round(b1.diesel_price, 6) AS diesel_lag1,
+  round(list_avg(list_value(b1.total_tons, b2.total_tons, b3.total_tons)), 6) AS tons_rolling_mean_3yr,
+  round(list_stddev_samp(list_value(b1.total_tons, b2.total_tons, b3.total_tons)), 6) AS tons_rolling_std_3yr
+FROM active a
+LEFT JOIN active b1 ON b1.corridor_id = a.corridor_id AND b1.year = a.year - 1
+LEFT JOIN active b2 ON b2.corridor_id = a.corridor_id AND b2.year = a.year - 2
+LEFT JOIN active b3 ON b3.corridor_id = a.corridor_id AND b3.year = a.year - 3""",
+    "table_replaced_whole": _with(*ZONE_ANNUAL) + "SELECT * FROM annual",
+    "retrain_changed": _with(*ZONE_ANNUAL)
+    + f"""SELECT model_name, corridor_id, true AS at_first, false AS again,
+  corridor_id % 10 = 0 AND coalesce(max(CASE WHEN year = {HOLDOUT_YEAR} THEN total_tons END), 0) <> 0 AS after_a_change
+FROM annual CROSS JOIN (VALUES ('ARIMA'), ('TrendRegression')) m(model_name) GROUP BY model_name, corridor_id""",
     "load_flow_csv": RAW_FLOWS,
     "load_history_csv": RAW_HISTORY,
     "load_validation": _with(LINES, WIDE)

@@ -138,6 +138,48 @@ def feat_on_sparse_zone_pairs(spark, sf_dir):
     return rounded(features.enrich(active).select(*KEYS, "total_tons", *ENRICHED_FEATURES))
 
 
+def feat_calendar_windows(spark, sf_dir):
+    """Lags and rolling figures over years instead of rows, the current year left out, on pairs with missing years."""
+    active = corridor_annual(spark, sf_dir).where(F.col("total_tons").isNotNull())
+    built = features.add_rolling_features(features.add_lag_features(active, calendar=True), calendar=True, current=False)
+    return rounded(built.select(*KEYS, *features.lag_features(), *features.rolling_features()))
+
+
+def table_replaced_whole(spark, sf_dir):
+    """The annual table after a replacement whose job failed and one whose key was broken: as it was."""
+    root = scratch_path(spark, "replaced")
+    annual = corridor_annual(spark, sf_dir)
+    sinks.replace_table(annual, root, "feature_corridor_annual")
+    stored = sinks.read_table(spark, root, "feature_corridor_annual", star.LAYOUT)
+    failing = stored.withColumn("total_tons", F.when(F.col("year") > 0, F.raise_error("broken input").cast("double")))
+    for bad, error in ((failing, Exception), (stored.unionByName(stored), ValueError)):
+        try:
+            sinks.replace_table(bad, root, "feature_corridor_annual")
+        except error:
+            continue
+        raise AssertionError("a broken table was stored")
+    return rounded(sinks.read_table(spark, root, "feature_corridor_annual", star.LAYOUT))
+
+
+def retrain_changed(spark, sf_dir):
+    """Which corridors each model is trained for: at first, again over the same rows, and after the last tons of some changed."""
+    root = scratch_path(spark, "retrain")
+    known = star.macros(spark, sf_dir).where(F.col("year") <= star.HOLDOUT_YEAR)
+    sinks.replace_table(known, root, "staged_macro_annual")
+    sinks.replace_table(corridor_annual(spark, sf_dir), root, "feature_corridor_annual")
+
+    def trained(name):
+        state = pipeline.train_missing(spark, root, star.HORIZON, star.HOLDOUT_YEAR, models=pipeline.MODELS[:2])
+        return state.withColumnRenamed("trained", name)
+
+    first, again = trained("at_first"), trained("again")
+    doubled = F.when((F.col("corridor_id") % 10 == 0) & (F.col("year") == star.HOLDOUT_YEAR), F.col("total_tons") * 2)
+    annual = sinks.read_table(spark, root, "feature_corridor_annual", star.LAYOUT)
+    sinks.replace_table(annual.withColumn("total_tons", F.coalesce(doubled, "total_tons")), root, "feature_corridor_annual")
+    keys = ["model_name", "corridor_id"]
+    return first.join(again, keys, "full_outer").join(trained("after_a_change"), keys, "full_outer")
+
+
 def layer_row_counts(spark, sf_dir):
     """Raw tables stored, then both later layers rebuilt from what is stored."""
     root = scratch_path(spark, "layers")
@@ -711,6 +753,9 @@ QUERIES: dict[str, Query] = {
     "feat_ratios": feat_ratios,
     "corridor_enriched": corridor_enriched,
     "feat_on_sparse_zone_pairs": feat_on_sparse_zone_pairs,
+    "feat_calendar_windows": feat_calendar_windows,
+    "table_replaced_whole": table_replaced_whole,
+    "retrain_changed": retrain_changed,
     "load_flow_csv": load_flow_csv,
     "load_history_csv": load_history_csv,
     "corridor_rows": corridor_rows,

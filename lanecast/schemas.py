@@ -245,6 +245,7 @@ SETTINGS_SCHEMA = _struct(
         ("settings", T.MapType(T.StringType(), T.StringType())),
     ]
 )
+FITS_SCHEMA = _struct([("model_name", T.StringType()), ("corridor_id", T.IntegerType()), ("fingerprint", T.StringType())])
 RUN_SCHEMA = _struct(
     [
         ("run_id", T.StringType()),
@@ -255,6 +256,17 @@ RUN_SCHEMA = _struct(
     ]
 )
 
+#: Columns that no row of a table lacks and no two rows share.
+TABLE_KEYS = {
+    "staged_macro_annual": ("year",),
+    "feature_corridor_annual": ("corridor_id", "year"),
+    "feature_corridor_enriched": ("corridor_id", "year"),
+    "feature_corridor_history": ("corridor_id", "year"),
+    "feature_benchmark": ("corridor_id", "year"),
+    "model_fits": ("model_name", "corridor_id"),
+    "model_settings": ("model_name", "corridor_id"),
+}
+
 
 def table_schemas(layout: FlowLayout = FlowLayout()) -> dict[str, T.StructType]:
     """The seventeen tables of the three layers, by name."""

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from ..operators.ordering import ordered_table
 from ..operators.profiling import profile_distinct, profile_missing
-from ..schemas import FlowLayout, table_schemas
-from ..sources.artifacts import _exists
+from ..schemas import TABLE_KEYS, FlowLayout, table_schemas
+from ..sources.artifacts import current_path
 from ..sources.validation import write_counted
+from .versions import replace_version
 
 
 def declare_tables(spark: SparkSession, root: str, layout: FlowLayout = FlowLayout()) -> list[str]:
@@ -19,21 +20,21 @@ def declare_tables(spark: SparkSession, root: str, layout: FlowLayout = FlowLayo
     created = []
     for name, schema in table_schemas(layout).items():
         path = f"{root}/{name}"
-        if not _exists(spark, path):
+        if current_path(spark, path) is None:
             spark.createDataFrame([], schema).write.parquet(path)
             created.append(name)
     return created
 
 
 def replace_table(df: DataFrame, root: str, name: str) -> tuple[str, int]:
-    """Overwrite one table; its name and how many rows it now has."""
-    return name, write_counted(df, f"{root}/{name}")
+    """Replace one table, or leave it as it is if the job fails or its declared key is broken; its name and how many rows it now has."""
+    return name, replace_version(df, f"{root}/{name}", TABLE_KEYS.get(name, ()))
 
 
 def read_table(spark: SparkSession, root: str, name: str, layout: FlowLayout = FlowLayout()) -> DataFrame:
     schema = table_schemas(layout).get(name)
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(f"{root}/{name}")
+    return reader.parquet(current_path(spark, f"{root}/{name}") or f"{root}/{name}")
 
 
 def write_forecasts(forecasts: DataFrame, path: str) -> int:

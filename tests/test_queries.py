@@ -18,6 +18,9 @@ CHECKED = (
     "benchmark_band",
     "corridor_enriched",
     "feat_on_sparse_zone_pairs",
+    "feat_calendar_windows",
+    "table_replaced_whole",
+    "retrain_changed",
     "load_flow_csv",
     "corridor_rows",
     "ordered_scan",
