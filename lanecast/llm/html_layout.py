@@ -65,19 +65,30 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("html", {})
         self.open = [self.root]
+        #: Where each tag is open below the root, so that no tag has to look through all that is open.
+        self.places: dict[str, list[int]] = {}
+
+    def _push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.open))
+        self.open.append(node)
+
+    def _cut(self, at: int) -> None:
+        while len(self.open) > at:
+            self.places[self.open.pop().tag].pop()
+
+    def _nearest(self, tags) -> int:
+        """Where the innermost of these tags is open; 0 if none is."""
+        return max((places[-1] for places in map(self.places.get, tags) if places), default=0)
 
     def _close(self, tags, fences) -> None:
-        for at in range(len(self.open) - 1, 0, -1):
-            if self.open[at].tag in tags:
-                del self.open[at:]
-                return
-            if self.open[at].tag in fences:
-                return
+        at = self._nearest(tags)
+        if at and at >= self._nearest(fences):
+            self._cut(at)
 
     def handle_starttag(self, tag, attributes):
         if tag in ("html", "body"):
             # once is enough; what hides the body hides the page
-            if tag == "body" and not any(n.tag == "body" for n in self.open):
+            if tag == "body" and not self._nearest(("body",)):
                 self._close(("head",), ())
                 self._open("body", attributes)
             return
@@ -97,30 +108,26 @@ class TreeBuilder(HTMLParser):
         if tag in UNDRAWN and self._foreign():
             self.open[-1].attributes["hidden"] = ""
         if tag in VOID or (tag == "form" and in_table):
-            self.open.pop()
+            self._cut(len(self.open) - 1)
 
     def _table(self) -> int | None:
         """Where the innermost open table is, as seen from the last open tag."""
-        for at in range(len(self.open) - 1, 0, -1):
-            if self.open[at].tag == "table":
-                return at
-            if self.open[at].tag == "template":
-                return None
-        return None
+        at = self._nearest(("table",))
+        return at if at > self._nearest(("template",)) else None
 
     def _table_part(self, tag) -> None:
         """Closes what a part of a table cannot stand in, and opens the body and row that it needs."""
         at = len(self.open) - 1
         while self.open[at].tag not in STANDS_IN[tag]:
             at -= 1
-        del self.open[at + 1 :]
+        self._cut(at + 1)
         if tag in ("tr", "td", "th") and self.open[-1].tag == "table":
             self._open("tbody", ())
         if tag in ("td", "th") and self.open[-1].tag != "tr":
             self._open("tr", ())
 
     def _foreign(self) -> bool:
-        return any(n.tag in ("svg", "math") for n in self.open)
+        return self._nearest(("svg", "math")) > 0
 
     def _add(self, child) -> Node:
         """Puts a node or text into what is open, or before the table if it cannot stand in one; what it was put into."""
@@ -140,18 +147,18 @@ class TreeBuilder(HTMLParser):
         parent = self._add(node)
         own = _VISIBILITY.findall(node.attributes.get("style", ""))
         node.shown = own[-1].lower() in ("visible", "initial") if own else parent.shown
-        self.open.append(node)
+        self._push(node)
 
     def handle_startendtag(self, tag, attributes):
         self.handle_starttag(tag, attributes)
         # a slash closes nothing in HTML but what is empty anyway; in drawings and formulas it does
         if tag not in VOID and self.open[-1].tag == tag and self._foreign():
-            self.open.pop()
+            self._cut(len(self.open) - 1)
 
     def handle_endtag(self, tag):
         if tag == "br":
             self._add(Node("br", {}))
-        elif tag == "p" and not any(n.tag == "p" for n in self.open):
+        elif tag == "p" and not self._nearest(("p",)):
             self._add(Node("p", {}))
         else:
             self._close((tag,), ("table",) if tag not in ("table", "body", "html") else ())

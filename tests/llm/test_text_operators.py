@@ -1,5 +1,6 @@
 import math
 import re
+import time
 import zlib
 from collections import Counter
 from itertools import product
@@ -94,6 +95,34 @@ def test_deep_pages_give_their_text(tags):
         assert "deep" in html_layout.visible_text(tags * count + "deep")
 
 
+class SlowBuilder(html_layout.TreeBuilder):
+    """Looks through all that is open for every tag."""
+
+    def _nearest(self, tags):
+        return max((at for at, node in enumerate(self.open) if at and node.tag in tags), default=0)
+
+
+def test_tree_equals_a_search_of_all_open_tags():
+    rng, tags = np.random.default_rng(3), "p div li ul td tr table tbody template button b svg option select body dt dl form br".split()
+    for _ in range(400):
+        page = "".join(f"<{'/' * int(rng.integers(3) == 0)}{rng.choice(tags)}>x" for _ in range(40))
+        slow = SlowBuilder()
+        slow.feed(page)
+        slow.close()
+        assert shape(html_layout.parse(page)) == shape(slow.root)
+
+
+def shape(node):
+    return node if isinstance(node, str) else (node.tag, [shape(child) for child in node.children])
+
+
+def test_a_page_of_unclosed_tags_takes_time_in_proportion():
+    for opening in ("<div>", "<table><tr><td>", "<p><button>"):
+        begin = time.monotonic()
+        assert "deep" in html_layout.visible_text(opening * 50_000 + "deep")
+        assert time.monotonic() - begin < 20
+
+
 def test_pages_keep_all_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a"), (None, None, None), (1, "u", "<p>a")], "page_id long, url string, html string")
     assert sorted((r.page_id or 0, r.text, r.n_lines) for r in html_layout.extracted(pages).collect()) == [(0, "", 0), (1, "a", 1), (1, "a", 1)]
