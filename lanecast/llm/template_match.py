@@ -1,13 +1,14 @@
 """Benchmark decontamination by template canonicalisation.
 
 Numbers, names and units become typed placeholders, so a question asked again with other values has the same
-template. Whether a capitalised word is a name is open, so windows are read in three ways: names inside sentences, all capitalised
+template; a unit may be written to its number, and a name may hold capitals and apostrophes. Whether a capitalised word is a name is open, so windows are read in three ways: names inside sentences, all capitalised
 words as names, and lower-cased without names. Windows of the texts are looked up in those of the benchmark; matches are aligned token by
 token, and the values behind the placeholders must agree one to one between item and text.
 """
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,6 +32,8 @@ UNITS = frozenset(
     "month months year years cent cents dollar dollars euro euros usd eur gbp % percent degree degrees mph kmh km/h m/s w kw kwh v".split()
 )
 _NUMBER = regex.compile(r"[-+$€£]?\d[\d.,:/]*(?:st|nd|rd|th)?%?")
+#: A unit written to its number, which are two placeholders as they are with a space.
+_GLUED = re.compile(rb"(\d)(%s)(?![A-Za-z\d])" % b"|".join(re.escape(u.encode()) for u in sorted(UNITS, key=lambda u: (-len(u), u)) if u != "%"), re.I)
 _EDGE = regex.compile(r"^[^\w$€£%+-]+|[^\w%]+$")
 _WORD, _NUMBER_KIND, _NAME_KIND, _UNIT_KIND, _ENDS = 0, 1, 2, 3, 4
 
@@ -61,7 +64,7 @@ def token_of(word: bytes) -> int:
         kind = _NUMBER_KIND
     elif core.lower() in UNITS and len(core) > 1:
         kind = _UNIT_KIND
-    elif core[:1].isupper() and core[1:].islower():
+    elif core[:1].isupper() and any(letter.islower() for letter in core[1:]):
         kind = _NAME_KIND
     else:
         kind = _WORD
@@ -94,7 +97,7 @@ class Template:
 
 def template(texts: list) -> tuple[Template, np.ndarray]:
     """The template of all texts (bytes) together, and where each begins and the last ends. Punctuation alone is no token."""
-    split = [text.split() for text in texts]
+    split = [_GLUED.sub(rb"\1 \2", text).split() for text in texts]
     packed = looked_up(_tokens(), list(chain.from_iterable(split)), np.uint64)
     kept = packed != 0
     ends = np.cumsum([0, *map(len, split)])

@@ -265,6 +265,21 @@ def test_names_are_met_at_sentence_starts_and_without_case(documents_of, spark):
     assert {r.doc_id for r in template_match.leaks(documents_of(texts), lower).collect()} >= {0, 1, 2, 3, 5}
 
 
+def test_units_at_their_numbers_and_capitals_inside_names(documents_of, spark):
+    asked = "Yesterday the courier McDonald rode 60{0} to the harbour and then 90{0} back, so how far did McDonald ride in all"
+    bench = spark.createDataFrame([(1, asked.format(" km"))], "item_id long, text string")
+    texts = [
+        asked.format("km").replace("60", "75").replace("90", "120"),
+        asked.format(" km").replace("McDonald", "O'Brien"),
+        asked.format("KM").replace("McDonald", "DeShawn"),
+        "A note of 60km and 90km that has nothing else in common with what was asked of anybody here at all",
+    ]
+    found = {r.doc_id for r in template_match.leaks(documents_of(texts), bench).collect()}
+    assert found == {0, 1, 2}
+    whole, bounds = template_match.template([b"60km 5 m/s 1st 2nd 3D 7h 4th.", b"60 km"])
+    assert bounds.tolist() == [0, 10, 12] and (whole.kind[:2] == whole.kind[10:]).all() and (whole.value[:2] == whole.value[10:]).all()
+
+
 def test_spans_are_the_best_labels():
     rng = np.random.default_rng(5)
     sizes = np.array([3, 0, 6, 1])
