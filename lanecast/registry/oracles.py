@@ -537,7 +537,7 @@ FROM annual CROSS JOIN (VALUES ('ARIMA'), ('TrendRegression')) m(model_name) GRO
     + """SELECT '00' || substr(series_id, 1, 1) AS series_id, date,
   CASE WHEN substr(series_id, 1, 1) = '1' THEN value * 2 ELSE value END AS value FROM series""",
     "series_combine": """SELECT event_type AS series_id, CAST(ts AS DATE) AS date, value FROM events
-WHERE event_type IN ('click', 'view') AND value IS NOT NULL AND NOT isnan(value)""",
+WHERE value IS NOT NULL AND NOT isnan(value)""",
     "lookup_normalise": LOOKUP_NORMALISE,
     "lookup_load": _with(ZONES)
     + """SELECT 'raw_states' AS table_name, CAST(n_nationkey AS INTEGER) AS numeric_label, n_name AS description FROM nation

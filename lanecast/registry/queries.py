@@ -30,6 +30,8 @@ from ..sources import artifacts, flows, lookups, macros as macro_source, validat
 Query = Callable[[SparkSession, str], DataFrame]
 
 KEYS = ("corridor_id", "corridor_name", "year")
+# Every kind in the events table.
+EVENT_KINDS = ("click", "error", "purchase", "signup", "view")
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -279,9 +281,9 @@ def series_replace(spark, sf_dir):
 
 
 def series_combine(spark, sf_dir):
-    """Two pulled series as one table, joined by a pull that brought nothing."""
+    """The series of every kind of event as one table, joined by a pull that brought nothing."""
     events = star.table(spark, sf_dir, "events").select(F.col("ts").alias("date"), "value", "event_type")
-    pulls = {kind: events.where(F.col("event_type") == kind) for kind in ("click", "view", "nothing of the kind")}
+    pulls = {kind: events.where(F.col("event_type") == kind) for kind in (*EVENT_KINDS, "nothing of the kind")}
     return macro_source.combine_series(spark, pulls)
 
 
