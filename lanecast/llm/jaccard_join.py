@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lanecast.functions.sizing import fits_broadcast
 from lanecast.llm.components import connected_components
 from lanecast.llm.words import as_signed, free_name, lists, looked_up, map_batches, mix, pieces, row_key, text_bytes, window_hashes, word_hashes
 from lanecast.session import materialise
@@ -33,6 +34,8 @@ SKETCH_BITS = 512
 WIDE_BUCKET, LEVELS = 12, 1
 #: Sets that are looked at for shingles common among the members of wide buckets, and the most such shingles.
 COMMON_SAMPLE, COMMON_SHINGLES = 4000, 200_000
+#: Rows of two or three longs up to which a side of a join is broadcast: some tens of megabytes.
+BROADCAST_ROWS = 500_000
 
 
 @dataclass(frozen=True)
@@ -45,7 +48,7 @@ class JaccardSettings:
     parts: int = 2
     spare: int = 1
     #: Groups beyond those that the bound asks for, so that sets with some empty partitions keep a margin.
-    slack: float = 1.05
+    slack: float = 1.15
 
 
 @lru_cache(maxsize=None)
@@ -69,9 +72,9 @@ def band_of(size: int, settings: JaccardSettings) -> list[tuple[int, int]]:
 def signatures(shingles: np.ndarray, settings: JaccardSettings, common: np.ndarray | None = None) -> np.ndarray:
     """The PartEnum signatures of a set of sorted 64-bit shingles.
 
-    A subset without elements would be shared by unrelated sets, so it is skipped. That is safe while more than
-    k / (k2 + 1) groups have k2 + 1 filled partitions; a set without that margin signs again under the next seed, and
-    under the last one with its empty subsets.
+    A subset without elements would be shared by unrelated sets, so it is skipped. To change every other subset of a group takes
+    differences in k2 + 1 of its partitions or in all that are filled, whichever is less; so skipping is safe while these add up to more
+    than k over all groups. A set without that margin signs again under the next seed, and under the last one with its empty subsets.
 
     With ``common``, shingles that are the same for all sets, every other shingle is a partition of its own. A partner
     without any of these differs in all of them, so only a set that has few of them signs on the whole domain too.
@@ -112,7 +115,7 @@ def _signed(shingles, band, k, seed, settings, sign_empty) -> tuple[np.ndarray,
     filled = np.zeros(groups * parts, bool)
     sums[at], filled[at] = np.add.reduceat(values, first), True
     sums, filled = sums.reshape(groups, parts), filled.reshape(groups, parts)
-    safe = int((filled.sum(axis=1) > spare).sum()) * (spare + 1) > k
+    safe = int(np.minimum(filled.sum(axis=1), spare + 1).sum()) > k
     out = []
     for number, subset in enumerate(combinations(range(parts), parts - spare)):
         keep = np.arange(groups) if sign_empty and not safe else np.flatnonzero(filled[:, subset].any(axis=1))
@@ -137,9 +140,17 @@ def shingle_sets(texts: list[bytes], words: int, cache) -> Iterator[np.ndarray]:
 
 
 def parity_sketch(shingles: np.ndarray) -> np.ndarray:
-    """The parity of the number of shingles in each of SKETCH_BITS cells, as 64-bit integers."""
-    cells = (mix(shingles) >> np.uint64(64 - SKETCH_BITS.bit_length() + 1)).astype(np.int64)
-    return np.packbits(np.bincount(cells, minlength=SKETCH_BITS).astype(np.uint8) & 1).view(np.int64)
+    """The parity of the number of shingles in each of a power of two of cells, at least SKETCH_BITS and twice the shingles, as bytes."""
+    cells = max(SKETCH_BITS, 1 << (2 * len(shingles) - 1).bit_length() if len(shingles) else 0)
+    at = (mix(shingles) & np.uint64(cells - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=cells).astype(np.uint8) & 1)
+
+
+def folded(sketch: np.ndarray, size: int) -> np.ndarray:
+    """The sketch of the same set with fewer cells, ``size`` bytes of them."""
+    while len(sketch) > size:
+        sketch = sketch[: len(sketch) // 2] ^ sketch[len(sketch) // 2 :]
+    return sketch
 
 
 def _near(percent: int, one: str, other: str) -> Column:
@@ -168,10 +179,11 @@ def _sign_documents(settings: JaccardSettings):
     def transform(batch: pa.RecordBatch) -> Iterator[dict]:
         texts = text_bytes(batch)
         for begin, end in pieces(texts):
-            sizes, nodes, marks, owners, seen, sketches = [], [], [], [], set(), []
+            sizes, nodes, marks, owners, seen, sketches, wide = [], [], [], [], set(), [], []
             for at, shingles in enumerate(shingle_sets(texts[begin:end], settings.words, cache)):
                 sizes.append(len(shingles))
-                sketches.append(parity_sketch(shingles))
+                wide.append(parity_sketch(shingles))
+                sketches.append(folded(wide[-1], SKETCH_BITS // 8).view(np.int64))
                 if not len(shingles):
                     nodes.append(None)
                     continue
@@ -198,6 +210,7 @@ def _sign_documents(settings: JaccardSettings):
                 "n_shingles": sizes,
                 "node": nodes,
                 "sketch": lists(np.concatenate(sketches), [SKETCH_BITS // 64] * count),
+                "wide": [sketch.tobytes() for sketch in wide],
                 "marks": lists(marks[new], np.bincount(owners[new], minlength=count)),
                 "held": lists(marks[~new], np.bincount(owners[~new], minlength=count)),
                 "leader": lists(lead[~new], np.bincount(owners[~new], minlength=count)),
@@ -221,6 +234,41 @@ def _set_of_text(settings: JaccardSettings):
     return transform
 
 
+def _can_be_similar(settings: JaccardSettings):
+    """Batch function: the pairs whose whole sketches, folded to the same cells, leave room for the similarity; none that has it is lost."""
+
+    def transform(batch: pa.RecordBatch) -> Iterator[dict]:
+        column = {name: batch.column(batch.schema.get_field_index(name)) for name in batch.schema.names}
+        sizes = (column["a_n"].to_numpy() + column["b_n"].to_numpy()) * (100 - settings.percent)
+        keep = []
+        for one, other, room in zip(column["a_wide"].to_pylist(), column["b_wide"].to_pylist(), sizes):
+            size = min(len(one), len(other))
+            one, other = (folded(np.frombuffer(x, np.uint8), size) for x in (one, other))
+            keep.append(int(np.bitwise_count(one ^ other).sum()) * (100 + settings.percent) <= room)
+        yield {name: column[name].filter(pa.array(keep, pa.bool_())) for name in ("a", "b")}
+
+    return transform
+
+
+def _similar_texts(settings: JaccardSettings):
+    """Batch function: the pairs whose whole sets are similar enough, of rows with both texts."""
+    cache = word_hashes()
+
+    def transform(batch: pa.RecordBatch) -> Iterator[dict]:
+        left, right = text_bytes(batch, "left"), text_bytes(batch, "right")
+        keep, before, one = [], None, None
+        for begin, end in pieces([x + y for x, y in zip(left, right)]):
+            others = shingle_sets(right[begin:end], settings.words, cache)
+            for at, other in zip(range(begin, end), others):
+                if left[at] != before:
+                    before, one = left[at], next(shingle_sets([left[at]], settings.words, cache))
+                common = len(np.intersect1d(one, other, assume_unique=True))
+                keep.append(common * 100 >= (len(one) + len(other) - common) * settings.percent)
+        yield {name: batch.column(batch.schema.get_field_index(name)).filter(pa.array(keep, pa.bool_())) for name in ("a", "b")}
+
+    return transform
+
+
 def _marks_of_set(settings: JaccardSettings, common):
     """Signatures of a stored set, the shingles of the broadcast array ``common`` left out."""
 
@@ -244,16 +292,44 @@ def _common_shingles(sets: DataFrame) -> np.ndarray:
     return np.sort(np.array([row[0] for row in often.select("x").collect()], np.int64).view(np.uint64))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    common = F.size(F.array_intersect("left", "right"))
-    union = F.size("left") + F.size("right") - F.col("common")
-    return (
-        pairs.join(left, "a").join(right, "b").withColumn("common", common)
-        .where(F.col("common") * 100 >= union * percent).select("a", "b")
-    )
+def _verified(pairs: DataFrame, texts: DataFrame, settings: JaccardSettings) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar enough.
+
+    Whole sketches (2 to 4 bits a shingle) rule out most others first. Texts travel rather than sets: written and compressed they take
+    less than half of the 8 bytes a shingle.
+    """
+
+    def side(name: str, *columns: str) -> DataFrame:
+        return texts.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in columns])
+
+    known = pairs.select("a", "b").join(side("a", "n", "wide"), "a").join(side("b", "n", "wide"), "b")
+    left = materialise(map_batches(known, _can_be_similar(settings), "a long, b long"))
+    both = left.join(side("a", "text"), "a").join(side("b", "text"), "b").select("a", "b", F.col("a_text").alias("left"), F.col("b_text").alias("right"))
+    return map_batches(both, _similar_texts(settings), "a long, b long")
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """``df`` (a few longs a row) for the small side of a join: broadcast if counted small, else left to a shuffle."""
+    return F.broadcast(df) if fits_broadcast(df, BROADCAST_ROWS) else df
+
+
+def _apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """The pairs whose classes are in different components."""
+    for side in ("a", "b"):
+        pairs = pairs.join(parts.select(F.col("node").alias(side), F.col("component").alias(f"{side}_part")), side, "left")
+    return pairs.where("coalesce(a_part, a) <> coalesce(b_part, b)").drop("a_part", "b_part")
+
+
+def _open_members(star: DataFrame, pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """(mark, node) of the buckets with classes in different components.
+
+    The rows of a bucket are the edges of a tree over its classes, so it is open exactly if one of them joins two components:
+    only the distinct pairs of classes are held against the components, not every row of every bucket.
+    """
+    apart = materialise(_apart(pairs, parts).select(F.col("a").alias("leader"), F.col("b").alias("node")))
+    marks = materialise(star.join(_small(apart), ["leader", "node"], "left_semi").select("mark").distinct())
+    rows = star.join(_small(marks), "mark", "left_semi")
+    return rows.select("mark", "node").union(rows.select("mark", F.col("leader").alias("node"))).distinct()
 
 
 def _still_open(members: DataFrame, parts: DataFrame, least: int) -> DataFrame:
@@ -283,7 +359,7 @@ def _pairs_of_bucket(rows: DataFrame, percent: int) -> DataFrame:
     return left.join(right, "mark").where((F.col("a") < F.col("b")) & (F.col("p") != F.col("q")) & _near(percent, "a", "b")).select("a", "b").distinct()
 
 
-def _open_pairs(rows: DataFrame, parts: DataFrame, sets: DataFrame, traits: DataFrame, settings: JaccardSettings) -> DataFrame:
+def _open_pairs(rows: DataFrame, parts: DataFrame, texts: DataFrame, traits: DataFrame, settings: JaccardSettings) -> DataFrame:
     """The other pairs of one bucket that are still in different components.
 
     A wide bucket mostly comes of a passage that many texts share. Its members sign anew without the shingles common
@@ -297,7 +373,8 @@ def _open_pairs(rows: DataFrame, parts: DataFrame, sets: DataFrame, traits: Data
         wide = rows.where(F.col("members") > WIDE_BUCKET)
         if level == LEVELS or wide.isEmpty():
             break
-        again = materialise(sets.join(wide.select("node").distinct(), "node", "left_semi"))
+        members = texts.join(wide.select("node").distinct(), "node", "left_semi")
+        again = materialise(map_batches(members.select("node", "text"), _set_of_text(settings), "node long, shingles array<long>"))
         common = again.sparkSession.sparkContext.broadcast(_common_shingles(again))
         finer = replace(settings, parts=6, spare=3)
         marks = map_batches(again, _marks_of_set(finer, common), "node long, marks array<long>")
@@ -311,16 +388,17 @@ def similarity_classes(documents: DataFrame, settings: JaccardSettings) -> DataF
     ``node`` is the class of equal sets, ``component`` the class reachable by links; both null for a text without
     words. Null ids and texts, repeated rows and empty tables pass through; other columns are not read.
 
-    Round one compares every class with the smallest class of each of its buckets, so a family of n near copies
-    costs n comparisons a bucket. The next rounds compare classes of buckets that are still in different components with the
-    most central one there. The last forms the pairs that remain; buckets of unrelated sets are first split by further signatures.
+    Round one compares every class with the one it shares most signatures with, among the smallest classes of its buckets; then with
+    the others of these that are still in another component, so a family of n near copies costs about n comparisons. The next rounds
+    compare classes of buckets that are still in different components with the most central one there. The last forms the pairs that
+    remain; buckets of unrelated sets are first split by further signatures.
     """
     keyed = documents.select(row_key(documents).alias("row_key"), "doc_id", "text")
     signed = materialise(
         map_batches(
             keyed,
             _sign_documents(settings),
-            "row_key long, doc_id long, n_shingles long, node long, sketch array<long>, marks array<long>, held array<long>, leader array<long>",
+            "row_key long, doc_id long, n_shingles long, node long, sketch array<long>, wide binary, marks array<long>, held array<long>, leader array<long>",
         )
     )
     spread = signed.select("node", F.explode("marks").alias("mark"))
@@ -329,31 +407,36 @@ def similarity_classes(documents: DataFrame, settings: JaccardSettings) -> DataF
     local = signed.select("node", F.explode(F.arrays_zip("held", "leader")).alias("x"))
     local = local.select(F.col("x.held").alias("mark"), F.col("x.leader").alias("leader"), "node").where("leader <> node")
     star = materialise(shared.union(local))
-    pairs = materialise(star.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
+    pairs = materialise(star.groupBy(F.col("leader").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("shared")))
 
-    alike = [F.any_value(c).alias(name) for c, name in (("n_shingles", "n"), ("sketch", "sketch"))]
+    alike = [F.any_value(c).alias(name) for c, name in (("n_shingles", "n"), ("sketch", "sketch"), ("wide", "wide"))]
     classes = signed.where("node is not null").groupBy("node").agg(F.min("row_key").alias("row_key"), *alike)
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     classes = materialise(classes.join(wanted, "node", "left_semi"))
     traits = classes.select("node", "n", "sketch")
-    near = pairs.join(_as(traits, "a"), "a").join(_as(traits, "b"), "b").where(_near(settings.percent, "a", "b")).select("a", "b")
-    texts = keyed.select("row_key", "text").join(classes.select("node", "row_key"), "row_key").select("node", "text").dropDuplicates(["node"])
-    sets = materialise(map_batches(texts.select("node", "text"), _set_of_text(settings), "node long, shingles array<long>"))
+    near = pairs.join(_as(traits, "a"), "a").join(_as(traits, "b"), "b").where(_near(settings.percent, "a", "b")).select("a", "b", "shared")
+    near = materialise(near)
+    texts = keyed.select("row_key", "text").join(classes.select("node", "row_key", "n", "wide"), "row_key").select("node", "n", "wide", "text")
+    texts = materialise(texts.dropDuplicates(["node"]))
 
-    links = materialise(_verified(near, sets, settings.percent))
+    best = near.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("most")).select("most.a", "b")
+    links = materialise(_verified(best, texts, settings))
     parts = connected_components(links)
-    members = star.select("mark", "node").union(star.select("mark", F.col("leader").alias("node"))).distinct()
-    rows = _still_open(members, parts, 2)  # two members were compared with each other in the first round
+    more = materialise(_verified(_apart(near.join(best, ["a", "b"], "left_anti"), parts), texts, settings))
+    if not more.isEmpty():
+        links = links.union(more)
+        parts = connected_components(links)
+    rows = _still_open(_open_members(star, pairs, parts), parts, 2)  # two members were compared with each other in the first round
     for central in (True, False):
         if rows.isEmpty():
             break
         known = rows.join(traits, "node")
-        found = _central_pairs(known, settings.percent) if central else _open_pairs(known, parts, sets, traits, settings)
-        more = materialise(_verified(found, sets, settings.percent))
+        found = _central_pairs(known, settings.percent) if central else _open_pairs(known, parts, texts, traits, settings)
+        more = materialise(_verified(found, texts, settings))
         if not more.isEmpty():
             links = links.union(more)
             parts = connected_components(links)
-            rows = _still_open(members, parts, 2) if central else rows
+            rows = _still_open(rows.select("mark", "node"), parts, 2) if central else rows
     parts = parts.withColumnRenamed("node", "n2")
     return signed.select("row_key", "doc_id", "n_shingles", "node").join(parts, F.col("node") == F.col("n2"), "left").select(
         "row_key", "doc_id", "n_shingles", "node", F.coalesce("component", "node").alias("component")
