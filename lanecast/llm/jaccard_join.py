@@ -139,7 +139,7 @@ def shingle_sets(texts: list[bytes], words: int, cache) -> Iterator[np.ndarray]:
         begin = end
 
 
-def parity_sketch(shingles: np.ndarray) -> np.ndarray:
+def whole_sketch(shingles: np.ndarray) -> np.ndarray:
     """The parity of the number of shingles in each of a power of two of cells, at least SKETCH_BITS and twice the shingles, as bytes."""
     cells = max(SKETCH_BITS, 1 << (2 * len(shingles) - 1).bit_length() if len(shingles) else 0)
     at = (mix(shingles) & np.uint64(cells - 1)).astype(np.int64)
@@ -153,6 +153,11 @@ def folded(sketch: np.ndarray, size: int) -> np.ndarray:
     return sketch
 
 
+def parity_sketch(shingles: np.ndarray) -> np.ndarray:
+    """The whole sketch folded to SKETCH_BITS cells, as 64-bit integers."""
+    return folded(whole_sketch(shingles), SKETCH_BITS // 8).view(np.int64)
+
+
 def _near(percent: int, one: str, other: str) -> Column:
     """Whether two sets can be similar enough, by their sizes and sketches; never false for a pair that is.
 
@@ -182,7 +187,7 @@ def _sign_documents(settings: JaccardSettings):
             sizes, nodes, marks, owners, seen, sketches, wide = [], [], [], [], set(), [], []
             for at, shingles in enumerate(shingle_sets(texts[begin:end], settings.words, cache)):
                 sizes.append(len(shingles))
-                wide.append(parity_sketch(shingles))
+                wide.append(whole_sketch(shingles))
                 sketches.append(folded(wide[-1], SKETCH_BITS // 8).view(np.int64))
                 if not len(shingles):
                     nodes.append(None)

@@ -93,6 +93,32 @@ def test_sketches_never_rule_out_a_similar_pair():
         assert bits <= len(np.setxor1d(one, other)) and len(J.parity_sketch(one)) * 64 == J.SKETCH_BITS
 
 
+def test_whole_sketches_of_both_sizes_bound_the_difference():
+    rng = np.random.default_rng(4)
+    for size in (0, 1, 255, 256, 257, 3000):
+        one = rng.integers(0, 2**63, size).astype(np.uint64)
+        other = np.concatenate([one[size // 6 :], rng.integers(0, 2**63, size // 3 + 1).astype(np.uint64)])
+        sketches = [J.whole_sketch(x) for x in (one, other)]
+        for sketch, x in zip(sketches, (one, other)):
+            assert len(sketch) * 8 >= max(J.SKETCH_BITS, 2 * len(x))
+        small = min(len(sketch) for sketch in sketches)
+        bits = int(np.bitwise_count(J.folded(sketches[0], small) ^ J.folded(sketches[1], small)).sum())
+        differ = len(np.setxor1d(one, other))
+        assert bits <= differ and bits % 2 == differ % 2
+        assert bits * 2 >= differ
+
+
+def test_sets_with_empty_partitions_keep_a_shared_signature():
+    """Small sets fill few partitions: the differences that remain allowed are put where they change the most signatures."""
+    rng = np.random.default_rng(5)
+    settings = J.JaccardSettings()
+    for size in (5, 6, 9, 10, 15, 40, 100):
+        for _ in range(100):
+            one = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+            other = np.sort(np.concatenate([one, rng.integers(0, 2**63, size // 4).astype(np.uint64)]))
+            assert len(np.intersect1d(J.signatures(one, settings), J.signatures(other, settings)))
+
+
 def test_a_family_just_below_the_similarity(spark, documents_of):
     """Texts that share most of a template but are linked with no other, beside real copies: every verdict as by brute force."""
     rng = random.Random(9)
