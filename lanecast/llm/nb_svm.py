@@ -193,7 +193,8 @@ def accepted(documents: DataFrame, model: NbSvmModel) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = indicators(shared.value.bits)
+        # caches of this task alone: a worker goes on to other stages of a pipeline and would keep shared ones through them
+        make = Indicators(shared.value.bits)
         for batch in batches:
             scores = [shared.value.score(make.of(text)) for text in text_bytes(batch)]
             yield batch.filter(pa.array([s >= 0.5 for s in scores], pa.bool_()))
