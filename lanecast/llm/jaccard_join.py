@@ -11,12 +11,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,22 +70,29 @@ def band_of(size: int, settings: JaccardSettings) -> list[tuple[int, int]]:
             for band in ((at, at - 1) if at and smallest < bounds[at] else (at,))]
 
 
-def signatures(shingles: np.ndarray, settings: JaccardSettings, common: np.ndarray | None = None) -> np.ndarray:
-    """The PartEnum signatures of a set of sorted 64-bit shingles.
+def prefix(shingles: np.ndarray, settings: JaccardSettings, common: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """The first shingles of a set in one order for all sets: those not in ``common`` (sorted) first, then by ``often``, their counts there.
+
+    It is one shingle longer than the most that a similar set can lack. So the first shingle in that order that two similar sets share is in
+    the prefix of both, whatever the counts; and a passage that many sets share brings together only those with little else.
+    """
+    rank = np.zeros(len(shingles), np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
+        rank = np.where(common[at] == shingles, often[at], 0)
+    return shingles[np.lexsort((shingles, rank))[: len(shingles) * (100 - settings.percent) // 100 + 1]]
+
+
+def signatures(shingles: np.ndarray, settings: JaccardSettings, common: np.ndarray | None = None, often: np.ndarray | None = None) -> np.ndarray:
+    """The PartEnum signatures of a set of sorted 64-bit shingles; with ``common``, the same for all sets, its prefix instead.
 
     A subset without elements would be shared by unrelated sets, so it is skipped. To change every other subset of a group takes
     differences in k2 + 1 of its partitions or in all that are filled, whichever is less; so skipping is safe while these add up to more
     than k over all groups. A set without that margin signs again under the next seed, and under the last one with its empty subsets.
-
-    With ``common``, shingles that are the same for all sets, every other shingle is a partition of its own. A partner
-    without any of these differs in all of them, so only a set that has few of them signs on the whole domain too.
     """
-    out = []
     if common is not None:
-        rare = shingles[~np.isin(shingles, common, assume_unique=True)]
-        out.append(mix(rare ^ np.uint64(SEEDS)))
-        if len(rare) > len(shingles) * (100 - settings.percent) // settings.percent:
-            return out[0]
+        return mix(prefix(shingles, settings, common, np.ones(len(common), np.int64) if often is None else often) ^ np.uint64(SEEDS))
+    out = []
     for band, k in band_of(len(shingles), settings):
         for seed in range(SEEDS):
             found, safe = _signed(shingles, band, k, seed, settings, seed == SEEDS - 1)
@@ -275,12 +283,12 @@ def _similar_texts(settings: JaccardSettings):
 
 
 def _marks_of_set(settings: JaccardSettings, common):
-    """Signatures of a stored set, the shingles of the broadcast array ``common`` left out."""
+    """Prefix signatures of a stored set; ``common``: broadcast arrays of common shingles and their counts."""
 
     def transform(batch: pa.RecordBatch) -> Iterator[dict]:
         column = batch.column(batch.schema.get_field_index("shingles"))
         flat, ends = np.asarray(column.flatten()).view(np.uint64), np.cumsum(np.asarray(column.value_lengths()))
-        found = [signatures(np.sort(part), settings, common.value) for part in np.split(flat, ends[:-1])]
+        found = [signatures(np.sort(part), settings, *common.value) for part in np.split(flat, ends[:-1])]
         yield {
             "node": batch.column(batch.schema.get_field_index("node")),
             "marks": lists(as_signed(np.concatenate(found)), [len(f) for f in found]),
@@ -289,12 +297,15 @@ def _marks_of_set(settings: JaccardSettings, common):
     return transform
 
 
-def _common_shingles(sets: DataFrame) -> np.ndarray:
-    """The shingles most often met in a bounded sample of sets. They only steer the search: any choice keeps it complete."""
+def _common_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles most often met in a bounded sample of sets, sorted, and their counts. They only steer the search: any choice keeps it complete."""
     share = -(-sets.count() // COMMON_SAMPLE) or 1
     sample = sets.where(F.pmod(F.xxhash64("node"), F.lit(share)) == 0).select(F.explode("shingles").alias("x"))
     often = sample.groupBy("x").count().where(F.expr(f"count > 2 and count * {share} > {WIDE_BUCKET}")).orderBy(F.desc("count"), "x").limit(COMMON_SHINGLES)
-    return np.sort(np.array([row[0] for row in often.select("x").collect()], np.int64).view(np.uint64))
+    table = often.toArrow()
+    names, counts = (np.asarray(table.column(name)).astype(np.int64) for name in ("x", "count"))
+    order = np.argsort(names.view(np.uint64))
+    return names.view(np.uint64)[order], counts[order]
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, settings: JaccardSettings) -> DataFrame:
@@ -338,8 +349,8 @@ def _open_members(star: DataFrame, pairs: DataFrame, parts: DataFrame) -> DataFr
 
 
 def _still_open(members: DataFrame, parts: DataFrame, least: int) -> DataFrame:
-    """(mark, node, part, members) of the buckets of more than ``least`` classes that are in different components."""
-    rows = members.join(parts, "node", "left").select("mark", "node", F.coalesce("component", "node").alias("part"))
+    """(mark, node, part, members) and further columns of the buckets of more than ``least`` classes that are in different components."""
+    rows = members.join(parts, "node", "left").select(*members.columns, F.coalesce("component", "node").alias("part"))
     size = rows.groupBy("mark").agg(F.count("*").alias("members"), F.min("part").alias("p"), F.max("part").alias("q"))
     return materialise(rows.join(size.where(F.expr(f"p <> q and members > {least}")).select("mark", "members"), "mark"))
 
@@ -358,17 +369,24 @@ def _central_pairs(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _pairs_of_bucket(rows: DataFrame, percent: int) -> DataFrame:
-    """The pairs of one bucket, in different components, that can be similar: the test is part of the join, so no other pair becomes a row."""
-    left = _as(rows.select("mark", "node", F.col("part").alias("p"), "n", "sketch"), "a")
-    right = _as(rows.select("mark", "node", F.col("part").alias("q"), "n", "sketch"), "b")
-    return left.join(right, "mark").where((F.col("a") < F.col("b")) & (F.col("p") != F.col("q")) & _near(percent, "a", "b")).select("a", "b").distinct()
+    """The pairs of one bucket, in different components, that can be similar: the test is part of the join, so no other pair becomes a row.
+
+    Marks of prefixes come with ``at``, their place in the order of the set's shingles. The first one that two sets share leaves them no
+    more common shingles than follow it in either; a pair that this rules out at a later mark still meets at its first.
+    """
+    test = (F.col("a") < F.col("b")) & (F.col("p") != F.col("q"))
+    if "at" in rows.columns:
+        test &= F.expr(f"least(a_n - a_at, b_n - b_at) * {100 + percent} >= (a_n + b_n) * {percent}")
+    rows = rows.drop("members")
+    left, right = (_as(rows.withColumnsRenamed({"part": part, "at": f"{name}_at"}), name) for part, name in (("p", "a"), ("q", "b")))
+    return left.join(right, "mark").where(test & _near(percent, "a", "b")).select("a", "b").distinct()
 
 
 def _open_pairs(rows: DataFrame, parts: DataFrame, texts: DataFrame, traits: DataFrame, settings: JaccardSettings) -> DataFrame:
     """The other pairs of one bucket that are still in different components.
 
-    A wide bucket mostly comes of a passage that many texts share. Its members sign anew without the shingles common
-    among them: those signatures are complete as well, so the wide bucket itself can go.
+    A wide bucket mostly comes of a passage that many texts share. Its members sign anew by their rarest shingles: those
+    signatures are complete as well, so the wide bucket itself can go.
     """
     found = None
     for level in range(LEVELS + 1):
@@ -381,9 +399,8 @@ def _open_pairs(rows: DataFrame, parts: DataFrame, texts: DataFrame, traits: Dat
         members = texts.join(wide.select("node").distinct(), "node", "left_semi")
         again = materialise(map_batches(members.select("node", "text"), _set_of_text(settings), "node long, shingles array<long>"))
         common = again.sparkSession.sparkContext.broadcast(_common_shingles(again))
-        finer = replace(settings, parts=6, spare=3)
-        marks = map_batches(again, _marks_of_set(finer, common), "node long, marks array<long>")
-        rows = _still_open(marks.select("node", F.explode("marks").alias("mark")), parts, 1).join(traits, "node")
+        marks = map_batches(again, _marks_of_set(settings, common), "node long, marks array<long>")
+        rows = _still_open(marks.select("node", F.posexplode("marks").alias("at", "mark")), parts, 1).join(traits, "node")
     return found.distinct()
 
 
@@ -399,13 +416,12 @@ def similarity_classes(documents: DataFrame, settings: JaccardSettings) -> DataF
     remain; buckets of unrelated sets are first split by further signatures.
     """
     keyed = documents.select(row_key(documents).alias("row_key"), "doc_id", "text")
-    signed = materialise(
-        map_batches(
-            keyed,
-            _sign_documents(settings),
-            "row_key long, doc_id long, n_shingles long, node long, sketch array<long>, wide binary, marks array<long>, held array<long>, leader array<long>",
-        )
-    )
+    # signatures are the largest table here and are of use only until the buckets are known, so they go before the search begins
+    signed = map_batches(
+        keyed,
+        _sign_documents(settings),
+        "row_key long, doc_id long, n_shingles long, node long, sketch array<long>, wide binary, marks array<long>, held array<long>, leader array<long>",
+    ).persist(StorageLevel.DISK_ONLY)
     spread = signed.select("node", F.explode("marks").alias("mark"))
     top = F.min("node").over(Window.partitionBy("mark"))
     shared = spread.withColumn("leader", top).where("leader <> node").select("mark", "leader", "node")
@@ -418,6 +434,8 @@ def similarity_classes(documents: DataFrame, settings: JaccardSettings) -> DataF
     classes = signed.where("node is not null").groupBy("node").agg(F.min("row_key").alias("row_key"), *alike)
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     classes = materialise(classes.join(wanted, "node", "left_semi"))
+    rows_of_node = materialise(signed.select("row_key", "doc_id", "n_shingles", "node"))
+    signed.unpersist()
     traits = classes.select("node", "n", "sketch")
     near = pairs.join(_as(traits, "a"), "a").join(_as(traits, "b"), "b").where(_near(settings.percent, "a", "b")).select("a", "b", "shared")
     near = materialise(near)
@@ -443,7 +461,7 @@ def similarity_classes(documents: DataFrame, settings: JaccardSettings) -> DataF
             parts = connected_components(links)
             rows = _still_open(rows.select("mark", "node"), parts, 2) if central else rows
     parts = parts.withColumnRenamed("node", "n2")
-    return signed.select("row_key", "doc_id", "n_shingles", "node").join(parts, F.col("node") == F.col("n2"), "left").select(
+    return rows_of_node.join(parts, F.col("node") == F.col("n2"), "left").select(
         "row_key", "doc_id", "n_shingles", "node", F.coalesce("component", "node").alias("component")
     )
 

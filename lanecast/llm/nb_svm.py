@@ -98,18 +98,25 @@ def dual_coordinate_descent(rows: list, values: list, labels: np.ndarray, cost:
     One multiplier is optimised at a time: its projected step along the gradient y_i w.x_i - 1, and ``weights`` is kept as the
     sum of multipliers times rows. Rows are visited in a fixed random order.
     """
-    weights, held = np.zeros(width), np.zeros(len(rows))
-    square = np.array([float(np.dot(v, v)) for v in values])
+    return dual_descent_with_bias(rows, values, labels, cost, width, epochs, 0.0)[0]
+
+
+def dual_descent_with_bias(rows: list, values: list, labels: np.ndarray, cost: np.ndarray, width: int, epochs: int, unit: float = 1.0):
+    """Weights, and the weight of one more feature that is ``unit`` in every row and takes no place in the lists."""
+    weights, bias, held = np.zeros(width), 0.0, np.zeros(len(rows))
+    square = np.array([float(np.dot(v, v)) + unit * unit for v in values])
     order = np.random.default_rng(0)
     for _ in range(epochs):
         for i in order.permutation(len(rows)):
             if square[i] > 0:
-                gradient = labels[i] * float(np.dot(weights[rows[i]], values[i])) - 1
+                gradient = labels[i] * (float(np.dot(weights[rows[i]], values[i])) + bias * unit) - 1
                 new = min(max(held[i] - gradient / square[i], 0.0), cost[i])
                 if new != held[i]:
-                    weights[rows[i]] += (new - held[i]) * labels[i] * values[i]
+                    step = (new - held[i]) * labels[i]
+                    weights[rows[i]] += step * values[i]
+                    bias += step * unit
                     held[i] = new
-    return weights
+    return weights, bias
 
 
 def fit_rows(rows: list, labels: np.ndarray, settings: NbSvmSettings) -> NbSvmModel:
@@ -123,15 +130,13 @@ def fit_rows(rows: list, labels: np.ndarray, settings: NbSvmSettings) -> NbSvmMo
     ratio = np.log(count[1] / count[1].sum()) - np.log(count[0] / count[0].sum())
     seen = (count[0] + count[1]) > 2 * settings.smoothing
     ratio = np.where(seen, ratio, 0.0)
-    # the last feature is the bias
-    index, values = [], []
-    for row in rows:
-        value = ratio[row]
-        size = np.sqrt(np.square(value).sum())
-        index.append(np.append(row, width))
-        values.append(np.append(value / size if size else value, 1.0))
-    weights = dual_coordinate_descent(index, values, labels * 2 - 1, np.full(len(rows), settings.cost), width + 1, settings.epochs)
-    bias, weights = weights[-1], weights[:-1]
+    # one array for the values of all rows: the driver gives it back whole
+    ends = np.cumsum([len(row) for row in rows])
+    values = np.split(np.empty(ends[-1]), ends[:-1])
+    for row, value in zip(rows, values):
+        value[:] = ratio[row]
+        value /= np.sqrt(np.square(value).sum()) or 1
+    weights, bias = dual_descent_with_bias(rows, values, labels * 2 - 1, np.full(len(rows), settings.cost), width, settings.epochs)
     # the values hold the ratios already, so a weight of one in place of each fitted one is plain naive Bayes
     weights = settings.blend * weights + (1 - settings.blend) * np.abs(weights[seen]).mean()
     return NbSvmModel(ratio.astype(np.float32), (weights * ratio).astype(np.float32), float(bias), settings.bits)
@@ -158,11 +163,10 @@ def fit(documents: DataFrame, labels: DataFrame, settings: NbSvmSettings | None
             "features": lists(np.concatenate(found), [len(f) for f in found]),
         }
 
-    table = map_batches(rows, features, "doc_id long, quality int, features array<int>").toArrow().sort_by("doc_id")
-    column = table.column("features").combine_chunks()
-    flat, offsets = np.asarray(column.flatten()), np.asarray(column.offsets)
-    sets = [flat[a:b] for a, b in zip(offsets[:-1] - offsets[0], offsets[1:] - offsets[0])] if len(column) else []
-    return fit_rows(sets, np.asarray(table.column("quality")).astype(np.int64), settings)
+    table = map_batches(rows, features, "doc_id long, quality int, features array<int>").toArrow()
+    sets = [np.asarray(row.values) for chunk in table.column("features").chunks for row in chunk]
+    order = np.argsort(np.asarray(table.column("doc_id")), kind="stable")
+    return fit_rows([sets[i] for i in order], np.asarray(table.column("quality")).astype(np.int64)[order], settings)
 
 
 def held_out(doc_id):

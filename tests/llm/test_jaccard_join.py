@@ -136,3 +136,37 @@ def test_a_family_just_below_the_similarity(spark, documents_of):
     links = [(a, b) for a in range(len(rows)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
     got = {r.doc_id: r.component_id for r in J.linked_documents(documents_of(rows), settings).collect()}
     assert [got[i] for i in range(len(rows))] == components_of(len(rows), links)
+
+
+def test_prefixes_of_sets_that_share_a_passage(spark):
+    """Sets of a common passage and a fifth of their own sign by few shingles, and no pair of them that is not similar becomes a row."""
+    rng = np.random.default_rng(7)
+    settings = J.JaccardSettings()
+    passage = rng.integers(0, 2**63, 800).astype(np.uint64)
+    common = np.sort(passage)
+    sets = [np.sort(np.concatenate([passage, rng.integers(0, 2**63, 160).astype(np.uint64)])) for _ in range(30)]
+    sets.append(np.sort(np.concatenate([sets[0][: len(sets[0]) - 20], rng.integers(0, 2**63, 20).astype(np.uint64)])))
+    marks = [J.signatures(one, settings, common, np.full(len(common), 31)) for one in sets]
+    assert all(len(own) == len(one) * 20 // 100 + 1 for own, one in zip(marks, sets))
+    sketches = [J.parity_sketch(one).tolist() for one in sets]
+    rows = [(node, at, mark, node, len(sets[node]), sketches[node]) for node, own in enumerate(marks) for at, mark in enumerate(J.as_signed(own).tolist())]
+    rows = spark.createDataFrame(rows, "node long, at int, mark long, part long, n long, sketch array<long>")
+    got = [tuple(r) for r in J._pairs_of_bucket(rows, settings.percent).collect()]
+    assert got == [(0, 30)]
+
+
+def test_first_shared_shingle_passes_the_place_test():
+    """Whatever the counts, two similar sets share a prefix shingle after which enough is left of both."""
+    rng = np.random.default_rng(8)
+    settings = J.JaccardSettings(words=4, percent=85)
+    for _ in range(500):
+        size = int(rng.integers(1, 150))
+        union = rng.integers(0, 2**63, size).astype(np.uint64)
+        drop = size * (100 - settings.percent) // 100
+        cut = int(rng.integers(0, drop + 1))
+        a, b = np.sort(union[cut:]), np.sort(union[: size - (drop - cut)])
+        common = np.sort(union[rng.random(size) < rng.random()])
+        often = rng.integers(1, 5, len(common))
+        one, other = (J.prefix(x, settings, common, often).tolist() for x in (a, b))
+        left = [min(len(a) - i, len(b) - other.index(x)) for i, x in enumerate(one) if x in other]
+        assert left and max(left) * 185 >= 85 * (len(a) + len(b))
