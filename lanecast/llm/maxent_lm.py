@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -50,25 +51,51 @@ def word_id(word: bytes) -> int:
     return (xxhash.xxh3_64_intdigest(word) & ~(ENDINGS - 1)) | (1 + xxhash.xxh3_64_intdigest(word[-3:]) % (ENDINGS - 1))
 
 
-class Words:
-    """Ids of words, remembered, and texts as one array of ids with an end after each."""
+def short_code(ids: np.ndarray) -> np.ndarray:
+    """Word ids in 32 bits, the ending in the low ones as before: enough to tell the few thousand cells of features apart."""
+    return (ids >> np.uint64(32 + 9) << np.uint64(9) | ids & np.uint64(ENDINGS - 1)).astype(np.uint32)
+
+
+class Words(dict):
+    """Numbers of words in the order met, their ids by number, and texts as one array of numbers with an end, number 0, after each."""
 
     def __init__(self):
-        self.known: dict[bytes, int] = {}
+        self.forget()
 
-    def ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
+    def forget(self) -> None:
+        self.clear()
+        self.new, self.table = [0], np.zeros(0, np.uint64)
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self) + 1
+        self.new.append(word_id(word))
+        return number
+
+    def numbers(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Valid until the next call, which may start afresh; ``table`` has the ids."""
+        if len(self) > CACHE_WORDS:
+            self.forget()
         split = [text.lower().split() for text in texts]
-        new = set().union(*split) - self.known.keys()
-        self.known.update((word, word_id(word)) for word in new)
         sizes = np.array([len(s) + 1 for s in split])
-        out = np.zeros(int(sizes.sum()), np.uint64)
+        out = np.zeros(int(sizes.sum()), np.int64)
         inside = np.ones(len(out), bool)
         inside[np.cumsum(sizes) - 1] = False
-        out[inside] = np.fromiter(map(self.known.__getitem__, (w for s in split for w in s)), np.uint64, int(inside.sum()))
+        out[inside] = np.fromiter(map(self.__getitem__, chain.from_iterable(split)), np.int64, int(inside.sum()))
+        self.table, self.new = np.concatenate([self.table, np.array(self.new, np.uint64)]), []
         return out, sizes
 
+    def ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        numbers, sizes = self.numbers(texts)
+        return self.table[numbers], sizes
+
+    def distinct(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids among these numbers, how often each is there, and the place of every number among them."""
+        times = np.bincount(numbers, minlength=len(self.table))
+        present = np.flatnonzero(times)
+        place = np.zeros(len(times), np.int64)
+        place[present] = np.arange(len(present))
+        return self.table[present], times[present], place[numbers]
+
 
 def feature_rows(ids: np.ndarray, sizes: np.ndarray, bits: int) -> list[np.ndarray]:
     """The hashed feature of every token for each template; words before the text count as its beginning."""
@@ -87,9 +114,9 @@ def feature_rows(ids: np.ndarray, sizes: np.ndarray, bits: int) -> list[np.ndarr
 
 def class_logs(rows: list[np.ndarray], bias: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """log probability of each class for every token."""
-    total = bias + weights[0][rows[0]]
+    total = bias + weights[0].take(rows[0], axis=0)
     for table, own in zip(weights[1:], rows[1:]):
-        total += table[own]
+        total += table.take(own, axis=0)
     total -= total.max(axis=1, keepdims=True)
     total -= np.log(np.exp(total).sum(axis=1, keepdims=True))
     return total
@@ -97,9 +124,9 @@ def class_logs(rows: list[np.ndarray], bias: np.ndarray, weights: np.ndarray) ->
 
 def update(rows: list[np.ndarray], target: np.ndarray, bias: np.ndarray, weights: np.ndarray, settings: MaxentSettings, rate: float) -> None:
     """One gradient step on a batch, scaled by the curvature of each weight."""
-    off = bias + weights[0][rows[0]]
+    off = bias + weights[0].take(rows[0], axis=0)
     for table, own in zip(weights[1:], rows[1:]):
-        off += table[own]
+        off += table.take(own, axis=0)
     np.exp(np.minimum(off, 80, out=off), out=off)
     off /= -(off @ np.ones(off.shape[1], off.dtype))[:, None]
     curve = np.maximum(-off.mean(axis=0), 1e-4)
@@ -109,7 +136,7 @@ def update(rows: list[np.ndarray], target: np.ndarray, bias: np.ndarray, weights
         own = own[order]
         begins = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
         count = np.diff(np.r_[begins, len(own)]).astype(np.float32)
-        slope = np.add.reduceat(off[order], begins, axis=0)
+        slope = np.add.reduceat(off.take(order, axis=0), begins, axis=0)
         table[own[begins]] += rate * np.clip(slope / (count[:, None] * curve + np.float32(settings.ridge)), -2, 2)
 
 
@@ -178,13 +205,20 @@ class MaxentModel:
         return int(self.class_words.sum())
 
 
-_PARTS = pa.schema([("word", pa.int64()), ("n", pa.int64()), ("block", pa.int32()), ("data", pa.binary())])
+#: Rows of a task: counts of words, blocks of a table of sums, and pieces of texts as short codes with the sizes of the texts.
+_COLUMNS = "word long, n long, block int, data binary, codes binary, sizes binary"
+_PARTS = pa.schema([("word", pa.int64()), ("n", pa.int64()), ("block", pa.int32()), ("data", pa.binary()), ("codes", pa.binary()), ("sizes", pa.binary())])
+
+
+def _rows(length: int, **columns) -> pa.RecordBatch:
+    """A batch with these columns; the others are null."""
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(length, f.type) for f in _PARTS], schema=_PARTS)
 
 
 def _part_rows(total: np.ndarray, seen: int) -> Iterator[pa.RecordBatch]:
     """A table of sums in sixteen rows."""
     for block, part in enumerate(np.split(total.reshape(-1), 16)):
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([seen]), pa.array([block], pa.int32()), pa.array([part.astype("<f8").tobytes()])], schema=_PARTS)
+        yield _rows(1, n=[seen], block=[block], data=[part.astype("<f8").tobytes()])
 
 
 def _add_parts(rows: pd.DataFrame) -> pd.DataFrame:
@@ -201,7 +235,10 @@ def _summed(rows: DataFrame, length: int) -> tuple[np.ndarray, int]:
 
 
 def fit(documents: DataFrame, settings: MaxentSettings | None = None) -> MaxentModel:
-    """Learn from all texts given: counts of words and neighbouring endings in a first pass, weights in ``rounds`` more. A null text is empty and has an end alone."""
+    """Learn from all texts given: counts of words and neighbouring endings in a first pass, weights in ``rounds`` more. A null text is empty and has an end alone.
+
+    Only the first pass reads texts; it leaves them in the shared folder as codes of four bytes a word, from which the rounds learn.
+    """
     settings, spark = settings or MaxentSettings(), documents.sparkSession
     ship_package(spark)
     shape = (len(TEMPLATES), 1 << settings.bits, settings.classes + 1)
@@ -211,15 +248,16 @@ def fit(documents: DataFrame, settings: MaxentSettings | None = None) -> MaxentM
         for batch in batches:
             texts = text_bytes(batch)
             for first, last in pieces(texts):
-                ids, _ = words.ids(texts[first:last])
-                names, times = np.unique(ids, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(as_signed(names)), pa.array(times), pa.nulls(len(names), pa.int32()), pa.nulls(len(names), pa.binary())], schema=_PARTS)
-                cells += ending_pairs(ids)
-                seen += len(ids)
+                numbers, sizes = words.numbers(texts[first:last])
+                names, times, _ = words.distinct(numbers)
+                yield _rows(len(names), word=as_signed(names), n=times)
+                yield _rows(1, codes=[short_code(words.table)[numbers].astype("<u4").tobytes()], sizes=[sizes.astype("<i8").tobytes()])
+                cells += ending_pairs(words.table[numbers])
+                seen += len(numbers)
         if seen:
             yield from _part_rows(cells, seen)
 
-    counted = materialise(documents.select("text").mapInArrow(count, "word long, n long, block int, data binary"))
+    counted = materialise(documents.select("text").mapInArrow(count, _COLUMNS))
     counts = materialise(counted.where("word is not null").groupBy("word").agg(F.sum("n").alias("n")))
     classes = endings_to_classes(_summed(counted, ENDINGS * ENDINGS)[0], settings)
     ending = F.col("word").bitwiseAND(F.lit(ENDINGS - 1)).alias("ending")
@@ -232,8 +270,9 @@ def fit(documents: DataFrame, settings: MaxentSettings | None = None) -> MaxentM
     order = np.argsort(ids)
     bias = np.log((tokens + 1) / (tokens + 1).sum()).astype(np.float32)
     weights = np.zeros(shape, np.float32)
+    pieces_of_texts = counted.where("codes is not null").select("codes", "sizes")
     for done in range(settings.rounds):
-        learned = documents.select("text").mapInArrow(_learn(spark.sparkContext.broadcast((classes, bias, weights)), settings, done), "word long, n long, block int, data binary")
+        learned = pieces_of_texts.mapInArrow(_learn(spark.sparkContext.broadcast((classes, bias, weights)), settings, done), _COLUMNS)
         total, seen = _summed(learned, weights.size)
         weights = (total / max(1, seen)).reshape(shape).astype(np.float32)
     return MaxentModel(settings, classes, bias, weights, ids[order], np.asarray(head.column("n"))[order], tokens, number, counts)
@@ -244,13 +283,12 @@ def _learn(shared, settings: MaxentSettings, number: int):
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, bias, start = shared.value
-        words, weights, seen = Words(), start.copy(), 0
+        weights, seen = start.copy(), 0
         for batch in batches:
-            texts = text_bytes(batch)
-            for first, last in pieces(texts):
-                ids, sizes = words.ids(texts[first:last])
-                train(ids, sizes, classes, bias, weights, settings, settings.rate / (1 + number))
-                seen += len(ids)
+            for codes, sizes in zip(*(batch.column(batch.schema.get_field_index(name)) for name in ("codes", "sizes"))):
+                codes = np.frombuffer(codes.as_buffer(), "<u4").astype(np.uint64)
+                train(codes, np.frombuffer(sizes.as_buffer(), "<i8"), classes, bias, weights, settings, settings.rate / (1 + number))
+                seen += len(codes)
         if seen:
             yield from _part_rows(weights.astype(float) * seen, seen)
 
@@ -274,14 +312,15 @@ def scored(documents: DataFrame, model: MaxentModel, held_out: Column) -> DataFr
         classes, bias, weights, head_ids, head_counts, room = shared.value
         texts = text_bytes(batch)
         for first, last in pieces(texts):
-            ids, sizes = words.ids(texts[first:last])
-            names, back = np.unique(ids, return_inverse=True)
+            numbers, sizes = words.numbers(texts[first:last])
+            ids = words.table[numbers]
+            names, _, back = words.distinct(numbers)
             at = np.minimum(np.searchsorted(head_ids, names), max(0, len(head_ids) - 1))
             found = head_ids[at] == names if len(head_ids) else np.zeros(len(names), bool)
             count = np.where(found, head_counts[at] if len(head_counts) else 0, 0)
             kind = classes[(names & np.uint64(ENDINGS - 1)).astype(np.int64)]
             plus, inside = np.log10(count + 1.0), np.log10(room[kind])
-            logs = class_logs(feature_rows(ids, sizes, settings.bits), bias, weights)
+            logs = class_logs(feature_rows(short_code(ids).astype(np.uint64), sizes, settings.bits), bias, weights)
             own = logs[np.arange(len(ids)), kind[back]] / np.log(10)
             begins = np.cumsum(sizes) - sizes
             rest = ~found[back] if full else np.zeros(len(ids), bool)

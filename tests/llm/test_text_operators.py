@@ -355,3 +355,31 @@ def test_encoded_documents(documents_of):
     assert all(r.round_trip and r.n_pieces == len(r.ids) for r in got.values()) and got[0].ids == [] and got[7].n_byte_pieces > 0
     back = {r.doc_id: r.text for r in unigram.decoded(rows, path).collect()}
     assert back == {at: text or "" for at, text in enumerate(ODD)}
+
+
+def test_words_after_line_feeds_are_encoded_once():
+    """A word met before is not given to the tokenizer again because another one stands before it on the last line."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, given, plain = token_file.TextEncoder(path), [], Tokenizer.from_file(path)
+    encode = encoder._encoded_words
+    encoder._encoded_words = lambda words: given.extend(words) or encode(words)
+    texts = [f"One a{i}.\nThen it's b\n's\n1 <|endoftext|>\nc" for i in range(9)] + ["x\n\ny z", "x \ny", "\nx y\n", "a\tb\nc d", "\n", "a\u00a0\nb c\u2028d\ne"]
+    for text, codes in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(codes, "<u2").tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert given.count("\nThen") == 1 and not any(word.endswith("Then") and len(word) > 5 for word in given)
+
+
+def test_rounds_learn_from_the_codes_of_the_first_pass(documents_of, monkeypatch):
+    """Texts are split into words once, whatever the rounds; short codes keep the endings and tell words apart."""
+    ids, _ = maxent_lm.Words().ids([" ".join(f"w{i}" for i in range(20_000)).encode()])
+    codes = maxent_lm.short_code(ids)
+    assert codes.dtype == np.uint32 and ((codes & 511) == (ids & np.uint64(511))).all() and codes[-1] == 0
+    assert len(np.unique(codes)) >= len(ids) - 2
+    docs = documents_of([f"aa bb{i % 7} cc dd{i % 5}" for i in range(50)])
+    reads = []
+    real = type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, *a, **k: reads.append(self.columns) or real(self, *a, **k))
+    maxent_lm.fit(docs, maxent_lm.MaxentSettings(classes=4, bits=8, rounds=3))
+    assert reads == [["text"]] + [["codes", "sizes"]] * 3
