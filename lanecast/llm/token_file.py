@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 
 from lanecast.llm.words import CACHE_WORDS, bounded_texts, map_batches, pieces
 
-_GAPS = re.compile(r"\s\s|^\s|\s$")
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 BLOCK_SCHEMA = (
     "shard int, block int, first_id long, last_id long, n_docs int, n_tokens long, start long, dictionary long, width int, "
@@ -48,8 +47,9 @@ class TokenFileSettings:
 class TextEncoder:
     """Encodes texts with a tokenizer file, remembering the ids of words.
 
-    A single space between two other signs is always a cut between the tokenizer's pre-tokens, with the space on the right, so
-    such words are encoded by themselves. ``width``: bytes of an id.
+    A single space or line feed between two other signs is always a cut between the tokenizer's pre-tokens, with that sign on the right,
+    so such words are encoded by themselves. A word after a line feed keeps it, all others stand for themselves and the space before them.
+    ``width``: bytes of an id.
     """
 
     def __init__(self, path: str):
@@ -71,28 +71,39 @@ class TextEncoder:
                 yield np.array(item.ids, f"<u{self.width}").tobytes()
 
     def _encoded_words(self, words: list[str]) -> Iterator[bytes]:
-        """The ids of words with a space before each, many words a call: no token spans two of them, so lengths tell them apart."""
+        """The ids of words with what is before each, many words a call: no token spans two of them, so lengths tell them apart."""
         for at in range(0, len(words), 2000):
-            part = words[at : at + 2000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, np.int64)
-            ends = np.cumsum([len(word.encode()) + 1 for word in part])
+            part = [word if word[0] == "\n" else " " + word for word in words[at : at + 2000]]
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, np.int64)
+            ends = np.cumsum([len(word.encode()) for word in part])
             cuts = np.searchsorted(np.cumsum(self.token_bytes[ids]), ends, side="left") + 1
             data, begin = ids.astype(f"<u{self.width}").tobytes(), 0
             for cut in (cuts * self.width).tolist():
                 yield data[begin:cut]
                 begin = cut
 
+    @staticmethod
+    def _split(text: str) -> list[str]:
+        """The words of a text, the first one with all that is before it."""
+        words = text.split()
+        if sum(map(len, words)) + len(words) - 1 != len(text):
+            return _SAFE_CUT.split(text)  # some gap is wider than one sign, or at an end
+        return text.replace("\n", " \n").split(" ")
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") if not _GAPS.search(t) else _SAFE_CUT.split(t) for t in texts]
+        split = [self._split(text) for text in texts]
+        heads = self._encoded([words.pop(0) for words in split])
         if len(self.words) > CACHE_WORDS:
             self.words, self.older = {}, self.words
-        needed = set().union(*(s[1:] for s in split)) - self.words.keys()
-        known = needed & self.older.keys()
-        self.words.update((word, self.older[word]) for word in known)
-        new = list(needed - known)
+        new = []
+        for word in set().union(*split):
+            if word not in self.words:
+                if word in self.older:
+                    self.words[word] = self.older[word]
+                else:
+                    new.append(word)
         self.words.update(zip(new, self._encoded_words(new)))
-        heads = self._encoded([s[0] for s in split])
-        return [head + b"".join(map(self.words.__getitem__, s[1:])) for head, s in zip(heads, split)]
+        return [head + b"".join(map(self.words.__getitem__, words)) for head, words in zip(heads, split)]
 
 
 _ENCODERS: dict[str, TextEncoder] = {}
